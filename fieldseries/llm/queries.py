@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules
+from . import language_id, packing, quality_model, quality_rules, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.op6(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op9(table(spark, sf_dir, "documents"))
 
@@ -21,6 +33,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_quality_model": op4_quality_model,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
