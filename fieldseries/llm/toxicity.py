@@ -154,7 +154,7 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> dict[str, float]:
     odds = lambda p, n: math.log((p + 0.5) / (toxic + 1)) - math.log((n + 0.5) / (clean + 1))
     stems: dict[str, list] = defaultdict(lambda: [0, 0, 0, 0])  # support, words, toxic rows, clean rows (at most)
     # support that chance gives no word of the vocabulary, were toxic rows any rows
-    least = max(4.0, (math.log(max(2, len(seen[0].keys() | seen[1].keys()))) + 2) / math.log(len(rows) / toxic))
+    least = max(4.0, math.log(max(2, len(seen[0].keys() | seen[1].keys()))) / math.log(len(rows) / toxic))
     rare = {w for w in around if odds(seen[1][w], seen[0][w]) > 1}
     for w in rare:
         for k in range(STEM[0], min(STEM[1], len(w)) + 1):
@@ -172,8 +172,14 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> dict[str, float]:
             found[s + "*"] = w
     for t in around:
         n, p = seen[0][t], seen[1][t]
-        if min(p, len(around[t])) >= least and (w := odds(p, n)) > 3 and n <= 0.02 * p and not any(t[:k] + "*" in found for k in range(STEM[0], STEM[1] + 1)):
+        if min(p, len(around[t])) >= least and (w := odds(p, n)) > 3 and not any(t[:k] + "*" in found for k in range(STEM[0], STEM[1] + 1)):
             found[t] = w
+    families = Counter(t[:k] for t in found for k in range(STEM[0], min(STEM[1], len(t)) + 1))
+    for t in around:  # words that begin as several found ones do need less support
+        n, p = seen[0][t], seen[1][t]
+        if t not in found and min(p, len(around[t])) >= 2 and odds(p, n) > 2 and any(families[t[:k]] >= 3 for k in range(STEM[0], min(STEM[1], len(t)) + 1)):
+            if not any(t[:k] + "*" in found for k in range(STEM[0], STEM[1] + 1)):
+                found[t] = odds(p, n)
     for t in TERMS:  # the stated words, unless the rows speak against one
         if t not in found and not (seen[0][t] >= 3 and odds(seen[1][t], seen[0][t]) < 1):
             found[t] = max(2.0, odds(seen[1][t], seen[0][t])) if seen[1][t] else 2.0
