@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, quality_model, quality_rules, toxicity
+from . import decontamination, language_id, packing, quality_model, quality_rules, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op9(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_model": op4_quality_model,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
