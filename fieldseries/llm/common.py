@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,36 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(task, schema)
 
 
+class Bloom:
+    """A filter of fixed size over well-mixed 64-bit keys: it never misses one, and lets some others by.
+
+    It only saves moving rows that an exact join drops afterwards; when full it saves nothing and is still right.
+    """
+
+    BITS = 26
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.view(np.uint64) if keys.dtype == np.int64 else keys
+        mask = np.uint64((1 << self.BITS) - 1)
+        ok = np.ones(len(keys), bool)
+        for shift in (0, self.BITS):
+            at = (keys >> np.uint64(shift)) & mask
+            ok &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+        return ok
+
+
+def bloom(df: DataFrame, key: str) -> Bloom:
+    """Built by Spark; at most 2**20 words come to the driver, whatever the number of keys."""
+    at = F.explode(F.array(*[F.shiftrightunsigned(F.col(key), s).bitwiseAND(F.lit((1 << Bloom.BITS) - 1)) for s in (0, Bloom.BITS)])).alias("at")
+    rows = df.select(at).groupBy(F.shiftright("at", 6).cast("int").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("word")).toArrow()
+    words = np.zeros(1 << (Bloom.BITS - 6), np.uint64)
+    words[rows["slot"].to_numpy()] = rows["word"].to_numpy().view(np.uint64)
+    return Bloom(words)
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, train: Column, n: int) -> list[tuple[str, int]]:
     """(text, label) of at most n labelled training documents, chosen by the hash of their ids.
 

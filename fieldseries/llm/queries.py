@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, packing, quality_model, quality_rules, toxicity
+from . import decontamination, language_id, packing, quality_model, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op3(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +41,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_model": op4_quality_model,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
