@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, packing, quality_model, quality_rules, suffix_dedup, toxicity
+from . import decontamination, language_id, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.op5(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.op6(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_model": op4_quality_model,
+    "op5_ngram_join": op5_ngram_join,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
