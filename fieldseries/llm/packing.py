@@ -14,8 +14,9 @@ A partition holds a bounded number of (length, row) pairs and no text.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +29,8 @@ from .common import map_batches, materialise
 
 #: Pieces in a packing partition, on average.
 PART_PIECES = 50_000
-#: Distinct white-space-free strings whose ids a task keeps; when full, it starts anew.
-CACHE = 200_000
+#: Strings whose ids a Python worker keeps, in each of its two mappings and their predecessors.
+CACHE = 300_000
 ROUNDS = 2
 
 
@@ -39,31 +40,81 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class _Recent(dict):
+    """A mapping of bounded size: when full, only entries used since it was last full go on."""
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
 
-    return Tokenizer.from_file(path), {}
+#: Strings for which lower case, letters and digits mean the same to Python as to the tokenizer.
+_PLAIN = re.compile("[\x21-\x7e\u00a1\u00ab\u00bb\u00bf-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e\u2010-\u2027]+")
+#: The words that the tokenizer's own pattern finds in such a string.
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017e]+")
 
 
-def token_bytes(path: str, texts: list[bytes]) -> Iterator[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit numbers, with id 0 at the end.
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones themselves, the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(hidden)) for b in range(256)]
+
+
+class Encoder:
+    """Token ids of texts as little-endian unsigned 32-bit numbers, with id 0 at the end.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its
-    ASCII-white-space-free parts in order; parts repeat, and each is encoded once.
+    parts between ASCII white space, in order.  Parts, and the words in parts, repeat: each is
+    encoded once while it stays in use.  A part with anything unusual goes to the tokenizer whole.
     """
-    tokenizer, cache = _tokenizer(path)
-    for text in texts:
-        parts = text.split()
-        missing = {p for p in parts if p not in cache}
-        if missing:
-            if len(cache) + len(missing) > CACHE:
-                cache.clear()
-                missing = set(parts)
-            order = list(missing)
-            for p, e in zip(order, tokenizer.encode_batch([p.decode("utf-8") for p in order], add_special_tokens=False), strict=True):
-                cache[p] = np.array(e.ids, "<u4").tobytes()
-        yield b"".join([cache[p] for p in parts]) + b"\0\0\0\0"
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.letters = _byte_letters()
+        self.parts, self.words = _Recent(self._part), _Recent(self._word)
+        self.split = self._splits_alike()
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = "".join([self.letters[b] for b in word.encode()])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(word)])
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode()
+        if self.split and _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self.words[w] for w in _WORDS.findall(text.lower())])
+        return self._whole(text)
+
+    def _splits_alike(self) -> bool:
+        """Whether this tokenizer cuts words as _WORDS does; another one gets whole parts."""
+        probe = "It's We'LL 12-ab_cd!? \u00c9t\u00e9 na\u00efve#7 \u00bfqu\u00e9? o'd!'s"
+        mine = b"".join([self._word(w) for part in probe.split() for w in _WORDS.findall(part.lower())])
+        return mine == self._whole(probe)
+
+    def __call__(self, text: bytes) -> bytes:
+        parts = self.parts
+        return b"".join([parts[p] for p in text.split()]) + b"\0\0\0\0"
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,7 +124,9 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, id_col: str = "doc_id", t
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, texts = batch.column(0), batch.column(1).cast(pa.large_binary()).fill_null(b"").to_pylist()
         at, piece, start, length, crc = [], [], [], [], []
-        for k, raw in enumerate(token_bytes(tokenizer, texts)):
+        encode = encoder(tokenizer)
+        for k, text in enumerate(texts):
+            raw = encode(text)
             view = memoryview(raw)
             for p, a in enumerate(range(0, len(raw), 4 * size)):
                 part = view[a : a + 4 * size]
