@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
+from . import decontamination, html_text, language_id, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op2(table(spark, sf_dir, "pages"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op3(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_html_text": op2_html_text,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_model": op4_quality_model,
     "op5_ngram_join": op5_ngram_join,
