@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, html_text, language_id, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
+from . import decontamination, html_text, language_id, license_scan, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op1(table(spark, sf_dir, "documents"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.op2(table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_html_text": op2_html_text,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_model": op4_quality_model,
