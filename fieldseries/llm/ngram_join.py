@@ -253,12 +253,12 @@ def _prepare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def component_ids(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """(id, n, cls, component) a row a row of docs (id, text); component is the smallest id reachable by links."""
+    """(id, n, cls, root, component) a row a row of docs (id, text); component is the smallest id reachable by links."""
     members, roots = classes(docs, size, percent)
     full = members.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = full.filter("n > 0").groupBy("root").agg(F.min("id").alias("component"))
     out = full.join(smallest, "root", "left")
-    return out.select("id", "n", "cls", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    return out.select("id", "n", "cls", "root", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
 
 
 def op5(docs: DataFrame) -> DataFrame:
@@ -279,13 +279,13 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     `size`-word shingles or more.
     """
     names = docs.columns
-    found = component_ids(_prepare(docs), size, percent)
-    winners = found.filter("n > 0").filter("id = component").select("id", "cls").distinct()
-    losers = found.filter("n > 0").filter("id != component").select("id", "cls").distinct()
+    some = materialise(component_ids(_prepare(docs), size, percent).filter("n > 0").select("id", "cls", "root"), "linked")
+    winners = some.groupBy("root").agg(F.min(F.struct("id", "cls")).alias("w")).select("w.*")
+    losers = some.join(winners, ["id", "cls"], "left_anti").distinct()
     tagged = _tag(docs, size)
     lone = tagged.join(losers.select(F.col("id").alias("_id"), F.col("cls").alias("_cls")), ["_id", "_cls"], "left_anti")
     # rows that share id and set with the winner: one of them
-    repeated = winners.join(found.filter("n > 0").groupBy("id", "cls").count().filter("count > 1"), ["id", "cls"], "left_semi")
+    repeated = winners.join(some.groupBy("id", "cls").count().filter("count > 1"), ["id", "cls"], "left_semi")
     repeated = repeated.select(F.col("id").alias("_id"), F.col("cls").alias("_cls"), F.lit(True).alias("_more"))
     marked = lone.join(repeated, ["_id", "_cls"], "left")
     once = marked.filter("_more is null").select("_row")

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -245,5 +246,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
     their own text.
     """
     model = train(docs, labels)
-    judge = F.pandas_udf(lambda texts: texts.map(lambda t: score(model, measure(model, t or "")[0], len(t or ""))), "double")
-    return docs.filter(judge(F.col("text")) < threshold)
+
+    def judge(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: score(model, measure(model, t or "")[0], len(t or "")))
+
+    return docs.filter(F.pandas_udf(judge, "double")(F.coalesce("text", F.lit(""))) < threshold)
