@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, html_text, language_id, license_scan, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
+from . import decontamination, html_text, language_id, license_scan, ngram_join, oracles, packing, quality_model, quality_rules, suffix_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,4 +65,4 @@ QUERIES: dict[str, Query] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_ngram_join": oracles.OP5, "op8_decontamination": oracles.OP8, "op9_quality_rules": oracles.OP9}
