@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,11 +38,18 @@ def materialise(df: DataFrame, name: str, keep: list[str] | None = None) -> Data
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/fieldseries/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     if keep is not None:
         keep.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more: it does so when both sides collect garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
     """Delete scratch tables that nothing reads any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -18,7 +18,7 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:] if step < n else 0
         key = rank * (n + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.r_[1, ordered[1:] != ordered[:-1]])

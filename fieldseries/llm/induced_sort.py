@@ -24,8 +24,8 @@ IN_MEMORY = 4_000_000
 class BucketQueue:
     """A queue of positions for each symbol, backed by one file."""
 
-    def __init__(self, folder: str, limit: int = IN_MEMORY):
-        self.folder, self.limit, self.held = folder, limit, 0
+    def __init__(self, folder: str, kind: np.dtype, limit: int = IN_MEMORY):
+        self.folder, self.kind, self.limit, self.held = folder, np.dtype(kind), limit, 0
         self.memory: dict[int, list[np.ndarray]] = {}
         self.disk: dict[int, list[tuple[int, int]]] = {}
         self.file = None
@@ -48,7 +48,7 @@ class BucketQueue:
         for s, parts in self.memory.items():
             together = np.concatenate(parts)
             self.disk.setdefault(s, []).append((self.file.tell(), len(together)))
-            self.file.write(together.astype(np.int64).tobytes())
+            self.file.write(together.astype(self.kind).tobytes())
         self.memory, self.held = {}, 0
 
     def take(self, symbol: int) -> np.ndarray:
@@ -56,11 +56,11 @@ class BucketQueue:
         parts = []
         for at, n in self.disk.pop(symbol, []):
             self.file.seek(at)
-            parts.append(np.frombuffer(self.file.read(8 * n), np.int64))
+            parts.append(np.frombuffer(self.file.read(self.kind.itemsize * n), self.kind))
         own = self.memory.pop(symbol, [])
         self.held -= sum(map(len, own))
         parts += own
-        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return np.concatenate(parts) if parts else np.zeros(0, self.kind)
 
     def close(self) -> None:
         if self.file is not None:
@@ -70,13 +70,14 @@ class BucketQueue:
 def s_types(text: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one; the last symbol must be smaller than all others."""
     n = len(text)
-    step = np.sign(np.diff(text.astype(np.int64)))
-    known = np.flatnonzero(step)
     out = np.zeros(n, bool)
     out[-1] = True
-    if n > 1:
-        nearest = known[np.minimum(np.searchsorted(known, np.arange(n - 1)), len(known) - 1)]
-        out[:-1] = step[nearest] > 0
+    rising, equal = text[:-1] < text[1:], np.flatnonzero(text[:-1] == text[1:])
+    out[:-1] = rising
+    if len(equal):  # a run of equal symbols is as its end is
+        run = np.flatnonzero(np.r_[True, np.diff(equal) > 1])
+        ends = equal[np.append(run[1:], len(equal)) - 1] + 1
+        out[equal] = np.repeat(out[ends], np.diff(np.append(run, len(equal))))
     return out
 
 
@@ -84,9 +85,10 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str
     """Positions symbol by symbol, from the largest symbol down, each in ascending suffix order, given the
     left-most S positions (seeds) in suffix order."""
     alphabet = np.unique(text)
-    starts, larger = BucketQueue(folder), BucketQueue(folder)
+    kind = seeds.dtype
+    starts, larger = BucketQueue(folder, kind), BucketQueue(folder, kind)
     starts.append(text[seeds], seeds)
-    kept_l = BucketQueue(folder)
+    kept_l = BucketQueue(folder, kind)
 
     def l_before(positions: np.ndarray) -> None:
         before = positions[positions > 0] - 1
@@ -96,12 +98,12 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str
 
     for c in alphabet.tolist():
         while len(now := larger.take(c)):
-            kept_l.append(np.full(len(now), c), now)
+            kept_l.append(np.full(len(now), c, text.dtype), now)
             l_before(now)
         if len(seed := starts.take(c)):
             l_before(seed)
 
-    smaller = BucketQueue(folder)
+    smaller = BucketQueue(folder, kind)
 
     def s_before(positions: np.ndarray) -> None:
         before = positions[positions > 0] - 1
@@ -113,7 +115,7 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str
     for c in alphabet[::-1].tolist():
         down = []
         if c == int(text[last]):
-            down.append(np.array([last]))
+            down.append(np.array([last], kind))
         while len(now := smaller.take(c)):
             down.append(now)
             s_before(now)
@@ -130,7 +132,7 @@ def sort_suffixes(text: np.ndarray, folder: str, in_memory: int = IN_MEMORY) ->
     The last symbol must be unique and smaller than all others.
     """
     s_type = s_types(text)
-    seeds = np.flatnonzero(s_type & ~np.r_[True, s_type[:-1]])
+    seeds = np.flatnonzero(s_type & ~np.r_[True, s_type[:-1]]).astype(np.int32 if len(text) < 1 << 31 else np.int64)
     if len(seeds) > 1:
         # order of the substrings from one seed to the next, by induction from unordered seeds
         is_seed = np.zeros(len(text), bool)

@@ -9,10 +9,10 @@ passages that very many documents share; within a level each order is a permutat
 
 Pairs inside a group are not listed.  Equal sets are one class from the start.  Then
 1. each prefix shingle names one leader class, and every class that has it is verified against it;
-2. in groups that still hold several components, the class with most links so far leads;
-3. only groups that hold several components even then pair the classes of different components,
-   leaving out pairs that the triangle inequality of Jaccard distances rules out.
-Links inside a component are not needed for it, and no link between two components is lost.
+2. groups that still hold several components pair the classes of different components.
+In both, sizes, places in the prefixes and parity sketches of the sets leave out pairs that no link
+allows, before anything is verified.  Links inside a component are not needed for it, and no link
+between two components is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ SLOTS = 1 << 20
 #: Shingles of a task between two reports of heavy ones.
 REPORT = 4_000_000
 NO_ID = (1 << 63) - 1
+SKETCH = ["p0", "p1", "p2", "p3"]
 
 
 def ordered_sets(data: np.ndarray, offsets: np.ndarray, size: int, levels: np.ndarray | None = None, order: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -45,7 +46,7 @@ def ordered_sets(data: np.ndarray, offsets: np.ndarray, size: int, levels: np.nd
         key = token if order == 0 and levels is None else mix(token ^ salt) >> np.uint64(6)
         if levels is not None:
             key |= levels[(token & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
-        by = np.lexsort((key, of))
+        by = _by_document(key, of, b - a)
         token, of = token[by], of[by]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (of[1:] != of[:-1])
@@ -54,6 +55,15 @@ def ordered_sets(data: np.ndarray, offsets: np.ndarray, size: int, levels: np.nd
         yield a, b, token, of, np.arange(len(token)) - (np.cumsum(count) - count)[of]
 
 
+def _by_document(key: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """The order by document, then key; one sort of packed numbers where the packing loses no order."""
+    bits = np.uint64(max(1, int(n).bit_length()))
+    packed = (of.astype(np.uint64) << (np.uint64(64) - bits)) | (key >> bits)
+    by = np.argsort(packed)
+    p, k = packed[by], key[by]
+    return np.lexsort((key, of)) if ((p[1:] == p[:-1]) & (k[1:] != k[:-1])).any() else by
+
+
 def _classes(token: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint, size) of each document's set; an empty set has size 0."""
     size = np.bincount(of, minlength=n)
@@ -105,71 +115,89 @@ def heavy_levels(summary: DataFrame) -> np.ndarray:
     return levels
 
 
+def _sketches(token: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """256 parities of each set, as four integers: sets that differ in k shingles differ in at most k parities."""
+    odd = np.bincount(of * 256 + (token >> np.uint64(40) & np.uint64(255)).astype(np.int64), minlength=n * 256) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, 256), axis=1).view(np.int64)
+
+
 def _prefix_rows(docs: DataFrame, size: int, percent: int, levels: np.ndarray, known: Bloom | None) -> DataFrame:
-    """The prefixes under the first order: (token), or (token, cls, n, place) of tokens that `known` may hold."""
-    names = ["token"] if known is None else ["token", "cls", "n", "place"]
+    """The prefixes under the first order: (token), or full rows of tokens that `known` may hold."""
+    names = ["token"] if known is None else ["token", "cls", "n", "place", *SKETCH]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         parts = []
         for a, b, token, of, place in ordered_sets(*string_buffers(batch.column(0)), size, levels):
             cls, n = _classes(token, of, b - a)
-            some = place < (n - (percent * n + 99) // 100 + 1)[of]
-            if known is not None:
-                some &= known.may_hold(token)
-            parts.append((token[some].view(np.int64), cls[of[some]], n[of[some]], place[some])[: len(names)])
+            head = place < (n - (percent * n + 99) // 100 + 1)[of]
+            if known is None:
+                parts.append((token[head].view(np.int64),))
+                continue
+            head &= known.may_hold(token)
+            sketch = _sketches(token, of, b - a)[of[head]]
+            parts.append((token[head].view(np.int64), cls[of[head]], n[of[head]], place[head], *(sketch[:, k] for k in range(4))))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names) if parts else None
 
     return map_batches(docs.select("text"), work, ", ".join(f"{x} bigint" for x in names))
 
 
-def _full_rows(docs: DataFrame, size: int, percent: int, levels: np.ndarray, known: Bloom) -> DataFrame:
-    """(cls, id, n, p2, p3, tokens): prefixes under two more orders (as 32-bit hashes) and the whole set, of classes that `known` may hold."""
+def _full_rows(docs: DataFrame, size: int, percent: int, levels: np.ndarray, holders: Bloom) -> DataFrame:
+    """(cls, n, q2, q3, tokens) of documents (hid, text) whose hashed ids `holders` may hold: prefixes under two
+    more orders (as 32-bit hashes) and the whole set.  No other text is looked at."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        data, offsets = string_buffers(batch.column(1))
-        cols: list[list] = [[] for _ in range(6)]
-        for (a, b, token, of, place), second, third in zip(*(ordered_sets(data, offsets, size, levels, k) for k in range(3)), strict=True):
+        some = np.flatnonzero(holders.may_hold(batch.column(0).to_numpy()))
+        if not len(some):
+            return None
+        data, offsets = string_buffers(batch.column(1).take(pa.array(some)))
+        cols: list[list] = [[] for _ in range(5)]
+        for (a, b, token, of, _), second, third in zip(*(ordered_sets(data, offsets, size, levels, k) for k in range(3)), strict=True):
             cls, n = _classes(token, of, b - a)
-            some = np.flatnonzero(known.may_hold(cls) & (n > 0))
-            if not len(some):
-                continue
             end = np.cumsum(n)
             take = n - (percent * n + 99) // 100 + 1
             by = np.lexsort((token, of))
-            for d in some:
+            for d in np.flatnonzero(n):
                 s = slice(end[d] - n[d], end[d])
                 head = slice(s.start, s.start + take[d])
                 cols[0].append(cls[d])
-                cols[1].append(a + d)
-                cols[2].append(n[d])
-                cols[3].append((second[2][head] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                cols[4].append((third[2][head] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                cols[5].append(token[by[s]].tobytes())
-        if not cols[0]:
-            return None
-        kinds = [pa.int64(), None, pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
-        arrays = [batch.column(0).take(pa.array(c)) if t is None else pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, ["cls", "id", "n", "p2", "p3", "tokens"])
+                cols[1].append(n[d])
+                cols[2].append((second[2][head] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                cols[3].append((third[2][head] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                cols[4].append(token[by[s]].tobytes())
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["cls", "n", "q2", "q3", "tokens"]) if cols[0] else None
 
-    return map_batches(docs, work, "cls bigint, id bigint, n bigint, p2 array<int>, p3 array<int>, tokens binary")
+    read = docs.select(F.xxhash64("id").alias("hid"), "text")
+    return map_batches(read, work, "cls bigint, n bigint, q2 array<int>, q3 array<int>, tokens binary")
 
 
 def _near_sizes(a: str, b: str, percent: int) -> Column:
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
 
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """What sizes, places and sketches of two index rows (columns with suffix a or b) leave possible, for a pair and this token.
+
+    The first shingle that two prefixes share leaves at most min(rest) more, and linked sets differ in at
+    most n1 + n2 - 2 * (the least intersection) shingles and so in no more parities.
+    """
+    least = f"((n{a} + n{b}) * {percent} + {99 + percent}) div {100 + percent}"
+    room = F.expr(f"1 + least(n{a} - 1 - place{a}, n{b} - 1 - place{b}) >= {least}")
+    apart = F.expr(" + ".join(f"bit_count({p}{a} ^ {p}{b})" for p in SKETCH) + f" <= n{a} + n{b} - 2 * ({least})")
+    return _near_sizes(f"n{a}", f"n{b}", percent) & room & apart
+
+
 def _fetch(docs: DataFrame, pairs: DataFrame, members: DataFrame, size: int, percent: int, levels: np.ndarray, scratch: list[str]) -> DataFrame:
-    """Full rows of the classes in pairs, from one document of each."""
+    """Full rows of the classes in pairs, from one document of each (and of a few others)."""
     nodes = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
-    holders = materialise(nodes.join(members, "cls").select("cls", F.col("first_id").alias("id")), "holders", scratch)
-    rows = _full_rows(docs, size, percent, levels, bloom(holders, "cls"))
-    return materialise(rows.join(holders, ["cls", "id"], "left_semi"), "sets", scratch)
+    holders = nodes.join(members, "cls").select(F.xxhash64("first_id").alias("hid"))
+    return materialise(_full_rows(docs, size, percent, levels, bloom(holders, "hid")), "sets", scratch)
 
 
 def _verify(pairs: DataFrame, full: DataFrame, scratch: list[str], name: str) -> DataFrame:
     """(x, y, both, nx, ny) of the pairs that pass the other orders; `both` is the size of the intersection."""
     side = lambda c, cols: full.select(F.col("cls").alias(c), *[F.col(k).alias(f"{k}{c}") for k in cols])
-    passed = pairs.join(side("x", ["p2", "p3"]), "x").join(side("y", ["p2", "p3"]), "y").filter(F.arrays_overlap("p2x", "p2y") & F.arrays_overlap("p3x", "p3y")).select("x", "y").distinct()
+    passed = pairs.join(side("x", ["q2", "q3"]), "x").join(side("y", ["q2", "q3"]), "y").filter(F.arrays_overlap("q2x", "q2y") & F.arrays_overlap("q3x", "q3y")).select("x", "y").distinct()
     met = passed.join(side("y", ["n", "tokens"]), "y").join(side("x", ["n", "tokens"]), "x").select("x", "y", "nx", "ny", "tokensx", "tokensy")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -197,12 +225,16 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str
     again = materialise(_prefix_rows(docs, size, percent, levels, None).groupBy("token").count().filter("count > 1").select("token"), "tokens", scratch)
     index = _prefix_rows(docs, size, percent, levels, bloom(again, "token")).distinct().join(again, "token")
     # tokens of one class only (its copies) end here
-    several = index.groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("z"), F.min_by("n", "cls").alias("nx"), F.min_by("place", "cls").alias("px")).filter("x < z").drop("z")
+    row = ["cls", "n", "place", *SKETCH]
+    leader = F.min(F.struct(*row))
+    several = index.groupBy("token").agg(leader.alias("x"), F.max("cls").alias("z")).filter("x.cls < z").select("token", "x")
     index = materialise(index.join(several, "token"), "index", scratch)
 
-    def pairs_with(leaders: DataFrame) -> DataFrame:
-        ok = (F.col("x") != F.col("cls")) & _near_sizes("n", "nx", percent)
-        return leaders.filter(ok).select(F.least("x", "cls").alias("x"), F.greatest("x", "cls").alias("y")).distinct()
+    def pairs_with(led: DataFrame) -> DataFrame:
+        """Pairs of each class with the leader x of its group."""
+        both = led.select(*[F.col(c).alias(f"{c}1") for c in row], *[F.col("x")[c].alias(f"{c}2") for c in row])
+        ok = both.filter((F.col("cls1") != F.col("cls2")) & _may_link("1", "2", percent))
+        return ok.select(F.least("cls1", "cls2").alias("x"), F.greatest("cls1", "cls2").alias("y")).distinct()
 
     pairs = materialise(pairs_with(index), "pairs", scratch)
     full = _fetch(docs, pairs, firsts, size, percent, levels, scratch)
@@ -210,40 +242,17 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str
     edges = checked.filter(linked(percent)).select("x", "y")
     roots = components(edges, scratch)
 
-    def open_groups() -> DataFrame:
-        """The index of tokens whose classes are in several components, with root."""
-        now = index.select("token", "cls", "n", "place").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        groups = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-        return now.join(groups, "token", "left_semi")
-
-    # the best linked class of each open group leads
-    degree = edges.select(F.explode(F.array("x", "y")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
-    opened = materialise(open_groups().join(degree, "cls", "left"), "open", scratch)
-    best = opened.groupBy("token").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("l"), "cls", "n", "root")).alias("b")).select("token", F.col("b.cls").alias("x"), F.col("b.n").alias("nx"), F.col("b.root").alias("rx"))
-    second = pairs_with(opened.join(best, "token").filter("root != rx")).join(pairs, ["x", "y"], "left_anti")
-    second = materialise(second, "pairs2", scratch)
-    if second.count():
-        more = _fetch(docs, second.join(full.select(F.col("cls").alias("x"), F.lit(1).alias("hx")), "x", "left").join(full.select(F.col("cls").alias("y"), F.lit(1).alias("hy")), "y", "left").filter("hx is null or hy is null").select("x", "y"), firsts, size, percent, levels, scratch)
-        full = full.unionByName(more).dropDuplicates(["cls"]) if more.count() else full
-        checked = checked.unionByName(_verify(second, full, scratch, "checked2"))
-        edges = checked.filter(linked(percent)).select("x", "y")
-        roots = components(edges, scratch)
-        pairs = pairs.unionByName(second)
-    # what is still open: classes of different components, where the distances to a group's leader allow a link
-    opened = materialise(open_groups(), "open2", scratch)
-    far = checked.select("x", "y", (1 - F.col("both") / (F.col("nx") + F.col("ny") - F.col("both"))).alias("d"))
-    far = far.unionByName(far.select(F.col("y").alias("x"), F.col("x").alias("y"), "d"))
-    led = opened.join(best.select("token", "x"), "token").join(far.select("x", F.col("y").alias("cls"), "d"), ["x", "cls"], "left")
-    led = led.withColumn("d", F.when(F.col("x") == F.col("cls"), F.lit(0.0)).otherwise(F.col("d"))).drop("x")
-    a, b = led.select("token", *[F.col(c).alias(f"{c}1") for c in ("cls", "n", "place", "root", "d")]), led.select("token", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "place", "root", "d")])
-    room = F.expr(f"{100 + percent} * (1 + least(n1 - 1 - place1, n2 - 1 - place2)) >= {percent} * (n1 + n2)")
-    near = F.coalesce(F.abs(F.col("d1") - F.col("d2")) <= (100 - percent) / 100 + 1e-9, F.lit(True))
-    rest = a.join(b, (a["token"] == b["token"]) & (F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & _near_sizes("n1", "n2", percent) & room & near)
+    # groups that still hold several components: their pairs across components, as far as a link is possible
+    now = index.drop("x").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    groups = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    opened = materialise(now.join(groups, "token", "left_semi"), "open", scratch)
+    a, b = (opened.select("token", *[F.col(c).alias(f"{c}{k}") for c in [*row, "root"]]) for k in (1, 2))
+    rest = a.join(b, (a["token"] == b["token"]) & (F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & _may_link("1", "2", percent))
     rest = rest.select(F.col("cls1").alias("x"), F.col("cls2").alias("y")).distinct().join(pairs, ["x", "y"], "left_anti")
-    rest = materialise(rest, "pairs3", scratch)
+    rest = materialise(rest, "pairs2", scratch)
     if rest.count():
         more = _fetch(docs, rest, firsts, size, percent, levels, scratch)
-        checked = checked.unionByName(_verify(rest, more, scratch, "checked3"))
+        checked = checked.unionByName(_verify(rest, more, scratch, "checked2"))
         roots = components(checked.filter(linked(percent)).select("x", "y"), scratch)
     return members, roots.select(F.col("node").alias("cls"), "root")
 

@@ -2,8 +2,8 @@
 
 1. Anchors.  Every window of `length` bytes has one anchor: its K-byte substring of smallest hash.
    Equal windows have equal anchors at equal places, so a window can only repeat if its anchor does.
-   Only anchors that occur twice go on, each with a hash of its context: all bytes that windows with
-   this anchor can reach.
+   Only anchors that occur twice go on, each with a hash of its context: all bytes of the windows that
+   have this anchor.
 2. A context that occurs twice repeats as a whole, and so do all windows in it.
 3. What is left are anchors that stand in different contexts.  One copy of each such context goes to
    a shard, chosen by the anchor.  A shard is suffix-sorted externally (`induced_sort`), whatever its
@@ -33,7 +33,9 @@ from .common import Bloom, bloom, map_batches, materialise
 from .induced_sort import sort_suffixes
 from .textcore import _RINV, mix, powers, prefix_hash, runs, span_hash, string_buffers
 
-LENGTH, ANCHOR = 200, 64
+LENGTH, ANCHOR = 200, 100
+#: Contexts in a shard, about.
+SHARD_CONTEXTS = 4_000
 
 
 def _slide(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -62,8 +64,17 @@ def anchors(raw: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[n
     shown = np.concatenate([np.zeros(width - 1, np.uint32), np.where(inside, least, 0), np.zeros(width - 1, np.uint32)])
     place = np.flatnonzero((_slide(shown, width, np.maximum)[: len(small)] == small) & (small > 0))
     of = doc[place]
-    lo = np.maximum(bounds[of], place - (length - k))
-    hi = np.minimum(bounds[of + 1], place + length)
+    # the windows of an anchor stand next to each other; its context is what they reach
+    mine = np.lib.stride_tricks.sliding_window_view(shown, width)[place] == small[place][:, None]
+    lo = place - width + 1 + mine.argmax(1)
+    last = place - mine[:, ::-1].argmax(1)
+    # of equal hashes in one window the left-most is the anchor
+    by = np.lexsort((place, small[place]))
+    tie = np.full(len(place), -1)
+    tie[by[1:]] = np.where(small[place[by[1:]]] == small[place[by[:-1]]], place[by[:-1]], -1)
+    lo = np.maximum(lo, tie + 1)
+    real = lo <= last
+    place, of, lo, hi = place[real], of[real], lo[real], last[real] + length
     return h[place].view(np.int64), span_hash(sums, lo, hi).view(np.int64), of, place - bounds[of], place - lo, hi - place - k
 
 
@@ -152,8 +163,8 @@ def shard_repeats(rows: dict[str, np.ndarray], data: np.ndarray, offsets: np.nda
     text[at] = data[inner].astype(np.int16) + 2
     text[-1] = 0
     del inner, at
-    row = np.repeat(kept, size[kept] + 1)
-    start = np.repeat(where, size[kept] + 1)
+    row = np.repeat(kept.astype(np.int32), size[kept] + 1)
+    start = np.repeat(where.astype(np.int32 if total < 1 << 31 else np.int64), size[kept] + 1)
     print_of = prefix_hash((text - 2).astype(np.uint8))
     texts = np.unique(np.stack([rows["d0"], rows["d1"]], 1), axis=0, return_inverse=True)[1].reshape(-1)
     covers: list[np.ndarray] = []
@@ -238,7 +249,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scrat
     holders = holders.select(half(1).alias("d0"), half(17).alias("d1"), "id")
     wanted = materialise(wanted.join(holders, ["d0", "d1"]), "wanted", scratch)
     n = wanted.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 60_000)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // SHARD_CONTEXTS)
     contexts = _contexts(docs, wanted, bloom(wanted, "d0"), k)
     every = covered.unionByName(_partial(contexts, shards, length, k))
     merged = every.groupBy("d0", "d1").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("s"))

@@ -19,19 +19,22 @@ _rng = np.random.default_rng(20240229)
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHINGLE = [np.uint64(int(x) * 2 + 1) for x in _rng.integers(1, 1 << 63, 64, dtype=np.uint64) >> np.uint64(1)]
 _powers: dict[str, np.ndarray] = {}
+KEPT = 1 << 20
 
 
 def powers(base: int, n: int, name: str) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls and grown by doubling."""
+    """base**0 .. base**(n-1) modulo 2**64; a table of up to KEPT numbers is kept between calls."""
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = max(1 << 18, 1 << int(n - 1).bit_length())
+        size = max(1 << 18, 1 << int(n - 1).bit_length()) if n <= KEPT else n
         have = np.ones(size, np.uint64)
         done, step = 1, base
         while done < size:
-            have[done : 2 * done] = have[:done] * np.uint64(step)
+            more = have[done : 2 * done]
+            np.multiply(have[: len(more)], np.uint64(step), out=more)
             done, step = 2 * done, step * step & _M64
-        _powers[name] = have
+        if size <= KEPT:
+            _powers[name] = have
     return have[:n]
 
 

@@ -1,0 +1,385 @@
+"""Each operator against a brute-force version, on the smallest tables and on awkward rows."""
+
+import collections
+import hashlib
+import html
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from fieldseries.llm import decontamination, html_text, language_id, license_scan, ngram_join, packing, quality_model, quality_rules, suffix_dedup, toxicity
+from fieldseries.llm.common import table
+from fieldseries.llm.fm_index import FMIndex
+from fieldseries.llm.induced_sort import sort_suffixes
+
+SF = "/root/testdata/sf0.001"
+UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LONG = " ".join(f"word{i}x{i * i % 97}" for i in range(20_000))
+PASSAGE = " ".join(f"p{i}q{i * 7 % 31}" for i in range(60))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, cls long, row string, score double, spans string, part int"
+
+
+def rows():
+    texts = [None, "", " \n\t", "one", "One two", LONG, LONG + " end", PASSAGE, "a " + PASSAGE + " b", "x " + PASSAGE, "é" * 150 + "ü" * 150, "z" + "é" * 150 + "ü" * 150, "ab" * 300, PASSAGE, "Released under the MIT License."]
+    out = [(i, t, None if i % 5 == 0 else "en", None, None, "i", 1, "r", 0.5, None, 3) for i, t in enumerate(texts)]
+    return out + [out[7], (None, PASSAGE, None, None, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None, None, None), (3, "one two three", "en", "s", 13, None, None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF, "documents")
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def texts(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def words(text, pattern=r"[^\x20\x09-\x0D]+"):
+    return re.findall(pattern, (text or "").translate(UP))
+
+
+# --- op1
+
+
+def test_licences(spark, odd, empty):
+    text = '// Permission is hereby granted, free of charge, to any person obtaining a copy of this software: x\n// The above copyright notice and this permission notice shall be included in all copies.\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, y. Licensed under the Apache License, Version 2.0. A licensed thing.'
+    df = spark.createDataFrame([(1, text), (2, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0."), (3, "nothing")], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.n_unknown) for r in license_scan.scan(df).collect()}
+    assert got == {1: (["Apache-2.0", "MIT"], 1), 2: (["CC-BY-NC-4.0"], 0), 3: ([], 0)}
+    assert {r.doc_id for r in license_scan.op1(odd).filter("licenses = 'MIT'").collect()} == {14}
+    assert license_scan.op1(odd).count() == odd.count() and license_scan.op1(empty).count() == 0
+
+
+def test_licence_rules_by_hand(docs):
+    """The stated sentences and rules applied to each text in plain Python."""
+    for (_, text), r in zip(sorted(texts(docs)), license_scan.op1(docs).orderBy("doc_id").collect(), strict=True):
+        ids = []
+        for s in re.split(license_scan.BREAK, text or ""):
+            n = re.sub(r"[^a-z0-9]+", " ", s.lower()).strip()
+            name = next((i for p, i in license_scan.SENTENCES if re.search(p, n)), None)
+            if name or re.search(license_scan.LICENCE_WORDS, s.lower()):
+                ids.append(name or "UNKNOWN")
+        assert r.license_sentences == ",".join(ids)
+
+
+# --- op2
+
+
+def test_pages(spark):
+    pages = table(spark, SF, "pages")
+    got = {r.page_id: r.text for r in html_text.op2(pages).collect()}
+    for p in pages.collect():
+        body = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
+        parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"</?b>|<br>", " ", x))).strip() for x in re.split(r"</?(?:p|h1)>", body)]
+        assert got[p.page_id] == "\n\n".join(x for x in parts if x)
+
+
+def test_unmarked_pages_lose_what_their_host_repeats(spark):
+    note = "this site uses words that every page repeats in full"
+    rows = [(k, f"http://h.example/{k}", f"<div><p>{note}</p><p>unique text of page number {k} with words {k * k} {k + 1} {k + 2}</p></div>", "x") for k in range(5)]
+    rows += [(9, None, None, None), (10, "nonsense", "", None), (11, "http://one.example", "<p>a&lt;b <i>c</i>d<p>e", None), (12, "http://h.example/x", f"<article><p>{note}</p><aside>no</aside><div class='comments'>no</div></article><p>no</p>", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    for shard in (2_000, 2):  # also when the repeats lie in different shards
+        old, html_text.SHARD_PAGES = html_text.SHARD_PAGES, shard
+        html_text.host_runs.__defaults__ = (html_text.LEAST_TOKENS, shard)
+        got = {r.page_id: r.text for r in html_text.op2(df).collect()}
+        html_text.SHARD_PAGES = old
+        html_text.host_runs.__defaults__ = (html_text.LEAST_TOKENS, old)
+        assert got == {**{k: f"unique text of page number {k} with words {k * k} {k + 1} {k + 2}" for k in range(5)}, 9: "", 10: "", 11: "a<b cd\n\ne", 12: note}
+    assert html_text.op2(df.limit(0)).count() == 0
+
+
+# --- op3
+
+
+def brute_spans(items, length=200):
+    raw = [(t or "").encode() for _, t in items]
+    seen = collections.Counter(r[i : i + length] for r in raw for i in range(len(r) - length + 1))
+    out = []
+    for r in raw:
+        m = np.zeros(len(r) + 1, int)
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                m[i] += 1
+                m[i + length] -= 1
+        hit = np.cumsum(m[:-1]) > 0
+        kept = bytes(np.frombuffer(r, np.uint8)[~hit])
+        out.append((len(r), int(hit.sum()), int((hit & ~np.r_[False, hit[:-1]]).sum()) if len(r) else 0, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_repeated_strings(which, request):
+    df = request.getfixturevalue(which)
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op3(df).collect())
+    items = texts(df)
+    assert got == collections.Counter((k, *b) for (k, _), b in zip(items, brute_spans(items), strict=True))
+
+
+def test_repeated_strings_are_cut_from_rows(odd, empty):
+    out = suffix_dedup.cut_repeats(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    cut = {r.doc_id: (r.text, r.n_chars, r.id) for r in out.filter("doc_id is not null").collect()}
+    assert cut[0] == (None, None, "i") and cut[7][0] == "" and cut[8] == ("a b", 3, "i") and cut[11][0] == "z"
+    assert suffix_dedup.cut_repeats(empty).count() == suffix_dedup.op3(empty).count() == 0
+
+
+@pytest.mark.parametrize("limit", [3, 1_000_000])
+def test_induced_sorting(tmp_path, limit):
+    from fieldseries.llm import induced_sort
+
+    rng = np.random.default_rng(1)
+    old = induced_sort.BucketQueue.__init__.__defaults__
+    induced_sort.BucketQueue.__init__.__defaults__ = (limit,)
+    try:
+        for _ in range(60):
+            t = np.append(rng.integers(1, rng.integers(2, 5), rng.integers(1, 60)), 0)
+            sa = np.concatenate([*sort_suffixes(t, str(tmp_path), int(rng.choice([1, 3, 100])))][::-1])
+            assert sa.tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    finally:
+        induced_sort.BucketQueue.__init__.__defaults__ = old
+
+
+# --- op4, op6, op7
+
+
+def test_models_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    d, lab = table(spark, sf, "documents"), table(spark, sf, "labels")
+    known = lab.toPandas().drop_duplicates("doc_id").set_index("doc_id")
+    q = quality_model.op4(d, lab).toPandas().set_index("doc_id").join(known, how="inner")
+    assert (q[q.held_out].predicted == q[q.held_out].quality).mean() > 0.95
+    t = toxicity.op7(d, lab).toPandas().set_index("doc_id").join(known, how="inner")
+    held = t[t.held_out]
+    assert (held.predicted == held.toxic).mean() > 0.9 and not ((held.predicted == 1) & (held.toxic == 0)).any()
+    la = language_id.op6(d).toPandas().merge(d.select("doc_id", "lang").toPandas())
+    assert (la[la.held_out].lang_pred == la[la.held_out].lang).mean() > 0.98
+    assert (la.held_out == la.doc_id.map(lambda k: zlib.crc32(str(k).encode()) % 4 == 2)).all()
+
+
+def test_models_on_awkward_rows(spark, odd, empty):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    lab = spark.createDataFrame([(k, k % 2, (k + 1) % 2) for k in range(13)] + [(1, None, None), (None, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    for labels in (none, lab):
+        for df in (odd, empty):
+            for out in (quality_model.op4(df, labels), toxicity.op7(df, labels), language_id.op6(df)):
+                r = out.toPandas()
+                assert len(r) == df.count() and r.score.between(0, 1).all()
+    got = {r.doc_id: r.lang_pred for r in language_id.op6(odd).collect()}
+    assert got[0] == got[1] == got[2] == "und" and got[5] == "en"
+
+
+def test_folding_and_exceptions():
+    m = toxicity.Model((("idiot", 3.0), ("moron*", 2.0)), ("not an idiot",))
+    hit = lambda t: toxicity.measure(m, t)
+    assert hit("You IDIOT!!") == (3.0, 1)
+    assert hit("1d10t") == hit("ıd​iоt") == (3.0, 1)
+    assert hit("idiotic") == hit("he is not an idiot") == (0, 0)
+    assert hit("morons, 172.0.0.1 moronic") == (4.0, 2)
+
+
+def test_additive_model_learns_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.random((3000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    m = quality_model.fit(x[:2000], y[:2000], rounds=60)
+    assert ((quality_model.score(m, x[2000:]) > 0.5) == (y[2000:] > 0.5)).mean() > 0.9
+
+
+# --- op5
+
+
+def brute_components(items, size, percent):
+    sets = []
+    for _, t in items:
+        w = words(t)
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set())
+    parent = list(range(len(sets)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                n = len(a & b)
+                if 100 * n >= percent * (len(a) + len(b) - n):
+                    parent[find(i)] = find(j)
+    return sets, [find(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_components(which, request):
+    df = request.getfixturevalue(which)
+    items = texts(df)
+    sets, root = brute_components(items, 4, 85)
+    least = {}
+    for (k, _), r, s in zip(items, root, sets, strict=True):
+        if s and k is not None:
+            least[r] = min(k, least.get(r, k))
+    expected = collections.Counter((k, len(s), least.get(r) if s else k) for (k, _), s, r in zip(items, sets, root, strict=True))
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.op5(df).collect()) == expected
+
+
+def test_one_of_each_group_stays(odd, docs, empty):
+    for df in (odd, docs):
+        items = texts(df)
+        sets, root = brute_components(items, 5, 80)
+        out = ngram_join.keep_one(df)
+        assert out.columns == df.columns
+        groups = len({r for r, s in zip(root, sets, strict=True) if s}) + sum(not s for s in sets)
+        assert out.count() == groups
+    assert ngram_join.keep_one(empty).count() == ngram_join.op5(empty).count() == 0
+
+
+# --- op8
+
+
+def brute_contamination(items, bench):
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    windows = collections.defaultdict(set)
+    for k, t in bench:
+        w = words(t, pattern)
+        if w and k is not None:
+            n = min(13, len(w))
+            for i in range(len(w) - n + 1):
+                windows[tuple(w[i : i + n])].add(str(k))
+    sizes = {len(k) for k in windows}
+    for k, t in items:
+        w, hit, found = words(t, pattern), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in windows:
+                    hit |= set(range(i, i + n))
+                    found |= windows[tuple(w[i : i + n])]
+        yield k, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)
+
+
+@pytest.mark.parametrize("limit", [decontamination.BLOCK_BYTES, 200])
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_decontamination(spark, which, limit, request, monkeypatch):
+    df = request.getfixturevalue(which)
+    bench = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()][: 6 if limit == 200 else None]
+    bench += [(900, "one"), (901, PASSAGE), (901, "Two"), (None, "one"), (902, None), (903, "..."), (901, PASSAGE)]
+    b = spark.createDataFrame(bench, "item_id long, text string").withColumn("doc_id", F.lit(1))
+    monkeypatch.setattr(decontamination.blocks, "__defaults__", (limit,))
+    got = collections.Counter(tuple(r) for r in decontamination.op8(df, b).drop("spans").collect())
+    assert got == collections.Counter(brute_contamination(texts(df), bench))
+
+
+def test_contaminated_documents_go(spark, odd, empty):
+    b = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    out = decontamination.drop_contaminated(odd, b)
+    assert out.columns == odd.columns and out.count() == odd.count() - 6
+    assert decontamination.drop_contaminated(odd, b.limit(0)).count() == odd.count()
+    assert decontamination.op8(empty, b).count() == decontamination.drop_contaminated(empty, b).count() == 0
+
+
+def test_fm_index():
+    rng = np.random.default_rng(2)
+    seq = rng.integers(0, 5, 400)
+    index = FMIndex(seq, 5)
+    phrases = np.stack([seq[i : i + 3] for i in range(0, 390, 7)])
+    lo, hi = index.search(phrases, np.full(len(phrases), 3))
+    for p, a, b in zip(phrases, lo, hi, strict=True):
+        assert sorted(index.locate(np.arange(a, b))) == [i for i in range(398) if (seq[i : i + 3] == p).all()]
+
+
+# --- op9
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_rules(which, request):
+    df = request.getfixturevalue(which)
+    expected = collections.Counter()
+    for k, t in texts(df):
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        tri = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        cover = {i + j for i in range(len(w) - 2) if tri[tuple(w[i : i + 3])] > 1 for j in range(3)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        expected[(k, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(cover), len(w) < 50 or 100 * len(cover) > 50 * len(w))] += 1
+    got = quality_rules.op9(df)
+    assert collections.Counter(tuple(r)[:7] for r in got.collect()) == expected
+    assert got.filter("base_failed and kept").count() == 0
+
+
+def test_policies_and_ablation(docs, empty):
+    led = quality_rules.ledger(quality_rules.measure(docs))
+    p = quality_rules.POLICIES[2]
+    kept = quality_rules.apply_policy(led, p).filter("kept").count()
+    for r in quality_rules.ablation(led, p).collect():
+        less = quality_rules.Policy(9, p.hard & ~(1 << r.bit), p.soft & ~(1 << r.bit), p.soft_limit)
+        assert r.n_failed == led.filter(F.col("failures").bitwiseAND(F.lit(1 << r.bit)) != 0).count()
+        assert led.filter(~quality_rules.rejects(less, F.col("failures"))).count() - led.filter(~quality_rules.rejects(p, F.col("failures"))).count() == r.n_only
+    assert kept > 0 and quality_rules.op9(empty).count() == 0
+    assert {r.n_failed for r in quality_rules.ablation(quality_rules.ledger(quality_rules.measure(empty)), p).collect()} == {0}
+
+
+# --- op10
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_packing(which, request):
+    from tokenizers import Tokenizer
+
+    df = request.getfixturevalue(which)
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    got = packing.op10(df).toPandas()
+    expected = collections.Counter()
+    for k, t in texts(df):
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        for p, a in enumerate(range(0, len(ids), 2048)):
+            part = ids[a : a + 2048]
+            expected[(k, p, a, len(part), zlib.crc32(part.tobytes()))] += 1
+    rows = got[["doc_id", "piece", "start", "length", "ids_crc32"]].astype(object).where(got.doc_id.notna(), other=got[["doc_id", "piece", "start", "length", "ids_crc32"]].astype(object))
+    assert collections.Counter((None if pd.isna(r[0]) else int(r[0]), *map(int, r[1:])) for r in rows.itertuples(index=False)) == expected
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert (g.offset.to_numpy() == np.r_[0, np.cumsum(g.length)[:-1]]).all() and g.length.sum() <= 2048
+    assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) + 1
+
+
+def test_unusual_texts_are_encoded_as_by_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer, encode = Tokenizer.from_file(path), packing.Encoder(path)
+    assert encode.split
+    for t in ("İstanbul ŉa ²x½ ΣΑΣ it's <|endoftext|>x a\x1cb q\x85w été …’tis '''s 'S", "日本語 𝔘 ½", "", " \n", "naïve—“q” ﬁne ſharp ẞ ﷺ́ é ́x"):
+        assert encode(t.encode()) == np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes()
+
+
+def test_bounds_and_best_fit():
+    rng = np.random.default_rng(3)
+    assert packing.dual_feasible_bound(np.array([60, 60, 60]), 100) == 3
+    assert packing.dual_feasible_bound(np.array([34] * 5), 100) == 3
+    for _ in range(50):
+        x = rng.integers(1, 101, rng.integers(1, 60))
+        bins, made = packing.best_fit_decreasing(x, 100)
+        assert np.bincount(bins, weights=x).max() <= 100 and made == bins.max() + 1
+        assert packing.dual_feasible_bound(x, 100) <= made
+
+
+def test_exchange_keeps_every_piece(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(int(k), int(v)) for k, v in enumerate(rng.integers(1, 2049, 3000))], "row long, length long")
+    out = packing.pack(df, 2048, part_pieces=300).toPandas()
+    assert sorted(out.row) == list(range(3000))
+    assert packing.pack(df.limit(0), 2048).count() == 0
