@@ -70,9 +70,18 @@ def bounded_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(n)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: no more than 1024 of them cross to Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= 1024:
+        spark.conf.set(name, 1024)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """mapInArrow over slices of BATCH_ROWS rows, so that memory follows the texts and not the batch setting."""
 
+    small_batches(df.sparkSession)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):

@@ -9,8 +9,9 @@ passages that very many documents share; within a level each order is a permutat
 
 Pairs inside a group are not listed.  Equal sets are one class from the start.  Then
 1. each prefix shingle names one leader class, and every class that has it is verified against it;
-2. groups that still hold several components pair the classes of different components.
-In both, sizes, places in the prefixes and parity sketches of the sets leave out pairs that no link
+2. in groups that still hold several components, the class with most links so far leads;
+3. groups that hold several components even then pair the classes of different components.
+In all three, sizes, places in the prefixes and parity sketches of the sets leave out pairs that no link
 allows, before anything is verified.  Links inside a component are not needed for it, and no link
 between two components is lost.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Bloom, bloom, map_batches, materialise
+from .common import Bloom, bloom, drop_scratch, map_batches, materialise, small_batches
 from .components import components
 from .textcore import NOT_SPACE, mix, runs, shingles, string_buffers, word_hashes
 
@@ -104,6 +105,7 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
         if held and (out := heavy(held)) is not None:
             yield out
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(task, "id bigint, cls bigint, n bigint, slot int, seen bigint")
 
 
@@ -242,17 +244,30 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str
     edges = checked.filter(linked(percent)).select("x", "y")
     roots = components(edges, scratch)
 
-    # groups that still hold several components: their pairs across components, as far as a link is possible
-    now = index.drop("x").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    groups = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    opened = materialise(now.join(groups, "token", "left_semi"), "open", scratch)
+    def open_rows(name: str) -> DataFrame:
+        """Index rows of groups that still hold several components, with root."""
+        slim = index.select("token", "cls").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        groups = slim.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+        return materialise(index.drop("x").join(slim.join(groups, "token", "left_semi"), ["token", "cls"]), name, scratch)
+
+    # the class with most links so far leads its groups: a document that many others were made from links them all
+    links = edges.select(F.explode(F.array("x", "y")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
+    opened = open_rows("open").join(links, "cls", "left")
+    best = opened.groupBy("token").agg(F.max(F.struct("links", *row, "root")).alias("x")).filter("x.links is not null")
+    second = materialise(pairs_with(opened.join(best, "token").filter("root != x.root")).join(pairs, ["x", "y"], "left_anti"), "pairs2", scratch)
+    if second.count():
+        checked = checked.unionByName(_verify(second, _fetch(docs, second, firsts, size, percent, levels, scratch), scratch, "checked2"))
+        roots = components(checked.filter(linked(percent)).select("x", "y"), scratch)
+        pairs = pairs.unionByName(second)
+    # what is still open: pairs across components, as far as a link is possible
+    opened = open_rows("open2")
     a, b = (opened.select("token", *[F.col(c).alias(f"{c}{k}") for c in [*row, "root"]]) for k in (1, 2))
     rest = a.join(b, (a["token"] == b["token"]) & (F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & _may_link("1", "2", percent))
     rest = rest.select(F.col("cls1").alias("x"), F.col("cls2").alias("y")).distinct().join(pairs, ["x", "y"], "left_anti")
-    rest = materialise(rest, "pairs2", scratch)
+    rest = materialise(rest, "pairs3", scratch)
     if rest.count():
         more = _fetch(docs, rest, firsts, size, percent, levels, scratch)
-        checked = checked.unionByName(_verify(rest, more, scratch, "checked2"))
+        checked = checked.unionByName(_verify(rest, more, scratch, "checked3"))
         roots = components(checked.filter(linked(percent)).select("x", "y"), scratch)
     return members, roots.select(F.col("node").alias("cls"), "root")
 
@@ -263,11 +278,15 @@ def _prepare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def component_ids(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """(id, n, cls, root, component) a row a row of docs (id, text); component is the smallest id reachable by links."""
-    members, roots = classes(docs, size, percent)
+    scratch: list[str] = []
+    members, roots = classes(docs, size, percent, scratch)
     full = members.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = full.filter("n > 0").groupBy("root").agg(F.min("id").alias("component"))
     out = full.join(smallest, "root", "left")
-    return out.select("id", "n", "cls", "root", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    out = out.select("id", "n", "cls", "root", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    kept = materialise(out, "components")
+    drop_scratch(docs.sparkSession, scratch)
+    return kept
 
 
 def op5(docs: DataFrame) -> DataFrame:
@@ -288,7 +307,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     `size`-word shingles or more.
     """
     names = docs.columns
-    some = materialise(component_ids(_prepare(docs), size, percent).filter("n > 0").select("id", "cls", "root"), "linked")
+    some = component_ids(_prepare(docs), size, percent).filter("n > 0").select("id", "cls", "root")
     winners = some.groupBy("root").agg(F.min(F.struct("id", "cls")).alias("w")).select("w.*")
     losers = some.join(winners, ["id", "cls"], "left_anti").distinct()
     tagged = _tag(docs, size)

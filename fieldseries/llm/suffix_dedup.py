@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Bloom, bloom, map_batches, materialise
+from .common import Bloom, bloom, drop_scratch, map_batches, materialise
 from .induced_sort import sort_suffixes
 from .textcore import _RINV, mix, powers, prefix_hash, runs, span_hash, string_buffers
 
@@ -264,7 +264,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scrat
 def with_spans(docs: DataFrame, finish: Callable[[bytes, list[tuple[int, int]]], tuple], schema: str, length: int = LENGTH, scratch: list[str] | None = None) -> DataFrame:
     """Rows (id, *finish(text, spans)) for every row of docs (id, text); finish gets the whole text and its spans."""
     kind = dict(docs.dtypes)["id"]
-    spans = materialise(repeated_spans(docs, length, scratch=scratch), "spans", scratch)
+    used: list[str] = []
+    spans = materialise(repeated_spans(docs, length, scratch=used), "spans", scratch)
+    drop_scratch(spans.sparkSession, used)
     known = bloom(spans, "d0")
 
     def split(batch: pa.RecordBatch) -> pa.RecordBatch:
