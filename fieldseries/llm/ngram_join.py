@@ -32,7 +32,7 @@ from .textcore import NOT_SPACE, mix, runs, shingles, string_buffers, word_hashe
 #: Slots of the sketch of heavy shingles: its size for any input.
 SLOTS = 1 << 20
 #: Shingles of a task between two reports of heavy ones.
-REPORT = 4_000_000
+REPORT = 1_000_000
 NO_ID = (1 << 63) - 1
 SKETCH = ["p0", "p1", "p2", "p3"]
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, labelled_texts, map_batches
+from .common import fold, labelled_texts, map_batches, small_batches
 
 #: Labelled documents that weights and calibration are learned from, at most.
 SAMPLE = 8_000
@@ -245,6 +245,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
     The text itself is scored in a column beside the others, so repeated ids and null ids are each judged on
     their own text.
     """
+    small_batches(docs.sparkSession)
     model = train(docs, labels)
 
     def judge(texts: pd.Series) -> pd.Series:
