@@ -1,6 +1,7 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, each is normalised and looked up among known licence sentences; what
+A text is cut into sentences: a known licence sentence goes over wrapped lines, comment marks, ';' and ':'
+to its end, other text is cut at those.  Each sentence is normalised and looked up among known licence sentences; what
 is found forms a sequence of sentence identifiers.  Ordered rules are then matched against
 the sequence: the first rule that matches claims the identifiers it needs, and the scan goes on with
 the rest, so one text can carry several licences.  Texts with licence words but no rule are
@@ -16,15 +17,12 @@ from pyspark.sql import functions as F
 
 # Pattern of a normalised sentence -> its identifier; the first that matches names it.
 SENTENCES: tuple[tuple[str, str], ...] = (
-    (r"^spdx license identifier (mit)$", "SPDX-MIT"),
-    (r"^spdx license identifier (apache 2 0)$", "SPDX-Apache-2.0"),
-    (r"^spdx license identifier (gpl 3 0.*)$", "SPDX-GPL-3.0"),
     (r"^(released|licensed|distributed|available) under the (terms of the )?mit licen[sc]e$", "MITref"),
     (r"^permission is hereby granted free of charge to any person obtaining a copy of this software", "MITgrant"),
     (r"^the above copyright notice and this permission notice shall be included in all copies", "MITcond"),
     (r"^the software is provided as is without warranty of any kind", "MITwarr"),
     (r"^(released|licensed|distributed) under the (terms of the )?apache licen[sc]e,? ?(version )?2( 0)?( the license)?$", "Apache2ref"),
-    (r"^you may obtain a copy of the license at http www apache org licenses license 2 0$", "Apache2link"),
+    (r"^you may obtain a copy of the license at https? www apache org licenses license 2 0$", "Apache2link"),
     (r"^unless required by applicable law or agreed to in writing software distributed under the license", "Apache2warr"),
     (r"^this work is licensed under the gnu general public licen[sc]e,? ?version 3$", "GPL3ref"),
     (r"^this (program|work|file|library) is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", "GPLgrant"),
@@ -47,6 +45,7 @@ LICENCE_WORDS = r"\b(licen[sc]ed?|copyright(ed)?|redistribut\w+|warrant(y|ies)|s
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-3.0-or-later", ("GPLgrant", "GPL3plus", "GPLwarr")),
     ("GPL-3.0-or-later", ("GPLgrant", "GPL3plus")),
+    ("GPL-2.0-or-later", ("GPLgrant", "GPL2plus", "GPLwarr")),
     ("GPL-2.0-or-later", ("GPLgrant", "GPL2plus")),
     ("BSD-3-Clause", ("BSDgrant", "BSDsource", "BSDbinary", "BSDendorse")),
     ("BSD-2-Clause", ("BSDgrant", "BSDsource", "BSDbinary")),
@@ -60,13 +59,31 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-SA-4.0", ("CCBYSA4ref",)),
     ("CC-BY-4.0", ("CCBY4ref",)),
     ("MPL-2.0", ("MPL2ref",)),
-    ("MIT", ("SPDX-MIT",)),
-    ("Apache-2.0", ("SPDX-Apache-2.0",)),
-    ("GPL-3.0", ("SPDX-GPL-3.0",)),
 )
 
-#: A sentence ends at a line's end, and at ; : ! ? or a full stop before white space.
+#: What is no known sentence ends at a line's end, and at ; : ! ? or a full stop before white space.
 BREAK = r"\n+|(?<=[.;:!?])\s+"
+_GAP, _MARKS = r"(?:[^a-z0-9]++)", r"[^a-z0-9\n]*+"
+_ITEM = rf"(?:[a-z0-9]\){_MARKS})?"  # as in (a) or 1)
+
+
+def _raw(pattern: str) -> str:
+    """A pattern of normalised sentences as one of raw text, where anything but letters and digits may part two words."""
+    words = pattern.removeprefix("^").removesuffix("$").replace(".*", r"(?s:.{0,400}?)").replace(" ", _GAP)
+    return f"(?:{words})"
+
+
+_WHOLE, _BEGUN = ("|".join(_raw(p) for p, _ in SENTENCES if p.endswith("$") == whole) for whole in (True, False))
+# a pattern with $ needs the end of a line or clause, or another known sentence after it
+_WHOLE = rf"(?:{_WHOLE})(?={_MARKS}(?:\n|\z)|[^a-z0-9\s]*[.;:!?]\s|\s{_MARKS}(?:{_BEGUN}))"
+_KNOWN = f"{_WHOLE}|{_BEGUN}"
+# a known sentence ends at a full stop, ! or ?, an empty line, the text's end, or where the next known one begins
+_END = rf"(?=(?<=[.!?])\s|\n{_MARKS}\n|\z|(?:\n|(?<=[;:])\s){_MARKS}{_ITEM}(?:{_KNOWN})|(?<=[a-z0-9,;:]){_GAP}(?:either{_GAP})?version{_GAP}[23]{_GAP}of{_GAP}the{_GAP}licen[sc]e)"
+_ID = r"\(*[a-z0-9](?:[a-z0-9.:+-]*[a-z0-9+])?\)*"
+#: The tag of a short-form identifier and the SPDX expression after it.
+SPDX = rf"(?i)spdx-license-identifier:[ \t]*({_ID}(?:[ \t]+(?:and|or|with)[ \t]+{_ID})*)"
+#: One sentence: a tag, a known sentence with the marks before it, or what stands up to the next BREAK or tag.
+SENTENCE = rf"{SPDX}|{_MARKS}{_ITEM}(?:{_WHOLE}|(?:{_BEGUN})(?s:.*?){_END})|[^\n]+?(?=\n|\z|(?<=[.;:!?])\s|spdx-license-identifier:)"
 
 
 def normalised(sentence: Column) -> Column:
@@ -78,15 +95,24 @@ def identify(sentence: Column) -> Column:
     """The identifier of a normalised sentence; null if it is no licence sentence."""
     known = F.when(F.lit(False), F.lit(""))
     for pattern, name in SENTENCES:
-        known = known.when(sentence.rlike(pattern), F.lit(name))
+        known = known.when(sentence.rlike(pattern.replace("^", "^([a-z0-9] )?")), F.lit(name))
     return known.otherwise(F.lit("UNKNOWN"))
 
 
+def names(sentence: Column) -> Column:
+    """The identifiers of one sentence: one of SENTENCES, SPDX- and a licence for each licence of a tag, or UNKNOWN."""
+    # exceptions (WITH) name no licence; licences that RULES name are written as there
+    parts = F.split(F.regexp_replace(F.regexp_extract(sentence, SPDX, 1), r"(?i)[()]|\s+with\s+\S+", ""), r"(?i)\s+(?:and|or)\s+")
+    usual = F.create_map(*[F.lit(x) for name in sorted({n for n, _ in RULES}) for x in (name.lower(), name)])
+    tagged = F.transform(parts, lambda x: F.concat(F.lit("SPDX-"), F.coalesce(F.try_element_at(usual, F.lower(x)), x)))
+    return F.when(sentence.rlike(SPDX), tagged).otherwise(F.array(identify(normalised(sentence))))
+
+
 def sequence(text: Column) -> Column:
     """The identifiers of a text's licence sentences, in order."""
-    rough = F.filter(F.split(text, BREAK), lambda s: F.lower(s).rlike(LICENCE_WORDS + r"|\b(permission|rights|version|neither|software|mozilla)\b"))
-    found = F.transform(rough, lambda s: F.struct(F.lower(s).rlike(LICENCE_WORDS).alias("l"), identify(normalised(s)).alias("i")))
-    return F.transform(F.filter(found, lambda x: x["l"] | (x["i"] != "UNKNOWN")), lambda x: x["i"])
+    rough = F.filter(F.regexp_extract_all(text, F.lit(SENTENCE), 0), lambda s: F.lower(s).rlike(LICENCE_WORDS + r"|\b(permission|rights|version|neither|software|mozilla)\b"))
+    found = F.transform(rough, lambda s: F.struct(F.lower(s).rlike(LICENCE_WORDS).alias("l"), names(s).alias("i")))
+    return F.flatten(F.transform(F.filter(found, lambda x: x["l"] | (x["i"][0] != "UNKNOWN")), lambda x: x["i"]))
 
 
 def _rule(ids: tuple[str, ...]) -> str:
@@ -118,8 +144,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     d = docs.select(F.col(id_col).alias("doc_id"), sequence(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("sentences"))
     some = d.withColumn("_m", F.when(F.size("sentences") > 0, match(F.col("sentences"))))
-    claimed = F.coalesce(F.col("_m.found"), F.array().cast("array<string>"))
-    left = F.filter(F.split(F.trim(F.coalesce(F.col("_m.left"), F.lit(""))), " "), lambda x: x != "")
+    tags = F.transform(F.filter("sentences", lambda x: x.startswith("SPDX-")), lambda x: F.substring(x, 6, 1 << 30))
+    claimed = F.concat(F.coalesce(F.col("_m.found"), F.array().cast("array<string>")), tags)
+    left = F.filter(F.split(F.trim(F.coalesce(F.col("_m.left"), F.lit(""))), " "), lambda x: (x != "") & ~x.startswith("SPDX-"))
     return some.select("doc_id", "sentences", F.array_sort(F.array_distinct(claimed)).alias("licenses"), F.size(left).cast("bigint").alias("n_unknown"))
 
 

@@ -76,6 +76,67 @@ def test_licence_rules_by_hand(docs):
         assert r.license_sentences == ",".join(ids)
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer.
+3. Neither the name of Foo Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from it."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with it.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+FITNESS FOR A PARTICULAR PURPOSE."""
+
+
+def test_standard_notices(spark):
+    """As they are usually written: wrapped, behind comment marks, or on one line."""
+    bsd2 = BSD[: BSD.index("3. ")]
+    notices = {"MIT": MIT, "BSD-3-Clause": BSD, "BSD-2-Clause": bsd2, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "GPL-2.0-or-later": GPL.replace("version 3", "version 2").replace("software:", "software;")}
+    rows, expected = [], []
+    for name, notice in notices.items():
+        for form in (notice, notice.replace("\n", "\r\n"), "\n".join(f"// {x}" for x in notice.split("\n")), "/*\n" + "\n".join(f" * {x}".rstrip() for x in notice.split("\n")) + "\n */\nint main()", " ".join(notice.split()), notice.replace("1. ", "(a) ").replace("2. ", "(b) ").replace("3. ", "c) ")):
+            rows.append((len(rows), form))
+            expected.append(([name], 0))
+    tags = {"MIT": ["MIT"], "mit": ["MIT"], "GPL-2.0-or-later WITH Classpath-exception-2.0": ["GPL-2.0-or-later"], "(ISC OR Apache-2.0) AND 0BSD": ["0BSD", "Apache-2.0", "ISC"], "LGPL-2.1+": ["LGPL-2.1+"]}
+    for tag, names in tags.items():
+        for form in (f"// SPDX-License-Identifier: {tag}\nint x;", f"<!-- SPDX-License-Identifier: {tag} -->", f"/* x SPDX-License-Identifier:{tag} */"):
+            rows.append((len(rows), form))
+            expected.append((names, 0))
+    rows += [(len(rows), "Released under the\nMIT License.\nmore"), (len(rows) + 1, "Released under the MIT License\nmore"), (len(rows) + 2, "Released under the MIT License or another one")]
+    expected += [(["MIT"], 0), (["MIT"], 0), ([], 1)]
+    rows += [(len(rows) + k, x) for k, x in enumerate(("\n" * 200_000, "-" * 200_000, GPL[:40] + " a-\n" * 100_000))]  # in time in proportion
+    expected += [([], 0)] * 3
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    for (_, text), r, e in zip(rows, got, expected, strict=True):
+        assert (r.licenses, r.n_unknown) == e, (text, r.sentences)
+
+
 # --- op2
 
 
