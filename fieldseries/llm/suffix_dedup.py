@@ -117,7 +117,11 @@ def _contexts(docs: DataFrame, wanted: DataFrame, texts: Bloom, k: int) -> DataF
 
     def only_needed(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         key = _digests(*string_buffers(batch.column(1)))
-        some = pa.array(np.flatnonzero(texts.may_hold(key[:, 0])))
+        some = np.flatnonzero(texts.may_hold(key[:, 0]))
+        # of a text's rows without an id, one a batch is enough; what is left are copies at one place, no repeats
+        lost = batch.column(0).is_null().to_numpy(zero_copy_only=False)[some]
+        one = np.unique(key[some[lost]], axis=0, return_index=True)[1]
+        some = pa.array(np.sort(np.concatenate([some[~lost], some[lost][one]])))
         return pa.RecordBatch.from_arrays([pa.array(key[:, 0]).take(some), pa.array(key[:, 1]).take(some), batch.column(0).take(some), batch.column(1).take(some)], ["d0", "d1", "id", "text"]) if len(some) else None
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -132,7 +136,9 @@ def _contexts(docs: DataFrame, wanted: DataFrame, texts: Bloom, k: int) -> DataF
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["ah", "ch", "n", "d0", "d1", "place", "before", "bytes"])
 
     read = map_batches(docs, only_needed, f"d0 bigint, d1 bigint, id {kind}, text string")
-    joined = read.join(per_text, ["d0", "d1", "id"]).select("d0", "d1", "text", "wants")
+    wants = per_text.withColumnsRenamed({"d0": "_d0", "d1": "_d1", "id": "_id"})
+    met = (F.col("d0") == F.col("_d0")) & (F.col("d1") == F.col("_d1")) & F.col("id").eqNullSafe(F.col("_id"))
+    joined = read.join(wants, met).select("d0", "d1", "text", "wants")
     return map_batches(joined, cut, _CONTEXT)
 
 

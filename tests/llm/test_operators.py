@@ -191,6 +191,15 @@ def test_repeated_strings(which, request):
     assert got == collections.Counter((k, *b) for (k, _), b in zip(items, brute_spans(items), strict=True))
 
 
+def test_repeats_of_texts_without_an_id(spark):
+    """Texts that only rows with a null id hold, some of them several times, share a passage in other surroundings."""
+    alone = [f"{c * 150} {PASSAGE} {c.upper() * 150}" for c in "stuvw"]
+    rows = [(None, alone[0]), (None, alone[1]), (None, alone[1]), (7, alone[2]), (None, alone[3] + LONG[:5000]), (8, alone[4] + LONG[2000:9000])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op3(df).collect())
+    assert got == collections.Counter((k, *b) for (k, _), b in zip(rows, brute_spans(rows), strict=True))
+
+
 def test_repeated_strings_are_cut_from_rows(odd, empty):
     out = suffix_dedup.cut_repeats(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
