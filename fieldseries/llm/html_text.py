@@ -2,7 +2,7 @@
 
 A page is cut into blocks.  Elements that never hold main text (menus, headers, footers, sidebars,
 forms, scripts, notices, adverts, comments) are left out by their names, roles and class names.
-Where a page marks its article, the blocks in it are the main text.  All other blocks are judged by
+Where a page marks its article and that holds the larger part, the blocks in it are the main text.  All other blocks are judged by
 their host: the token streams of its pages are concatenated in a shard, a suffix array finds the
 long substrings that stand on several distinct pages, and tokens that these cover are removed;
 unique runs stay.
@@ -41,52 +41,53 @@ NOT_MAIN = re.compile(
     re.I,
 )
 
+#: Class names that say what an element has or lacks beside it.
+NOT_HELD = re.compile(r"(?<!\S)(?:no|has|with|without)[_-]\S*", re.I)
+
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"\s+")
 
 
-def _dropped(name: str, attributes: str) -> bool:
+def _dropped(name: str, attributes: str) -> bool | None:
+    """Whether an element goes; None if only by a word in its names, which an article or most of the text outweighs."""
     if name in SKIPPED:
         return True
     if not attributes or name in ("html", "body"):
         return False
+    named: bool | None = False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id", "role", "aria-label") and NOT_MAIN.search(value):
-            return True
+        if key in ("class", "id", "role", "aria-label") and name not in MAIN and NOT_MAIN.search(NOT_HELD.sub(" ", value)):
+            named = None
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
             return True
-    return False
+    return named
 
 
 def blocks(html: str) -> list[tuple[bool, str]]:
     """(inside a marked article, text) of every block that is not left out by its place, in page order."""
-    out: list[tuple[bool, str]] = []
-    text: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, main
+    text: list[tuple[str | None, bool, tuple[int, ...]]] = []  # text or a block's end, main, elements around it that names may drop
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # name, dropped, main, the same elements
     dropped = main = False
+    doubt: tuple[int, ...] = ()
 
     def flush() -> None:
-        if text:
-            joined = _SPACE.sub(" ", unescape("".join(text))).strip()
-            if joined:
-                out.append((main, joined))
-            text.clear()
+        text.append((None, main, doubt))
 
     def pop_to(i: int) -> None:
-        nonlocal dropped, main
+        nonlocal dropped, main, doubt
         if any(s[0] in BLOCKS for s in stack[i:]) and not dropped:
             flush()
         del stack[i:]
-        dropped, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, main, doubt = stack[-1][1:] if stack else (False, False, ())
 
     at, n = 0, len(html)
     for m in _TAG.finditer(html):
         if m.start() < at:
             continue
         if m.start() > at and not dropped:
-            text.append(html[at : m.start()])
+            text.append((html[at : m.start()], main, doubt))
         at = m.end()
         if not m[2]:
             continue
@@ -104,7 +105,7 @@ def blocks(html: str) -> list[tuple[bool, str]]:
             continue
         if name == "br":
             if not dropped:
-                text.append(" ")
+                text.append((" ", main, doubt))
             continue
         if name in BLOCKS:
             if not dropped:
@@ -122,14 +123,49 @@ def blocks(html: str) -> list[tuple[bool, str]]:
             end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
             at = end.end() if end else n
             continue
-        gone = dropped or _dropped(name, m[3])
+        own = _dropped(name, m[3])
+        gone = dropped or bool(own)
         if gone and not dropped and name in BLOCKS | SKIPPED:
             flush()
+        if own is None and not dropped:
+            doubt = (*doubt, m.start() * 2 + main)
         dropped, main = gone, main or name in MAIN
-        stack.append((name, dropped, main))
+        stack.append((name, dropped, main, doubt))
     if at < n and not dropped:
-        text.append(html[at:])
+        text.append((html[at:], main, doubt))
     flush()
+    return _kept_blocks(text)
+
+
+def _kept_blocks(text: list[tuple[str | None, bool, tuple[int, ...]]]) -> list[tuple[bool, str]]:
+    """The blocks without the elements that their names drop.
+
+    Where no article stands outside such elements, those that hold one or most of the page's text stay.
+    """
+    held: dict[int, int] = {}
+    with_article: set[int] = set()
+    total, clear = 0, False
+    for t, main, doubt in text:
+        if t and (size := len(_SPACE.sub("", t))):
+            total += size
+            clear |= main and not doubt
+            for d in doubt:
+                held[d] = held.get(d, 0) + size
+                if main:
+                    with_article.add(d)
+    stay = set() if clear else {d for d, size in held.items() if d % 2 == 0 and (2 * size > total or d in with_article)}
+    out: list[tuple[bool, str]] = []
+    parts: list[str] = []
+    for t, main, doubt in text:
+        if not stay.issuperset(doubt):
+            continue
+        if t is not None:
+            parts.append(t)
+        elif parts:
+            joined = _SPACE.sub(" ", unescape("".join(parts))).strip()
+            if joined:
+                out.append((main, joined))
+            parts.clear()
     return out
 
 
@@ -221,7 +257,8 @@ def main_blocks(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
         marked, parts, hosts = [], [], []
         for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             found = blocks(html or "")
-            inside = any(m for m, _ in found)
+            # a few teasers in articles do not mark the page
+            inside = 2 * sum(len(t) for m, t in found if m) > sum(len(t) for _, t in found)
             marked.append(inside)
             parts.append([t for m, t in found if m or not inside])
             host = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", url or "")

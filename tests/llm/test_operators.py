@@ -164,6 +164,24 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     assert html_text.op2(df.limit(0)).count() == 0
 
 
+def test_names_do_not_drop_the_article(spark):
+    long = "the main text of this page is longer than what stands around it and must stay whole"
+    pages = [
+        f'<div class="wrapper no-sidebar"><p>{long}</p></div><div class="site-footer">foot</div>',
+        f'<div class="content has-sidebar"><p>{long}</p><div class="ad">buy</div></div>',
+        f'<article class="post share"><p>{long}</p><div class="comments">no <p>no</p></div></article><p>out</p>',
+        f'<main id="search"><p>{long}</p></main>',
+        f'<div id="search"><p>{long}</p></div><div class="menu-box">menu</div>',
+        f'<div class="widget"><article>{long}</article></div><div class="promo-list">no</div>',
+        f'<div><p>{long}</p></div><article class="card">teaser</article>',
+        f'<p>{long} <span class="ad">buy</span> end</p>',
+    ]
+    expected = [long] * 6 + [f"{long}\n\nteaser", f"{long} end"]
+    df = spark.createDataFrame([(k, f"http://h{k}.example/", x) for k, x in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.op2(df).collect()}
+    assert got == dict(enumerate(expected))
+
+
 # --- op3
 
 
