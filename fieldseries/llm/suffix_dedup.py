@@ -6,8 +6,8 @@
    have this anchor.
 2. A context that occurs twice repeats as a whole, and so do all windows in it.
 3. What is left are anchors that stand in different contexts.  One copy of each such context goes to
-   a shard, chosen by the anchor.  A shard is suffix-sorted externally (`induced_sort`), whatever its
-   size; the queues carry (symbol, position) tuples, and the common prefix of neighbours is compared
+   a shard, chosen by the anchor.  A shard is suffix-sorted with queues on disk (`induced_sort`), but its
+   arrays are in memory, and one anchor's contexts all meet in one shard; the queues carry (symbol, position) tuples, and the common prefix of neighbours is compared
    through the fingerprint of the `length` bytes at each position.  Neighbours that share `length`
    bytes and are different places are repeats.
 4. Spans meet their documents and are merged and cut out.
