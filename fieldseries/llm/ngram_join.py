@@ -2,18 +2,21 @@
 
 A document is the set of its distinct word shingles.  If two sets have a Jaccard similarity of at
 least t, then under *any* global order of the shingles their prefixes (the first n - ceil(t*n) + 1)
-share one.  Candidates come from an index of prefixes under one order and must share prefix
-shingles under the other orders too; only what passes all of them is verified on the full sets.
-All orders put shingles first that a sketch of heavy ones does not hold, so the prefixes avoid
-passages that very many documents share; within a level each order is a permutation of its own.
-
-Pairs inside a group are not listed.  Equal sets are one class from the start.  Then
-1. each prefix shingle names one leader class, and every class that has it is verified against it;
-2. in groups that still hold several components, the class with most links so far leads;
-3. groups that hold several components even then pair the classes of different components.
-In all three, sizes, places in the prefixes and parity sketches of the sets leave out pairs that no link
-allows, before anything is verified.  Links inside a component are not needed for it, and no link
-between two components is lost.
+share one.  All orders here put shingles first that stand in one document only: no other prefix can
+hold those, so what is left of a prefix is short, and most documents have nothing left at all.  The
+first order goes on by document frequency, the others by a permutation each.  Candidates share a
+prefix shingle under the first order and must share one under every other order too; only what
+passes all of them is verified on the full sets.
+
+1. Documents become batches of shingles, dealt to buckets by the shingle.  A bucket counts them and
+   sends back those that it has seen twice; a batch then knows its prefixes and, of documents that
+   still have one, all shingles that can be in an intersection.  Shingles so frequent that they would
+   fill a bucket are known from a sketch and stay with their batch.
+2. Equal sets are one class from the start.  Each prefix shingle names one leader, the class that has
+   it foremost, and every class of the group is verified against that.
+3. Groups that hold several components even then compare their smaller components with the rest: sizes,
+   places in the prefixes and parity sketches leave out pairs that no link allows.  Links inside a
+   component are not needed for it, and no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bloom, bloom, drop_scratch, map_batches, materialise, small_batches
+from .common import drop_scratch, map_batches, materialise, small_batches
 from .components import components
 from .textcore import NOT_SPACE, mix, runs, shingles, string_buffers, word_hashes
 
@@ -33,27 +37,24 @@ from .textcore import NOT_SPACE, mix, runs, shingles, string_buffers, word_hashe
 SLOTS = 1 << 20
 #: Shingles of a task between two reports of heavy ones.
 REPORT = 1_000_000
-NO_ID = (1 << 63) - 1
+#: Shingles in a counting task, about; buckets for each of them.
+PART, SPREAD = 2_000_000, 4
+#: Least number of times that a frequent shingle is seen before it stays out of the buckets.
+FREQUENT = 1_000
 SKETCH = ["p0", "p1", "p2", "p3"]
 
 
-def ordered_sets(data: np.ndarray, offsets: np.ndarray, size: int, levels: np.ndarray | None = None, order: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, shingle, document from a, place) of the distinct shingles of documents a to b, in a global order."""
-    salt = np.uint64(0x9E3779B97F4A7C15 * (order + 1) & (1 << 64) - 1)
+def document_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(a, b, shingle, document from a) of the distinct shingles of documents a to b, by document and shingle."""
     for a, b in runs(offsets):
         bounds = offsets[a : b + 1] - offsets[a]
         _, _, doc, h = word_hashes(data[offsets[a] : offsets[b]], bounds, NOT_SPACE)
         token, of = shingles(h, doc, b - a, size)
-        key = token if order == 0 and levels is None else mix(token ^ salt) >> np.uint64(6)
-        if levels is not None:
-            key |= levels[(token & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
-        by = _by_document(key, of, b - a)
+        by = _by_document(token, of, b - a)
         token, of = token[by], of[by]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (of[1:] != of[:-1])
-        token, of = token[new], of[new]
-        count = np.bincount(of, minlength=b - a)
-        yield a, b, token, of, np.arange(len(token)) - (np.cumsum(count) - count)[of]
+        yield a, b, token[new], of[new]
 
 
 def _by_document(key: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
@@ -80,101 +81,212 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
     """A row a document (id, cls, n) and rows (slot, seen) for shingles that are frequent in a task."""
     names = ["id", "cls", "n", "slot", "seen"]
 
-    def heavy(held: list[np.ndarray]) -> pa.RecordBatch | None:
+    def heavy(held: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch | None:
         token, count = np.unique(np.concatenate(held), return_counts=True)
         some = count >= 4
         slot = (token[some] & np.uint64(SLOTS - 1)).astype(np.int32)
         none = pa.nulls(len(slot), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, pa.array(slot), pa.array(count[some])], names) if len(slot) else None
+        return pa.RecordBatch.from_arrays([pa.nulls(len(slot), kind), none, none, pa.array(slot), pa.array(count[some])], names) if len(slot) else None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting = [], 0
+        held, waiting, kind = [], 0, pa.null()
         for batch in batches:
             data, offsets = string_buffers(batch.column(1))
-            n = batch.num_rows
+            n, kind = batch.num_rows, batch.column(0).type
             cls, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for a, b, token, of, _ in ordered_sets(data, offsets, size):
+            for a, b, token, of in document_sets(data, offsets, size):
                 cls[a:b], count[a:b] = _classes(token, of, b - a)
                 held.append(token)
                 waiting += len(token)
                 if waiting > REPORT:
-                    if (out := heavy(held)) is not None:
+                    if (out := heavy(held, kind)) is not None:
                         yield out
                     held, waiting = [], 0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls), pa.array(count), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
-        if held and (out := heavy(held)) is not None:
+        if held and (out := heavy(held, kind)) is not None:
             yield out
 
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(task, "id bigint, cls bigint, n bigint, slot int, seen bigint")
+    return docs.select("id", "text").mapInArrow(task, f"id {docs.schema['id'].dataType.simpleString()}, cls bigint, n bigint, slot int, seen bigint")
 
 
-def heavy_levels(summary: DataFrame) -> np.ndarray:
-    """Rounded logarithms of counts by slot; at most SLOTS small rows come to the driver."""
-    rows = summary.filter("slot is not null").groupBy("slot").agg(F.sum("seen").alias("n")).toArrow()
+def heavy_levels(summary: DataFrame, least: int) -> np.ndarray:
+    """Rounded logarithms of counts by slot, from `least` on; at most SLOTS small rows come to the driver."""
+    rows = summary.filter("slot is not null").groupBy("slot").agg(F.sum("seen").alias("n")).filter(F.col("n") >= least).toArrow()
     levels = np.zeros(SLOTS, np.uint8)
-    levels[rows["slot"].to_numpy()] = np.minimum(63, np.log2(rows["n"].to_numpy()).astype(np.uint8) + 1) if rows.num_rows else 0
+    levels[rows["slot"].to_numpy()] = _level(rows["n"].to_numpy()) if rows.num_rows else 0
     return levels
 
 
+def _level(count: np.ndarray) -> np.ndarray:
+    return np.minimum(63, np.ceil(np.log2(np.maximum(count, 1)))).astype(np.uint8)
+
+
 def _sketches(token: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
     """256 parities of each set, as four integers: sets that differ in k shingles differ in at most k parities."""
     odd = np.bincount(of * 256 + (token >> np.uint64(40) & np.uint64(255)).astype(np.int64), minlength=n * 256) & 1
     return np.packbits(odd.astype(np.uint8).reshape(n, 256), axis=1).view(np.int64)
 
 
-def _prefix_rows(docs: DataFrame, size: int, percent: int, levels: np.ndarray, known: Bloom | None) -> DataFrame:
-    """The prefixes under the first order: (token), or full rows of tokens that `known` may hold."""
-    names = ["token"] if known is None else ["token", "cls", "n", "place", *SKETCH]
+_BLOBS = "bucket int, batch bigint, docs binary, high binary, low binary, at binary, level binary"
+
+
+def _batch_rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    columns = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(columns)], [n for n, _ in columns])
+
+
+def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> DataFrame:
+    """The shingles of batches of documents, a row a batch and bucket: the upper 48 bits of each and the document in
+    the batch (classes that a batch holds already are left out).
+
+    One more row a batch has its classes, their sizes and sketches, and the frequent shingles with their levels.
+    """
+    hold = min(4_000_000, max(REPORT, 128 * buckets))
+
+    def flush(batch: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        token, of, cls, n, sketch = (np.concatenate(c) for c in zip(*held, strict=True))
+        first = np.unique(cls, return_index=True)[1]
+        first = np.sort(first[n[first] > 0])
+        number = np.full(len(cls), -1)
+        number[first] = np.arange(len(first))
+        number = number[of]
+        token, at = token[number >= 0], number[number >= 0].astype(np.uint16)
+        level = levels[(token & np.uint64(SLOTS - 1)).astype(np.int64)]
+        token >>= np.uint64(16)
+        often = level > 0
+        parts = lambda t, a: ((t >> np.uint64(16)).astype(np.uint32).tobytes(), (t & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), a.tobytes())
+        meta = cls[first].tobytes() + n[first].astype(np.int64).tobytes() + sketch[first].tobytes()
+        rows = [(batch % buckets, batch, meta, *parts(token[often], at[often]), level[often].tobytes())]
+        token, at = token[~often], at[~often]
+        bucket = (token % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+        order = np.argsort(bucket, kind="stable")
+        token, at, bucket = token[order], at[order], bucket[order]
+        cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+        for a, b in zip(cut, [*cut[1:], len(token)], strict=True):
+            rows.append((int(bucket[a]), batch, None, *parts(token[a:b], at[a:b]), None))
+            if len(rows) >= 256:
+                yield _batch_rows(_BLOBS, rows)
+                rows = []
+        yield _batch_rows(_BLOBS, rows)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch, held, waiting, count = TaskContext.get().partitionId() << 32, [], 0, 0
+        for rows in batches:
+            for a, b, token, of in document_sets(*string_buffers(rows.column(0)), size):
+                if held and (waiting + len(token) > hold or count + b - a > 60_000):
+                    yield from flush(batch, held)
+                    batch, held, waiting, count = batch + 1, [], 0, 0
+                held.append((token, of + count, *_classes(token, of, b - a), _sketches(token, of, b - a)))
+                waiting, count = waiting + len(token), count + b - a
+        if held:
+            yield from flush(batch, held)
+
+    small_batches(docs.sparkSession)
+    return docs.select("text").mapInArrow(task, _BLOBS)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        parts = []
-        for a, b, token, of, place in ordered_sets(*string_buffers(batch.column(0)), size, levels):
-            cls, n = _classes(token, of, b - a)
-            head = place < (n - (percent * n + 99) // 100 + 1)[of]
-            if known is None:
-                parts.append((token[head].view(np.int64),))
-                continue
-            head &= known.may_hold(token)
-            sketch = _sketches(token, of, b - a)[of[head]]
-            parts.append((token[head].view(np.int64), cls[of[head]], n[of[head]], place[head], *(sketch[:, k] for k in range(4))))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names) if parts else None
 
-    return map_batches(docs.select("text"), work, ", ".join(f"{x} bigint" for x in names))
+def _tokens(high: bytes, low: bytes) -> np.ndarray:
+    return np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)
 
 
-def _full_rows(docs: DataFrame, size: int, percent: int, levels: np.ndarray, holders: Bloom) -> DataFrame:
-    """(cls, n, q2, q3, tokens) of documents (hid, text) whose hashed ids `holders` may hold: prefixes under two
-    more orders (as 32-bit hashes) and the whole set.  No other text is looked at."""
+def _counted(blobs: DataFrame, parts: int) -> DataFrame:
+    """The same rows with the level of each shingle by its count; shingles seen once are left out.  A bucket is in one task."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        some = np.flatnonzero(holders.may_hold(batch.column(0).to_numpy()))
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for rows in batches:
+            known = rows.filter(rows.column("level").is_valid())
+            if known.num_rows:
+                yield known
+            rest = rows.filter(rows.column("level").is_null())
+            held += zip(*(rest.column(c).to_pylist() for c in ("batch", "high", "low", "at")), strict=True)
+        if not held:
+            return
+        tokens = [_tokens(high, low) for _, high, low, _ in held]
+        _, inverse, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        level = _level(count)[inverse]
+        end, out = 0, []
+        for (batch, high, low, at), token in zip(held, tokens, strict=True):
+            own = level[end : end + len(token)]
+            end += len(token)
+            more = np.flatnonzero(own)
+            if len(more):
+                out.append((0, batch, None, np.frombuffer(high, np.uint32)[more].tobytes(), np.frombuffer(low, np.uint16)[more].tobytes(), np.frombuffer(at, np.uint16)[more].tobytes(), own[more].tobytes()))
+            if len(out) >= 256:
+                yield _batch_rows(_BLOBS, out)
+                out = []
+        if out:
+            yield _batch_rows(_BLOBS, out)
+
+    return blobs.repartition(parts, "bucket").mapInArrow(task, _BLOBS)
+
+
+_PREFIXES = "token bigint, cls bigint, n bigint, place bigint, " + ", ".join(f"{p} bigint" for p in SKETCH) + ", q2 array<bigint>, q3 array<bigint>, tokens binary"
+
+
+def _prefixes(counted: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Of documents that share enough shingles with others: prefix rows (token, cls, n, place, sketch) under the first
+    order, and a row (cls, n, q2, q3, tokens) with the prefixes under the other orders and all repeated shingles.
+
+    Every prefix begins with the shingles that the document has for itself; they are counted and not listed.
+    """
+    names = [c.split()[0] for c in _PREFIXES.split(", ")]
+
+    def lists(at: np.ndarray, values: np.ndarray, some: np.ndarray, docs: int) -> pa.Array:
+        ends = np.cumsum(np.bincount(at, minlength=docs))[some]
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(values.view(np.int64)))
+
+    def assemble(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        meta = next(r[0] for r in rows if r[0] is not None)
+        docs = len(meta) // 48
+        cls, n = np.frombuffer(meta, np.int64, docs), np.frombuffer(meta, np.int64, docs, 8 * docs)
+        sketch = np.frombuffer(meta, np.int64, 4 * docs, 16 * docs).reshape(docs, 4)
+        token = np.concatenate([_tokens(r[1], r[2]) for r in rows])
+        at = np.concatenate([np.frombuffer(r[3], np.uint16) for r in rows]).astype(np.int64)
+        level = np.concatenate([np.frombuffer(r[4], np.uint8) for r in rows])
+        own = n - np.bincount(at, minlength=docs)
+        take = n - (percent * n + 99) // 100 + 1 - own
+        some = np.flatnonzero(take > 0)
         if not len(some):
-            return None
-        data, offsets = string_buffers(batch.column(1).take(pa.array(some)))
-        cols: list[list] = [[] for _ in range(5)]
-        for (a, b, token, of, _), second, third in zip(*(ordered_sets(data, offsets, size, levels, k) for k in range(3)), strict=True):
-            cls, n = _classes(token, of, b - a)
-            end = np.cumsum(n)
-            take = n - (percent * n + 99) // 100 + 1
-            by = np.lexsort((token, of))
-            for d in np.flatnonzero(n):
-                s = slice(end[d] - n[d], end[d])
-                head = slice(s.start, s.start + take[d])
-                cols[0].append(cls[d])
-                cols[1].append(n[d])
-                cols[2].append((second[2][head] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                cols[3].append((third[2][head] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                cols[4].append(token[by[s]].tobytes())
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["cls", "n", "q2", "q3", "tokens"]) if cols[0] else None
-
-    read = docs.select(F.xxhash64("id").alias("hid"), "text")
-    return map_batches(read, work, "cls bigint, n bigint, q2 array<int>, q3 array<int>, tokens binary")
-
-
-def _near_sizes(a: str, b: str, percent: int) -> Column:
-    return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
+            return
+        mine = take[at] > 0
+        token, at, level = token[mine], at[mine], level[mine]
+        count = np.bincount(at, minlength=docs)
+        rank = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+
+        def ordered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            by = np.lexsort((key, at))
+            head = rank < take[at[by]]
+            return token[by][head], at[by][head], rank[head]
+
+        first, d, place = ordered(level.astype(np.uint64) << np.uint64(58) | mix(token) >> np.uint64(6))
+        none = lambda k, kind: pa.nulls(k, kind)
+        arrays = pa.list_(pa.int64())
+        index = [first.view(np.int64), cls[d], n[d], place + own[d], *(sketch[d, k] for k in range(4))]
+        yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in index), none(len(d), arrays), none(len(d), arrays), none(len(d), pa.binary())], names)
+        others = [ordered(mix(token ^ np.uint64(salt))) for salt in (0x3C6EF372FE94F82A, 0xDAA66D2C7DDF743F)]
+        whole = np.lexsort((token, at))
+        ends = np.cumsum(count)[some]
+        blob = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer((np.r_[0, ends] * 8).astype(np.int32).tobytes()), pa.py_buffer(token[whole].tobytes())])
+        k = len(some)
+        yield pa.RecordBatch.from_arrays([none(k, pa.int64()), pa.array(cls[some]), pa.array(n[some]), *([none(k, pa.int64())] * 5), *(lists(o[1], o[0], some, docs) for o in others), blob], names)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for rows in batches:
+            for batch, *row in zip(*(rows.column(c).to_pylist() for c in ("batch", "docs", "high", "low", "at", "level")), strict=True):
+                held.setdefault(batch, []).append(tuple(row))
+        while held:
+            yield from assemble(held.pop(next(iter(held))))
+
+    return counted.repartition(parts, "batch").mapInArrow(task, _PREFIXES)
+
+
+def _least(n: str, percent: int) -> str:
+    """The least intersection of two linked sets whose sizes add up to n."""
+    return f"((({n}) * {percent} + {99 + percent}) div {100 + percent})"
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -183,109 +295,109 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     The first shingle that two prefixes share leaves at most min(rest) more, and linked sets differ in at
     most n1 + n2 - 2 * (the least intersection) shingles and so in no more parities.
     """
-    least = f"((n{a} + n{b}) * {percent} + {99 + percent}) div {100 + percent}"
-    room = F.expr(f"1 + least(n{a} - 1 - place{a}, n{b} - 1 - place{b}) >= {least}")
-    apart = F.expr(" + ".join(f"bit_count({p}{a} ^ {p}{b})" for p in SKETCH) + f" <= n{a} + n{b} - 2 * ({least})")
-    return _near_sizes(f"n{a}", f"n{b}", percent) & room & apart
-
+    least = _least(f"n{a} + n{b}", percent)
+    sizes = F.expr(f"100 * least(n{a}, n{b}) >= {percent} * greatest(n{a}, n{b})")
+    room = F.expr(f"least(n{a} - place{a}, n{b} - place{b}) >= {least}")
+    apart = F.expr(" + ".join(f"bit_count({p}{a} ^ {p}{b})" for p in SKETCH) + f" <= n{a} + n{b} - 2 * {least}")
+    return sizes & room & apart
 
-def _fetch(docs: DataFrame, pairs: DataFrame, members: DataFrame, size: int, percent: int, levels: np.ndarray, scratch: list[str]) -> DataFrame:
-    """Full rows of the classes in pairs, from one document of each (and of a few others)."""
-    nodes = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
-    holders = nodes.join(members, "cls").select(F.xxhash64("first_id").alias("hid"))
-    return materialise(_full_rows(docs, size, percent, levels, bloom(holders, "hid")), "sets", scratch)
 
-
-def _verify(pairs: DataFrame, full: DataFrame, scratch: list[str], name: str) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, scratch: list[str], name: str) -> DataFrame:
     """(x, y, both, nx, ny) of the pairs that pass the other orders; `both` is the size of the intersection."""
-    side = lambda c, cols: full.select(F.col("cls").alias(c), *[F.col(k).alias(f"{k}{c}") for k in cols])
-    passed = pairs.join(side("x", ["q2", "q3"]), "x").join(side("y", ["q2", "q3"]), "y").filter(F.arrays_overlap("q2x", "q2y") & F.arrays_overlap("q3x", "q3y")).select("x", "y").distinct()
+    side = lambda c, cols: sets.select(F.col("cls").alias(c), *[F.col(k).alias(f"{k}{c}") for k in cols])
+    passed = pairs.join(side("x", ["q2", "q3"]), "x").join(side("y", ["q2", "q3"]), "y").filter(F.arrays_overlap("q2x", "q2y") & F.arrays_overlap("q3x", "q3y")).select("x", "y")
     met = passed.join(side("y", ["n", "tokens"]), "y").join(side("x", ["n", "tokens"]), "x").select("x", "y", "nx", "ny", "tokensx", "tokensy")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         both = [len(np.intersect1d(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), assume_unique=True)) for a, b in zip(batch.column(4), batch.column(5), strict=True)]
         return pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(4)], pa.array(both, pa.int64())], ["x", "y", "nx", "ny", "both"])
 
-    return materialise(map_batches(met, work, "x bigint, y bigint, nx bigint, ny bigint, both bigint").distinct(), name, scratch)
+    return materialise(map_batches(met, work, "x bigint, y bigint, nx bigint, ny bigint, both bigint"), name, scratch)
 
 
 def linked(percent: int) -> Column:
     return F.expr(f"100 * both >= {percent} * (nx + ny - both)")
 
 
+#: Sizes are cut into bands of so many parts of themselves where groups are compared.
+BAND = 1.02
+
+
+def _across(opened: DataFrame, percent: int) -> DataFrame:
+    """(x, y) of index rows of one token (with root) that different components hold and that may link.
+
+    The smaller set of a pair holds the token in a shorter prefix, and the larger one in a prefix that gets shorter
+    with the smaller set's size; both are applied before rows meet.  Rows of the group's largest component
+    meet only those of other components.
+    """
+    largest = opened.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", "count").alias("main"))
+    rows = opened.join(largest, "token").withColumn("other", F.col("root") != F.col("main")).drop("main")
+    band = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(BAND)))
+    columns = ["cls", "n", "place", *SKETCH, "root", "other"]
+    small = rows.filter(f"n - place >= {_least('n + n', percent)}").select("token", band(F.col("n")).alias("band"), *[F.col(c).alias(f"{c}1") for c in columns])
+    smallest = F.expr(f"(n * {percent} + 99) div 100")
+    large = rows.withColumn("band", F.explode(F.sequence(band(smallest), band(F.col("n")))))
+    floor = F.greatest(smallest, F.floor(F.pow(F.lit(BAND), F.col("band").cast("double"))) - 1)
+    large = large.withColumn("m", floor).filter(f"n - place >= {_least('n + m', percent)}").select("token", "band", *[F.col(c).alias(f"{c}2") for c in columns])
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        pairs = a.join(b, ["token", "band"]).filter((F.col("n1") <= F.col("n2")) & (F.col("cls1") != F.col("cls2")) & (F.col("root1") != F.col("root2")) & _may_link("1", "2", percent))
+        return pairs.select(F.least("cls1", "cls2").alias("x"), F.greatest("cls1", "cls2").alias("y"))
+
+    return met(small.filter("other1"), large).unionByName(met(small.filter("not other1"), large.filter("other2"))).distinct()
+
+
 def classes(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(members, roots): members (id, cls, n) of every row of docs (id, text); roots (cls, root) of classes
     that are linked to another class, root being one class of each component.
 
-    docs.id must not be null; rows may share one.
+    Rows may share an id, and ids may be null.
     """
     scratch = [] if scratch is None else scratch
     summary = materialise(summaries(docs, size), "summary", scratch)
-    levels = heavy_levels(summary)
     members = summary.filter("slot is null").select("id", "cls", "n")
-    firsts = members.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first_id"))
-    again = materialise(_prefix_rows(docs, size, percent, levels, None).groupBy("token").count().filter("count > 1").select("token"), "tokens", scratch)
-    index = _prefix_rows(docs, size, percent, levels, bloom(again, "token")).distinct().join(again, "token")
-    # tokens of one class only (its copies) end here
+    total = members.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PART)
+    levels = heavy_levels(summary, max(FREQUENT, total // (16 * parts)))
+    counted = _counted(_blobs(docs, size, levels, SPREAD * parts), parts)
+    prefixes = materialise(_prefixes(counted, parts, percent), "prefixes", scratch)
     row = ["cls", "n", "place", *SKETCH]
-    leader = F.min(F.struct(*row))
-    several = index.groupBy("token").agg(leader.alias("x"), F.max("cls").alias("z")).filter("x.cls < z").select("token", "x")
+    index = prefixes.filter("token is not null").select("token", *row).distinct()
+    # tokens of one class only (its copies) end here; the class that has a token foremost leads the others
+    leader = F.min(F.struct("place", "cls", *[c for c in row if c not in ("place", "cls")]))
+    several = index.groupBy("token").agg(leader.alias("x"), F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("token", "x")
     index = materialise(index.join(several, "token"), "index", scratch)
-
-    def pairs_with(led: DataFrame) -> DataFrame:
-        """Pairs of each class with the leader x of its group."""
-        both = led.select(*[F.col(c).alias(f"{c}1") for c in row], *[F.col("x")[c].alias(f"{c}2") for c in row])
-        ok = both.filter((F.col("cls1") != F.col("cls2")) & _may_link("1", "2", percent))
-        return ok.select(F.least("cls1", "cls2").alias("x"), F.greatest("cls1", "cls2").alias("y")).distinct()
-
-    pairs = materialise(pairs_with(index), "pairs", scratch)
-    full = _fetch(docs, pairs, firsts, size, percent, levels, scratch)
-    checked = _verify(pairs, full, scratch, "checked")
-    edges = checked.filter(linked(percent)).select("x", "y")
-    roots = components(edges, scratch)
-
-    def open_rows(name: str) -> DataFrame:
-        """Index rows of groups that still hold several components, with root."""
-        slim = index.select("token", "cls").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        groups = slim.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-        return materialise(index.drop("x").join(slim.join(groups, "token", "left_semi"), ["token", "cls"]), name, scratch)
-
-    # the class with most links so far leads its groups: a document that many others were made from links them all
-    links = edges.select(F.explode(F.array("x", "y")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
-    opened = open_rows("open").join(links, "cls", "left")
-    best = opened.groupBy("token").agg(F.max(F.struct("links", *row, "root")).alias("x")).filter("x.links is not null")
-    second = materialise(pairs_with(opened.join(best, "token").filter("root != x.root")).join(pairs, ["x", "y"], "left_anti"), "pairs2", scratch)
-    if second.count():
-        checked = checked.unionByName(_verify(second, _fetch(docs, second, firsts, size, percent, levels, scratch), scratch, "checked2"))
-        roots = components(checked.filter(linked(percent)).select("x", "y"), scratch)
-        pairs = pairs.unionByName(second)
-    # what is still open: pairs across components, as far as a link is possible
-    opened = open_rows("open2")
-    a, b = (opened.select("token", *[F.col(c).alias(f"{c}{k}") for c in [*row, "root"]]) for k in (1, 2))
-    rest = a.join(b, (a["token"] == b["token"]) & (F.col("cls1") < F.col("cls2")) & (F.col("root1") != F.col("root2")) & _may_link("1", "2", percent))
-    rest = rest.select(F.col("cls1").alias("x"), F.col("cls2").alias("y")).distinct().join(pairs, ["x", "y"], "left_anti")
-    rest = materialise(rest, "pairs3", scratch)
-    if rest.count():
-        more = _fetch(docs, rest, firsts, size, percent, levels, scratch)
-        checked = checked.unionByName(_verify(rest, more, scratch, "checked3"))
+    sets = prefixes.filter("tokens is not null").select("cls", "n", "q2", "q3", "tokens").join(index.select("cls").distinct(), "cls", "left_semi")
+    sets = materialise(sets.groupBy("cls").agg(F.first(F.struct("n", "q2", "q3", "tokens")).alias("s")).select("cls", "s.*"), "sets", scratch)
+    led = index.select(*[F.col(c).alias(f"{c}1") for c in row], *[F.col("x")[c].alias(f"{c}2") for c in row]).filter((F.col("cls1") != F.col("cls2")) & _may_link("1", "2", percent))
+    pairs = materialise(led.select(F.least("cls1", "cls2").alias("x"), F.greatest("cls1", "cls2").alias("y")).distinct(), "pairs", scratch)
+    checked = _verify(pairs, sets, scratch, "checked")
+    roots = components(checked.filter(linked(percent)).select("x", "y"), scratch)
+    # groups that still hold several components
+    rooted = index.drop("x").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    open_groups = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    opened = materialise(rooted.join(open_groups, "token", "left_semi"), "open", scratch)
+    rest = materialise(_across(opened, percent).join(pairs, ["x", "y"], "left_anti"), "pairs2", scratch)
+    if not rest.isEmpty():
+        checked = checked.unionByName(_verify(rest, sets, scratch, "checked2"))
         roots = components(checked.filter(linked(percent)).select("x", "y"), scratch)
     return members, roots.select(F.col("node").alias("cls"), "root")
 
 
-def _prepare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-
+def component_ids(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str] | None = None) -> DataFrame:
+    """(id, n, cls, component) a row a row of docs (id, text); component is the smallest id reachable by links.
 
-def component_ids(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """(id, n, cls, root, component) a row a row of docs (id, text); component is the smallest id reachable by links."""
-    scratch: list[str] = []
-    members, roots = classes(docs, size, percent, scratch)
-    full = members.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = full.filter("n > 0").groupBy("root").agg(F.min("id").alias("component"))
-    out = full.join(smallest, "root", "left")
-    out = out.select("id", "n", "cls", "root", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
-    kept = materialise(out, "components")
-    drop_scratch(docs.sparkSession, scratch)
+    ids are of any type with an order.  Null ids name a component only where it has no other.
+    """
+    used: list[str] = []
+    members, roots = classes(docs, size, percent, used)
+    firsts = members.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first"))
+    named = firsts.join(roots, "cls")
+    named = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("cls", "component")
+    named = firsts.join(named, "cls", "left").select("cls", F.coalesce("component", "first").alias("component"))
+    out = members.join(named, "cls", "left").select("id", "n", "cls", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    kept = materialise(out, "components", scratch)
+    drop_scratch(docs.sparkSession, used)
     return kept
 
 
@@ -293,11 +405,11 @@ def op5(docs: DataFrame) -> DataFrame:
     """The contract's columns; a row a row of documents.
 
     Null and empty texts and texts without words have no shingles and are their own components.  Repeated
-    rows are linked as copies.  A null doc_id stays null and never names a component that has another id.
+    rows are linked as copies.  doc_id keeps its type; a null one stays null and never names a component that
+    has another id.
     """
-    out = component_ids(_prepare(docs))
-    known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(known("id").alias("doc_id"), F.col("n").alias("n_shingles"), known("component").alias("component_id"))
+    out = component_ids(docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -306,34 +418,12 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Documents without shingles all stay.  Columns stay as they are; near-duplicates share `percent` of their
     `size`-word shingles or more.
     """
-    names = docs.columns
-    some = component_ids(_prepare(docs), size, percent).filter("n > 0").select("id", "cls", "root")
-    winners = some.groupBy("root").agg(F.min(F.struct("id", "cls")).alias("w")).select("w.*")
-    losers = some.join(winners, ["id", "cls"], "left_anti").distinct()
-    tagged = _tag(docs, size)
-    lone = tagged.join(losers.select(F.col("id").alias("_id"), F.col("cls").alias("_cls")), ["_id", "_cls"], "left_anti")
-    # rows that share id and set with the winner: one of them
-    repeated = winners.join(some.groupBy("id", "cls").count().filter("count > 1"), ["id", "cls"], "left_semi")
-    repeated = repeated.select(F.col("id").alias("_id"), F.col("cls").alias("_cls"), F.lit(True).alias("_more"))
-    marked = lone.join(repeated, ["_id", "_cls"], "left")
-    once = marked.filter("_more is null").select("_row")
-    first = marked.filter("_more").withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_cls").orderBy(F.xxhash64("_row"), F.to_json("_row")))).filter("_k = 1").select("_row")
-    return once.unionByName(first).select(*[F.col("_row").getField(c).alias(c) for c in names])
-
-
-def _tag(docs: DataFrame, size: int) -> DataFrame:
-    """Each row as a struct with its id and class; rows without shingles get a class that nothing else has a use for."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *_prepare_columns(docs))
-    kind = row.schema["_row"].dataType.simpleString()
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cls = np.zeros(batch.num_rows, np.int64)
-        for a, b, token, of, _ in ordered_sets(*string_buffers(batch.column(2)), size):
-            cls[a:b], _ = _classes(token, of, b - a)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cls)], ["_row", "_id", "_cls"])
-
-    return map_batches(row, work, f"_row {kind}, _id bigint, _cls bigint")
-
-
-def _prepare_columns(docs: DataFrame) -> list[Column]:
-    return [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")]
+    names, spark, scratch = docs.columns, docs.sparkSession, []
+    # written once, so that a row's number is the same whenever a task runs again
+    rows = materialise(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")).withColumn("number", F.monotonically_increasing_id()), "rows", scratch)
+    key = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), F.col("number"))
+    found = component_ids(rows.select(key.alias("id"), F.col("row.text").cast("string").alias("text")), size, percent, scratch)
+    losers = found.filter("n > 0 and id.number <> component.number").select("id.number")
+    kept = materialise(rows.join(losers, "number", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in names]), "kept")
+    drop_scratch(spark, scratch)
+    return kept
