@@ -7,8 +7,9 @@ import numpy as np
 SAMPLE_EVERY = 8
 
 
-def suffix_array(seq: np.ndarray) -> np.ndarray:
-    """Suffix order by rank doubling; a suffix that ends first comes first."""
+def suffix_array(seq: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Suffix order by rank doubling; a suffix that ends first comes first.  With depth, suffixes that agree in
+    so many symbols may stand in any order."""
     n = len(seq)
     if n < 2:
         return np.arange(n)
@@ -22,7 +23,7 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
         ordered = key[order]
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.r_[1, ordered[1:] != ordered[:-1]])
-        if new.max() == n:
+        if new.max() == n or depth and 2 * step >= depth:
             return order
         rank, step = new, step * 2
 

@@ -2,13 +2,17 @@
 
 A page is cut into blocks.  Elements that never hold main text (menus, headers, footers, sidebars,
 forms, scripts, notices, adverts, comments) are left out by their names, roles and class names.
-Where a page marks its article and that holds the larger part, the blocks in it are the main text.  All other blocks are judged by
-their host: the token streams of its pages are concatenated in a shard, a suffix array finds the
-long substrings that stand on several distinct pages, and tokens that these cover are removed;
-unique runs stay.
+Where a page marks its article and that holds the larger part, the blocks in it are the main text.
 
-A host with many pages is split into shards of bounded size, and what repeats only across shards
-is found by counting the fingerprints of the shards' remaining windows.
+All blocks that are left, of every page, are judged by their host: the token streams of its pages
+are concatenated, a suffix array finds the long substrings that stand on several distinct pages,
+and those that stand on more than half of the host's pages (and on LEAST_PAGES) are its boilerplate.
+Tokens that it covers are removed; unique runs stay.  A page that marks its article and would lose
+most of it keeps it: what such a page shares is its article, as a copy does, and not its frame.
+
+A host with many pages is dealt to shards of bounded size.  What stands on more than half of all
+pages stands on more than half of some shard's, so shards name candidates, and where a host has
+several shards these are counted in all of them: the result is the same for any size of a shard.
 """
 
 from __future__ import annotations
@@ -18,14 +22,20 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import map_batches, materialise
+from .common import drop_scratch, map_batches, materialise
 from .fm_index import suffix_array
+from .textcore import NOT_SPACE, mix, word_hashes_exact
 
-#: Tokens that a repeated substring has at least; pages in a host's shard, about.
-LEAST_TOKENS, SHARD_PAGES = 6, 2_000
+#: Tokens that a repeated substring has at least; distinct pages that boilerplate stands on at least.
+LEAST_TOKENS, LEAST_PAGES = 6, 3
+#: Bytes of html in a host's shard, about.
+SHARD_BYTES = 2 << 20
+#: Hosts and windows that are sent to all tasks at most; beyond, rows are joined by shuffles.
+FEW = 200_000
 
 # Elements of HTML by the part they play.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -41,6 +51,8 @@ NOT_MAIN = re.compile(
     re.I,
 )
 
+#: Elements that such a word drops inside a marked article, where it must be a whole class name.
+CONTAINERS = frozenset("aside div dl figure footer form header nav ol section span ul".split())
 #: Class names that say what an element has or lacks beside it.
 NOT_HELD = re.compile(r"(?<!\S)(?:no|has|with|without)[_-]\S*", re.I)
 
@@ -49,7 +61,16 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 _SPACE = re.compile(r"\s+")
 
 
-def _dropped(name: str, attributes: str) -> bool | None:
+def _named(name: str, key: str, value: str, inside: bool) -> bool:
+    """Whether a word in an attribute says that an element is no main text; in an article only whole class names do."""
+    if key not in ("class", "id", "role", "aria-label") or name in MAIN:
+        return False
+    if not inside:
+        return bool(NOT_MAIN.search(NOT_HELD.sub(" ", value)))
+    return key in ("class", "role") and name in CONTAINERS and any(NOT_MAIN.fullmatch(x) for x in value.split())
+
+
+def _dropped(name: str, attributes: str, inside: bool) -> bool | None:
     """Whether an element goes; None if only by a word in its names, which an article or most of the text outweighs."""
     if name in SKIPPED:
         return True
@@ -58,7 +79,7 @@ def _dropped(name: str, attributes: str) -> bool | None:
     named: bool | None = False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id", "role", "aria-label") and name not in MAIN and NOT_MAIN.search(NOT_HELD.sub(" ", value)):
+        if _named(name, key, value, inside):
             named = None
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
             return True
@@ -123,7 +144,7 @@ def blocks(html: str) -> list[tuple[bool, str]]:
             end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
             at = end.end() if end else n
             continue
-        own = _dropped(name, m[3])
+        own = _dropped(name, m[3], main)
         gone = dropped or bool(own)
         if gone and not dropped and name in BLOCKS | SKIPPED:
             flush()
@@ -169,118 +190,184 @@ def _kept_blocks(text: list[tuple[str | None, bool, tuple[int, ...]]]) -> list[t
     return out
 
 
-def repeated_tokens(streams: list[tuple[int, list[str]]], least: int) -> list[np.ndarray]:
-    """For each (page, tokens) stream, which tokens lie in a substring of `least` tokens or more that stands on
-    another page too; by a suffix array over all streams with separators."""
-    number: dict[str, int] = {}
-    sizes = [len(t) for _, t in streams]
-    seq = np.array([x for k, (_, tokens) in enumerate(streams) for x in [*(number.setdefault(t, len(number)) for t in tokens), -1 - k]], np.int64)
-    flags = [np.zeros(n, bool) for n in sizes]
-    if len(streams) < 2 or not len(seq):
-        return flags
-    order = suffix_array(seq + len(streams))
-    page = np.repeat([p for p, _ in streams], np.array(sizes) + 1)
-    left = np.concatenate([np.arange(n, -1, -1) for n in sizes])  # tokens up to the separator
-    # neighbours in suffix order that agree in `least` tokens
-    a, b = order[:-1], order[1:]
-    same = (left[a] >= least) & (left[b] >= least)
+def page_blocks(html: str | None) -> tuple[bool, list[str]]:
+    """(whether the page marks its article, the blocks that may be main text)."""
+    found = blocks(html or "")
+    # a few teasers in articles do not mark the page
+    marked = 2 * sum(len(t) for m, t in found if m) > sum(len(t) for _, t in found)
+    return marked, [t for m, t in found if m or not marked]
+
+
+def token_streams(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, page) of the tokens of all pages' blocks, one after another; a 0 ends each block."""
+    raw = [b.encode() for blocks in pages for b in blocks]
+    bounds = np.cumsum([0, *map(len, raw)])
+    of = np.repeat(np.arange(len(pages)), [len(b) for b in pages])
+    _, _, block, h = word_hashes_exact(np.frombuffer(b"".join(raw), np.uint8), bounds, NOT_SPACE)
+    count = np.bincount(block, minlength=len(raw))
+    out = np.zeros(len(h) + len(raw), np.uint32)
+    out[np.arange(len(h)) + block] = np.maximum(h >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+    return out, np.repeat(of, count + 1)
+
+
+def window_hashes(stream: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the windows of `least` tokens that lie in one block."""
+    n = max(0, len(stream) - least + 1)
+    total, whole = np.zeros(n, np.uint64), np.ones(n, bool)
+    for k in range(least):
+        part = stream[k : k + n]
+        whole &= part > 0
+        total = mix(total + part)
+    at = np.flatnonzero(whole)
+    return at, total[at].view(np.int64)
+
+
+def _pages(table: pa.Table) -> list[np.ndarray]:
+    """The streams of the distinct pages of a shard."""
+    distinct = dict(zip(table["page"].to_pylist(), table["stream"].to_pylist(), strict=True))
+    return [np.frombuffer(distinct[k], np.uint32) for k in sorted(distinct)]
+
+
+def repeated(pages: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window hash, pages) of every substring of `least` tokens that more than half of the pages hold; by a suffix
+    array over all streams."""
+    seq = np.concatenate([x for k, p in enumerate(pages) for x in (p.astype(np.int64), np.zeros(1, np.int64))]) if pages else np.zeros(0, np.int64)
+    page = np.repeat(np.arange(len(pages)), [len(p) + 1 for p in pages])
+    place, value = window_hashes(seq.astype(np.uint32), least)
+    if not len(place):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashed = np.zeros(len(seq), np.int64)
+    hashed[place] = value
+    whole = np.zeros(len(seq), bool)
+    whole[place] = True
+    order = suffix_array(seq, least)
+    order = order[whole[order]]
+    # neighbours in suffix order that agree in `least` tokens are occurrences of one substring
+    same = np.ones(len(order) - 1, bool)
     for k in range(least):
-        where = np.flatnonzero(same)
-        same[where] = seq[a[where] + k] == seq[b[where] + k]
-    run = np.cumsum(np.r_[True, ~same])
-    first = np.flatnonzero(np.r_[True, ~same])
-    several = np.minimum.reduceat(page[order], first) != np.maximum.reduceat(page[order], first)
-    begins = order[several[run - 1]]
-    cover = np.zeros(len(seq) + least + 1, np.int64)
-    np.add.at(cover, begins, 1)
-    np.add.at(cover, begins + least, -1)
-    hit = np.cumsum(cover)[: len(seq)] > 0
-    at = np.cumsum(np.array(sizes) + 1) - np.array(sizes) - 1
-    return [hit[s : s + n] for s, n in zip(at, sizes, strict=True)]
-
-
-def _windows(tokens: list[str], covered: np.ndarray, least: int) -> list[str]:
-    """The windows of `least` tokens that are not covered as a whole."""
-    return ["\x1f".join(tokens[i : i + least]) for i in range(len(tokens) - least + 1) if not covered[i : i + least].all()]
-
-
-_OPEN = "host string, page bigint, block int, tokens array<string>, covered array<boolean>"
-
-
-def _shards(rows: DataFrame, least: int) -> DataFrame:
-    """rows (host, shard, page, block, text) -> the same blocks with the tokens that the shard's pages repeat."""
-
-    def work(table: pa.Table) -> pa.Table:
-        r = table.sort_by([("page", "ascending"), ("block", "ascending")]).to_pydict()
-        streams = [(p, t.split(" ")) for p, t in zip(r["page"], r["text"], strict=True)]
-        flags = repeated_tokens(streams, least)
-        return pa.table(
-            {"host": r["host"], "page": r["page"], "block": r["block"], "tokens": [t for _, t in streams], "covered": [f.tolist() for f in flags]},
-            schema=pa.schema([("host", pa.string()), ("page", pa.int64()), ("block", pa.int32()), ("tokens", pa.list_(pa.string())), ("covered", pa.list_(pa.bool_()))]),
-        )
-
-    return rows.groupBy("host", "shard").applyInArrow(work, _OPEN)
-
-
-def host_runs(rows: DataFrame, least: int = LEAST_TOKENS, shard_pages: int = SHARD_PAGES) -> DataFrame:
-    """Unique runs of blocks: rows (host, page, block, text) -> (page, block, text) without the tokens that
-    the host repeats on distinct pages; a block that is covered as a whole has no row."""
-    sizes = rows.groupBy("host").agg(F.greatest(F.lit(1), F.ceil(F.count_distinct("page") / shard_pages)).alias("n"))
-    dealt = rows.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("page"), F.col("n")))
-    judged = _shards(dealt.select("host", "shard", "page", "block", "text", "n"), least)
-    # windows that only other shards repeat; hosts of one shard need none
-    large = sizes.filter("n > 1").select("host")
-    split = judged.join(large, "host", "left_semi")
-    windows = F.udf(lambda t, c: _windows(t, np.array(c, bool), least), "array<string>")
-    one = split.select("host", "page", "block", F.posexplode(windows("tokens", "covered")).alias("k", "w"))
-    shared = one.groupBy("host", "w").agg(F.min("page").alias("a"), F.max("page").alias("b")).filter("a < b").select("host", "w")
-    found = one.join(shared, ["host", "w"], "left_semi").groupBy("page", "block").agg(F.collect_set("w").alias("ws"))
-
-    def left(tokens: list[str], covered: list[bool], ws: list[str] | None) -> str:
-        flags = np.array(covered, bool)
-        if ws:
-            ws = set(ws)
-            for i in range(len(tokens) - least + 1):
-                if "\x1f".join(tokens[i : i + least]) in ws:
-                    flags[i : i + least] = True
-        return " ".join([t for t, f in zip(tokens, flags, strict=True) if not f])
-
-    rest = judged.join(found, ["page", "block"], "left")
-    return rest.select("page", "block", F.udf(left, "string")("tokens", "covered", "ws").alias("text")).filter("text != ''")
-
-
-def main_blocks(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """(row, page_id, url, host, marked, parts): the candidate blocks of each page; marked pages name their article."""
-    kind = dict(pages.dtypes)[id_col]
+        same &= seq[order[1:] + k] == seq[order[:-1] + k]
+    run = np.cumsum(np.r_[True, ~same]) - 1
+    pair = np.unique(run * len(pages) + page[order])
+    count = np.bincount(pair // len(pages))
+    often = np.flatnonzero(2 * count > len(pages))
+    return hashed[order[np.flatnonzero(np.r_[True, ~same])[often]]], count[often]
+
+
+_COUNTS = "host string, window bigint, pages bigint, least int"
+_COUNTS_ARROW = pa.schema([("host", pa.string()), ("window", pa.int64()), ("pages", pa.int64()), ("least", pa.int32())])
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marked, parts, hosts = [], [], []
-        for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            found = blocks(html or "")
-            # a few teasers in articles do not mark the page
-            inside = 2 * sum(len(t) for m, t in found if m) > sum(len(t) for _, t in found)
-            marked.append(inside)
-            parts.append([t for m, t in found if m or not inside])
-            host = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", url or "")
-            hosts.append(host[1].lower() if host else "")
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(marked, pa.bool_()), pa.array(parts, pa.list_(pa.string()))], ["page_id", "url", "host", "marked", "parts"])
 
+def _counts(host: str, found: tuple[np.ndarray, np.ndarray], pages: int, least: int) -> pa.Table:
+    """Windows with their pages, and a row without a window that has the shard's pages."""
+    n = len(found[0]) + 1
+    window = pa.array([*found[0].tolist(), None], pa.int64())
+    return pa.table([pa.array([host] * n, pa.string()), window, pa.array([*found[1].tolist(), pages], pa.int64()), pa.array([least] * n, pa.int32())], schema=_COUNTS_ARROW)
+
+
+def _host() -> Column:
+    """The host of a url in lower case; empty without one."""
+    return F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", 1))
+
+
+def boilerplate(pages: DataFrame, least: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES, shard_bytes: int = SHARD_BYTES, scratch: list[str] | None = None) -> DataFrame:
+    """(host, windows): hashes of the windows of `least` tokens that more than half of a host's distinct pages hold.
+
+    pages: columns url and html.  A host's windows are at most twice as many as a page has on average.
+    """
+    scratch = [] if scratch is None else scratch
+    sizes = pages.groupBy(_host().alias("host")).agg(F.count("*").alias("rows"), F.ceil(F.sum(F.octet_length("html")) / shard_bytes).alias("shards"))
+    sizes = sizes.filter(F.col("rows") >= least_pages).select("host", F.greatest(F.col("shards"), F.lit(1)).alias("shards"))
+    sizes = materialise(sizes, "hosts", scratch)
+    sizes = F.broadcast(sizes) if sizes.count() <= FEW else sizes
+
+    def streams(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [page_blocks(x)[1] for x in batch.column(2).to_pylist()]
+        stream, of = token_streams(found)
+        ends = np.cumsum(np.bincount(of, minlength=len(found)))
+        parts = [p.tobytes() for p in np.split(stream, ends[:-1])]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.binary())], ["host", "page", "stream"])
+
+    read = pages.select(_host().alias("host"), F.xxhash64("html").alias("page"), F.col("html").cast("string").alias("html")).filter("html is not null")
+    dealt = map_batches(read, streams, "host string, page bigint, stream binary").join(sizes, "host").withColumn("shard", F.pmod("page", "shards").cast("int"))
+    dealt = dealt.select("host", "shard", "page", "stream")
+
+    def in_shard(table: pa.Table) -> pa.Table:
+        streams = _pages(table)
+        return _counts(table["host"][0].as_py(), repeated(streams, least), len(streams), least)
+
+    first = materialise(dealt.groupBy("host", "shard").applyInArrow(in_shard, _COUNTS), "windows", scratch)
+    total = first.filter("window is null").groupBy("host").agg(F.sum("pages").alias("total"))
+    counts = first.filter("window is not null").select("host", "window", "pages")
+    several = sizes.filter("shards > 1")
+    named = counts.join(several, "host").select("host", "window", "shards").distinct()
+    if not named.isEmpty():  # count what some shard names in all shards of its host
+        asked = named.select("host", F.explode(F.sequence(F.lit(0), F.col("shards").cast("int") - 1)).alias("shard"), "window")
+
+        def in_all(streams: pa.Table, windows: pa.Table) -> pa.Table:
+            wanted, held = np.sort(windows["window"].to_numpy()), _pages(streams)
+            count = np.zeros(len(wanted), np.int64)
+            for p in held if len(wanted) else ():
+                count[np.isin(wanted, window_hashes(p, least)[1])] += 1
+            host = (streams if streams.num_rows else windows)["host"][0].as_py()
+            return _counts(host, (wanted[count > 0], count[count > 0]), len(held), least)
+
+        again = dealt.join(several.select("host"), "host").groupBy("host", "shard").cogroup(asked.groupBy("host", "shard")).applyInArrow(in_all, _COUNTS)
+        again = materialise(again, "recounted", scratch).filter("window is not null").select("host", "window", "pages")
+        counts = counts.join(several, "host", "left_anti").unionByName(again)
+    often = counts.groupBy("host", "window").agg(F.sum("pages").alias("pages")).join(total, "host").filter((F.col("pages") >= least_pages) & (2 * F.col("pages") > F.col("total")))
+    return often.groupBy("host").agg(F.collect_list("window").alias("windows"))
+
+
+def unique_runs(marked: bool, parts: list[str], windows: np.ndarray, least: int) -> list[str]:
+    """The blocks without the tokens that windows of boilerplate cover; blocks that these cover as a whole go."""
+    stream, _ = token_streams([parts])
+    at, h = window_hashes(stream, least)
+    at = at[np.isin(h, windows)]
+    cover = np.zeros(len(stream) + 1, np.int64)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + least, -1)
+    gone = np.cumsum(cover[:-1]) > 0
+    if not gone.any() or marked and 2 * gone.sum() > (stream > 0).sum():
+        return parts
+    out, start = [], 0
+    for part in parts:
+        tokens = part.split(" ")
+        flags = gone[start : start + len(tokens)]
+        start += len(tokens) + 1
+        if not flags.any():
+            out.append(part)
+        elif not flags.all():
+            out.append(" ".join([t for t, f in zip(tokens, flags.tolist(), strict=True) if not f]))
+    return out
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", least: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """page_id, url, text, article_marked; a row a row of pages."""
     read = pages.select(F.col(id_col).alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    out = map_batches(read, work, f"page_id {kind}, url string, host string, marked boolean, parts array<string>")
-    return out.withColumn("row", F.monotonically_increasing_id())
+    scratch: list[str] = []
+    known = materialise(boilerplate(read, least, least_pages, shard_bytes, scratch), "boilerplate")
+    drop_scratch(pages.sparkSession, scratch)
+    if (known.agg(F.sum(F.size("windows"))).first()[0] or 0) <= FEW:
+        known = F.broadcast(known)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        marks, texts = [], []
+        for html, windows in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+            marked, parts = page_blocks(html)
+            if windows.is_valid and parts:
+                parts = unique_runs(marked, parts, windows.values.to_numpy(), least)
+            marks.append(marked)
+            texts.append("\n\n".join(parts))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(marks, pa.bool_())], ["page_id", "url", "text", "article_marked"])
+
+    schema = StructType([StructField("page_id", read.schema["page_id"].dataType), *StructType.fromDDL("url string, text string, article_marked boolean").fields])
+    return map_batches(read.withColumn("host", _host()).join(known, "host", "left").select("page_id", "url", "html", "windows"), work, schema)
 
 
 def op2(pages: DataFrame) -> DataFrame:
     """The contract's columns; a row a row of pages.
 
-    Null and empty html give an empty text.  Repeated rows are pages of their own (and so repeat each other's
-    unmarked blocks).  Pages without a host share one.  Extra columns are left out.
+    Null and empty html give an empty text.  Rows with the same html are one page where a host's pages are counted,
+    so copies do not take each other's text.  Pages without a host share one.  Extra columns are left out.
     """
-    cut = materialise(main_blocks(pages), "blocks")
-    loose = cut.filter(~F.col("marked")).select("host", F.col("row").alias("page"), F.posexplode("parts").alias("block", "text"))
-    kept = host_runs(loose).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("block", "text"))).alias("runs"))
-    unmarked = cut.filter(~F.col("marked")).join(kept.withColumnRenamed("page", "row"), "row", "left")
-    unmarked = unmarked.withColumn("parts", F.coalesce(F.col("runs.text"), F.array().cast("array<string>")))
-    every = cut.filter("marked").select("page_id", "url", "parts", "marked").unionByName(unmarked.select("page_id", "url", "parts", "marked"))
-    text = F.array_join("parts", "\n\n")
-    return every.select("page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars"), F.col("marked").alias("article_marked"))
+    return main_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "article_marked")

@@ -120,6 +120,12 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, flags: np.ndarray) -> tupl
     return start, end, doc, span_hash(prefix_hash(low), start, end)
 
 
+def word_hashes_exact(data: np.ndarray, bounds: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """words() with a 64-bit hash each, case and all."""
+    start, end, doc = words(data, bounds, flags)
+    return start, end, doc, span_hash(prefix_hash(data), start, end)
+
+
 def shingles(hashes: np.ndarray, doc: np.ndarray, n_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of every run of `size` words; a shorter document's whole sequence is one."""
     count = np.bincount(doc, minlength=n_docs)
