@@ -7,13 +7,18 @@ the sequence: the first rule that matches claims the identifiers it needs, and t
 the rest, so one text can carry several licences.  Texts with licence words but no rule are
 reported as unknown.
 
-Only built-in expressions run; sentence patterns and rules are literals of stated size.
+Sentences are found by built-in expressions; sequences are matched in Arrow batches, each rule by one walk
+over the places of its identifiers, so in time in proportion to the sequence.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .common import map_batches
 
 # Pattern of a normalised sentence -> its identifier; the first that matches names it.
 SENTENCES: tuple[tuple[str, str], ...] = (
@@ -26,6 +31,9 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     (r"^unless required by applicable law or agreed to in writing software distributed under the license", "Apache2warr"),
     (r"^this work is licensed under the gnu general public licen[sc]e,? ?version 3$", "GPL3ref"),
     (r"^this (program|work|file|library) is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", "GPLgrant"),
+    (r"^this (program|work|file|library) is free software you can redistribute it and or modify it under the terms of the gnu (lesser|library) general public licen[sc]e", "LGPLgrant"),
+    (r"^this (program|work|file|library) is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e", "AGPLgrant"),
+    (r"(either )?version 2 1 of the license or( at your option)? any later version$", "GPL21plus"),
     (r"(either )?version 3 of the license or( at your option)? any later version$", "GPL3plus"),
     (r"(either )?version 2 of the license or( at your option)? any later version$", "GPL2plus"),
     (r"^this (program|work|file|library) is distributed in the hope that it will be useful but without any warranty", "GPLwarr"),
@@ -36,7 +44,30 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     (r"^redistributions of source code must retain the above copyright notice", "BSDsource"),
     (r"^redistributions in binary form must reproduce the above copyright notice", "BSDbinary"),
     (r"^neither the name of .* may be used to endorse or promote products", "BSDendorse"),
+    (r"^this software is provided by the copyright holders and contributors as is and any express or implied warranties", "BSDwarr"),
     (r"^this source code form is subject to the terms of the mozilla public license v 2 0$", "MPL2ref"),
+    (r"^permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that", "ISCgrant"),
+    (r"^permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted$", "ZEROBSDgrant"),
+    (r"^the software is provided as is and the author disclaims all warranties", "ISCwarr"),
+    (r"^this software is provided as is without any express or implied warranty", "ZLIBwarr"),
+    (r"^permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "ZLIBgrant"),
+    (r"^the origin of this software must not be misrepresented", "ZLIBorigin"),
+    (r"^altered source versions must be plainly marked as such", "ZLIBaltered"),
+    (r"^this notice may not be removed or altered from any source distribution", "ZLIBnotice"),
+    (r"^this is free and unencumbered software released into the public domain", "UNLrelease"),
+    (r"^anyone is free to copy modify publish use compile sell or distribute this software", "UNLfree"),
+    (r"^to the extent possible under law .* (waived|dedicated) all copyright and related", "CC0waiver"),
+    (r"^(this (work|text|document) is )?(licensed|released) under (the )?(cc0|creative commons zero)( 1 0)?( universal)?( licen[sc]e)?$", "CC0ref"),
+    (r"^this program and the accompanying materials are made available under the terms of the eclipse public license( v| version)? 2 0", "EPL2ref"),
+    (r"^this program and the accompanying materials are made available under the terms of the eclipse public license( v| version)? 1 0", "EPL1ref"),
+    (r"^distributed under the boost software license,? ?version 1 0", "BSL1ref"),
+    (r"^permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "BSL1grant"),
+    (r"^(released|licensed|distributed) under the (terms of the )?gnu lesser general public licen[sc]e,? ?version 3$", "LGPL3ref"),
+    (r"^(released|licensed|distributed) under the (terms of the )?gnu affero general public licen[sc]e,? ?version 3$", "AGPL3ref"),
+    (r"^(released|licensed|distributed) under the (terms of the )?gnu general public licen[sc]e,? ?version 2$", "GPL2ref"),
+    (r"^(released|licensed|distributed) under the (terms of the )?isc licen[sc]e$", "ISCref"),
+    (r"^(released|licensed|distributed) under the (terms of the )?(bsd 3 clause|3 clause bsd|new bsd|modified bsd) licen[sc]e$", "BSD3ref"),
+    (r"^(released|licensed|distributed) under the (terms of the )?(bsd 2 clause|2 clause bsd|simplified bsd) licen[sc]e$", "BSD2ref"),
     (r"^all rights reserved$", "AllRights"),
 )
 #: A sentence with one of these that no pattern names becomes UNKNOWN.
@@ -47,8 +78,30 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-3.0-or-later", ("GPLgrant", "GPL3plus")),
     ("GPL-2.0-or-later", ("GPLgrant", "GPL2plus", "GPLwarr")),
     ("GPL-2.0-or-later", ("GPLgrant", "GPL2plus")),
+    ("LGPL-3.0-or-later", ("LGPLgrant", "GPL3plus", "GPLwarr")),
+    ("LGPL-3.0-or-later", ("LGPLgrant", "GPL3plus")),
+    ("LGPL-2.1-or-later", ("LGPLgrant", "GPL21plus", "GPLwarr")),
+    ("LGPL-2.1-or-later", ("LGPLgrant", "GPL21plus")),
+    ("LGPL-2.0-or-later", ("LGPLgrant", "GPL2plus", "GPLwarr")),
+    ("LGPL-2.0-or-later", ("LGPLgrant", "GPL2plus")),
+    ("AGPL-3.0-or-later", ("AGPLgrant", "GPL3plus", "GPLwarr")),
+    ("AGPL-3.0-or-later", ("AGPLgrant", "GPL3plus")),
+    ("BSD-3-Clause", ("BSDgrant", "BSDsource", "BSDbinary", "BSDendorse", "BSDwarr")),
     ("BSD-3-Clause", ("BSDgrant", "BSDsource", "BSDbinary", "BSDendorse")),
+    ("BSD-2-Clause", ("BSDgrant", "BSDsource", "BSDbinary", "BSDwarr")),
     ("BSD-2-Clause", ("BSDgrant", "BSDsource", "BSDbinary")),
+    ("Zlib", ("ZLIBwarr", "ZLIBgrant", "ZLIBorigin", "ZLIBaltered", "ZLIBnotice")),
+    ("Zlib", ("ZLIBgrant", "ZLIBorigin", "ZLIBaltered", "ZLIBnotice")),
+    ("ISC", ("ISCgrant", "ISCwarr")),
+    ("ISC", ("ISCgrant",)),
+    ("0BSD", ("ZEROBSDgrant", "ISCwarr")),
+    ("0BSD", ("ZEROBSDgrant",)),
+    ("Unlicense", ("UNLrelease", "UNLfree", "MITwarr")),
+    ("Unlicense", ("UNLrelease", "UNLfree")),
+    ("Unlicense", ("UNLrelease",)),
+    ("BSL-1.0", ("BSL1grant", "MITwarr")),
+    ("BSL-1.0", ("BSL1grant",)),
+    ("BSL-1.0", ("BSL1ref",)),
     ("MIT", ("MITgrant", "MITcond", "MITwarr")),
     ("MIT", ("MITgrant", "MITcond")),
     ("Apache-2.0", ("Apache2ref", "Apache2link", "Apache2warr")),
@@ -59,7 +112,19 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-SA-4.0", ("CCBYSA4ref",)),
     ("CC-BY-4.0", ("CCBY4ref",)),
     ("MPL-2.0", ("MPL2ref",)),
+    ("CC0-1.0", ("CC0waiver",)),
+    ("CC0-1.0", ("CC0ref",)),
+    ("EPL-2.0", ("EPL2ref",)),
+    ("EPL-1.0", ("EPL1ref",)),
+    ("LGPL-3.0-only", ("LGPL3ref",)),
+    ("AGPL-3.0-only", ("AGPL3ref",)),
+    ("GPL-2.0-only", ("GPL2ref",)),
+    ("ISC", ("ISCref",)),
+    ("BSD-3-Clause", ("BSD3ref",)),
+    ("BSD-2-Clause", ("BSD2ref",)),
 )
+#: Words of known sentences that hold none of LICENCE_WORDS; what has neither is not looked up.
+OTHER_WORDS = r"\b(permission|rights|version|neither|software|mozilla|origin|altered|notice|anyone|waived|dedicated|cc0|creative|accompanying|boost)\b"
 
 #: What is no known sentence ends at a line's end, and at ; : ! ? or a full stop before white space.
 BREAK = r"\n+|(?<=[.;:!?])\s+"
@@ -78,7 +143,7 @@ _WHOLE, _BEGUN = ("|".join(_raw(p) for p, _ in SENTENCES if p.endswith("$") == w
 _WHOLE = rf"(?:{_WHOLE})(?={_MARKS}(?:\n|\z)|[^a-z0-9\s]*[.;:!?]\s|\s{_MARKS}(?:{_BEGUN}))"
 _KNOWN = f"{_WHOLE}|{_BEGUN}"
 # a known sentence ends at a full stop, ! or ?, an empty line, the text's end, or where the next known one begins
-_END = rf"(?=(?<=[.!?])\s|\n{_MARKS}\n|\z|(?:\n|(?<=[;:])\s){_MARKS}{_ITEM}(?:{_KNOWN})|(?<=[a-z0-9,;:]){_GAP}(?:either{_GAP})?version{_GAP}[23]{_GAP}of{_GAP}the{_GAP}licen[sc]e)"
+_END = rf"(?=(?<=[.!?])\s|\n{_MARKS}\n|\z|(?:\n|(?<=[;:])\s){_MARKS}{_ITEM}(?:{_KNOWN})|(?<=[a-z0-9,;:]){_GAP}(?:either{_GAP})?version{_GAP}(?:2{_GAP}1|[23]){_GAP}of{_GAP}the{_GAP}licen[sc]e)"
 _ID = r"\(*[a-z0-9](?:[a-z0-9.:+-]*[a-z0-9+])?\)*"
 #: The tag of a short-form identifier and the SPDX expression after it.
 SPDX = rf"(?i)spdx-license-identifier:[ \t]*({_ID}(?:[ \t]+(?:and|or|with)[ \t]+{_ID})*)"
@@ -110,31 +175,48 @@ def names(sentence: Column) -> Column:
 
 def sequence(text: Column) -> Column:
     """The identifiers of a text's licence sentences, in order."""
-    rough = F.filter(F.regexp_extract_all(text, F.lit(SENTENCE), 0), lambda s: F.lower(s).rlike(LICENCE_WORDS + r"|\b(permission|rights|version|neither|software|mozilla)\b"))
+    rough = F.filter(F.regexp_extract_all(text, F.lit(SENTENCE), 0), lambda s: F.lower(s).rlike(f"{LICENCE_WORDS}|{OTHER_WORDS}"))
     found = F.transform(rough, lambda s: F.struct(F.lower(s).rlike(LICENCE_WORDS).alias("l"), names(s).alias("i")))
     return F.flatten(F.transform(F.filter(found, lambda x: x["l"] | (x["i"][0] != "UNKNOWN")), lambda x: x["i"]))
 
 
-def _rule(ids: tuple[str, ...]) -> str:
-    """The rule over a sequence written as ' a b c ': its identifiers in order, each as a group, with anything between."""
-    between = r"((?:[^ ]+ )*?)"
-    return r"(?s)^(.*? )" + between.join(rf"{i} " for i in (x.replace(".", r"\.") for x in ids))
-
+def match(ids: list[str], rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES) -> tuple[list[str], int]:
+    """(sorted distinct licences of a sequence, UNKNOWN and other identifiers that no rule claimed).
 
-def match(ids: Column) -> Column:
-    """Licences of a sequence: rules in order, each as often as it matches, claiming the identifiers it needs."""
-    start = F.struct(F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" ")).alias("left"), F.array().cast("array<string>").alias("found"))
-    state = start
-    for name, need in RULES:
-        # one claim a round and as many rounds as the sequence could hold
-        pattern, groups = _rule(need), "$1" + "".join(f"${k + 2}" for k in range(len(need) - 1))
-        rounds = F.array_repeat(F.lit(1), F.greatest(F.size(ids), F.lit(1)))
-        state = F.aggregate(
-            rounds,
-            state,
-            lambda s, _: F.when(s["left"].rlike(pattern), F.struct(F.regexp_replace(s["left"], pattern, groups).alias("left"), F.concat(s["found"], F.array(F.lit(name))).alias("found"))).otherwise(s),
-        )
-    return state
+    Rules in order, each as often as it matches: a match takes the first free place of its first identifier, then the
+    first free one of the next after that, and so on.  Later matches of a rule begin later, so each rule walks once
+    over the places of its identifiers.  Tags (SPDX-) are licences by themselves.
+    """
+    places: dict[str, list[int]] = {}
+    for at, x in enumerate(ids):
+        places.setdefault(x, []).append(at)
+    found = {x.removeprefix("SPDX-") for x in ids if x.startswith("SPDX-")}
+    for name, need in rules:
+        if not all(x in places for x in need):
+            continue
+        walks = [0] * len(need)
+        used: list[set[int]] = [set() for _ in need]
+        while True:
+            last, claim = -1, []
+            for k, x in enumerate(need):
+                own = places[x]
+                while walks[k] < len(own) and own[walks[k]] <= last:
+                    walks[k] += 1
+                if walks[k] == len(own):
+                    break
+                last = own[walks[k]]
+                claim.append(last)
+            if len(claim) < len(need):
+                break
+            found.add(name)
+            for k, at in enumerate(claim):
+                walks[k] += 1
+                used[k].add(at)
+        for k, x in enumerate(need):
+            if used[k]:
+                places[x] = [at for at in places[x] if at not in used[k]]
+        places = {x: p for x, p in places.items() if p}
+    return sorted(found), sum(len(p) for x, p in places.items() if not x.startswith("SPDX-"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,11 +225,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     A null or empty text has no sentences and no licence; n_unknown counts licence sentences that no rule claimed.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), sequence(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("sentences"))
-    some = d.withColumn("_m", F.when(F.size("sentences") > 0, match(F.col("sentences"))))
-    tags = F.transform(F.filter("sentences", lambda x: x.startswith("SPDX-")), lambda x: F.substring(x, 6, 1 << 30))
-    claimed = F.concat(F.coalesce(F.col("_m.found"), F.array().cast("array<string>")), tags)
-    left = F.filter(F.split(F.trim(F.coalesce(F.col("_m.left"), F.lit(""))), " "), lambda x: (x != "") & ~x.startswith("SPDX-"))
-    return some.select("doc_id", "sentences", F.array_sort(F.array_distinct(claimed)).alias("licenses"), F.size(left).cast("bigint").alias("n_unknown"))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [match(ids) for ids in batch.column(1).to_pylist()]
+        licenses, left = pa.array([x for x, _ in found], pa.list_(pa.string())), pa.array([n for _, n in found], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), licenses, left], ["doc_id", "sentences", "licenses", "n_unknown"])
+
+    schema = StructType([d.schema.fields[0], *StructType.fromDDL("sentences array<string>, licenses array<string>, n_unknown bigint").fields])
+    return map_batches(d, work, schema)
 
 
 def op1(docs: DataFrame) -> DataFrame:
