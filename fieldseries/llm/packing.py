@@ -6,8 +6,8 @@
    partition whose bin count equals its bound is certified optimal and is left alone.
 4. Partitions with a gap exchange the documents of their bins that are not full: these are dealt
    anew over fewer partitions and packed again; the better of old and new packing stays.  The
-   bins that are least full in certified partitions join the last exchange, so that the rounding
-   loss of one bin a partition goes too.
+   bins that are least full in certified partitions join the exchange, so that the rounding
+   loss of one bin a partition goes too.  Exchanges go on until one saves no bin.
 
 A partition holds a bounded number of (length, row) pairs and no text.
 """
@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise
+from .common import drop_scratch, map_batches, materialise
 
 #: Pieces in a packing partition, on average.
 PART_PIECES = 50_000
-#: Strings whose ids a Python worker keeps, in each of its two mappings and their predecessors.
-CACHE = 300_000
-ROUNDS = 2
+#: Bytes that a Python worker's mapping of strings to ids takes, about; there are two, each with a predecessor.
+CACHE = 24 << 20
+#: Exchanges at most; each works on fewer pieces than the one before it.
+ROUNDS = 8
 
 
 def default_tokenizer() -> str:
@@ -41,19 +42,21 @@ def default_tokenizer() -> str:
 
 
 class _Recent(dict):
-    """A mapping of bounded size: when full, only entries used since it was last full go on."""
+    """A mapping of bounded bytes: when full, only entries used since it was last full go on."""
 
     def __init__(self, make: Callable):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old, self.size = make, {}, 0
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= CACHE:
+        self.size += len(key) + len(value) + 200  # two objects and their place in the mapping
+        if self.size >= CACHE:
             self.old = dict(self)
             self.clear()
+            self.size = 0
         self[key] = value
         return value
 
@@ -219,35 +222,31 @@ def _pack(size: int, keep_lowest: float):
 _PACKED = "row bigint, length bigint, part bigint, bin bigint, offset bigint, again boolean, bins bigint, bound bigint"
 
 
-def pack(lengths: DataFrame, size: int, part_pieces: int = PART_PIECES, rounds: int = ROUNDS) -> DataFrame:
+def pack(lengths: DataFrame, size: int, part_pieces: int = PART_PIECES, rounds: int = ROUNDS, scratch: list[str] | None = None) -> DataFrame:
     """(row, length) -> row, sequence_id, offset, and the bins and bound of the partition that packed it.
 
     An empty input gives no rows.  A length over size or under 1 is an error.
     """
-    spark = lengths.sparkSession
-    n = lengths.count()
-    parts = max(1, -(-n // part_pieces))
-    deal = lambda df, p, salt: df.withColumn("part", (F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(p)) + F.lit(salt << 32)).cast("bigint"))
-    done: DataFrame | None = None
-    left, old = lengths.select("row", "length"), []
+    scratch = [] if scratch is None else scratch
+    left, key, done, before = lengths.select("row", "length"), "row", [], None
     for salt in range(rounds + 1):
-        schema = _PACKED
-        todo = deal(left, parts, salt).repartition(parts, "part")
-        packed = materialise(todo.groupBy("part").applyInPandas(_pack(size, 0.97), schema), f"pack{salt}", old)
-        final = salt == rounds
-        kept = packed if final else packed.filter(~F.col("again"))
-        done = kept if done is None else done.unionByName(kept)
-        if final:
-            break
+        parts = max(1, -(-left.count() // part_pieces))
+        todo = left.withColumn("part", (F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(parts)) + F.lit(salt << 32)).cast("bigint")).repartition(parts, "part")
+        packed = materialise(todo.groupBy("part").applyInPandas(_pack(size, 0.97), _PACKED), f"pack{salt}", scratch)
+        made = packed.groupBy("part").agg(F.first("bins").alias("bins")).agg(F.sum("bins")).first()[0] or 0
         again = packed.filter("again")
-        count = again.count()
-        if not count:
+        open_bins = again.select("part", "bin").distinct().count()
+        if salt == rounds or made == before or not open_bins or parts == 1 and salt:
+            done.append(packed)
             break
-        left = again.select("row", "length", (F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("old_bin"))
+        done.append(packed.filter(~F.col("again")))
+        before = open_bins
         # all pieces of an old bin travel together, so that the old packing can stand if it is no worse
-        parts = max(1, -(-count // part_pieces))
-        deal = lambda df, p, salt: df.withColumn("part", (F.pmod(F.xxhash64("old_bin", F.lit(salt)), F.lit(p)) + F.lit(salt << 32)).cast("bigint"))
-    return done.select("row", (F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset", F.col("bins").alias("part_bins"), F.col("bound").alias("part_bound"))
+        left, key = again.select("row", "length", (F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("old_bin")), "old_bin"
+    every = done[0]
+    for d in done[1:]:
+        every = every.unionByName(d)
+    return every.select("row", (F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset", F.col("bins").alias("part_bins"), F.col("bound").alias("part_bound"))
 
 
 def op10(docs: DataFrame, tokenizer: str | None = None, size: int = 2048) -> DataFrame:
@@ -256,5 +255,9 @@ def op10(docs: DataFrame, tokenizer: str | None = None, size: int = 2048) -> Dat
     A null text is empty and is one token (id 0).  Repeated rows are documents of their own; a null
     doc_id stays null.  Columns but the id and the text are left out.  No documents, no rows.
     """
-    cut = materialise(pieces(docs, tokenizer or default_tokenizer(), size), "pieces")
-    return cut.join(pack(cut.select("row", "length"), size), "row").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "part_bins", "part_bound")
+    scratch: list[str] = []
+    cut = materialise(pieces(docs, tokenizer or default_tokenizer(), size), "pieces", scratch)
+    out = cut.join(pack(cut.select("row", "length"), size, scratch=scratch), "row").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "part_bins", "part_bound")
+    packed = materialise(out, "packed")
+    drop_scratch(docs.sparkSession, scratch)
+    return packed
