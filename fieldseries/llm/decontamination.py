@@ -14,13 +14,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import BATCH_ROWS
+from .common import BATCH_ROWS, drop_scratch, materialise
 from .fm_index import FMIndex
 from .textcore import ALNUM, mix, runs, string_buffers, word_hashes
 
@@ -29,6 +31,8 @@ WINDOW = 13
 BLOCK_BYTES = 8 << 20
 #: Candidate words and documents in a shard's index, about.
 SHARD_WORDS, SHARD_DOCS = 1 << 20, 20_000
+#: Bytes of rows that wait for their shard, about.
+SHARD_BYTES = 16 << 20
 _FILTER_BITS = 22
 
 
@@ -60,22 +64,21 @@ def phrases(rows: list[tuple[object, str | None]], size: int = WINDOW) -> Phrase
     near = np.zeros(1 << _FILTER_BITS, bool)
     together = doc[1:] == doc[:-1]
     near[_pair(ids[:-1][together], ids[1:][together])] = True
-    names = sorted({k for k, _ in rows})
-    number = {k: i for i, k in enumerate(names)}
-    found: dict[tuple, set[int]] = {}
+    names, number = np.unique(np.array([k for k, _ in rows], object), return_inverse=True) if rows else (np.zeros(0, object), np.zeros(0, np.int64))
     count = np.bincount(doc, minlength=len(rows))
-    at = np.cumsum(count) - count
-    for d, n in enumerate(count):
-        seq = ids[at[d] : at[d] + n].tolist()
-        for w in range(max(0, n - size) + 1 if n else 0):
-            found.setdefault(tuple(seq[w : w + size]), set()).add(number[rows[d][0]])
-    keys = sorted(found)
-    windows = np.zeros((len(keys), size), np.int64)
-    lengths = np.array([len(k) for k in keys], np.int64)
-    for i, k in enumerate(keys):
-        windows[i, : len(k)] = k
-    owners = [sorted(found[k]) for k in keys]
-    return Phrases(vocabulary, near, windows, lengths, names, np.cumsum([0, *map(len, owners)]), np.array([o for x in owners for o in x], np.int64), int(lengths.min()) if len(keys) else 1 << 30)
+    starts = _ranges(np.where(count > 0, np.maximum(1, count - size + 1), 0))
+    owner = np.repeat(np.arange(len(rows)), np.where(count > 0, np.maximum(1, count - size + 1), 0))
+    length = np.minimum(count[owner], size)
+    place = (np.cumsum(count) - count)[owner] + starts
+    rows_of = np.zeros((len(owner), size), np.int32 if len(vocabulary) < 1 << 31 else np.int64)
+    for k in range(size):
+        some = length > k
+        rows_of[some, k] = ids[place[some] + k]
+    windows, which = np.unique(rows_of, axis=0, return_inverse=True) if len(owner) else (rows_of, np.zeros(0, np.int64))
+    pair = np.unique(np.stack([which.reshape(-1), number[owner]], 1), axis=0) if len(owner) else np.zeros((0, 2), np.int64)
+    first = np.r_[0, np.cumsum(np.bincount(pair[:, 0], minlength=len(windows)))]
+    lengths = (windows > 0).sum(1)
+    return Phrases(vocabulary, near, windows.astype(np.int64), lengths, names.tolist(), first, pair[:, 1], int(lengths.min()) if len(windows) else 1 << 30)
 
 
 def candidates(p: Phrases, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -129,7 +132,7 @@ def occurrences(p: Phrases, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return index.locate(np.repeat(lo, n) + _ranges(n)), window
 
 
-_SCHEMA = "row bigint, doc_id {kind}, n_words bigint, spans array<struct<first_word:bigint,end_word:bigint,first_byte:bigint,end_byte:bigint>>, items array<string>"
+_FOUND = "n_words bigint, spans array<struct<first_word:bigint,end_word:bigint,first_byte:bigint,end_byte:bigint>>, items array<string>"
 _SPAN = pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()), ("first_byte", pa.int64()), ("end_byte", pa.int64())])
 
 
@@ -162,11 +165,11 @@ def _shard(p: Phrases, rows: pa.Array, ids: pa.Array, total: np.ndarray, parts:
 
 
 def _search_block(docs: DataFrame, p: Phrases) -> DataFrame:
-    kind = dict(docs.dtypes)["doc_id"]
+    schema = StructType([*docs.select("row", "doc_id").schema.fields, *StructType.fromDDL(_FOUND).fields])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        words = n = 0
+        words = n = size = 0
 
         def flush() -> pa.RecordBatch:
             shift = np.cumsum([0, *(len(h[2]) for h in held)])
@@ -180,38 +183,52 @@ def _search_block(docs: DataFrame, p: Phrases) -> DataFrame:
                 part = batch.slice(at, BATCH_ROWS)
                 total, found = candidates(p, *string_buffers(part.column(2)))
                 held.append((part.column(0), part.column(1), total, found))
-                words, n = words + len(found[0]), n + len(total)
-                if words >= SHARD_WORDS or n >= SHARD_DOCS:
+                words, n, size = words + len(found[0]), n + len(total), size + part.column(1).nbytes
+                if words >= SHARD_WORDS or n >= SHARD_DOCS or size >= SHARD_BYTES:
                     yield flush()
-                    words = n = 0
+                    words = n = size = 0
         if held:
             yield flush()
 
-    return docs.mapInArrow(task, _SCHEMA.format(kind=kind))
+    return docs.mapInArrow(task, schema)
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> list[list[tuple[object, str | None]]]:
-    """The benchmark's rows in blocks of about `limit` bytes of text, one block in memory at a time on the way."""
+def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[object, str | None]]]:
+    """The benchmark's rows in blocks of about `limit` bytes of text; one block is on the driver at a time."""
     b = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and text is not null")
     size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // limit))
-    if n == 1:
-        return [[(r.item_id, r.text) for r in b.collect()]]
-    return [[(r.item_id, r.text) for r in b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()] for k in range(n)]
+    for k in range(n):
+        yield [(r.item_id, r.text) for r in (b if n == 1 else b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)).collect()]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, spans (merged, in words and bytes of the text), items: one row a row of docs."""
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = [_search_block(read, phrases(b, window)) for b in blocks(benchmark)]
-    if len(found) == 1:
-        return found[0].drop("row")
-    # a pass a block; a row number depends on the input's splits only, so the passes agree
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    merged = every.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return merged.drop("row")
+    """doc_id, n_words, spans (merged, in words and bytes of the text), items: one row a row of docs.
+
+    A benchmark of one block takes one pass.  With more, the texts are numbered in a written table, so that a row has
+    the same number in every pass, and each pass is written before the next block is read.
+    """
+    read = docs.select(F.lit(0).cast("bigint").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    parts = blocks(benchmark)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        return _search_block(read, phrases(first, window)).drop("row")
+    scratch: list[str] = []
+    read = materialise(read.withColumn("row", F.monotonically_increasing_id()), "numbered", scratch)
+    texts = read.select("row", F.lit(None).cast("bigint").alias("doc_id"), "text")
+    passes = []
+    block, rest = first, chain([second], parts)
+    while block is not None:
+        found = _search_block(texts, phrases(block, window))
+        passes.append(materialise(found.filter(F.size("items") > 0).select("row", "spans", "items") if passes else found.drop("doc_id"), "pass", scratch))
+        block = next(rest, None)
+    every = passes[0]
+    for p in passes[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    merged = every.groupBy("row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    out = materialise(read.select("row", "doc_id").join(merged, "row").drop("row"), "found")
+    drop_scratch(docs.sparkSession, scratch)
+    return out
 
 
 def n_hit() -> Column:
