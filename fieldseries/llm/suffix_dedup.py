@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from .common import Bloom, bloom, drop_scratch, map_batches, materialise
 from .induced_sort import sort_suffixes
@@ -56,13 +57,13 @@ def anchors(raw: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[n
     width = length - k + 1
     sums = prefix_hash(raw)
     h = mix((sums[k:] - sums[:-k]) * powers(_RINV, len(sums), "i")[: len(raw) - k + 1])
-    small = (h >> np.uint64(32)).astype(np.uint32)
+    small = np.maximum(h >> np.uint64(32), np.uint64(1)).astype(np.uint32)  # 0 stands for places outside
     least = _slide(small, width, np.minimum)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     at = np.arange(len(least))
     inside = bounds[doc[: len(least)] + 1] - at >= length
     shown = np.concatenate([np.zeros(width - 1, np.uint32), np.where(inside, least, 0), np.zeros(width - 1, np.uint32)])
-    place = np.flatnonzero((_slide(shown, width, np.maximum)[: len(small)] == small) & (small > 0))
+    place = np.flatnonzero(_slide(shown, width, np.maximum)[: len(small)] == small)
     of = doc[place]
     # the windows of an anchor stand next to each other; its context is what they reach
     mine = np.lib.stride_tricks.sliding_window_view(shown, width)[place] == small[place][:, None]
@@ -268,30 +269,31 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scrat
 
 
 def with_spans(docs: DataFrame, finish: Callable[[bytes, list[tuple[int, int]]], tuple], schema: str, length: int = LENGTH, scratch: list[str] | None = None) -> DataFrame:
-    """Rows (id, *finish(text, spans)) for every row of docs (id, text); finish gets the whole text and its spans."""
-    kind = dict(docs.dtypes)["id"]
+    """Rows (row, *finish(text, spans)) for every row of docs (id, text, row); finish gets the whole text and its spans.
+
+    row goes along with its text and is no key of anything, so it may be of any type.
+    """
+    kind = docs.schema["row"].dataType
     used: list[str] = []
-    spans = materialise(repeated_spans(docs, length, scratch=used), "spans", scratch)
+    spans = materialise(repeated_spans(docs.select("id", "text"), length, scratch=used), "spans", scratch)
     drop_scratch(spans.sparkSession, used)
     known = bloom(spans, "d0")
 
     def split(batch: pa.RecordBatch) -> pa.RecordBatch:
         key = _digests(*string_buffers(batch.column(1)))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(known.may_hold(key[:, 0]))], ["id", "text", "d0", "d1", "maybe"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(known.may_hold(key[:, 0]))], ["row", "text", "d0", "d1", "maybe"])
 
-    names = ["id", *(c.split()[0] for c in schema.split(", "))]
-    target = spans.sparkSession.createDataFrame([], f"id {kind}, {schema}").schema
-    arrow = [f.type for f in to_arrow_schema(target)]
+    full = StructType([StructField("row", kind), *StructType.fromDDL(schema).fields])
+    names, arrow = full.names, [f.type for f in to_arrow_schema(StructType(full.fields[1:]))]
 
     def done(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [finish((text or "").encode(), [(s["a"], s["b"]) for s in found or ()]) for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        columns = [pa.array([row[i] for row in out], t) for i, t in enumerate(arrow[1:])]
+        columns = [pa.array([row[i] for row in out], t) for i, t in enumerate(arrow)]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
-    read = map_batches(docs, split, f"id {kind}, text string, d0 bigint, d1 bigint, maybe boolean")
-    full = f"id {kind}, {schema}"
-    clean = map_batches(read.filter("not maybe").select("id", "text", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans")), done, full)
-    met = read.filter("maybe").join(spans, ["d0", "d1"], "left").select("id", "text", "spans")
+    read = map_batches(docs.select("row", "text"), split, StructType([StructField("row", kind), *StructType.fromDDL("text string, d0 bigint, d1 bigint, maybe boolean").fields]))
+    clean = map_batches(read.filter("not maybe").select("row", "text", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans")), done, full)
+    met = read.filter("maybe").join(spans, ["d0", "d1"], "left").select("row", "text", "spans")
     return clean.unionByName(map_batches(met, done, full))
 
 
@@ -314,8 +316,8 @@ def op3(docs: DataFrame) -> DataFrame:
     def finish(text: bytes, spans: list[tuple[int, int]]) -> tuple:
         return len(text), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept(text, spans)).hexdigest()
 
-    read = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return with_spans(read, finish, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string").withColumnRenamed("id", "doc_id")
+    read = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").alias("row"))
+    return with_spans(read, finish, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string").withColumnRenamed("row", "doc_id")
 
 
 def whole_characters(text: bytes, a: int, b: int) -> tuple[int, int]:
@@ -337,8 +339,9 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return (kept(text, [whole_characters(text, a, b) for a, b in spans]).decode(),)
 
     names = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    out = with_spans(row, finish, "left_text string", length)
-    text = F.when(F.col("id.text").isNotNull(), F.col("left_text"))
-    new = {"text": text, "n_chars": F.when(F.col("id.text").isNotNull(), F.length("left_text").cast(dict(docs.dtypes).get("n_chars", "bigint")))}
-    return out.select(*[new.get(c, F.col("id").getField(c)).alias(c) for c in names])
+    others = F.struct(*[F.col(f"`{c}`") for c in names if c not in ("text", "n_chars")])
+    row = F.struct(F.col("text").isNull().alias("none"), others.alias("others"))
+    out = with_spans(docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), row.alias("row")), finish, "left_text string", length)
+    there = ~F.col("row.none")
+    new = {"text": F.when(there, F.col("left_text")), "n_chars": F.when(there, F.length("left_text").cast(dict(docs.dtypes).get("n_chars", "bigint")))}
+    return out.select(*[new[c].alias(c) if c in new else F.col("row.others").getField(c).alias(c) for c in names])
