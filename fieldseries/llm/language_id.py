@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, map_batches
+from .common import fold, map_batches, sampled_texts
 from .textcore import mix, runs, string_buffers
 
 #: Training documents, at most.
@@ -154,11 +154,8 @@ def predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
 
 def train(docs: DataFrame, n: int = SAMPLE) -> Model:
     """Fit on at most n documents with a language, none of the held-out fold; equal ids count once."""
-    known = docs.select("doc_id", "lang").filter((fold("doc_id", 4) != 2) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    few = F.broadcast(bounded_sample(known.groupBy("doc_id").agg(F.min("lang").alias("y")), "doc_id", n))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(few, "doc_id")
-    rows = texts.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("x")).select("doc_id", "x.*").collect()
-    return fit([(r.text, r.y) for r in sorted(rows, key=lambda r: r.doc_id)])
+    known = docs.select(F.col("doc_id").alias("k"), "lang").filter((fold("k", 4) != 2) & F.col("k").isNotNull() & F.col("lang").isNotNull())
+    return fit(sampled_texts(docs, known.groupBy("k").agg(F.min("lang").alias("y")), n))
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -146,12 +146,14 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> dict[str, float]:
     clean = len(rows) - toxic
     around: dict[str, set] = defaultdict(set)
     seen: list[Counter] = [Counter(), Counter()]
+    number: dict[str, int] = {"": 0}
     for text, y in rows:
         words = _sequence(text)
         seen[y].update(set(words))
         if y:
-            for a, w, b in zip(["", *words], words, [*words[1:], ""], strict=False):
-                around[w].add((a, b))
+            ids = [0, *[number.setdefault(w, len(number)) for w in words], 0]
+            for w, a, b in zip(words, ids, ids[2:], strict=False):
+                around[w].add(a << 32 | b)
     odds = lambda p, n: math.log((p + 0.5) / (toxic + 1)) - math.log((n + 0.5) / (clean + 1))
     stems: dict[str, list] = defaultdict(lambda: [0, 0, 0, 0])  # support, words, toxic rows, clean rows (at most)
     # support that chance gives no word of the vocabulary, were toxic rows any rows
