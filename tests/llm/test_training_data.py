@@ -64,6 +64,34 @@ def test_licences(spark, odd, empty):
     assert license_scan.op1(odd).count() == odd.count() and license_scan.op1(empty).count() == 0
 
 
+def brute_licences(ids):
+    """Each rule tried again and again on what is left, by plain search."""
+    left, found = list(ids), {x[5:] for x in ids if x.startswith("SPDX-")}
+    for name, need in license_scan.RULES:
+        while True:
+            at, claim = 0, []
+            for x in need:
+                if x not in left[at:]:
+                    break
+                at = left.index(x, at) + 1
+                claim.append(at - 1)
+            if len(claim) < len(need):
+                break
+            found.add(name)
+            left = [x for i, x in enumerate(left) if i not in claim]
+    return sorted(found), sum(not x.startswith("SPDX-") for x in left)
+
+
+def test_licence_rules_claim_sequences():
+    rng = np.random.default_rng(3)
+    known = sorted({x for _, need in license_scan.RULES for x in need}) + ["UNKNOWN", "SPDX-MIT"]
+    for n in (0, 1, 5, 40, 200):
+        for _ in range(30):
+            ids = [known[i] for i in rng.integers(0, rng.integers(2, len(known) + 1), n)]
+            assert license_scan.match(ids) == brute_licences(ids)
+    assert license_scan.match(["GPLgrant"] + ["AllRights"] * 300_000) == ([], 300_001)
+
+
 def test_licence_rules_by_hand(docs):
     """The stated sentences and rules applied to each text in plain Python."""
     for (_, text), r in zip(sorted(texts(docs)), license_scan.op1(docs).orderBy("doc_id").collect(), strict=True):
@@ -74,6 +102,7 @@ def test_licence_rules_by_hand(docs):
             if name or re.search(license_scan.LICENCE_WORDS, s.lower()):
                 ids.append(name or "UNKNOWN")
         assert r.license_sentences == ",".join(ids)
+        assert (r.licenses.split(",") if r.licenses else [], r.n_unknown) == brute_licences(ids)
 
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -114,10 +143,36 @@ but WITHOUT ANY WARRANTY; without even the implied warranty of
 FITNESS FOR A PARTICULAR PURPOSE."""
 
 
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE."""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software.
+2. Altered source versions must be plainly marked as such.
+3. This notice may not be removed or altered from any source distribution."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any means."""
+
+
 def test_standard_notices(spark):
     """As they are usually written: wrapped, behind comment marks, or on one line."""
     bsd2 = BSD[: BSD.index("3. ")]
-    notices = {"MIT": MIT, "BSD-3-Clause": BSD, "BSD-2-Clause": bsd2, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "GPL-2.0-or-later": GPL.replace("version 3", "version 2").replace("software:", "software;")}
+    library, lesser = GPL.replace("program", "library"), "GNU Lesser General"
+    more = {"LGPL-2.1-or-later": library.replace("GNU General", lesser).replace("version 3", "version 2.1"), "LGPL-3.0-or-later": library.replace("GNU General", lesser), "AGPL-3.0-or-later": GPL.replace("GNU General", "GNU Affero General"), "ISC": ISC, "Zlib": ZLIB, "Unlicense": UNLICENSE}
+    notices = more | {"MIT": MIT, "BSD-3-Clause": BSD, "BSD-2-Clause": bsd2, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "GPL-2.0-or-later": GPL.replace("version 3", "version 2").replace("software:", "software;")}
     rows, expected = [], []
     for name, notice in notices.items():
         for form in (notice, notice.replace("\n", "\r\n"), "\n".join(f"// {x}" for x in notice.split("\n")), "/*\n" + "\n".join(f" * {x}".rstrip() for x in notice.split("\n")) + "\n */\nint main()", " ".join(notice.split()), notice.replace("1. ", "(a) ").replace("2. ", "(b) ").replace("3. ", "c) ")):
@@ -130,8 +185,8 @@ def test_standard_notices(spark):
             expected.append((names, 0))
     rows += [(len(rows), "Released under the\nMIT License.\nmore"), (len(rows) + 1, "Released under the MIT License\nmore"), (len(rows) + 2, "Released under the MIT License or another one")]
     expected += [(["MIT"], 0), (["MIT"], 0), ([], 1)]
-    rows += [(len(rows) + k, x) for k, x in enumerate(("\n" * 200_000, "-" * 200_000, GPL[:40] + " a-\n" * 100_000))]  # in time in proportion
-    expected += [([], 0)] * 3
+    rows += [(len(rows) + k, x) for k, x in enumerate(("\n" * 200_000, "-" * 200_000, GPL[:40] + " a-\n" * 100_000, "All rights reserved.\n" * 50_000))]  # in time in proportion
+    expected += [([], 0)] * 3 + [([], 50_000)]
     got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
     for (_, text), r, e in zip(rows, got, expected, strict=True):
         assert (r.licenses, r.n_unknown) == e, (text, r.sentences)
@@ -153,17 +208,58 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     note = "this site uses words that every page repeats in full"
     rows = [(k, f"http://h.example/{k}", f"<div><p>{note}</p><p>unique text of page number {k} with words {k * k} {k + 1} {k + 2}</p></div>", "x") for k in range(5)]
     rows += [(9, None, None, None), (10, "nonsense", "", None), (11, "http://one.example", "<p>a&lt;b <i>c</i>d<p>e", None), (12, "http://h.example/x", f"<article><p>{note}</p><aside>no</aside><div class='comments'>no</div></article><p>no</p>", None)]
+    copy = "two rows of one page are no reason to take its text away from it"
+    rows += [(k, "http://copy.example/", f"<p>{copy}</p>", None) for k in (20, 21, 22)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
-    for shard in (2_000, 2):  # also when the repeats lie in different shards
-        old, html_text.SHARD_PAGES = html_text.SHARD_PAGES, shard
-        html_text.host_runs.__defaults__ = (html_text.LEAST_TOKENS, shard)
-        got = {r.page_id: r.text for r in html_text.op2(df).collect()}
-        html_text.SHARD_PAGES = old
-        html_text.host_runs.__defaults__ = (html_text.LEAST_TOKENS, old)
-        assert got == {**{k: f"unique text of page number {k} with words {k * k} {k + 1} {k + 2}" for k in range(5)}, 9: "", 10: "", 11: "a<b cd\n\ne", 12: note}
+    expected = {**{k: f"unique text of page number {k} with words {k * k} {k + 1} {k + 2}" for k in range(5)}, 9: "", 10: "", 11: "a<b cd\n\ne", 12: note, 20: copy, 21: copy, 22: copy}
+    for shard in (1, 300, 2 << 20):  # also when the repeats lie in different shards
+        assert {r.page_id: r.text for r in html_text.main_text(df, shard_bytes=shard).collect()} == expected
     assert html_text.op2(df.limit(0)).count() == 0
 
 
+def brute_main_text(pages, least, least_pages):
+    """Every window of every page counted in sets."""
+    host = lambda u: (m := re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", u or "")) and m[1].lower() or ""
+    cut = {h: html_text.page_blocks(h) for _, _, h in pages}
+    tokens = lambda part: part.split(" ")
+    windows = lambda t: [tuple(t[i : i + least]) for i in range(len(t) - least + 1)]
+    on, all_pages = collections.defaultdict(set), collections.defaultdict(set)
+    for _, u, h in pages:
+        if h is not None:
+            all_pages[host(u)].add(h)
+            for part in cut[h][1]:
+                for w in windows(tokens(part)):
+                    on[host(u), w].add(h)
+    out = {}
+    for k, u, h in pages:
+        marked, parts = cut[h]
+        n, flags = len(all_pages[host(u)]), []
+        for part in parts:
+            f = [False] * len(tokens(part))
+            for i, w in enumerate(windows(tokens(part))):
+                if len(on[host(u), w]) >= least_pages and 2 * len(on[host(u), w]) > n:
+                    f[i : i + least] = [True] * least
+            flags.append(f)
+        if marked and 2 * sum(map(sum, flags)) > sum(map(len, flags)):
+            flags = [[False] * len(f) for f in flags]
+        left = [" ".join(t for t, gone in zip(tokens(p), f, strict=True) if not gone) for p, f in zip(parts, flags, strict=True)]
+        out[k] = "\n\n".join(x for x in left if x)
+    return out
+
+
+def test_host_runs_against_brute_force(spark):
+    pages = [(r.page_id, r.url, r.html) for r in table(spark, SF, "pages").collect()]
+    frame = lambda k: f"<p>read more of this site each day in spring</p><p>{k % 3 and 'the second frame of the site stands on two pages of three'}</p>"
+    bare = [(k, f"http://h{k % 4}.example/{k}", re.sub(r"</?(?:article|nav|footer)>", "", h).replace("<body>", "<body>" + frame(k))) for k, (_, _, h) in enumerate(pages)]
+    framed = [(len(bare) + k, f"http://m{k % 4}.example/{k}", h.replace("<article>", "<article>" + frame(k))) for k, (_, _, h) in enumerate(pages)]
+    rows = bare + framed + [(-1, *bare[0][1:])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    expected = brute_main_text(rows, 6, 3)
+    assert not any("read more of this site" in t for k, t in expected.items() if k < len(bare))
+    for shard in (5_000, 2 << 20):
+        assert {r.page_id: r.text for r in html_text.main_text(df, shard_bytes=shard).collect()} == expected
+
+
 def test_names_do_not_drop_the_article(spark):
     long = "the main text of this page is longer than what stands around it and must stay whole"
     pages = [
@@ -176,7 +272,8 @@ def test_names_do_not_drop_the_article(spark):
         f'<div><p>{long}</p></div><article class="card">teaser</article>',
         f'<p>{long} <span class="ad">buy</span> end</p>',
     ]
-    expected = [long] * 6 + [f"{long}\n\nteaser", f"{long} end"]
+    pages.append(f'<article><h2 class="section-header">head</h2><p class="social-history">{long}</p><div class="table-form">rows</div><p class="search-results">found</p><p id="alert">note</p><div class="share">no</div></article>')
+    expected = [long] * 6 + [f"{long}\n\nteaser", f"{long} end", f"head\n\n{long}\n\nrows\n\nfound\n\nnote"]
     df = spark.createDataFrame([(k, f"http://h{k}.example/", x) for k, x in enumerate(pages)], "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.op2(df).collect()}
     assert got == dict(enumerate(expected))
