@@ -2,14 +2,14 @@
 
 A document is the set of its distinct word shingles.  If two sets have a Jaccard similarity of at
 least t, then under *any* global order of the shingles their prefixes (the first n - ceil(t*n) + 1)
-share one.  All orders here put shingles first that stand in one document only: no other prefix can
+share one.  All orders here put shingles first that one set only holds: no other prefix can
 hold those, so what is left of a prefix is short, and most documents have nothing left at all.  The
 first order goes on by document frequency, the others by a permutation each.  Candidates share a
 prefix shingle under the first order and must share one under every other order too; only what
 passes all of them is verified on the full sets.
 
 1. Documents become batches of shingles, dealt to buckets by the shingle.  A bucket counts them and
-   sends back those that it has seen twice; a batch then knows its prefixes and, of documents that
+   sends back those that different sets hold; a batch then knows its prefixes and, of documents that
    still have one, all shingles that can be in an intersection.  Shingles so frequent that they would
    fill a bucket are known from a sketch and stay with their batch.
 2. Equal sets are one class from the start.  Each prefix shingle names one leader, the class that has
@@ -41,6 +41,8 @@ REPORT = 1_000_000
 PART, SPREAD = 2_000_000, 4
 #: Least number of times that a frequent shingle is seen before it stays out of the buckets.
 FREQUENT = 1_000
+#: Shingles in a row that goes to a bucket, at most.
+ROW = 4_096
 SKETCH = ["p0", "p1", "p2", "p3"]
 
 
@@ -128,7 +130,7 @@ def _sketches(token: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, 256), axis=1).view(np.int64)
 
 
-_BLOBS = "bucket int, batch bigint, docs binary, high binary, low binary, at binary, level binary"
+_BLOBS = "bucket int, batch bigint, docs binary, high binary, low binary, at binary, who binary, level binary"
 
 
 def _batch_rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -139,7 +141,8 @@ def _batch_rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> DataFrame:
     """The shingles of batches of documents, a row a batch and bucket: the upper 48 bits of each and the document in
-    the batch (classes that a batch holds already are left out).
+    the batch, and for each run of one document a short form of its class.  Classes that a batch holds already are
+    left out.
 
     One more row a batch has its classes, their sizes and sketches, and the frequent shingles with their levels.
     """
@@ -157,15 +160,19 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
         token >>= np.uint64(16)
         often = level > 0
         parts = lambda t, a: ((t >> np.uint64(16)).astype(np.uint32).tobytes(), (t & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), a.tobytes())
+        short = (cls[first] >> 16).astype(np.int32)
         meta = cls[first].tobytes() + n[first].astype(np.int64).tobytes() + sketch[first].tobytes()
-        rows = [(batch % buckets, batch, meta, *parts(token[often], at[often]), level[often].tobytes())]
+        rows = [(batch % buckets, batch, meta, *parts(token[often], at[often]), None, level[often].tobytes())]
         token, at = token[~often], at[~often]
         bucket = (token % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         order = np.argsort(bucket, kind="stable")
         token, at, bucket = token[order], at[order], bucket[order]
         cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-        for a, b in zip(cut, [*cut[1:], len(token)], strict=True):
-            rows.append((int(bucket[a]), batch, None, *parts(token[a:b], at[a:b]), None))
+        for start, end in zip(cut, [*cut[1:], len(token)], strict=True):
+            for a in range(start, end, ROW):
+                own = at[a : min(end, a + ROW)]
+                who = short[own[np.flatnonzero(np.r_[True, own[1:] != own[:-1]])]]
+                rows.append((int(bucket[a]), batch, None, *parts(token[a : min(end, a + ROW)], own), who.tobytes(), None))
             if len(rows) >= 256:
                 yield _batch_rows(_BLOBS, rows)
                 rows = []
@@ -191,8 +198,28 @@ def _tokens(high: bytes, low: bytes) -> np.ndarray:
     return np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)
 
 
+def _classes_of(at: bytes, who: bytes) -> np.ndarray:
+    """The short class of each shingle of a row; who has one for each run of a document."""
+    at = np.frombuffer(at, np.uint16)
+    run = np.cumsum(np.r_[True, at[1:] != at[:-1]]) - 1
+    return np.frombuffer(who, np.int32)[run]
+
+
+def levels_of(token: np.ndarray, who: np.ndarray) -> np.ndarray:
+    """The level of each shingle by its count; 0 if one class only has it."""
+    order = np.argsort(token)
+    token, who = token[order], who[order]
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    count = np.diff(np.append(first, len(token)))
+    shared = np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)
+    out = np.empty(len(token), np.uint8)
+    out[order] = np.repeat(np.where(shared, _level(count), 0).astype(np.uint8), count)
+    return out
+
+
 def _counted(blobs: DataFrame, parts: int) -> DataFrame:
-    """The same rows with the level of each shingle by its count; shingles seen once are left out.  A bucket is in one task."""
+    """The same rows with the level of each shingle by its count; shingles of one class only are left out.  A bucket is
+    in one task."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -201,19 +228,17 @@ def _counted(blobs: DataFrame, parts: int) -> DataFrame:
             if known.num_rows:
                 yield known
             rest = rows.filter(rows.column("level").is_null())
-            held += zip(*(rest.column(c).to_pylist() for c in ("batch", "high", "low", "at")), strict=True)
+            held += zip(*(rest.column(c).to_pylist() for c in ("batch", "high", "low", "at", "who")), strict=True)
         if not held:
             return
-        tokens = [_tokens(high, low) for _, high, low, _ in held]
-        _, inverse, count = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
-        level = _level(count)[inverse]
+        level = levels_of(np.concatenate([_tokens(h[1], h[2]) for h in held]), np.concatenate([_classes_of(h[3], h[4]) for h in held]))
         end, out = 0, []
-        for (batch, high, low, at), token in zip(held, tokens, strict=True):
-            own = level[end : end + len(token)]
-            end += len(token)
+        for batch, high, low, at, _ in held:
+            own = level[end : end + len(at) // 2]
+            end += len(at) // 2
             more = np.flatnonzero(own)
             if len(more):
-                out.append((0, batch, None, np.frombuffer(high, np.uint32)[more].tobytes(), np.frombuffer(low, np.uint16)[more].tobytes(), np.frombuffer(at, np.uint16)[more].tobytes(), own[more].tobytes()))
+                out.append((0, batch, None, np.frombuffer(high, np.uint32)[more].tobytes(), np.frombuffer(low, np.uint16)[more].tobytes(), np.frombuffer(at, np.uint16)[more].tobytes(), None, own[more].tobytes()))
             if len(out) >= 256:
                 yield _batch_rows(_BLOBS, out)
                 out = []
