@@ -1,8 +1,9 @@
 """Temporal attribution: which deployment, port and station a reading belonged to.
 
-A device has few windows, so they are gathered into one ordered array a device and joined by key;
-the window of a reading is then picked inside the row.  Readings are never multiplied, need no id and
-are shuffled at most once a key; nothing assumes a small side, so Spark broadcasts when sizes allow.
+Time is cut into slices.  A window is dealt to the slices that it touches, the windows of a key and slice are
+gathered into one ordered array, and readings meet that array by key and slice; the window of a reading is picked
+inside the row.  Readings are never multiplied and need no id, a key's readings are spread over its
+slices, and no array grows with a key's history.  Nothing assumes a small side.
 """
 
 from __future__ import annotations
@@ -10,16 +11,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Days in a slice.
+SLICE = 90
+
 
 def covers(w: Column, t: Column) -> Column:
     """Half-open containment; a null end is open."""
     return (w["starts"] <= t) & (w["ends"].isNull() | (t < w["ends"]))
 
 
+def slice_of(t: Column) -> Column:
+    return F.floor(F.unix_micros(t) / F.lit(SLICE * 86_400_000_000))
+
+
+def sliced(windows: DataFrame, readings: DataFrame, when: str) -> DataFrame:
+    """Each window once for every slice that it shares with the readings' span."""
+    span = readings.agg(F.min(slice_of(F.col(when))).alias("_a"), F.max(slice_of(F.col(when))).alias("_b")).withColumn("_one", F.lit(1))
+    w = windows.filter(F.col("starts").isNotNull()).withColumn("_one", F.lit(1)).join(F.broadcast(span), "_one")  # a single row
+    first, last = F.greatest(slice_of(F.col("starts")), F.col("_a")), F.least(F.coalesce(slice_of(F.col("ends")), F.col("_b")), F.col("_b"))
+    return w.filter(first <= last).withColumn("_slice", F.explode(F.sequence(first, last))).drop("_one", "_a", "_b")
+
+
 def gather(windows: DataFrame, keys: list[str], order: list[str], fields: list[str], name: str = "_ws") -> DataFrame:
-    """One row a key with its windows in order; fields that are also in order are not doubled."""
+    """One row a key and slice with its windows in order; fields that are also in order are not doubled."""
     cols = [*order, *(f for f in fields if f not in order)]
-    return windows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(name))
+    return windows.groupBy(*keys, "_slice").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(name))
+
+
+def _pick(windows: Column, which: str) -> Column:
+    return F.when(F.size(windows) > 0, F.try_element_at(windows, F.lit(-1 if which == "last" else 1)))
 
 
 def interval_join(readings: DataFrame, windows: DataFrame, keys: list[str], when: str, fields: list[str], order: list[str], pick: str = "last") -> DataFrame:
@@ -27,11 +47,9 @@ def interval_join(readings: DataFrame, windows: DataFrame, keys: list[str], when
 
     Among several the last (or first) in `order` wins.  Columns of windows other than fields stay out.
     """
-    ws = gather(windows.filter(F.col("starts").isNotNull()), keys, order, [*fields, "starts", "ends"])
-    joined = readings.join(ws, keys, "left")
-    hit = F.filter("_ws", lambda w: covers(w, F.col(when)))
-    chosen = F.try_element_at(hit, F.lit(-1 if pick == "last" else 1))
-    out = joined.withColumn("_w", F.when(F.size(hit) > 0, chosen)).drop("_ws")
+    ws = gather(sliced(windows, readings, when), keys, order, [*fields, "starts", "ends"])
+    joined = readings.withColumn("_slice", slice_of(F.col(when))).join(ws, [*keys, "_slice"], "left")
+    out = joined.withColumn("_w", _pick(F.filter("_ws", lambda w: covers(w, F.col(when))), pick)).drop("_ws", "_slice")
     return out.withColumns({f: F.col("_w")[f] for f in fields}).drop("_w")
 
 
@@ -40,30 +58,50 @@ def resolve_by_device(readings: DataFrame, windows: DataFrame, when: str = "date
     return interval_join(readings, windows, ["device_serial"], when, ["station_id", "station_type", "unique_id"], ["station_type", "starts", "unique_id"])
 
 
+def _numbered(ports: DataFrame) -> DataFrame:
+    return ports if "win_seq" in ports.columns else ports.withColumn("win_seq", F.row_number().over(Window.partitionBy("device_serial", "port").orderBy("starts", "sensor")))
+
+
 def resolve_by_port(readings: DataFrame, windows: DataFrame, ports: DataFrame, when: str = "datetime") -> DataFrame:
     """Sensor, depth and type by port and time, then the station by device, type and time."""
-    seq = ports.withColumn("win_seq", F.row_number().over(Window.partitionBy("device_serial", "port").orderBy("starts", "sensor"))) if "win_seq" not in ports.columns else ports
-    on_port = interval_join(readings, seq, ["device_serial", "port"], when, ["sensor", "depth_cm", "type"], ["win_seq"])
+    on_port = interval_join(readings, _numbered(ports), ["device_serial", "port"], when, ["sensor", "depth_cm", "type"], ["win_seq"])
     typed = windows.withColumnRenamed("station_type", "type")
     return interval_join(on_port, typed, ["device_serial", "type"], when, ["station_id", "unique_id"], ["starts", "unique_id"])
 
 
+_FIELDS = ("station_id", "station_type", "unique_id")
+
+
+def _ranked(windows: DataFrame, first_type: str) -> DataFrame:
+    return windows.withColumn("rank", F.when(F.col("station_type") == first_type, 0).otherwise(1))
+
+
+def _at_device(windows: Column, ports: Column, when: str) -> Column:
+    """Windows that hold the time and whose type the device has a port of open then (any type, if it has no ports at all)."""
+    return F.filter(windows, lambda x: covers(x, F.col(when)) & (~F.col("_has") | F.exists(F.coalesce(ports, F.array()), lambda p: (p["type"] == x["station_type"]) & covers(p, F.col(when)))))
+
+
 def resolve_device_level(readings: DataFrame, windows: DataFrame, ports: DataFrame | None = None, first_type: str = "weather", when: str = "datetime") -> DataFrame:
     """Device-level measures: deployments of first_type come first, then by station; the first that holds wins.
 
     With ports, the device must also have a port of the deployment's type open at that time, unless
     it has no ports at all.
     """
-    w = windows.withColumn("rank", F.when(F.col("station_type") == first_type, 0).otherwise(1))
-    ws = gather(w, ["device_serial"], ["rank", "station_id", "starts", "unique_id"], ["station_type", "ends"])
-    joined = readings.join(ws, "device_serial", "left")
+    ws = gather(sliced(_ranked(windows, first_type), readings, when), ["device_serial"], ["rank", "station_id", "starts", "unique_id"], ["station_type", "ends"])
+    joined = readings.withColumn("_slice", slice_of(F.col(when))).join(ws, ["device_serial", "_slice"], "left")
     hold = F.filter("_ws", lambda x: covers(x, F.col(when)))
     if ports is not None:
-        ps = gather(ports, ["device_serial"], ["type", "starts"], ["ends"], "_ps")
-        joined = joined.join(ps, "device_serial", "left")
-        hold = F.filter(hold, lambda x: F.col("_ps").isNull() | F.exists("_ps", lambda p: (p["type"] == x["station_type"]) & covers(p, F.col(when))))
-    out = joined.withColumn("_w", F.when(F.size(hold) > 0, F.try_element_at(hold, F.lit(1)))).drop("_ws", "_ps")
-    return out.withColumns({f: F.col("_w")[f] for f in ("station_id", "station_type", "unique_id")}).drop("_w")
+        ps = gather(sliced(ports, readings, when), ["device_serial"], ["type", "starts"], ["ends"], "_ps")
+        joined = with_ports(joined, ports).join(ps, ["device_serial", "_slice"], "left")
+        hold = _at_device(F.col("_ws"), F.col("_ps"), when)
+    out = joined.withColumn("_w", _pick(hold, "first")).drop("_ws", "_ps", "_slice", "_has")
+    return out.withColumns({f: F.col("_w")[f] for f in _FIELDS}).drop("_w")
+
+
+def with_ports(readings: DataFrame, ports: DataFrame) -> DataFrame:
+    """readings with `_has`: whether the device has any port."""
+    has = ports.select("device_serial").distinct().withColumn("_has", F.lit(True))
+    return readings.join(has, "device_serial", "left").withColumn("_has", F.coalesce("_has", F.lit(False)))
 
 
 def depth_label(depth: Column) -> Column:
@@ -77,12 +115,24 @@ def attribute_readings(readings: DataFrame, windows: DataFrame, ports: DataFrame
     readings: device_serial, port, datetime, variable, depth (whether the variable needs one), device_level.
     Device-level variables take the prioritised path, devices with ports the port path, others the device path.
     """
-    has_ports = ports.select("device_serial").distinct().withColumn("_has", F.lit(True))
-    r = readings.join(has_ports, "device_serial", "left").withColumn("_has", F.coalesce("_has", F.lit(False)))
-    level = resolve_device_level(r.filter("device_level"), windows, ports).withColumns({"sensor": F.lit(None).cast("string"), "depth_cm": F.lit(None).cast("double")})
-    by_port = resolve_by_port(r.filter("not device_level and _has"), windows, ports).withColumnRenamed("type", "station_type")
-    plain = resolve_by_device(r.filter("not device_level and not _has"), windows).withColumns({"sensor": F.lit(None).cast("string"), "depth_cm": F.lit(None).cast("double")})
-    every = level.unionByName(by_port).unionByName(plain).drop("_has")
+    at, t = "datetime", F.col("datetime")
+    of_port = gather(sliced(_numbered(ports), readings, at), ["device_serial", "port"], ["win_seq"], ["sensor", "depth_cm", "type", "starts", "ends"], "_pw")
+    of_device = gather(sliced(ports, readings, at), ["device_serial"], ["type", "starts"], ["ends"], "_ps")
+    ws = gather(sliced(_ranked(windows, "weather"), readings, at), ["device_serial"], ["rank", "station_id", "starts", "unique_id"], ["station_type", "ends"])
+    # every reading meets the arrays once, whichever path it takes
+    r = with_ports(readings.withColumn("_slice", slice_of(t)), ports)
+    r = r.join(of_port, ["device_serial", "port", "_slice"], "left").join(of_device.join(ws, ["device_serial", "_slice"], "full"), ["device_serial", "_slice"], "left")
+    r = r.withColumn("_p", F.when(~F.col("device_level") & F.col("_has"), _pick(F.filter("_pw", lambda w: covers(w, t)), "last")))
+    now = F.filter("_ws", lambda w: covers(w, t))
+    ordered = lambda ws, *by: F.array_sort(F.transform(ws, lambda w: F.struct(*[w[c].alias(c) for c in by], w["station_id"].alias("station_id"), w["station_type"].alias("type"))))
+    flat = lambda w, kind, key: F.struct(w["station_id"].alias("station_id"), kind.alias("station_type"), key.alias("unique_id"))
+    by_type = _pick(ordered(F.filter(now, lambda w: w["station_type"] == F.col("_p.type")), "starts", "unique_id"), "last")
+    by_device = _pick(ordered(now, "station_type", "starts", "unique_id"), "last")
+    level = _pick(_at_device(F.col("_ws"), F.col("_ps"), at), "first")
+    r = r.withColumns({"_t": by_type, "_d": by_device, "_l": level})
+    chosen = F.when(F.col("device_level"), flat(F.col("_l"), F.col("_l.station_type"), F.col("_l.unique_id"))).when(F.col("_has"), flat(F.col("_t"), F.col("_p.type"), F.col("_t.unique_id"))).otherwise(flat(F.col("_d"), F.col("_d.station_type"), F.col("_d.unique_id")))
+    r = r.withColumn("_w", chosen)
+    every = r.withColumns({"sensor": F.col("_p.sensor"), "depth_cm": F.col("_p.depth_cm"), **{f: F.col("_w")[f] for f in _FIELDS}}).drop("_pw", "_ps", "_ws", "_p", "_t", "_d", "_l", "_w", "_slice", "_has")
     short = F.col("depth") & F.col("depth_cm").isNull()
     name = F.when(F.col("depth"), F.concat(F.col("variable"), F.lit("_"), depth_label(F.col("depth_cm")), F.lit("cm"))).otherwise(F.col("variable"))
     name = F.when(F.col("station_type").isin(*per_deployment), F.concat_ws("_", name, "unique_id")).otherwise(name)

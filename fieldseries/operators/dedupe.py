@@ -34,8 +34,8 @@ def dedupe_latest_wins(readings: DataFrame, key: list[str] = KEY, fetched: str =
 
 def dedupe_stats(rows_in: DataFrame, deduped: DataFrame) -> DataFrame:
     """rows_in, rows_out, removed, conflicts, repeats: one row, also for empty input."""
-    out = deduped.agg(F.count("*").alias("rows_out"), F.coalesce(F.sum(F.col("conflict").cast("bigint")), F.lit(0)).cast("bigint").alias("conflicts"), F.coalesce(F.sum("repeats"), F.lit(0)).cast("bigint").alias("repeats"))
-    return rows_in.agg(F.count("*").alias("rows_in")).crossJoin(out).select("rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("removed"), "conflicts", "repeats")
+    out = deduped.agg(F.lit(1).alias("_one"), F.count("*").alias("rows_out"), F.coalesce(F.sum(F.col("conflict").cast("bigint")), F.lit(0)).cast("bigint").alias("conflicts"), F.coalesce(F.sum("repeats"), F.lit(0)).cast("bigint").alias("repeats"))
+    return rows_in.agg(F.lit(1).alias("_one"), F.count("*").alias("rows_in")).join(out, "_one").select("rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("removed"), "conflicts", "repeats")
 
 
 def first_copy(readings: DataFrame, key: list[str], order: list[str]) -> DataFrame:

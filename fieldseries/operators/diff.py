@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def row_hash(columns: list[str]) -> Column:
-    """MD5 of a row's values by meaning; a null differs from any text."""
-    return F.md5(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]))
+    """MD5 of a row's values by meaning; each goes with its length, so none can pass for two, and a null differs from any text."""
+    text = lambda c: F.col(c).cast("string")
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in columns]))
 
 
 def content_fingerprint(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

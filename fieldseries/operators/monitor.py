@@ -9,13 +9,13 @@ from ..functions.parsing import PROJECT_ZONE
 from .diff import union_all
 from .windows import active_rows, is_terminal
 
-# What each pending stage waits for.
+# The keys, which are the stages of pending work; each with where the data are.
 STAGES = {
-    "awaiting_offload": "data not yet offloaded to computer",
-    "awaiting_shuttle_drop": "readout folder not yet filed",
-    "awaiting_temp_csv": "CSV not yet exported",
-    "awaiting_rename": "file not yet archived",
-    "awaiting_cloud_upload": "not yet uploaded to the cloud",
+    "awaiting_offload": "on the device",
+    "awaiting_shuttle_drop": "on the shuttle",
+    "awaiting_temp_csv": "not exported",
+    "awaiting_rename": "not renamed",
+    "awaiting_cloud_upload": "not uploaded",
 }
 
 

@@ -108,7 +108,7 @@ def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.table_diff(old, new, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
 
 
-_HASH = "md5(concat_ws(chr(31), coalesce('=' || {0}o_custkey, '-'), coalesce('=' || {0}o_orderstatus, '-')))"
+_HASH = "md5(coalesce(length(CAST({0}o_custkey AS VARCHAR)) || ':' || {0}o_custkey, '-') || coalesce(length({0}o_orderstatus) || ':' || {0}o_orderstatus, '-'))"
 
 
 @query(f"""WITH {_NEW}, h AS (SELECT o_custkey % 50 AS g, {_HASH.format('')} AS h FROM n)
@@ -134,7 +134,7 @@ def upsert_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH w AS (SELECT o_custkey AS k, list(DISTINCT o_orderpriority ORDER BY o_orderpriority) AS i, count(*) AS f FROM orders WHERE o_custkey % 13 <> 0 GROUP BY 1),
 m AS (SELECT o_custkey AS k, list(DISTINCT o_orderpriority ORDER BY o_orderpriority) AS i, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE count(*) END AS f, CASE WHEN o_custkey % 5 = 0 THEN '0' ELSE '1' END AS v FROM orders WHERE o_orderkey % 4 <> 0 AND o_custkey % 11 <> 0 GROUP BY o_custkey)
-SELECT * FROM (SELECT coalesce(w.k, m.k) AS k, CASE WHEN w.k IS NULL THEN 'no longer made by the current inputs' WHEN m.k IS NULL THEN 'not built' WHEN m.f IS NULL THEN 'built before fingerprints' WHEN len([x FOR x IN w.i IF NOT list_contains(m.i, x)]) > 0 THEN len([x FOR x IN w.i IF NOT list_contains(m.i, x)]) || ' new inputs' WHEN w.f <> m.f THEN 'metadata changed' WHEN m.v <> '1' THEN 'logic changed' END AS reason FROM w FULL JOIN m ON w.k = m.k) WHERE reason IS NOT NULL""")
+SELECT * FROM (SELECT coalesce(w.k, m.k) AS k, CASE WHEN w.k IS NULL THEN 'inputs no longer make it' WHEN m.k IS NULL THEN 'not built' WHEN m.f IS NULL THEN 'no fingerprint' WHEN len([x FOR x IN w.i IF NOT list_contains(m.i, x)]) > 0 THEN len([x FOR x IN w.i IF NOT list_contains(m.i, x)]) || ' new inputs' WHEN w.f <> m.f THEN 'metadata changed' WHEN m.v <> '1' THEN 'logic changed' END AS reason FROM w FULL JOIN m ON w.k = m.k) WHERE reason IS NOT NULL""")
 def stale_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey"))
     inputs = F.array_sort(F.collect_set("o_orderpriority")).alias("inputs")
@@ -235,7 +235,7 @@ def station_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.station_roster(order_deployments(spark, sf_dir)).select("station_id", "live_rows", "devices", ntz("last_deploy"))
 
 
-@query("SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-01-01') AS INTEGER) AS age_days, CASE o_orderkey % 3 WHEN 0 THEN 'data not yet offloaded to computer' WHEN 1 THEN 'file not yet archived' ELSE 'unknown stage' END AS label, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-01-01') > 14 AS stale FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'")
+@query("SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-01-01') AS INTEGER) AS age_days, CASE o_orderkey % 3 WHEN 0 THEN 'on the device' WHEN 1 THEN 'not renamed' ELSE 'unknown stage' END AS label, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-01-01') > 14 AS stale FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'")
 def pending_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     p = o.select("o_orderkey", F.col("o_orderdate").alias("created"), F.when(F.col("o_orderkey") % 3 == 0, "awaiting_offload").when(F.col("o_orderkey") % 3 == 1, "awaiting_rename").otherwise("odd").alias("stage"))

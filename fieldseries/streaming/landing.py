@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.parsing import PROJECT_ZONE
+
 
 def download_plan(devices: DataFrame, held: DataFrame, now: str) -> DataFrame:
     """Where to resume each device: after its newest held reading, else its backfill time, else its first measurement.
@@ -21,8 +23,8 @@ def download_plan(devices: DataFrame, held: DataFrame, now: str) -> DataFrame:
     return d.filter(more & resume.isNotNull()).select("device_serial", start.alias("start"), F.least(F.coalesce("last_measurement", F.lit(now).cast("timestamp")), F.lit(now).cast("timestamp")).alias("end"))
 
 
-def land_batch(batch: DataFrame, batch_id: int, readings_path: str, log_path: str, dirty_path: str) -> None:
-    """Append readings, then one log row a file, then the (device, year) keys to rebuild.
+def land_batch(batch: DataFrame, batch_id: int, readings_path: str, log_path: str, dirty_path: str, zone: str = PROJECT_ZONE) -> None:
+    """Append readings, then one log row a file, then the (device, local year) keys to rebuild.
 
     A retried batch overwrites its own partition, so nothing is landed twice.
     """
@@ -30,7 +32,7 @@ def land_batch(batch: DataFrame, batch_id: int, readings_path: str, log_path: st
     write = lambda df, path: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
     write(b, readings_path)
     write(b.groupBy("batch_id", "source_file", "device_serial").agg(F.min("datetime").alias("start_date"), F.max("datetime").alias("end_date"), F.count("*").alias("n_records")), log_path)
-    write(b.select("batch_id", "device_serial", F.year("datetime").alias("year")).distinct(), dirty_path)
+    write(b.select("batch_id", "device_serial", F.year(F.from_utc_timestamp("datetime", zone)).alias("year")).distinct(), dirty_path)
     b.unpersist()
 
 

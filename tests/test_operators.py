@@ -148,7 +148,7 @@ def test_stale_reasons(spark):
     wanted = spark.createDataFrame([(1, ["a"], "x"), (2, ["a", "b"], "x"), (3, ["a"], "y"), (4, ["a"], "x"), (5, ["a"], "x"), (7, ["a"], "x")], "k int, inputs array<string>, fingerprint string")
     built = spark.createDataFrame([(2, ["a"], "x", "1"), (3, ["a"], "x", "1"), (4, ["a"], "x", "1"), (5, ["a"], "x", "0"), (6, ["a"], "x", "1"), (7, ["a"], None, "1")], "k int, inputs array<string>, fingerprint string, logic_version string")
     got = {r.k: r.reason for r in products.stale_partitions(wanted, built, ["k"]).collect()}
-    assert got == {1: "not built", 2: "1 new inputs", 3: "metadata changed", 5: "logic changed", 6: "no longer made by the current inputs", 7: "built before fingerprints"}
+    assert got == {1: "not built", 2: "1 new inputs", 3: "metadata changed", 5: "logic changed", 6: "inputs no longer make it", 7: "no fingerprint"}
 
 
 def test_build_and_rebuild(spark, tmp_path):
