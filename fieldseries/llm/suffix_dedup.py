@@ -7,10 +7,12 @@
 2. A context that occurs twice repeats as a whole, and so do all windows in it.
 3. What is left are anchors that stand in different contexts.  One copy of each such context goes to
    a shard, chosen by the anchor.  A shard is suffix-sorted with queues on disk (`induced_sort`), but its
-   arrays are in memory, and one anchor's contexts all meet in one shard; the queues carry (symbol, position) tuples, and the common prefix of neighbours is compared
+   arrays are in memory; the queues carry positions by symbol, and the common prefix of neighbours is compared
    through the fingerprint of the `length` bytes at each position.  Neighbours that share `length`
-   bytes and are different places are repeats.
-4. Spans meet their documents and are merged and cut out.
+   bytes and are different places are repeats.  Files of a shard are its task's own and are made anew with it.
+4. An anchor in more contexts than a shard is meant to hold goes to no shard: the windows of its contexts are
+   counted by their hashes, which splits it however many texts share it.
+5. Spans meet their documents and are merged and cut out.
 
 Texts are identified by their MD5 digest, so copies of a text share all work and results, and
 results do not depend on row order.  No step holds all rows of a key in memory: counts are
@@ -32,10 +34,10 @@ from pyspark.sql.types import StructField, StructType
 
 from .common import Bloom, bloom, drop_scratch, map_batches, materialise
 from .induced_sort import sort_suffixes
-from .textcore import _RINV, mix, powers, prefix_hash, runs, span_hash, string_buffers
+from .textcore import _RINV, mix, powers, prefix_hash, runs, span_hash, string_buffers, byte_buffers
 
 LENGTH, ANCHOR = 200, 100
-#: Contexts in a shard, about.
+#: Contexts in a shard, about, and contexts of one anchor in a shard at most.
 SHARD_CONTEXTS = 4_000
 
 
@@ -188,9 +190,9 @@ def shard_repeats(rows: dict[str, np.ndarray], data: np.ndarray, offsets: np.nda
         at = np.flatnonzero(first)
         twice = (np.minimum.reduceat(place, at) != np.maximum.reduceat(place, at)) | (np.maximum.reduceat(rows["n"][r], at) > 1)
         covers.append(part[twice[run]])
-    if not covers:
+    begin = np.sort(np.concatenate([np.zeros(0, np.int64), *covers]))
+    if not len(begin):
         return []
-    begin = np.sort(np.concatenate(covers))
     r = row[begin]
     begin = begin - start[begin] + rows["place"][r] - rows["before"][r]
     # begins are ordered by row, then place; close begins make one stretch
@@ -199,6 +201,32 @@ def shard_repeats(rows: dict[str, np.ndarray], data: np.ndarray, offsets: np.nda
     return list(zip(r[fresh].tolist(), begin[fresh].tolist(), end.tolist(), strict=True))
 
 
+def _hot_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """(d0, d1, a, b) of the repeated windows of contexts whose anchors stand in very many of them.
+
+    A window counts where it also stands at another place, or where its context occurs more than once; counts are
+    pre-aggregated, so no window's places meet in one task.
+    """
+
+    def windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        data, offsets = byte_buffers(batch.column("bytes"))
+        size = np.maximum(np.diff(offsets) - length + 1, 0)
+        if not size.sum():
+            return None
+        sums = prefix_hash(data)
+        row = np.repeat(np.arange(len(size)), size)
+        off = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        start = offsets[:-1][row] + off
+        column = lambda n: batch.column(n).to_numpy()[row]
+        out = [span_hash(sums, start, start + length).view(np.int64), column("n"), column("d0"), column("d1"), column("place") - column("before") + off]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["w", "n", "d0", "d1", "a"])
+
+    w = map_batches(contexts, windows, "w bigint, n bigint, d0 bigint, d1 bigint, a bigint")
+    place = F.struct("d0", "d1", "a")
+    again = w.groupBy("w").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("n").alias("n")).filter("lo <> hi or n > 1").select("w")
+    return w.filter("n = 1").join(again, "w", "left_semi").select("d0", "d1", "a", (F.col("a") + length).alias("b"))
+
+
 def _inside(where: np.ndarray, size: np.ndarray, total: int) -> np.ndarray:
     """Flags of the places that are not separators."""
     out = np.ones(total - 1, bool)
@@ -234,7 +262,7 @@ def _partial(contexts: DataFrame, shards: int, length: int, k: int) -> DataFrame
     return contexts.repartition(shards, "ah").mapInArrow(task, "d0 bigint, d1 bigint, a bigint, b bigint")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scratch: list[str] | None = None) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scratch: list[str] | None = None, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """(d0, d1, spans): for every text (by digest) that has any, its merged spans of repeated bytes.
 
     docs: columns id and text.  id only chooses one of several equal texts and may be null.
@@ -248,17 +276,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scrat
     whole = kinds.filter("n > 1").select("ah", "ch")
     span = [(F.col("place") - F.col("before")).alias("a"), (F.col("place") + k + F.col("after")).alias("b")]
     covered = occurrences.join(whole, ["ah", "ch"], "left_semi").filter(F.col("before") + F.col("after") + k >= length).select("d0", "d1", *span).distinct()
-    mixed = kinds.groupBy("ah").agg(F.count("*").alias("c")).filter("c > 1").select("ah")
-    wanted = kinds.join(mixed, "ah", "left_semi").select("ah", "ch", "n", "one.*")
+    mixed = kinds.groupBy("ah").agg(F.count("*").alias("c")).filter("c > 1").select("ah", (F.col("c") > shard_contexts).alias("hot"))
+    wanted = kinds.join(mixed, "ah").select("ah", "ch", "n", "hot", "one.*")
     holders = docs.select(F.md5("text").alias("m"), "id").groupBy("m").agg(F.min("id").alias("id"))
     # both halves of a digest as the integers that _digests() gives
     half = lambda at: F.conv(F.concat(*[F.substring("m", at + 14 - 2 * i, 2) for i in range(8)]), 16, -10).cast("bigint")
     holders = holders.select(half(1).alias("d0"), half(17).alias("d1"), "id")
     wanted = materialise(wanted.join(holders, ["d0", "d1"]), "wanted", scratch)
-    n = wanted.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // SHARD_CONTEXTS)
-    contexts = _contexts(docs, wanted, bloom(wanted, "d0"), k)
-    every = covered.unionByName(_partial(contexts, shards, length, k))
+    n, hot = wanted.count(), wanted.filter("hot")
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // shard_contexts)
+    texts = bloom(wanted, "d0")
+    every = covered.unionByName(_partial(_contexts(docs, wanted.filter("not hot"), texts, k), shards, length, k))
+    if not hot.isEmpty():
+        every = every.unionByName(_hot_spans(materialise(_contexts(docs, hot, texts, k), "hot", scratch), length))
     merged = every.groupBy("d0", "d1").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("s"))
     join = F.aggregate(
         "s",
@@ -279,22 +309,30 @@ def with_spans(docs: DataFrame, finish: Callable[[bytes, list[tuple[int, int]]],
     drop_scratch(spans.sparkSession, used)
     known = bloom(spans, "d0")
 
-    def split(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key = _digests(*string_buffers(batch.column(1)))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(known.may_hold(key[:, 0]))], ["row", "text", "d0", "d1", "maybe"])
-
     full = StructType([StructField("row", kind), *StructType.fromDDL(schema).fields])
     names, arrow = full.names, [f.type for f in to_arrow_schema(StructType(full.fields[1:]))]
 
-    def done(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [finish((text or "").encode(), [(s["a"], s["b"]) for s in found or ()]) for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+    def finished(rows: pa.Array, texts: pa.Array, found: list) -> pa.RecordBatch:
+        out = [finish((text or "").encode(), [(s["a"], s["b"]) for s in spans or ()]) for text, spans in zip(texts.to_pylist(), found, strict=True)]
         columns = [pa.array([row[i] for row in out], t) for i, t in enumerate(arrow)]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+        return pa.RecordBatch.from_arrays([rows, *columns], names)
+
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        some = pa.array(np.flatnonzero(~known.may_hold(_digests(*string_buffers(batch.column(1)))[:, 0])))
+        return finished(batch.column(0).take(some), batch.column(1).take(some), [None] * len(some))
+
+    def open_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        key = _digests(*string_buffers(batch.column(1)))
+        some = np.flatnonzero(known.may_hold(key[:, 0]))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), batch.column(1).take(pa.array(some)), pa.array(key[some, 0]), pa.array(key[some, 1])], ["row", "text", "d0", "d1"])
+
+    def done(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return finished(batch.column(0), batch.column(1), batch.column(2).to_pylist())
 
-    read = map_batches(docs.select("row", "text"), split, StructType([StructField("row", kind), *StructType.fromDDL("text string, d0 bigint, d1 bigint, maybe boolean").fields]))
-    clean = map_batches(read.filter("not maybe").select("row", "text", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans")), done, full)
-    met = read.filter("maybe").join(spans, ["d0", "d1"], "left").select("row", "text", "spans")
-    return clean.unionByName(map_batches(met, done, full))
+    read = docs.select("row", "text")
+    rest = map_batches(read, open_rows, StructType([StructField("row", kind), *StructType.fromDDL("text string, d0 bigint, d1 bigint").fields]))
+    met = rest.join(spans, ["d0", "d1"], "left").select("row", "text", "spans")
+    return map_batches(read, clean, full).unionByName(map_batches(met, done, full))
 
 
 def kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:

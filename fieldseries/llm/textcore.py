@@ -19,7 +19,7 @@ _rng = np.random.default_rng(20240229)
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHINGLE = [np.uint64(int(x) * 2 + 1) for x in _rng.integers(1, 1 << 63, 64, dtype=np.uint64) >> np.uint64(1)]
 _powers: dict[str, np.ndarray] = {}
-KEPT = 1 << 20
+KEPT = 1 << 19
 
 
 def powers(base: int, n: int, name: str) -> np.ndarray:
@@ -69,6 +69,16 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), offsets
 
 
+def byte_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets from 0) of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def runs(offsets: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of documents of about limit bytes together; a longer one stands alone."""
     a, n = 0, len(offsets) - 1
