@@ -52,8 +52,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.samples(quality.violations([rules.rule(n, r) for r in ("INVALID_COORDINATES", "REACH_LENGTH_ON_PRIMARY")])).select("rule", "key", "detail")
 
 
-@query(_M + """, o AS (SELECT * FROM p WHERE valid_to IS NULL), c AS (SELECT sn, port, max({'a': valid_from, 'b': type, 'c': sensor, 'd': depth_cm}) AS c FROM o WHERE port BETWEEN 1 AND 6 GROUP BY 1, 2)
-SELECT s.sn, CAST(s.port AS INTEGER) AS port, CASE WHEN c.c IS NULL THEN 'none' ELSE c.c.b END AS type, CASE WHEN c.c IS NULL THEN 'none' ELSE c.c.c END AS sensor, c.c.d AS depth_cm FROM (SELECT sn, unnest(generate_series(1, 6)) AS port FROM (SELECT DISTINCT sn FROM o)) s LEFT JOIN c ON s.sn = c.sn AND s.port = c.port""")
+@query(_M + """, o AS (SELECT * FROM p WHERE valid_to IS NULL), c AS (SELECT sn, port, max({'a': valid_from, 'b': type, 'c': coalesce(sensor, ''), 'd': depth_cm}) AS c FROM o WHERE port BETWEEN 1 AND 6 GROUP BY 1, 2)
+SELECT s.sn, CAST(s.port AS INTEGER) AS port, CASE WHEN c.c IS NULL THEN 'none' ELSE c.c.b END AS type, CASE WHEN c.c IS NULL THEN 'none' ELSE nullif(c.c.c, '') END AS sensor, c.c.d AS depth_cm FROM (SELECT sn, unnest(generate_series(1, 6)) AS port FROM (SELECT DISTINCT sn FROM o)) s LEFT JOIN c ON s.sn = c.sn AND s.port = c.port""")
 def current_port_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = net.ports(spark, sf_dir).fillna({"sensor": ""})
     return topk.current_port_config(p).withColumn("sensor", F.nullif("sensor", F.lit("")))
