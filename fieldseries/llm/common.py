@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
@@ -94,10 +95,19 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
                 out = work(batch.slice(at, BATCH_ROWS))
                 if out is not None and out.num_rows:
                     yield out
+        give_back()
 
     return df.mapInArrow(task, schema)
 
 
+def give_back() -> None:
+    """At the end of a task: free memory goes back to the system, as the worker process stays for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 class Bloom:
     """A filter over well-mixed 64-bit keys: it never misses one, and lets some others by.
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, map_batches, materialise, small_batches
+from .common import drop_scratch, give_back, map_batches, materialise, small_batches
 from .components import components
 from .textcore import NOT_SPACE, mix, runs, shingles, string_buffers, word_hashes
 
@@ -37,6 +37,8 @@ from .textcore import NOT_SPACE, mix, runs, shingles, string_buffers, word_hashe
 SLOTS = 1 << 20
 #: Shingles of a task between two reports of heavy ones.
 REPORT = 1_000_000
+#: Shingles of a batch, about; more where there are very many buckets.
+HOLD = 500_000
 #: Shingles in a counting task, about; buckets for each of them.
 PART, SPREAD = 2_000_000, 4
 #: Least number of times that a frequent shingle is seen before it stays out of the buckets.
@@ -107,6 +109,8 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls), pa.array(count), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
         if held and (out := heavy(held, kind)) is not None:
             yield out
+        held.clear()
+        give_back()
 
     small_batches(docs.sparkSession)
     return docs.select("id", "text").mapInArrow(task, f"id {docs.schema['id'].dataType.simpleString()}, cls bigint, n bigint, slot int, seen bigint")
@@ -146,13 +150,14 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
 
     One more row a batch has its classes, their sizes and sketches, and the frequent shingles with their levels.
     """
-    hold = min(4_000_000, max(REPORT, 128 * buckets))
+    hold = min(4_000_000, max(HOLD, 128 * buckets))
 
     def flush(batch: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         token, of, cls, n, sketch = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()
         first = np.unique(cls, return_index=True)[1]
         first = np.sort(first[n[first] > 0])
-        number = np.full(len(cls), -1)
+        number = np.full(len(cls), -1, np.int32)
         number[first] = np.arange(len(first))
         number = number[of]
         token, at = token[number >= 0], number[number >= 0].astype(np.uint16)
@@ -185,10 +190,11 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
                 if held and (waiting + len(token) > hold or count + b - a > 60_000):
                     yield from flush(batch, held)
                     batch, held, waiting, count = batch + 1, [], 0, 0
-                held.append((token, of + count, *_classes(token, of, b - a), _sketches(token, of, b - a)))
+                held.append((token, (of + count).astype(np.int32), *_classes(token, of, b - a), _sketches(token, of, b - a)))
                 waiting, count = waiting + len(token), count + b - a
         if held:
             yield from flush(batch, held)
+        give_back()
 
     small_batches(docs.sparkSession)
     return docs.select("text").mapInArrow(task, _BLOBS)
@@ -244,6 +250,7 @@ def _counted(blobs: DataFrame, parts: int) -> DataFrame:
                 out = []
         if out:
             yield _batch_rows(_BLOBS, out)
+        give_back()
 
     return blobs.repartition(parts, "bucket").mapInArrow(task, _BLOBS)
 
@@ -305,6 +312,7 @@ def _prefixes(counted: DataFrame, parts: int, percent: int) -> DataFrame:
                 held.setdefault(batch, []).append(tuple(row))
         while held:
             yield from assemble(held.pop(next(iter(held))))
+        give_back()
 
     return counted.repartition(parts, "batch").mapInArrow(task, _PREFIXES)
 

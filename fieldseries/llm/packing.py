@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, map_batches, materialise
+from .common import BATCH_ROWS, drop_scratch, give_back, materialise, small_batches
 
 #: Pieces in a packing partition, on average.
 PART_PIECES = 50_000
 #: Bytes that a Python worker's mapping of strings to ids takes, about; there are two, each with a predecessor.
-CACHE = 24 << 20
+CACHE = 64 << 20
 #: Exchanges at most; each works on fewer pieces than the one before it.
 ROUNDS = 8
 
@@ -110,6 +110,10 @@ class Encoder:
         mine = b"".join([self._word(w) for part in probe.split() for w in _WORDS.findall(part.lower())])
         return mine == self._whole(probe)
 
+    def forget(self) -> None:
+        """Between tasks: the worker keeps no strings while others use its memory."""
+        self.parts, self.words = _Recent(self._part), _Recent(self._word)
+
     def __call__(self, text: bytes) -> bytes:
         parts = self.parts
         return b"".join([parts[p] for p in text.split()]) + b"\0\0\0\0"
@@ -141,7 +145,15 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, id_col: str = "doc_id", t
         columns = [ids.take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    out = map_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), work, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                yield work(batch.slice(at, BATCH_ROWS))
+        encoder(tokenizer).forget()
+        give_back()
+
+    small_batches(docs.sparkSession)
+    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(task, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
     return out.withColumn("row", F.monotonically_increasing_id())
 
 
