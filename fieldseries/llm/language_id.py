@@ -41,12 +41,13 @@ HAS_LETTER = r"\p{L}"
 
 def subwords(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, document) of every n-gram of the texts; other bytes than letters are one blank, which n-grams may touch but not cross."""
-    low = np.append(_FOLD[data], np.uint8(0x20))
-    n = len(low)
+    # a blank after each text, so that its last word ends alike wherever the text stands in a batch
+    size = np.diff(bounds)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size + 1)
+    n = len(owner)
+    low = np.full(n, 0x20, np.uint8)
+    low[np.arange(len(data)) + np.repeat(np.arange(len(size)), size)] = _FOLD[data]
     blank = low == 0x20
-    owner = np.zeros(n, np.int32)
-    np.add.at(owner, bounds[1:-1], 1)
-    owner = np.cumsum(owner, dtype=np.int32)
     value = low.astype(np.uint64)
     buckets, docs = [], []
     for size in SIZES:
