@@ -282,7 +282,8 @@ def test_names_do_not_drop_the_article(spark):
 # --- op3
 
 
-def brute_spans(items, length=200):
+def brute_ranges(items, length=200):
+    """The merged repeated stretches of each text, by counting every window."""
     raw = [(t or "").encode() for _, t in items]
     seen = collections.Counter(r[i : i + length] for r in raw for i in range(len(r) - length + 1))
     out = []
@@ -293,8 +294,16 @@ def brute_spans(items, length=200):
                 m[i] += 1
                 m[i + length] -= 1
         hit = np.cumsum(m[:-1]) > 0
-        kept = bytes(np.frombuffer(r, np.uint8)[~hit])
-        out.append((len(r), int(hit.sum()), int((hit & ~np.r_[False, hit[:-1]]).sum()) if len(r) else 0, hashlib.sha256(kept).hexdigest()))
+        edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(int)))
+        out.append([(int(a), int(b)) for a, b in edge.reshape(-1, 2)])
+    return out
+
+
+def brute_spans(items, length=200):
+    out = []
+    for (_, t), spans in zip(items, brute_ranges(items, length), strict=True):
+        raw = (t or "").encode()
+        out.append((len(raw), sum(b - a for a, b in spans), len(spans), hashlib.sha256(suffix_dedup.kept(raw, spans)).hexdigest()))
     return out
 
 
@@ -315,6 +324,28 @@ def test_repeats_of_texts_without_an_id(spark):
     assert got == collections.Counter((k, *b) for (k, _), b in zip(rows, brute_spans(rows), strict=True))
 
 
+def test_hot_anchors_and_anchors_of_hash_zero(spark, monkeypatch):
+    """A string that many texts share in other surroundings, which goes to no shard, and anchors whose hash is 0."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    shared, passage = word(150), word(260)
+    rows = [(i, word(120) + shared + word(120)) for i in range(40)] + [(100 + i, word(60) + passage[i : i + 210 + i] + word(60)) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    expected = brute_ranges(rows)
+    digest = lambda t: tuple(np.frombuffer(hashlib.md5(t.encode()).digest(), "<i8").tolist())
+    want = {digest(t): s for (_, t), s in zip(rows, expected, strict=True) if s}
+    for limit in (1, 5, 4_000):
+        got = {(r.d0, r.d1): [(s.a, s.b) for s in r.spans] for r in suffix_dedup.repeated_spans(df, shard_contexts=limit).collect()}
+        assert got == want
+    raw = np.frombuffer((passage + "|" + passage).encode(), np.uint8)
+    bounds = np.array([0, 260, 261, 521])
+    plain = suffix_dedup.anchors(raw, bounds, 200, 100)
+    monkeypatch.setattr(suffix_dedup, "mix", lambda x: np.zeros_like(x))
+    zero = suffix_dedup.anchors(raw, bounds, 200, 100)
+    reach = lambda f: [sorted({int(p) + o for p, b, a in zip(f[3][f[2] == d], f[4][f[2] == d], f[5][f[2] == d], strict=True) for o in range(-int(b), 100 + int(a))}) for d in (0, 2)]
+    assert reach(zero) == reach(plain) and len(reach(zero)[0]) == 260
+
+
 def test_repeated_strings_are_cut_from_rows(odd, empty):
     out = suffix_dedup.cut_repeats(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
