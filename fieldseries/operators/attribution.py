@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Days in a slice.
-SLICE = 90
+SLICE = 365
 
 
 def covers(w: Column, t: Column) -> Column:
@@ -124,12 +124,13 @@ def attribute_readings(readings: DataFrame, windows: DataFrame, ports: DataFrame
     r = r.join(of_port, ["device_serial", "port", "_slice"], "left").join(of_device.join(ws, ["device_serial", "_slice"], "full"), ["device_serial", "_slice"], "left")
     r = r.withColumn("_p", F.when(~F.col("device_level") & F.col("_has"), _pick(F.filter("_pw", lambda w: covers(w, t)), "last")))
     now = F.filter("_ws", lambda w: covers(w, t))
-    ordered = lambda ws, *by: F.array_sort(F.transform(ws, lambda w: F.struct(*[w[c].alias(c) for c in by], w["station_id"].alias("station_id"), w["station_type"].alias("type"))))
+    last = lambda ws, *by: F.array_max(F.transform(ws, lambda w: F.struct(*[w[c].alias(c) for c in by], w["station_id"].alias("station_id"), w["station_type"].alias("type"))))
     flat = lambda w, kind, key: F.struct(w["station_id"].alias("station_id"), kind.alias("station_type"), key.alias("unique_id"))
-    by_type = _pick(ordered(F.filter(now, lambda w: w["station_type"] == F.col("_p.type")), "starts", "unique_id"), "last")
-    by_device = _pick(ordered(now, "station_type", "starts", "unique_id"), "last")
+    by_type = last(F.filter(now, lambda w: w["station_type"] == F.col("_p.type")), "starts", "unique_id")
+    by_device = last(now, "station_type", "starts", "unique_id")
     level = _pick(_at_device(F.col("_ws"), F.col("_ps"), at), "first")
-    r = r.withColumns({"_t": by_type, "_d": by_device, "_l": level})
+    whole, has = F.col("device_level"), F.col("_has")
+    r = r.withColumns({"_t": F.when(~whole & has, by_type), "_d": F.when(~whole & ~has, by_device), "_l": F.when(whole, level)})
     chosen = F.when(F.col("device_level"), flat(F.col("_l"), F.col("_l.station_type"), F.col("_l.unique_id"))).when(F.col("_has"), flat(F.col("_t"), F.col("_p.type"), F.col("_t.unique_id"))).otherwise(flat(F.col("_d"), F.col("_d.station_type"), F.col("_d.unique_id")))
     r = r.withColumn("_w", chosen)
     every = r.withColumns({"sensor": F.col("_p.sensor"), "depth_cm": F.col("_p.depth_cm"), **{f: F.col("_w")[f] for f in _FIELDS}}).drop("_pw", "_ps", "_ws", "_p", "_t", "_d", "_l", "_w", "_slice", "_has")
