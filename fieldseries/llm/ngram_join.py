@@ -393,7 +393,7 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PART)
     levels = heavy_levels(summary, max(FREQUENT, total // (16 * parts)))
     counted = _counted(_blobs(docs, size, levels, SPREAD * parts), parts)
-    prefixes = materialise(_prefixes(counted, parts, percent), "prefixes", scratch)
+    prefixes = materialise(_prefixes(counted, parts, percent), "prefixes", early := [])
     row = ["cls", "n", "place", *SKETCH]
     index = prefixes.filter("token is not null").select("token", *row).distinct()
     # tokens of one class only (its copies) end here; the class that has a token foremost leads the others
@@ -402,6 +402,7 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, scratch: list[str
     index = materialise(index.join(several, "token"), "index", scratch)
     sets = prefixes.filter("tokens is not null").select("cls", "n", "q2", "q3", "tokens").join(index.select("cls").distinct(), "cls", "left_semi")
     sets = materialise(sets.groupBy("cls").agg(F.first(F.struct("n", "q2", "q3", "tokens")).alias("s")).select("cls", "s.*"), "sets", scratch)
+    drop_scratch(docs.sparkSession, early)
     led = index.select(*[F.col(c).alias(f"{c}1") for c in row], *[F.col("x")[c].alias(f"{c}2") for c in row]).filter((F.col("cls1") != F.col("cls2")) & _may_link("1", "2", percent))
     pairs = materialise(led.select(F.least("cls1", "cls2").alias("x"), F.greatest("cls1", "cls2").alias("y")).distinct(), "pairs", scratch)
     checked = _verify(pairs, sets, scratch, "checked")
