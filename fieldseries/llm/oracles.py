@@ -37,3 +37,14 @@ m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_s
   CAST(length(array_to_string(w, '')) - length(regexp_replace(array_to_string(w, ''), '\p{{Lu}}+', '', 'g')) AS BIGINT) AS n_upper, CAST(length(array_to_string(w, '')) - length(regexp_replace(array_to_string(w, ''), '\p{{L}}+', '', 'g')) AS BIGINT) AS n_letters FROM d LEFT JOIN c USING (doc_id)),
 f AS (SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT + 8 * (10 * n_dup_lines > 3 * n_lines)::INT + 16 * (2 * n_words > word_chars)::INT + 32 * (word_chars > 14 * n_words)::INT + 64 * (10 * n_upper > 4 * word_chars)::INT + 128 * (10 * n_letters < 5 * word_chars)::INT AS BIGINT) AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, (failures & 3) = 0 AND (failures & 71) = 0 AND bit_count(failures & 184) < 2 AS kept, failures, n_lines, n_upper, n_letters, 2 AS policy_version FROM f"""
+
+OP11 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+c AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS t FROM benchmark),
+p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM b) GROUP BY ALL),
+f AS (SELECT t, CAST(floor(1000 * ln((2 * (SELECT n FROM c) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p GROUP BY t),
+m AS (SELECT doc_id, 10 + (90 * len(w)::BIGINT * c.n) // c.l AS m FROM d, c WHERE len(w) > 0),
+s AS (SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM b JOIN p USING (t) JOIN f USING (t) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10"""

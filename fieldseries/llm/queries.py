@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, html_text, language_id, license_scan, ngram_join, oracles, packing, quality_model, quality_rules, suffix_dedup, toxicity
+from . import decontamination, html_text, language_id, lexical_search, license_scan, ngram_join, oracles, packing, quality_model, quality_rules, suffix_dedup, token_counts, toxicity, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.op11(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.op12(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op13(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_text": op2_html_text,
@@ -63,6 +75,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
+    "op13_token_counts": op13_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_ngram_join": oracles.OP5, "op8_decontamination": oracles.OP8, "op9_quality_rules": oracles.OP9}
+ORACLE_SQL: dict[str, str] = {"op5_ngram_join": oracles.OP5, "op8_decontamination": oracles.OP8, "op9_quality_rules": oracles.OP9, "op11_lexical_search": oracles.OP11}
