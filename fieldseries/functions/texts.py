@@ -64,9 +64,9 @@ def show_fall(fall: Column) -> Column:
 
 
 def show_reach(legs: Column, unit: Column) -> Column:
-    """Legs, their sum, and the sum in metres where the unit is another."""
+    """Legs, their sum, and the sum in metres where the unit is another; two places, half a hundredth goes up."""
     total = F.aggregate(legs, F.lit(0.0), lambda a, x: a + x)
-    two = lambda x: F.format_string("%.2f", x)
+    two = lambda x: F.round(x.cast("decimal(24,6)"), 2).cast("decimal(24,2)").cast("string")  # noqa: E731  by decimals, as doubles have no exact halves
     line = F.concat(F.array_join(F.transform(legs, two), " + "), F.lit(" = "), two(total), F.lit(" "), unit)
     return F.when(unit == "m", line).otherwise(F.concat(line, F.lit(" = "), two(to_meters(total, unit)), F.lit(" m")))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 
 def fall(bs: Column, fs: Column, d_up: Column, d_down: Column) -> Column:
     """Fall between two points from back and fore sight, each with its offset."""
@@ -30,3 +32,66 @@ def select_agreeing_pair(falls: DataFrame, tolerance: float = 0.010) -> DataFram
     ok = F.col("p.d") <= tolerance
     first = F.get("s", F.lit(0))
     return p.select("pair", F.when(one, first["setup"]).otherwise(F.col("p.a")).alias("setup_a"), F.col("p.b").alias("setup_b"), F.when(one, first["fall"]).when(ok, F.col("p.m")).alias("fall"), F.when(~one, ok).alias("agrees"))
+
+
+def latest_surveys(surveys: DataFrame) -> DataFrame:
+    """The newest row of each deployment and quantity (unique_id, quantity, measured_on, value, relative_to); equal days by value."""
+    best = F.max(F.struct("measured_on", "value", "relative_to"))
+    return surveys.filter("value is not null and relative_to is not null").groupBy("unique_id", "quantity").agg(best.alias("_x")).select("unique_id", "quantity", "_x.*")
+
+
+def chain_heights(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(heights, cyclic): every node's height above the root that its chain of links ends at.
+
+    links: node, parent, value (how far the node is above its parent); one row a node.  heights: node, root, height, hops.
+    A parent without a link of its own is a root.  cyclic: node, for nodes whose chain goes round.
+
+    Chains are doubled: each step joins the pairs (node, reached) that are still under way to what their `reached` has
+    reached, so a chain of n links takes about log2(n) joins.  Every step is a written table, so lineage does not grow.
+    Nodes under way become fewer with every step until only cycles are left.
+    """
+    state = links.select("node", F.col("parent").alias("reached"), F.col("value").cast("double").alias("height"), F.lit(1).cast("bigint").alias("hops"))
+    roots = links.select(F.col("parent").alias("reached")).distinct().join(links.select(F.col("node").alias("reached")), "reached", "left_anti").withColumn("_root", F.lit(True))
+    state = scratch.written(state.join(roots, "reached", "left").select("node", "reached", "height", "hops", F.coalesce("_root", F.lit(False)).alias("ends")), "chains")
+    under_way = state.filter("not ends").count()
+    while under_way:
+        onward = state.select(F.col("node").alias("reached"), F.struct("reached", "height", "hops", "ends").alias("_o"))
+        step = state.filter("not ends").join(onward, "reached")
+        step = step.select("node", F.col("_o.reached").alias("reached"), (F.col("height") + F.col("_o.height")).alias("height"), (F.col("hops") + F.col("_o.hops")).alias("hops"), F.col("_o.ends").alias("ends"))
+        state = scratch.written(state.filter("ends").unionByName(step), "chains")
+        left = state.filter("not ends").count()
+        if left == under_way:
+            break
+        under_way = left
+    return state.filter("ends").select("node", F.col("reached").alias("root"), "height", "hops"), state.filter("not ends").select("node")
+
+
+def relative_heights(surveys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(heights, cyclic, second look) from long surveys: one row a number measured.
+
+    surveys: unique_id, measured_on, quantity, value, relative_to.  heights: unique_id, rebar_above_bed_m,
+    sensor_above_bed_m, overflow_above_bed_m, rebar_above_root_m, root.  What is measured from this logger's rebar is chained over the rebar's
+    own height above the bed; rebar tops are chained from deployment to deployment along relative_to.  A number whose
+    link is missing is null.  second look: newest rows with a negative value, as every quantity is positive where things are as usual.
+    """
+    new = latest_surveys(surveys)
+    of = lambda quantity, place: F.max(F.when((F.col("quantity") == quantity) & (F.col("relative_to") == place), F.col("value")))
+    own = new.groupBy("unique_id").agg(
+        (of("rebar_offset_cm", "bed") / 100).alias("rebar_above_bed_m"),
+        (of("sensor_height_cm", "bed") / 100).alias("_sensor"),
+        (of("sensor_height_cm", "rebar") / 100).alias("_from_rebar"),
+        (of("gzf_offset_cm", "rebar") / 100).alias("_gzf"),
+        (of("gzf_offset_cm", "bed") / 100).alias("_gzf_bed"),
+    )
+    links = new.filter("quantity = 'elev_rel_m'").select(F.col("unique_id").alias("node"), F.col("relative_to").alias("parent"), "value")
+    chained, cyclic = chain_heights(links)
+    tops = chained.select(F.col("node").alias("unique_id"), F.col("height").alias("rebar_above_root_m"), "root")
+    heights = own.join(tops, "unique_id", "left").select(
+        "unique_id",
+        "rebar_above_bed_m",
+        F.coalesce("_sensor", F.col("rebar_above_bed_m") + F.col("_from_rebar")).alias("sensor_above_bed_m"),
+        F.coalesce(F.col("rebar_above_bed_m") - F.col("_gzf"), -F.col("_gzf_bed")).alias("overflow_above_bed_m"),
+        "rebar_above_root_m",
+        "root",
+    )
+    return heights, cyclic, new.filter("value < 0")

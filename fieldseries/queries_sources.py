@@ -351,9 +351,9 @@ def geoid_height(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_custkey % 9 || ''' ' || c_custkey % 12 || CASE WHEN c_custkey % 8 = 0 THEN '"' ELSE ' ' || c_custkey % 8 || '/8"' END ELSE '1.5 m' END AS rod, CASE WHEN c_custkey % 7 = 0 THEN '(none)' WHEN c_acctbal < 0 THEN printf('%.4f m (a climb)', c_acctbal / 100) ELSE printf('%.4f m', c_acctbal / 100) END AS fall,
-printf('%.2f', c_custkey / 2.0) || ' + 1.50 = ' || printf('%.2f', c_custkey / 2.0 + 1.5) || ' ft = ' || printf('%.2f', round((c_custkey / 2.0 + 1.5) * 0.3048, 6)) || ' m' AS reach, CASE WHEN c_custkey % 2 = 0 THEN '-' ELSE c_name END AS shown FROM customer WHERE c_custkey % 4 <> 1""")
+printf('%.2f', c_custkey / 4.0) || ' + 1.50 = ' || printf('%.2f', c_custkey / 4.0 + 1.5) || ' ft = ' || CAST(CAST(round(CAST((c_custkey / 4.0 + 1.5) * 0.3048 AS DECIMAL(18, 6)), 2) AS DECIMAL(18, 2)) AS VARCHAR) || ' m' AS reach, CASE WHEN c_custkey % 2 = 0 THEN '-' ELSE c_name END AS shown FROM customer""")
 def display_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 4 <> 1")
+    c = table(spark, sf_dir, "customer")
     rod = texts.show_rod(F.when(k % 3 == 0, F.concat_ws(" ", k % 9, k % 12, k % 8)).otherwise("1.5"), F.when(k % 3 == 0, "ft_in_8").otherwise("m"))
-    return c.select("c_custkey", rod.alias("rod"), texts.show_fall(F.when(k % 7 != 0, F.col("c_acctbal") / 100)).alias("fall"), texts.show_reach(F.array(k / 2, F.lit(1.5)), F.lit("ft")).alias("reach"), texts.shown(F.when(k % 2 != 0, F.col("c_name"))).alias("shown"))
+    return c.select("c_custkey", rod.alias("rod"), texts.show_fall(F.when(k % 7 != 0, F.col("c_acctbal") / 100)).alias("fall"), texts.show_reach(F.array(k / 4, F.lit(1.5)), F.lit("ft")).alias("reach"), texts.shown(F.when(k % 2 != 0, F.col("c_name"))).alias("shown"))
