@@ -44,7 +44,7 @@ class Phrases:
     neighbours: np.ndarray
     windows: np.ndarray
     lengths: np.ndarray
-    items: list[str]
+    items: list[str]  # by name; the number after them stands for all items without an id
     first: np.ndarray  # window k belongs to items of[first[k]:first[k + 1]]
     of: np.ndarray
     shortest: int
@@ -55,8 +55,8 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def phrases(rows: list[tuple[object, str | None]], size: int = WINDOW) -> Phrases:
-    """Windows of the items; those without an id or a word have none.  Rows of one id are one item."""
-    rows = [(str(k), t) for k, t in rows if k is not None and t]
+    """Windows of the items; those without a word have none.  Rows of one id are one item."""
+    rows = [(k, t) for k, t in rows if t]
     data, offsets = string_buffers(pa.array([t for _, t in rows], pa.string()))
     _, _, doc, h = word_hashes(data[offsets[0] : offsets[-1]] if len(rows) else data, offsets, ALNUM)
     vocabulary = np.unique(h)
@@ -64,7 +64,9 @@ def phrases(rows: list[tuple[object, str | None]], size: int = WINDOW) -> Phrase
     near = np.zeros(1 << _FILTER_BITS, bool)
     together = doc[1:] == doc[:-1]
     near[_pair(ids[:-1][together], ids[1:][together])] = True
-    names, number = np.unique(np.array([k for k, _ in rows], object), return_inverse=True) if rows else (np.zeros(0, object), np.zeros(0, np.int64))
+    names = sorted({str(k) for k, _ in rows if k is not None})
+    place_of = {k: i for i, k in enumerate(names)}
+    number = np.array([len(names) if k is None else place_of[str(k)] for k, _ in rows], np.int64)
     count = np.bincount(doc, minlength=len(rows))
     starts = _ranges(np.where(count > 0, np.maximum(1, count - size + 1), 0))
     owner = np.repeat(np.arange(len(rows)), np.where(count > 0, np.maximum(1, count - size + 1), 0))
@@ -78,7 +80,7 @@ def phrases(rows: list[tuple[object, str | None]], size: int = WINDOW) -> Phrase
     pair = np.unique(np.stack([which.reshape(-1), number[owner]], 1), axis=0) if len(owner) else np.zeros((0, 2), np.int64)
     first = np.r_[0, np.cumsum(np.bincount(pair[:, 0], minlength=len(windows)))]
     lengths = (windows > 0).sum(1)
-    return Phrases(vocabulary, near, windows.astype(np.int64), lengths, names.tolist(), first, pair[:, 1], int(lengths.min()) if len(windows) else 1 << 30)
+    return Phrases(vocabulary, near, windows.astype(np.int64), lengths, names, first, pair[:, 1], int(lengths.min()) if len(windows) else 1 << 30)
 
 
 def candidates(p: Phrases, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -153,6 +155,7 @@ def _shard(p: Phrases, rows: pa.Array, ids: pa.Array, total: np.ndarray, parts:
         spans = (np.r_[0, np.cumsum(np.bincount(doc[first], minlength=n))], [number[first], number[last] + 1, start[first], end[last]])
         k = p.first[window + 1] - p.first[window]
         pair = np.unique(np.repeat(doc[place], k) * (len(p.items) + 1) + p.of[np.repeat(p.first[window], k) + _ranges(k)])
+        pair = pair[pair % (len(p.items) + 1) < len(p.items)]  # an item without an id hits words and has no name
         items = (np.r_[0, np.cumsum(np.bincount(pair // (len(p.items) + 1), minlength=n))], [p.items[i] for i in pair % (len(p.items) + 1)])
     arrays = [
         rows,
@@ -195,7 +198,7 @@ def _search_block(docs: DataFrame, p: Phrases) -> DataFrame:
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[object, str | None]]]:
     """The benchmark's rows in blocks of about `limit` bytes of text; one block is on the driver at a time."""
-    b = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).filter("item_id is not null and text is not null")
+    b = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // limit))
     for k in range(n):
@@ -220,7 +223,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     block, rest = first, chain([second], parts)
     while block is not None:
         found = _search_block(texts, phrases(block, window))
-        passes.append(materialise(found.filter(F.size("items") > 0).select("row", "spans", "items") if passes else found.drop("doc_id"), "pass", scratch))
+        passes.append(materialise(found.filter(F.size("spans") > 0).select("row", "spans", "items") if passes else found.drop("doc_id"), "pass", scratch))
         block = next(rest, None)
     every = passes[0]
     for p in passes[1:]:
@@ -239,8 +242,9 @@ def n_hit() -> Column:
 def op8(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The contract's columns and the spans; a row a row of documents.
 
-    Null and empty texts have no words, and an empty benchmark hits nothing.  Benchmark rows without an id or
-    without a word have no window; rows that share an id are one item.  A null doc_id stays null.
+    Null and empty texts have no words, and an empty benchmark hits nothing.  Benchmark rows without a word have no
+    window; rows that share an id are one item.  A row without an id hits words like any other, and as it has no
+    name it counts neither in n_items nor in items_sha256.  A null doc_id stays null.
     """
     out = find(docs, benchmark).withColumn("n_hit", n_hit())
     return out.select(

@@ -145,8 +145,7 @@ def _batch_rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> DataFrame:
     """The shingles of batches of documents, a row a batch and bucket: the upper 48 bits of each and the document in
-    the batch, and for each run of one document a short form of its class.  Classes that a batch holds already are
-    left out.
+    the batch, and for each run of one document its class.  Classes that a batch holds already are left out.
 
     One more row a batch has its classes, their sizes and sketches, and the frequent shingles with their levels.
     """
@@ -165,7 +164,7 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
         token >>= np.uint64(16)
         often = level > 0
         parts = lambda t, a: ((t >> np.uint64(16)).astype(np.uint32).tobytes(), (t & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), a.tobytes())
-        short = (cls[first] >> 16).astype(np.int32)
+        named = cls[first]
         meta = cls[first].tobytes() + n[first].astype(np.int64).tobytes() + sketch[first].tobytes()
         rows = [(batch % buckets, batch, meta, *parts(token[often], at[often]), None, level[often].tobytes())]
         token, at = token[~often], at[~often]
@@ -176,7 +175,7 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
         for start, end in zip(cut, [*cut[1:], len(token)], strict=True):
             for a in range(start, end, ROW):
                 own = at[a : min(end, a + ROW)]
-                who = short[own[np.flatnonzero(np.r_[True, own[1:] != own[:-1]])]]
+                who = named[own[np.flatnonzero(np.r_[True, own[1:] != own[:-1]])]]
                 rows.append((int(bucket[a]), batch, None, *parts(token[a : min(end, a + ROW)], own), who.tobytes(), None))
             if len(rows) >= 256:
                 yield _batch_rows(_BLOBS, rows)
@@ -205,10 +204,10 @@ def _tokens(high: bytes, low: bytes) -> np.ndarray:
 
 
 def _classes_of(at: bytes, who: bytes) -> np.ndarray:
-    """The short class of each shingle of a row; who has one for each run of a document."""
+    """The class of each shingle of a row; who has one for each run of a document."""
     at = np.frombuffer(at, np.uint16)
     run = np.cumsum(np.r_[True, at[1:] != at[:-1]]) - 1
-    return np.frombuffer(who, np.int32)[run]
+    return np.frombuffer(who, np.int64)[run]
 
 
 def levels_of(token: np.ndarray, who: np.ndarray) -> np.ndarray:

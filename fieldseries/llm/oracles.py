@@ -17,7 +17,7 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.b) AS com
 
 OP8 = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(len(w), 13) AS l, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
 ls AS (SELECT DISTINCT l FROM bw),
 dw AS (SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS g FROM (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM d, ls WHERE len(w) >= l)),

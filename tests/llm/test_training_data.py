@@ -473,10 +473,10 @@ def brute_contamination(items, bench):
     windows = collections.defaultdict(set)
     for k, t in bench:
         w = words(t, pattern)
-        if w and k is not None:
+        if w:
             n = min(13, len(w))
             for i in range(len(w) - n + 1):
-                windows[tuple(w[i : i + n])].add(str(k))
+                windows[tuple(w[i : i + n])].add(None if k is None else str(k))
     sizes = {len(k) for k in windows}
     for k, t in items:
         w, hit, found = words(t, pattern), set(), set()
@@ -484,22 +484,39 @@ def brute_contamination(items, bench):
             for i in range(len(w) - n + 1):
                 if tuple(w[i : i + n]) in windows:
                     hit |= set(range(i, i + n))
-                    found |= windows[tuple(w[i : i + n])]
+                    found |= windows[tuple(w[i : i + n])] - {None}
         yield k, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)
 
 
+def test_classes_that_agree_in_half_their_names_share_shingles():
+    """Two classes whose upper 32 bits are equal are two all the same."""
+    token, who = np.array([7, 7, 9, 9], np.uint64), np.array([1 << 40, (1 << 40) + 1, 5, 5])
+    assert ngram_join.levels_of(token, who).tolist() == [1, 1, 0, 0]
+    at = np.array([0, 0, 1], np.uint16)
+    assert ngram_join._classes_of(at.tobytes(), who[:2].astype(np.int64).tobytes()).tolist() == [1 << 40, 1 << 40, (1 << 40) + 1]
+
+
 @pytest.mark.parametrize("limit", [decontamination.BLOCK_BYTES, 1000])
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_decontamination(spark, which, limit, request, monkeypatch):
     df = request.getfixturevalue(which)
     bench = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()][: 6 if limit == 1000 else None]
-    bench += [(900, "one"), (901, PASSAGE), (901, "Two"), (None, "one"), (902, None), (903, "..."), (901, PASSAGE)]
+    bench += [(900, "one"), (901, PASSAGE), (901, "Two"), (None, "one"), (None, "One two"), (None, PASSAGE[:90]), (902, None), (903, "..."), (901, PASSAGE)]
     b = spark.createDataFrame(bench, "item_id long, text string").withColumn("doc_id", F.lit(1))
     monkeypatch.setattr(decontamination.blocks, "__defaults__", (limit,))
     got = collections.Counter(tuple(r) for r in decontamination.op8(df, b).drop("spans").collect())
     assert got == collections.Counter(brute_contamination(texts(df), bench))
 
 
+def test_items_without_an_id_hit_words(spark):
+    """One item without an id, alone in its block or not: its words are hit, and no name stands for it."""
+    df = spark.createDataFrame([(1, "x " + PASSAGE), (2, "other text")], "doc_id long, text string")
+    b = spark.createDataFrame([(None, PASSAGE)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontamination.op8(df, b).collect()}
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert got == {1: (60, 0, nothing, True), 2: (0, 0, nothing, False)}
+
+
 def test_contaminated_documents_go(spark, odd, empty):
     b = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
     out = decontamination.drop_contaminated(odd, b)
