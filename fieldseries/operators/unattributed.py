@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import attribution
+from .sequences import with_neighbour, with_running_sum
+
 #: Seconds before and after a deployment's start that count as its installation, and between episodes.
 BEFORE, AFTER, EPISODE_GAP = 7 * 86400, 86400, 7 * 86400
 
@@ -24,22 +27,29 @@ def classify_unattributed(readings: DataFrame, windows: DataFrame, known: DataFr
     known: rank, device_serial, port (null: any), from, to (null: open), reason; the first by rank wins and goes
     before an installation, which lies from 7 days before to 24 hours after a start, bounds included.
     """
-    ks = known.groupBy("device_serial").agg(F.sort_array(F.collect_list(F.struct("rank", "port", "from", "to", "reason"))).alias("_ks"))
-    ss = windows.groupBy("device_serial").agg(F.collect_set("starts").alias("_ss"))
-    j = readings.join(ks, "device_serial", "left").join(ss, "device_serial", "left")
     t = F.col("datetime")
-    hit = F.filter("_ks", lambda k: (k["port"].isNull() | (k["port"] == F.col("port"))) & (k["from"].isNull() | (k["from"] <= t)) & (k["to"].isNull() | (t < k["to"])))
-    near = F.exists("_ss", lambda s: (F.unix_micros(t) >= F.unix_micros(s) - BEFORE * 1_000_000) & (F.unix_micros(t) <= F.unix_micros(s) + AFTER * 1_000_000))
-    is_known = F.coalesce(F.size(hit) > 0, F.lit(False)) & F.col("_ks").isNotNull()
+    periods = known.withColumns({"starts": F.coalesce("from", F.timestamp_micros(F.lit(-(1 << 60)))), "ends": F.col("to")})
+    second = lambda n: F.timestamp_micros(F.unix_micros("starts") + F.lit(n * 1_000_000))
+    around = windows.filter("starts is not null").select("device_serial", second(-BEFORE).alias("_from"), F.timestamp_micros(F.unix_micros(second(AFTER)) + 1).alias("ends")).withColumnRenamed("_from", "starts")  # bounds included
+    # both are dealt to slices of time, so a device's arrays are as long as a slice has periods and starts
+    slices = lambda w: attribution.sliced(w, readings, "datetime")
+    ks = attribution.gather(slices(periods), ["device_serial"], ["rank", "port", "starts", "ends", "reason"], [], "_ks")
+    ss = attribution.gather(slices(around), ["device_serial"], ["starts", "ends"], [], "_ss")
+    j = readings.withColumn("_slice", attribution.slice_of(t)).join(ks.join(ss, ["device_serial", "_slice"], "full"), ["device_serial", "_slice"], "left")
+    hit = F.filter("_ks", lambda k: (k["port"].isNull() | (k["port"] == F.col("port"))) & attribution.covers(k, t))
+    is_known = F.col("_ks").isNotNull() & (F.size(hit) > 0)
+    near = F.exists("_ss", lambda s: attribution.covers(s, t))
     out = j.withColumn("category", F.when(is_known, "known").when(F.coalesce(near, F.lit(False)), "installation").otherwise("unexplained"))
-    return out.withColumn("reason", F.when(is_known, F.try_element_at(hit, F.lit(1))["reason"])).drop("_ks", "_ss")
+    return out.withColumn("reason", F.when(is_known, F.try_element_at(hit, F.lit(1))["reason"])).drop("_ks", "_ss", "_slice")
 
 
 def sessionize(readings: DataFrame, keys: list[str], gap_seconds: int = EPISODE_GAP, when: str = "datetime") -> DataFrame:
     """readings with `episode`, numbered from 1 by keys; a new one begins after a silence longer than the gap."""
-    w = Window.partitionBy(*keys).orderBy(F.unix_micros(when))
-    new = (F.unix_micros(when) - F.lag(F.unix_micros(when)).over(w)) > gap_seconds * 1_000_000
-    return readings.withColumn("_new", F.coalesce(new, F.lit(False)).cast("int")).withColumn("episode", (F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0)) + 1).cast("bigint")).drop("_new")
+    at = F.unix_micros(when)
+    paired = with_neighbour(readings, keys, at, [], "_b", ahead=False)
+    new = F.coalesce(at - F.col("_b.at") > gap_seconds * 1_000_000, F.lit(False))
+    numbered = with_running_sum(paired.withColumn("_new", new), keys, at, F.col("_new").cast("int"), "_n")
+    return numbered.withColumn("episode", F.col("_n") + 1).drop("_b", "_new", "_n")
 
 
 def unattributed_episodes(classified: DataFrame, gap_seconds: int = EPISODE_GAP) -> DataFrame:

@@ -135,5 +135,5 @@ def land_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch.shared_folder(spark, "landed")
     r = event_readings(spark, sf_dir).select("device_serial", "datetime", "value", "source_file", "row_seq")
     for _ in range(2):
-        landing.land_batch(r, 1, f"{root}/readings", f"{root}/log", f"{root}/dirty")
+        landing.land_batch(r, 1, f"{root}/readings", f"{root}/log", f"{root}/dirty", "run")
     return spark.read.parquet(f"{root}/log").select("device_serial", "source_file", ntz("start_date"), ntz("end_date"), "n_records")

@@ -10,8 +10,11 @@ from .adapters import event_readings, instant, table
 from .functions import parsing, texts
 from .operators import windows
 from .plans import build, products
+from .plans.store import VersionedProducts
 from .queries import ntz, query, r6
 from .sources import files, named, scratch, tables
+from .streaming import dedupe as stream
+from .streaming import landing
 
 _M = f"WITH {net.SQL}\n"
 
@@ -185,14 +188,19 @@ _BUILD = """r AS (SELECT 'st_wx' || user_id % 3 AS station_id, event_type AS var
 st AS (SELECT CAST(user_id AS VARCHAR) AS device, min(ts) + INTERVAL 2 DAY AS starts FROM events GROUP BY 1),
 q AS (SELECT r.*, row_number() OVER (PARTITION BY station_id, variable, r.device, dt ORDER BY f DESC, event_id) AS k, row_number() OVER (PARTITION BY station_id, variable, r.device, dt, f ORDER BY event_id) AS nth FROM r JOIN st ON r.device = st.device AND dt >= starts),
 h AS (SELECT *, list_extract(list(v) OVER (PARTITION BY station_id, variable, device, dt ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 1) AS kept FROM q),
-u AS (SELECT station_id, variable, device, dt, any_value(f) FILTER (k = 1) AS f, list_extract(list(kept), 1) AS v, bool_or(nth = 1 AND v IS DISTINCT FROM kept) AS conflict, count(*) FILTER (nth > 1) AS repeats FROM h GROUP BY ALL),
-bg AS (SELECT *, min(dt) OVER (PARTITION BY station_id, variable, device) AS began FROM u), cv AS (SELECT *, row_number() OVER (PARTITION BY station_id, variable, dt ORDER BY began DESC, device DESC) AS n FROM bg),
-sp AS (SELECT station_id, variable, min(dt) AS a, max(dt) AS b FROM cv GROUP BY ALL), gr AS (SELECT station_id, variable, unnest(generate_series(a, b, INTERVAL 15 MINUTE)) AS dt FROM sp),
-se AS (SELECT gr.station_id, gr.variable, gr.dt, cv.v, cv.device, cv.f, coalesce(cv.conflict, false) AS conflict, CAST(year(gr.dt - INTERVAL 4 HOUR) AS INTEGER) AS year FROM gr LEFT JOIN cv ON gr.station_id = cv.station_id AND gr.variable = cv.variable AND gr.dt = cv.dt AND cv.n = 1),
+u AS (SELECT station_id, variable, device, dt, CAST(year(dt - INTERVAL 4 HOUR) AS INTEGER) AS year, any_value(f) FILTER (k = 1) AS f, list_extract(list(kept), 1) AS v, bool_or(nth = 1 AND v IS DISTINCT FROM kept) AS conflict, count(*) FILTER (nth > 1) AS repeats FROM h GROUP BY ALL),
+bg AS (SELECT *, min(dt) OVER (PARTITION BY station_id, variable, device, year) AS began FROM u), cv AS (SELECT *, row_number() OVER (PARTITION BY station_id, variable, dt ORDER BY began DESC, device DESC) AS n FROM bg),
+sp AS (SELECT station_id, variable, year, min(dt) AS a, max(dt) AS b FROM cv GROUP BY ALL), gr AS (SELECT station_id, variable, year, unnest(generate_series(a, b, INTERVAL 15 MINUTE)) AS dt FROM sp),
+se AS (SELECT gr.station_id, gr.variable, gr.dt, cv.v, cv.device, cv.f, coalesce(cv.conflict, false) AS conflict, gr.year FROM gr LEFT JOIN cv ON gr.station_id = cv.station_id AND gr.variable = cv.variable AND gr.dt = cv.dt AND cv.n = 1),
 us AS (SELECT station_id, variable, CAST(year(dt - INTERVAL 4 HOUR) AS INTEGER) AS year, CAST(sum(repeats) AS BIGINT) AS repeats, count(DISTINCT f) AS inputs FROM u GROUP BY ALL),
 mf AS (SELECT se.station_id, se.variable, se.year, count(*) AS rows, count(*) FILTER (v IS NOT NULL) AS observed, count(*) FILTER (v IS NULL) AS missing, count(*) FILTER (conflict) AS conflicts, min(dt) AS first, max(dt) AS last, count(DISTINCT device) AS devices, any_value(us.repeats) AS repeats, any_value(us.inputs) AS inputs
   FROM se LEFT JOIN us ON se.station_id = us.station_id AND se.variable = us.variable AND se.year = us.year GROUP BY se.station_id, se.variable, se.year)"""
 _MANIFEST = "station_id, variable, year, rows, observed, missing, conflicts, first, last, devices, repeats, inputs"
+#: What a manifest says of the loggers: their deployments, how each was aligned, and the interval that it kept.
+_LOGGERS = """tm AS (SELECT station_id, variable, device, year, dt, epoch(dt - lag(dt) OVER (PARTITION BY station_id, variable, device, year ORDER BY dt)) AS gap FROM u),
+gp AS (SELECT station_id, variable, device, year, gap, count(*) AS n FROM tm GROUP BY ALL),
+nv AS (SELECT station_id, variable, device, year, CASE WHEN sum(n) >= 3 THEN arg_min(gap, (-n, gap)) FILTER (gap IS NOT NULL) END AS native FROM gp GROUP BY ALL),
+lg AS (SELECT station_id, variable, year, count(*) AS deployments, string_agg(device || ' exact', '; ' ORDER BY device || ' exact') AS alignment, string_agg(t, '; ' ORDER BY t) AS intervals FROM (SELECT *, device || ' ' || coalesce(CAST(CAST(native / 60 AS BIGINT) AS VARCHAR) || ' min', '?') AS t FROM nv) GROUP BY ALL)"""
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -213,9 +221,14 @@ def _shown(manifest: DataFrame) -> DataFrame:
     return manifest.select("station_id", "variable", "year", "rows", "observed", "missing", "conflicts", ntz("first"), ntz("last"), F.size("devices").cast("bigint").alias("devices"), "repeats", F.size("inputs").cast("bigint").alias("inputs"))
 
 
-@query(f"WITH {_BUILD} SELECT {_MANIFEST} FROM mf")
+@query(f"""WITH {_BUILD}, {_LOGGERS} SELECT {', '.join('mf.' + c for c in _MANIFEST.split(', '))}, lg.deployments, lg.alignment, lg.intervals, 'loggers' AS device_names, 'm' AS unit, 'America/Puerto_Rico' AS timezone, true AS marked, '' AS problems, CAST('2024-06-01' AS TIMESTAMP) AS built_utc
+FROM mf JOIN lg USING (station_id, variable, year)""")
 def manifest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(build.build_products(**_inputs(spark, sf_dir)).manifest)
+    i = _inputs(spark, sf_dir)
+    m = build.build_products(**i, names=i["windows"].select("unique_id", F.lit("loggers").alias("device_name")), built="2024-06-01").manifest
+    text = lambda c: F.array_join(c, "; ").alias(c)
+    more = m.select("station_id", "variable", "year", F.size("deployments").cast("bigint").alias("deployments"), text("alignment"), text("intervals"), text("device_names"), "unit", "timezone", (F.col("metadata_fingerprint").isNotNull() & F.col("ports_fingerprint").isNotNull()).alias("marked"), text("problems"), ntz("built_utc"))
+    return _shown(m).join(more, ["station_id", "variable", "year"])
 
 
 @query(f"WITH {_BUILD} SELECT station_id, variable, dt AS datetime, year, v AS value, CASE WHEN v IS NULL THEN 'missing' ELSE 'observed' END AS flag, device AS device_serial FROM se WHERE station_id IN ('st_wx0', 'st_wx2')")
@@ -259,8 +272,27 @@ def drop_stale_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_BUILD} SELECT {_MANIFEST} FROM mf WHERE station_id = 'st_wx1' AND year = 2024")
 def rebuild_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One station-year out of readings that lie in a folder a file; folders of files without it are not read."""
     stale = spark.range(1).select(F.lit("st_wx1").alias("station_id"), F.lit(2024).alias("year"))
-    return _shown(build.rebuild_stale(stale, **_inputs(spark, sf_dir)).manifest)
+    i, path = _inputs(spark, sf_dir), scratch.shared_folder(spark, "long")
+    i["long"].write.partitionBy("filepath").parquet(path)
+    i["long"] = spark.read.schema(i["long"].schema).parquet(path)
+    files = i["long"].groupBy("filepath", "device_serial").agg(F.min("datetime").cast("date").alias("start_date"), F.max("datetime").cast("date").alias("end_date"))
+    b = build.rebuild_stale(stale, **i, files=files)
+    return _shown(b.manifest)
+
+
+@query(f"""WITH {_BUILD} SELECT 1 AS version, station_id, variable, year, count(*) AS rows, count(v) AS n_real FROM se GROUP BY ALL
+UNION ALL SELECT 2, station_id, variable, year, count(*), CASE WHEN station_id = 'st_wx1' THEN 0 ELSE count(v) END FROM se WHERE NOT (station_id = 'st_wx1' AND variable = 'view') GROUP BY station_id, variable, year""")
+def versioned_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of all products: the second rebuilds one station, without one of its variables and with other values."""
+    b = build.build_products(**_inputs(spark, sf_dir))
+    store = VersionedProducts(spark, scratch.shared_folder(spark, "store"))
+    store.commit(b.series, b.manifest, b.manifest)
+    one = lambda d: d.filter("station_id = 'st_wx1' and variable <> 'view'")
+    store.commit(one(b.series).withColumn("value", F.lit(None).cast("double")), one(b.manifest), b.manifest.filter("station_id = 'st_wx1'"))
+    each = [store.read(v).groupBy("station_id", "variable", "year").agg(F.count("*").alias("rows"), F.count("value").alias("n_real")).withColumn("version", F.lit(v)) for v in store.versions()]
+    return each[0].unionByName(each[1]).select("version", "station_id", "variable", F.col("year").cast("int").alias("year"), "rows", "n_real")
 
 
 @query(f"WITH {_BUILD} SELECT count(*) AS products, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(missing) AS BIGINT) AS missing, CAST(sum(conflicts) AS BIGINT) AS conflicts, CAST(coalesce(sum(repeats), 0) AS BIGINT) AS repeats, count(*) FILTER (conflicts > 0) AS to_look_at FROM mf")
@@ -269,7 +301,7 @@ def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_BUILD}, lost AS (SELECT r.device, dt FROM r JOIN st ON r.device = st.device AND dt < starts), ep AS (SELECT device, min(dt) AS a, max(dt) AS b FROM lost GROUP BY 1)
-SELECT 'recent' AS part, count(*) AS n FROM ep WHERE b >= TIMESTAMP '2024-01-03' - INTERVAL 1 DAY UNION ALL SELECT 'older', count(*) FROM ep WHERE b < TIMESTAMP '2024-01-03' - INTERVAL 1 DAY UNION ALL SELECT 'look', count(*) FROM mf WHERE conflicts > 0 UNION ALL SELECT 'totals', 1 UNION ALL SELECT 'problems', 0 UNION ALL SELECT 'unmapped', count(DISTINCT event_type) FROM events WHERE event_type = 'error'""")
+SELECT 'recent' AS part, count(*) AS n FROM ep WHERE b >= TIMESTAMP '2024-01-03' - INTERVAL 1 DAY UNION ALL SELECT 'older', count(*) FROM ep WHERE b < TIMESTAMP '2024-01-03' - INTERVAL 1 DAY UNION ALL SELECT 'look', count(*) FROM mf WHERE conflicts > 0 UNION ALL SELECT 'totals', 1 UNION ALL SELECT 'problems', 0 UNION ALL SELECT 'unlogged', 0 UNION ALL SELECT 'unmapped', count(DISTINCT event_type) FROM events WHERE event_type = 'error'""")
 def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _inputs(spark, sf_dir)
     known = i["windows"].select(F.lit(1).alias("rank"), "device_serial", F.lit(None).cast("int").alias("port"), F.col("starts").alias("from"), F.col("starts").alias("to"), F.lit("x").alias("reason"))
@@ -296,23 +328,24 @@ def retired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT CAST(user_id AS VARCHAR) AS device_serial, event_type AS series, to_timestamp(floor(epoch(ts) / 900) * 900) AT TIME ZONE 'UTC' AS datetime, arg_max(event_id, (event_id % 3, -event_id)) AS row_seq FROM events GROUP BY ALL""")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings arrive as three overlapping fetches, the latest first; what is kept does not depend on that."""
+    """The readings arrive as three overlapping fetches, the latest first, the last of them under a new checkpoint; what is kept
+    does not depend on that, nor on the compaction between."""
     root = scratch.shared_folder(spark, "stream")
     e = event_readings(spark, sf_dir)
     at = F.timestamp_micros((F.floor(F.unix_micros("datetime") / 900_000_000) * 900_000_000).cast("bigint"))
     r = e.select("device_serial", "series", at.alias("datetime"), "value", "fetched_utc", "source_file", "row_seq")
-    kept = f"{root}/kept"
-    for part in (2, 0, 1):
+    keys = ["device_serial", "series", "datetime"]
+    for n, part in enumerate((2, 0, 1)):
         r.filter(F.col("source_file") == f"f{part}").write.mode("append").parquet(f"{root}/in")
-        build.stream_dedupe(spark.readStream.schema(r.schema).parquet(f"{root}/in"), kept, f"{root}/checkpoint", ["device_serial", "series", "datetime"]).awaitTermination()
-    return build.current_readings(spark, kept).select("device_serial", "series", ntz("datetime"), "row_seq")
+        stream.stream_dedupe(spark.readStream.schema(r.schema).parquet(f"{root}/in"), f"{root}/kept", f"{root}/checkpoint{n // 2}", keys).awaitTermination()
+        if n == 1:
+            stream.compact(spark, f"{root}/kept", keys)
+    return stream.current_readings(spark, f"{root}/kept", keys).select("device_serial", "series", ntz("datetime"), "row_seq")
 
 
 @query("""SELECT CAST(user_id AS VARCHAR) AS device_serial, CAST(year(ts - INTERVAL 4 HOUR) AS INTEGER) AS year, count(*) AS n FROM events GROUP BY ALL""")
 def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed readings, counted by the (device, local year) keys that the landing marked for rebuilding."""
-    from .streaming import landing
-
     root = scratch.shared_folder(spark, "landing")
     r = event_readings(spark, sf_dir).select("device_serial", "datetime", "value", "source_file", "row_seq")
     r.write.parquet(f"{root}/in")

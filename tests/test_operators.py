@@ -149,6 +149,16 @@ def test_stale_reasons(spark):
     built = spark.createDataFrame([(2, ["a"], "x", "1"), (3, ["a"], "x", "1"), (4, ["a"], "x", "1"), (5, ["a"], "x", "0"), (6, ["a"], "x", "1"), (7, ["a"], None, "1")], "k int, inputs array<string>, fingerprint string, logic_version string")
     got = {r.k: r.reason for r in products.stale_partitions(wanted, built, ["k"]).collect()}
     assert got == {1: "not built", 2: "1 new inputs", 3: "metadata changed", 5: "logic changed", 6: "inputs no longer make it", 7: "no fingerprint"}
+    unversioned = built.withColumn("logic_version", F.when(F.col("k") != 4, F.col("logic_version")))
+    assert {r.k: r.reason for r in products.stale_partitions(wanted, unversioned, ["k"]).collect()} == {**got, 4: "logic changed"}
+
+
+def test_stale_station_years_have_six_reasons(spark):
+    wanted = spark.createDataFrame([(y, "s", ["a"], "m", "p") for y in (1, 2, 3, 4, 5, 6)] + [(7, "s", ["a", "b"], "m", "p")], "year int, station_id string, inputs array<string>, metadata_fingerprint string, ports_fingerprint string")
+    rows = [(1, "m", "p", "1"), (1, "m", "p", "1"), (2, "other", "p", "1"), (3, "m", "other", "1"), (4, "m", "p", "1"), (4, "m", "p", None), (5, None, "p", "1"), (5, "m", "p", "1"), (7, "m", "p", "1"), (8, "m", "p", "1")]
+    built = spark.createDataFrame([(y, "s", f"v{i}", ["a"], *r) for i, (y, *r) in enumerate(rows)], "year int, station_id string, variable string, inputs array<string>, metadata_fingerprint string, ports_fingerprint string, logic_version string")
+    got = {r.year: r.reason for r in products.stale_station_years(wanted, built).collect()}
+    assert got == {2: "metadata changed", 3: "ports changed", 4: "logic changed", 5: "no fingerprint", 6: "not built", 7: "1 new inputs", 8: "inputs no longer make it"}
 
 
 def test_build_and_rebuild(spark, tmp_path):
@@ -173,5 +183,12 @@ def test_landing_is_idempotent(spark, tmp_path):
         landing.stream_land(spark.readStream.schema(df.schema).parquet(src), *out).awaitTermination()
     assert spark.read.parquet(out[0]).count() == 4
     assert sorted(r.n_records for r in spark.read.parquet(out[1]).collect()) == [2, 2]
-    landing.land_batch(df, 0, *out[:3])
+    run = landing.run_of(spark, out[3])
+    landing.land_batch(df, 0, *out[:3], run)
     assert spark.read.parquet(out[0]).count() == 4
+    # a new checkpoint counts its batches from 0 again and overwrites nothing
+    more, ck = str(tmp_path / "in2"), str(tmp_path / "ck2")
+    df.withColumn("device_serial", F.lit("e")).write.parquet(more)
+    landing.stream_land(spark.readStream.schema(df.schema).parquet(more), *out[:3], ck).awaitTermination()
+    assert {(r.device_serial, r["count"]) for r in spark.read.parquet(out[0]).groupBy("device_serial").count().collect()} == {("d", 4), ("e", 4)}
+    assert landing.run_of(spark, ck) != run
