@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import scratch
 from .windows import is_terminal
 
 
@@ -71,9 +72,17 @@ def next_ids(new: DataFrame, existing: DataFrame, prefix: Column, order: list[st
     """new with ids `<prefix>-0001` that go on after the highest number of each prefix among the existing ones."""
     shape = r"^([a-z]+)-([0-9]+)$"
     last = existing.select(F.regexp_extract(id_col, shape, 1).alias("_p"), F.regexp_extract(id_col, shape, 2).try_cast("bigint").alias("_k")).filter("_k is not null").groupBy("_p").agg(F.max("_k").alias("_last"))
-    n = new.withColumn("_p", prefix).join(last, "_p", "left")
-    number = F.coalesce("_last", F.lit(0)) + F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return n.withColumn(id_col, F.when(F.col("_p").isNotNull(), F.concat(F.col("_p"), F.lit("-"), F.lpad(number.cast("string"), F.greatest(F.lit(4), F.length(number.cast("string"))), F.lit("0"))))).drop("_p", "_last")
+    # rows are dealt to ranges of (prefix, order) and written, so that a row's place is the same whenever it is read; a range
+    # counts its own rows and needs of the others only how many of its prefix come before it
+    dealt = new.withColumn("_p", prefix).repartitionByRange("_p", *order).sortWithinPartitions("_p", *order)
+    dealt = scratch.written(dealt.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "numbered")
+    counts = dealt.filter("_p is not null").groupBy("_p", "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_p").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    first = counts.join(last, "_p", "left").select("_p", "_part", (F.coalesce("_last", F.lit(0)) + F.coalesce(before, F.lit(0))).alias("_before"))
+    number = F.col("_before") + F.row_number().over(Window.partitionBy("_p", "_part").orderBy("_at"))
+    n = dealt.join(first, ["_p", "_part"], "left").withColumn("_k", number)
+    padded = F.lpad(F.col("_k").cast("string"), F.greatest(F.lit(4), F.length(F.col("_k").cast("string"))), F.lit("0"))
+    return n.withColumn(id_col, F.when(F.col("_p").isNotNull(), F.concat(F.col("_p"), F.lit("-"), padded))).drop("_p", "_part", "_at", "_before", "_k")
 
 
 def next_station(wanted: DataFrame, stations: DataFrame) -> DataFrame:

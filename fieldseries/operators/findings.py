@@ -59,7 +59,7 @@ def memory_forecast(deployments: DataFrame, observed: DataFrame, now: Column) ->
     d = d.filter((minutes > 0) & since.isNotNull()).withColumn("_left", _days(since, now) + CAPACITY * minutes / 1440)
     left = F.when(F.col("_left") < 0, F.concat(F.lit("full, "), _whole(-F.col("_left")), F.lit(" days lost"))).otherwise(F.concat(F.lit("full in "), _whole(F.col("_left")), F.lit(" days")))
     differs = (F.col("_seen") > 0) & (F.abs(F.col("_seen") - F.col("interval_min")) > 0.001)
-    never = F.when(F.col("last_download").isNull(), F.when(F.coalesce(F.col("_seen") > 0, F.lit(False)), ", never offloaded").otherwise(", never offloaded, interval not verified")).otherwise("")
+    never = F.when(F.col("last_download").isNull(), F.when(F.coalesce(F.col("_seen") > 0, F.lit(False)), ", no offload yet").otherwise(", no offload yet, interval not verified")).otherwise("")
     note = F.when(differs, ", logs at another interval than declared").otherwise(never)
     return _found(d.filter("_left <= 60"), F.when(F.col("_left") <= 14, "high").otherwise("medium"), F.concat(left, note), "memory")
 

@@ -43,7 +43,7 @@ def lookup_with_default(rows: DataFrame, table: DataFrame, key: str, value: str,
     """rows with the value of their key, else that of the row DEFAULT, else a constant (a date as text)."""
     own = table.filter(F.col(key) != DEFAULT).groupBy(key).agg(F.min(value).alias("_own"))
     usual = table.groupBy().agg(F.min(F.when(F.col(key) == DEFAULT, F.col(value))).alias("_usual")).withColumn("_k", F.lit(1))
-    out = rows.join(own, key, "left").withColumn("_k", F.lit(1)).join(usual, "_k", "left")
+    out = rows.join(own, key, "left").withColumn("_k", F.lit(1)).join(F.broadcast(usual), "_k", "left")  # a single row
     return out.withColumn(value, F.coalesce("_own", "_usual", F.lit(constant).cast("date"))).drop("_own", "_usual", "_k")
 
 

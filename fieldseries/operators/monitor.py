@@ -25,16 +25,31 @@ def profile_files(readings: DataFrame, keys: list[str], zone: str = PROJECT_ZONE
     return readings.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_distinct("datetime").alias("stamps"), F.min(local).cast("date").alias("first_day"), F.max(local).cast("date").alias("last_day"), F.sum("value").alias("total"))
 
 
+def _files_in_order(readings: DataFrame) -> DataFrame:
+    """A row a device and file: its first and last reading (a, b), their number, and the file before it."""
+    f = readings.groupBy("device_serial", "source_file").agg(F.min("datetime").alias("a"), F.max("datetime").alias("b"), F.count("*").alias("n"))
+    return f.withColumn("_before", F.lag(F.struct("source_file", "b")).over(Window.partitionBy("device_serial").orderBy("a", "source_file")))
+
+
+def _break(hours: float) -> Column:
+    return F.unix_micros("a") - F.unix_micros("_before.b") > hours * 3_600_000_000
+
+
+def coverage_gaps(readings: DataFrame, gap_hours: float = 12) -> DataFrame:
+    """A row a break of more than gap_hours between one file's end and the next one's start: device_serial, after_file, ends,
+    before_file, starts, hours."""
+    g = _files_in_order(readings).filter(_break(gap_hours))
+    hours = F.round((F.unix_micros("a") - F.unix_micros("_before.b")) / 3_600_000_000, 4)
+    return g.select("device_serial", F.col("_before.source_file").alias("after_file"), F.col("_before.b").alias("ends"), F.col("source_file").alias("before_file"), F.col("a").alias("starts"), hours.alias("hours"))
+
+
 def device_coverage(readings: DataFrame, gap_hours: int = 12) -> DataFrame:
     """Files, readings, span and breaks between one file's end and the next one's start, by device."""
-    f = readings.groupBy("device_serial", "source_file").agg(F.min("datetime").alias("a"), F.max("datetime").alias("b"), F.count("*").alias("n"))
-    before = F.lag("b").over(Window.partitionBy("device_serial").orderBy("a", "source_file"))
-    gap = F.unix_micros("a") - F.unix_micros(before) > gap_hours * 3_600_000_000
-    g = f.withColumn("_g", F.coalesce(gap, F.lit(False)))
+    g = _files_in_order(readings).withColumn("_g", F.coalesce(_break(gap_hours), F.lit(False)))
     return g.groupBy("device_serial").agg(F.count("*").alias("files"), F.sum("n").alias("readings"), F.min("a").alias("first"), F.max("b").alias("last"), F.count_if("_g").alias("gaps"))
 
 
-def network_todo(devices: DataFrame, reporting: DataFrame, known: DataFrame, now: str, medium_hours: int = 24, high_hours: int = 168) -> DataFrame:
+def device_findings(devices: DataFrame, reporting: DataFrame, known: DataFrame, now: str, medium_hours: int = 24, high_hours: int = 168) -> DataFrame:
     """Findings (device_serial, issue, severity): silent devices, low batteries, unknown reporters.
 
     devices: device_serial, last_record, battery (percent).  `now` is a literal, so that a report can be repeated.
@@ -56,7 +71,7 @@ def latest_fact_join(deployments: DataFrame, readings: DataFrame, is_battery: Co
     return out.withColumns({"battery": F.when(live, F.col("_b")), "last_record": F.when(live, F.col("_l"))}).drop("_b", "_l")
 
 
-def station_roster(deployments: DataFrame) -> DataFrame:
+def station_counts(deployments: DataFrame) -> DataFrame:
     """Active rows, devices and the newest deployment by station."""
     return active_rows(deployments).groupBy("station_id").agg(F.count("*").alias("live_rows"), F.count_distinct("device_serial").alias("devices"), F.max("deploy_datetime").alias("last_deploy"))
 

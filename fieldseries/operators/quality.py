@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.parsing import PROJECT_ZONE
 from .diff import union_all
-from .windows import is_terminal
+from .windows import end_of_day, is_terminal
 
 # The states a deployment can be in.
 STATUSES = ("online", "local", "manual", "nonresponsive", "defunct", "removed", "replaced", "relocated", "decommissioned")
@@ -42,13 +43,25 @@ def all_terminal(deployments: DataFrame, key: str = "device_serial") -> DataFram
     return deployments.groupBy(key).agg(F.bool_and(is_terminal(F.col("status"))).alias("t")).filter("t").select(key)
 
 
-def outside_deployment(deployments: DataFrame) -> DataFrame:
-    """Rows whose last record lies before their start, or (terminal ones) after the earlier of the serial's next start and the last visit's end."""
-    w = Window.partitionBy("device_serial").orderBy("deploy_datetime", "unique_id")
-    nxt = F.lead("deploy_datetime").over(w)
-    out = F.least(nxt, F.col("last_visit").cast("timestamp") + F.expr("interval 86399 seconds"))
-    d = deployments.withColumn("_end", F.when(is_terminal(F.col("status")), out))
-    return d.filter((F.col("last_record") < F.col("deploy_datetime")) | (F.col("_end").isNotNull() & (F.col("last_record") > F.col("_end")))).drop("_end")
+def with_end(deployments: DataFrame, zone: str = PROJECT_ZONE) -> DataFrame:
+    """deployments with `_end`: of terminal rows the earlier of the serial's next start and the last visit's end, which is
+    the end of that day in the project's zone.  Rows without a serial follow nobody."""
+    alone = F.coalesce(F.col("device_serial").cast("string"), F.concat(F.lit("\0"), F.col("unique_id").cast("string")))  # a window of its own
+    nxt = F.lead("deploy_datetime").over(Window.partitionBy("_own").orderBy("deploy_datetime", "unique_id"))
+    d = deployments.withColumn("_own", alone)
+    return d.withColumn("_end", F.when(is_terminal(F.col("status")), F.least(F.when(F.col("device_serial").isNotNull(), nxt), end_of_day(F.col("last_visit"), zone)))).drop("_own")
+
+
+def outside() -> Column:
+    """Whether the last record of a row of with_end() lies before its start, or after its end."""
+    late = F.col("_end").isNotNull() & (F.col("last_record") > F.col("_end"))
+    return F.col("device_serial").isNotNull() & ((F.col("last_record") < F.col("deploy_datetime")) | late)
+
+
+def outside_deployment(deployments: DataFrame, zone: str = PROJECT_ZONE) -> DataFrame:
+    """Rows (with a serial) whose last record lies before their start, or (terminal ones) after the earlier of the serial's next
+    start and the last visit's end."""
+    return with_end(deployments, zone).filter(outside()).drop("_end")
 
 
 def violations(rules: list[Rule]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The data-quality rules of a station network: each a frame of violations (key, detail) over the network's tables."""
+"""The data-quality rules of a station network: what single rows show and what all rows of a key show, over its tables."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import PROJECT_ZONE, RAW_NAME
+from ..sources import scratch
+from .diff import union_all
 from .monitor import STAGES
-from .quality import STATUSES, Rule, all_terminal, outside_deployment
-from .windows import active_ports, active_rows
+from .quality import STATUSES, Rule, outside, with_end
+from .windows import is_terminal
 
 # Fields that a deployment and a maintenance entry must have.
 REQUIRED = ("station_id", "device_serial", "status", "deploy_datetime", "lat", "lon", "timezone", "mfger")
@@ -54,105 +56,247 @@ def blank(c: str | Column) -> Column:
     return c.isNull() | (F.trim(c.cast("string")) == "")
 
 
-def _rows(df: DataFrame, key: str | Column, detail: str | Column) -> DataFrame:
-    as_text = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
-    return df.select(as_text(key).alias("key"), as_text(detail).alias("detail"))
+Cell = tuple[Column, Column, Column]
 
 
-def _repeated(df: DataFrame, *keys: str) -> DataFrame:
-    return _rows(df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1"), F.concat_ws("|", *keys), "n")
+@dataclass(frozen=True)
+class RowRule:
+    """What a row alone shows: `cells` are (whether it is a violation, its key, its detail), one or more a row."""
 
+    table: str
+    cells: Callable[[Network], list[Cell]]
 
-def _unknown(df: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
-    """Values of a column, each once, that another table does not have; the detail is how many rows have it."""
-    found = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-    return _rows(found.join(known.select(F.col(known_column).alias("key")).distinct(), "key", "left_anti"), "key", "n")
 
+@dataclass(frozen=True)
+class Side:
+    """Rows of a table that have something to say about a key: `n` counts the rows that are judged, `m` those that they are held
+    against, and `t` the ones of either that have a property.  Rows whose key is null are left out unless `nulls`."""
 
-def _missing(df: DataFrame, fields: tuple[str, ...], key: str) -> DataFrame:
-    """(field, key) of blank values; fields that are no columns have one row with a null key."""
-    there = [f for f in fields if f in df.columns]
-    gone = [f for f in fields if f not in df.columns]
-    bad = F.array(*[F.when(blank(f), F.lit(f)) for f in there]) if there else F.array().cast("array<string>")
-    rows = df.select(F.col(key).cast("string").alias("key"), F.explode(F.array_compact(bad)).alias("detail"))
-    return rows.unionByName(df.sparkSession.createDataFrame([(None, f) for f in gone], "key string, detail string")) if gone else rows
+    table: str
+    keys: tuple[str | Column, ...]
+    when: Column | None = None
+    judged: bool = True
+    marked: Column | None = None
+    nulls: bool = False
 
 
-def _texts(n: Network, bad: Callable[[Column], Column]) -> DataFrame:
-    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in n.texts])
-    long = n.deployments.select("unique_id", F.explode(cells).alias("c")).select("unique_id", "c.*")
-    return _rows(long.filter(~blank("value") & (F.col("value") != "NA") & bad(F.col("value"))), F.concat_ws("|", "unique_id", "field"), "value")
+@dataclass(frozen=True)
+class KeyRule:
+    """What all rows of a key show together: a violation where `broken` holds for its n, m and t."""
 
+    table: str
+    sides: tuple[Side, ...]
+    broken: str
+    detail: str = "n"
 
-def _span_mismatch(n: Network) -> DataFrame:
-    """Logged files whose names give other local days than the log."""
-    name = F.element_at(F.split("filepath", "/"), -1)
-    day = lambda c: F.date_format(F.from_utc_timestamp(c, PROJECT_ZONE), "yyyyMMdd")
-    d = n.downloads.withColumns({"_name": name, "_log": F.concat_ws("-", day("start_date"), day("end_date"))})
-    named = F.concat_ws("-", F.regexp_extract("_name", RAW_NAME, 2), F.regexp_extract("_name", RAW_NAME, 3))
-    return _rows(d.filter(F.col("_name").rlike(RAW_NAME) & F.col("start_date").isNotNull() & F.col("end_date").isNotNull() & (named != F.col("_log"))), "filepath", "_log")
 
+def _row(table: str, bad: Callable[[], Column], key: str, detail: Callable[[], Column]) -> RowRule:
+    return RowRule(table, lambda _: [(bad(), F.col(key), detail())])
 
-def _terminal_with_ports(n: Network) -> DataFrame:
-    open_ = active_ports(n.ports).groupBy(F.col("sn").alias("device_serial")).agg(F.count("*").alias("n"))
-    return _rows(open_.join(all_terminal(n.deployments), "device_serial", "left_semi"), "device_serial", "n")
 
+def _repeated(table: str, *keys: str, when: Column | None = None) -> KeyRule:
+    return KeyRule(table, (Side(table, keys, when, nulls=True),), "n > 1")
 
-def _against_log(n: Network, bad: Column) -> DataFrame:
-    """Readable files that differ from what was logged about them (first_row wins where a file is logged twice)."""
-    log = n.downloads.groupBy("filepath").agg(F.min(F.struct("start_date", "end_date", "n_records")).alias("l")).select("filepath", "l.*")
-    return _rows(n.profiles.filter("readable").join(log, "filepath").filter(bad), "filepath", "rows")
 
+def _unknown(table: str, column: str, known: str, known_column: str, when: Column | None = None) -> KeyRule:
+    """Values of a column, each once, that another table does not have; the detail is how many rows have it."""
+    return KeyRule(table, (Side(table, (column,), when), Side(known, (known_column,), judged=False)), "n > 0 and m = 0")
+
+
+def _required(n: Network) -> list[Cell]:
+    return [(blank(f), F.col("unique_id"), F.lit(f)) for f in REQUIRED if f in n.deployments.columns]
 
-def _maintenance_mostly_blank(n: Network) -> DataFrame:
-    shares = n.maintenance.agg(*[F.avg(blank(c).cast("double")).alias(c) for c in MAINTENANCE_REQUIRED])
-    long = shares.select(F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("share")) for c in MAINTENANCE_REQUIRED])).alias("s")).select("s.*")
-    return _rows(long.filter("share > 0.5"), "key", F.round("share", 4))
 
+def _texts(bad: Callable[[Column], Column]) -> Callable[[Network], list[Cell]]:
+    return lambda n: [(~blank(c) & (F.col(c) != "NA") & bad(F.col(c)), F.concat_ws("|", F.col("unique_id").cast("string"), F.lit(c)), F.col(c)) for c in n.texts]
 
+
+_day = lambda c: F.date_format(F.from_utc_timestamp(c, PROJECT_ZONE), "yyyyMMdd")
 _local_day = lambda c: F.from_utc_timestamp(c, PROJECT_ZONE).cast("date")
 
-#: name -> (table, violations of a network)
-RULES: dict[str, tuple[str, Callable[[Network], DataFrame]]] = {
-    "UNIQUE_ID_DUPLICATES": ("deployments", lambda n: _repeated(n.deployments, "unique_id")),
-    "MULTIPLE_ACTIVE_SERIAL_SAME_TYPE": ("deployments", lambda n: _repeated(n.deployments.filter(F.col("status").isin(*IN_FIELD)), "device_serial", "station_type")),
-    "REQUIRED_FIELD_NA": ("deployments", lambda n: _missing(n.deployments, REQUIRED, "unique_id")),
-    "INVALID_COORDINATES": ("deployments", lambda n: _rows(n.deployments.filter("lat not between -90 and 90 or lon not between -180 and 180"), "unique_id", F.concat_ws(",", "lat", "lon"))),
-    "INVALID_STATUS": ("deployments", lambda n: _rows(n.deployments.filter(~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))), "unique_id", "status")),
-    "APPROVED_WITHOUT_DATE": ("deployments", lambda n: _rows(active_rows(n.deployments).filter(F.col("metadata_approved") & F.col("last_reviewed").isNull()), "unique_id", "status")),
-    "MULTIPLE_ACTIVE_PORT_CONFIGS": ("ports", lambda n: _repeated(n.ports.filter("valid_to is null"), "sn", "port")),
-    "INVALID_PORT_NUMBER": ("ports", lambda n: _rows(n.ports.filter("port is null or port not between 1 and 6"), "sn", "port")),
-    "ORPHAN_PORT_SERIAL": ("ports", lambda n: _unknown(n.ports, "sn", n.deployments, "device_serial")),
-    "TERMINAL_DEVICE_ACTIVE_PORTS": ("ports", _terminal_with_ports),
-    "REACH_LENGTH_ON_PRIMARY": ("deployments", lambda n: _rows(n.deployments.filter("station_type = 'hydro' and reach_length_m is not null and coalesce(device_role, 'primary') = 'primary'"), "unique_id", "reach_length_m")),
-    "ELEVATION_WITHOUT_SOURCE": ("deployments", lambda n: _rows(n.deployments.filter(F.col("elev").isNotNull() & blank("elev_source")), "unique_id", "elev")),
-    "EPOCH_IN_DATETIME_FIELD": ("deployments", lambda n: _texts(n, lambda v: v.rlike(EPOCH))),
-    "UNPARSEABLE_DATETIME": ("deployments", lambda n: _texts(n, lambda v: ~v.rlike(ISO_TIME) & ~v.rlike(EPOCH))),
-    "ORPHAN_MAINT_STATION": ("maintenance", lambda n: _unknown(n.maintenance, "station_id", n.deployments, "station_id")),
-    "MAINT_FIELD_NA": ("maintenance", _maintenance_mostly_blank),
-    "UNKNOWN_ACTION_TYPE": ("maintenance", lambda n: _rows(n.maintenance.filter(~F.col("action_type").isin(*ACTIONS)).groupBy("action_type").count(), "action_type", "count")),
-    "MISSING_ARCHIVED_FILE": ("downloads", lambda n: _unknown(n.downloads, "filepath", n.files, "filepath")),
-    "UNKNOWN_DOWNLOAD_STATION": ("downloads", lambda n: _unknown(n.downloads.filter(~blank("station")), "station", n.deployments, "station_id")),
-    "ORPHANED_RAW_FILES": ("files", lambda n: _unknown(n.files, "filepath", n.downloads, "filepath")),
-    "DOWNLOAD_ROW_UNIDENTIFIED": ("downloads", lambda n: _rows(n.downloads.filter(blank("station") & blank("device_serial")), "filepath", F.lit("no station and no device"))),
-    "FILENAME_SPAN_MISMATCH": ("downloads", _span_mismatch),
-    "RECORD_DATE_OUTSIDE_DEPLOYMENT": ("deployments", lambda n: _rows(outside_deployment(n.deployments), "unique_id", F.col("last_record").cast("timestamp_ntz"))),
-    "PENDING_UNKNOWN_STATION": ("pending", lambda n: _unknown(n.pending, "station_id", n.deployments, "station_id")),
-    "PENDING_UNKNOWN_STAGE": ("pending", lambda n: _rows(n.pending.filter(~F.coalesce(F.col("stage").isin(*STAGES), F.lit(False))).groupBy("stage").count(), "stage", "count")),
-    "UNREADABLE_PRODUCT1_FILE": ("profiles", lambda n: _rows(n.profiles.filter("not readable or rows = 0"), "filepath", "rows")),
-    "NO_DATETIME_COLUMN": ("profiles", lambda n: _rows(n.profiles.filter("readable and not has_time"), "filepath", "rows")),
-    "TIMESTAMPS_UNPARSEABLE": ("profiles", lambda n: _rows(n.profiles.filter("readable and has_time and parsed_times < rows"), "filepath", F.col("rows") - F.col("parsed_times"))),
-    "TIMESTAMPS_WITHOUT_ZONE": ("profiles", lambda n: _rows(n.profiles.filter("readable and has_time and not zoned"), "filepath", "rows")),
-    "READING_COUNT_MISMATCH": ("profiles", lambda n: _against_log(n, F.col("rows") != F.col("n_records"))),
-    "SPAN_MISMATCH": ("profiles", lambda n: _against_log(n, (_local_day("first") != _local_day("start_date")) | (_local_day("last") != _local_day("end_date")))),
-    "NO_MEASUREMENT_COLUMNS": ("profiles", lambda n: _rows(n.profiles.filter("readable and measures = 0"), "filepath", "rows")),
-    "SPAN_REVERSED": ("profiles", lambda n: _rows(n.profiles.filter("readable and first > last"), "filepath", "rows")),
+
+def _span_mismatch(_: Network) -> list[Cell]:
+    """Logged files whose names give other local days than the log."""
+    name = F.element_at(F.split("filepath", "/"), -1)
+    logged = F.concat_ws("-", _day("start_date"), _day("end_date"))
+    named = F.concat_ws("-", F.regexp_extract(name, RAW_NAME, 2), F.regexp_extract(name, RAW_NAME, 3))
+    return [(name.rlike(RAW_NAME) & F.col("start_date").isNotNull() & F.col("end_date").isNotNull() & (named != logged), F.col("filepath"), logged)]
+
+
+#: What was logged about a file, beside its profile.
+LOG = "_log"
+
+
+_terminal = lambda: is_terminal(F.col("status"))
+_open_port = lambda: F.col("valid_to").isNull() & F.col("sensor").isNotNull() & (F.lower("sensor") != "none")
+
+
+def _rules() -> dict[str, RowRule | KeyRule]:
+    c, no = F.col, lambda x: F.coalesce(~x, F.lit(True))
+    readable = c("readable")
+    return {
+        "UNIQUE_ID_DUPLICATES": _repeated("deployments", "unique_id"),
+        "MULTIPLE_ACTIVE_SERIAL_SAME_TYPE": _repeated("deployments", "device_serial", "station_type", when=c("status").isin(*IN_FIELD)),
+        "REQUIRED_FIELD_NA": RowRule("deployments", _required),
+        "INVALID_COORDINATES": _row("deployments", lambda: F.expr("lat not between -90 and 90 or lon not between -180 and 180"), "unique_id", lambda: F.concat_ws(",", "lat", "lon")),
+        "INVALID_STATUS": _row("deployments", lambda: no(c("status").isin(*STATUSES)), "unique_id", lambda: c("status")),
+        "APPROVED_WITHOUT_DATE": _row("deployments", lambda: ~_terminal() & c("metadata_approved") & c("last_reviewed").isNull(), "unique_id", lambda: c("status")),
+        "MULTIPLE_ACTIVE_PORT_CONFIGS": _repeated("ports", "sn", "port", when=c("valid_to").isNull()),
+        "INVALID_PORT_NUMBER": _row("ports", lambda: F.expr("port is null or port not between 1 and 6"), "sn", lambda: c("port")),
+        "ORPHAN_PORT_SERIAL": _unknown("ports", "sn", "deployments", "device_serial"),
+        "TERMINAL_DEVICE_ACTIVE_PORTS": KeyRule("ports", (Side("ports", ("sn",), _open_port()), Side("deployments", ("device_serial",), judged=False, marked=_terminal())), "n > 0 and m > 0 and t = m"),
+        "REACH_LENGTH_ON_PRIMARY": _row("deployments", lambda: F.expr("station_type = 'hydro' and reach_length_m is not null and coalesce(device_role, 'primary') = 'primary'"), "unique_id", lambda: c("reach_length_m")),
+        "ELEVATION_WITHOUT_SOURCE": _row("deployments", lambda: c("elev").isNotNull() & blank("elev_source"), "unique_id", lambda: c("elev")),
+        "EPOCH_IN_DATETIME_FIELD": RowRule("deployments", _texts(lambda v: v.rlike(EPOCH))),
+        "UNPARSEABLE_DATETIME": RowRule("deployments", _texts(lambda v: ~v.rlike(ISO_TIME) & ~v.rlike(EPOCH))),
+        "ORPHAN_MAINT_STATION": _unknown("maintenance", "station_id", "deployments", "station_id"),
+        "MAINT_FIELD_NA": KeyRule("maintenance", tuple(Side("maintenance", (F.lit(f),), marked=blank(f)) for f in MAINTENANCE_REQUIRED), "t / n > 0.5", "round(t / n, 4)"),
+        "UNKNOWN_ACTION_TYPE": KeyRule("maintenance", (Side("maintenance", ("action_type",), ~c("action_type").isin(*ACTIONS)),), "n > 0"),
+        "MISSING_ARCHIVED_FILE": _unknown("downloads", "filepath", "files", "filepath"),
+        "UNKNOWN_DOWNLOAD_STATION": _unknown("downloads", "station", "deployments", "station_id", ~blank("station")),
+        "ORPHANED_RAW_FILES": _unknown("files", "filepath", "downloads", "filepath"),
+        "DOWNLOAD_ROW_UNIDENTIFIED": _row("downloads", lambda: blank("station") & blank("device_serial"), "filepath", lambda: F.lit("no station and no device")),
+        "FILENAME_SPAN_MISMATCH": RowRule("downloads", _span_mismatch),
+        "RECORD_DATE_OUTSIDE_DEPLOYMENT": _row("deployments", outside, "unique_id", lambda: c("last_record").cast("timestamp_ntz")),
+        "PENDING_UNKNOWN_STATION": _unknown("pending", "station_id", "deployments", "station_id"),
+        "PENDING_UNKNOWN_STAGE": KeyRule("pending", (Side("pending", ("stage",), no(c("stage").isin(*STAGES)), nulls=True),), "n > 0"),
+        "UNREADABLE_PRODUCT1_FILE": _row("profiles", lambda: F.expr("not readable or rows = 0"), "filepath", lambda: c("rows")),
+        "NO_DATETIME_COLUMN": _row("profiles", lambda: F.expr("readable and not has_time"), "filepath", lambda: c("rows")),
+        "TIMESTAMPS_UNPARSEABLE": _row("profiles", lambda: F.expr("readable and has_time and parsed_times < rows"), "filepath", lambda: c("rows") - c("parsed_times")),
+        "TIMESTAMPS_WITHOUT_ZONE": _row("profiles", lambda: F.expr("readable and has_time and not zoned"), "filepath", lambda: c("rows")),
+        "READING_COUNT_MISMATCH": _row("profiles", lambda: readable & (c("rows") != c(f"{LOG}.n_records")), "filepath", lambda: c("rows")),
+        "SPAN_MISMATCH": _row("profiles", lambda: readable & ((_local_day("first") != _local_day(f"{LOG}.start_date")) | (_local_day("last") != _local_day(f"{LOG}.end_date"))), "filepath", lambda: c("rows")),
+        "NO_MEASUREMENT_COLUMNS": _row("profiles", lambda: F.expr("readable and measures = 0"), "filepath", lambda: c("rows")),
+        "SPAN_REVERSED": _row("profiles", lambda: F.expr("readable and first > last"), "filepath", lambda: c("rows")),
+    }
+
+
+#: The names of all rules, each with its table, in the order in which they are told.
+RULES = {
+    "UNIQUE_ID_DUPLICATES": "deployments",
+    "MULTIPLE_ACTIVE_SERIAL_SAME_TYPE": "deployments",
+    "REQUIRED_FIELD_NA": "deployments",
+    "INVALID_COORDINATES": "deployments",
+    "INVALID_STATUS": "deployments",
+    "APPROVED_WITHOUT_DATE": "deployments",
+    "MULTIPLE_ACTIVE_PORT_CONFIGS": "ports",
+    "INVALID_PORT_NUMBER": "ports",
+    "ORPHAN_PORT_SERIAL": "ports",
+    "TERMINAL_DEVICE_ACTIVE_PORTS": "ports",
+    "REACH_LENGTH_ON_PRIMARY": "deployments",
+    "ELEVATION_WITHOUT_SOURCE": "deployments",
+    "EPOCH_IN_DATETIME_FIELD": "deployments",
+    "UNPARSEABLE_DATETIME": "deployments",
+    "ORPHAN_MAINT_STATION": "maintenance",
+    "MAINT_FIELD_NA": "maintenance",
+    "UNKNOWN_ACTION_TYPE": "maintenance",
+    "MISSING_ARCHIVED_FILE": "downloads",
+    "UNKNOWN_DOWNLOAD_STATION": "downloads",
+    "ORPHANED_RAW_FILES": "files",
+    "DOWNLOAD_ROW_UNIDENTIFIED": "downloads",
+    "FILENAME_SPAN_MISMATCH": "downloads",
+    "RECORD_DATE_OUTSIDE_DEPLOYMENT": "deployments",
+    "PENDING_UNKNOWN_STATION": "pending",
+    "PENDING_UNKNOWN_STAGE": "pending",
+    "UNREADABLE_PRODUCT1_FILE": "profiles",
+    "NO_DATETIME_COLUMN": "profiles",
+    "TIMESTAMPS_UNPARSEABLE": "profiles",
+    "TIMESTAMPS_WITHOUT_ZONE": "profiles",
+    "READING_COUNT_MISMATCH": "profiles",
+    "SPAN_MISMATCH": "profiles",
+    "NO_MEASUREMENT_COLUMNS": "profiles",
+    "SPAN_REVERSED": "profiles",
 }
+_CLAIM = "array<struct<rule: string, id: string, key: string, n: bigint, m: bigint, t: bigint, log: struct<start_date: timestamp, end_date: timestamp, n_records: bigint>>>"
+
+
+def _claims(n: Network, chosen: dict[str, RowRule | KeyRule], log: bool) -> DataFrame:
+    """(rule, id, key, n, m, t, log): what each key comes to in each rule, from one pass over each table and one aggregation.
+
+    With `log`, files have a key of their own, with what was logged about them (the first row wins where a file is logged twice).
+    """
+    by_table: dict[str, list[Column]] = {}
+    no_log = F.lit(None).cast("struct<start_date: timestamp, end_date: timestamp, n_records: bigint>").alias("log")
+    for name, r in chosen.items():
+        for s in r.sides if isinstance(r, KeyRule) else ():
+            keys = [F.col(k) if isinstance(k, str) else k for k in s.keys]
+            one, marked = F.lit(1).cast("bigint"), F.coalesce(s.marked, F.lit(False)).cast("bigint") if s.marked is not None else F.lit(0).cast("bigint")
+            alone = keys[0].cast("string")
+            key = alone if len(keys) == 1 else F.concat_ws("|", *[k.cast("string") for k in keys])
+            id_ = alone if len(keys) == 1 else F.to_json(F.struct(*[k.cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+            claim = F.struct(F.lit(name).alias("rule"), id_.alias("id"), key.alias("key"), (one if s.judged else F.lit(0).cast("bigint")).alias("n"), (F.lit(0).cast("bigint") if s.judged else one).alias("m"), marked.alias("t"), no_log)
+            when = (F.lit(True) if s.when is None else s.when) & (F.lit(True) if s.nulls else keys[0].isNotNull())
+            by_table.setdefault(s.table, []).append(F.when(when, claim))
+    if log:
+        row = F.struct(F.col("start_date").cast("timestamp").alias("start_date"), F.col("end_date").cast("timestamp").alias("end_date"), F.col("n_records").cast("bigint").alias("n_records")).alias("log")
+        zero = F.lit(0).cast("bigint")
+        by_table.setdefault("downloads", []).append(F.struct(F.lit(LOG).alias("rule"), F.col("filepath").alias("id"), F.col("filepath").alias("key"), zero.alias("n"), zero.alias("m"), zero.alias("t"), row))
+    parts = [getattr(n, t).select(F.inline(F.array_compact(F.array(*claims)).cast(_CLAIM))) for t, claims in by_table.items()]
+    return union_all(parts).groupBy("rule", "id").agg(F.max("key").alias("key"), F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("t").alias("t"), F.min("log").alias("log"))
+
+
+def _broken(claims: DataFrame, chosen: dict[str, RowRule | KeyRule]) -> DataFrame:
+    """(rule, key, detail) of the keys that break their rule."""
+    text = F.lit(None).cast("string")
+    for name, r in chosen.items():
+        if isinstance(r, KeyRule):
+            text = F.when((F.col("rule") == name) & F.expr(r.broken), F.expr(r.detail).cast("string")).otherwise(text)
+    return claims.withColumn("detail", text).filter("detail is not null").select("rule", "key", "detail")
+
+
+def _by_row(n: Network, chosen: dict[str, RowRule | KeyRule], log: DataFrame | None) -> list[DataFrame]:
+    """(rule, key, detail) of the rows that break their rule, from one pass over each table."""
+    by_table: dict[str, list[Column]] = {}
+    for name, r in chosen.items():
+        for bad, key, detail in r.cells(n) if isinstance(r, RowRule) else ():
+            by_table.setdefault(r.table, []).append(F.when(bad, F.struct(F.lit(name).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail"))))
+    out = []
+    for t, cells in by_table.items():
+        df = getattr(n, t)
+        if "RECORD_DATE_OUTSIDE_DEPLOYMENT" in chosen and t == "deployments":
+            df = with_end(df)
+        if t == "profiles" and log is not None:
+            df = df.join(log.filter(F.col("rule") == LOG).select(F.col("id").alias("filepath"), F.col("log").alias(LOG)), "filepath", "left")
+        out.append(df.select(F.inline(F.array_compact(F.array(*cells)))))
+    absent = [f for f in REQUIRED if f not in n.deployments.columns] if "REQUIRED_FIELD_NA" in chosen else []
+    if absent:
+        out.append(n.deployments.sparkSession.createDataFrame([("REQUIRED_FIELD_NA", None, f) for f in absent], "rule string, key string, detail string"))
+    return out
+
+
+_LOGGED = ("READING_COUNT_MISMATCH", "SPAN_MISMATCH")
+
+
+def violations(n: Network, names: list[str] | None = None) -> DataFrame:
+    """(rule, table, key, detail) of all rules, or of those named.
+
+    Whatever the number of rules, each table is read at most twice: once for what its rows show alone and once for its keys.
+    What the keys come to is a written table where files are also held against their log rows.
+    """
+    every = _rules()
+    chosen = {name: every[name] for name in (RULES if names is None else names)}
+    log = any(name in chosen for name in _LOGGED)
+    claims = None
+    if log or any(isinstance(r, KeyRule) for r in chosen.values()):
+        claims = _claims(n, chosen, log)
+        claims = scratch.written(claims, "claims") if log else claims
+    parts = _by_row(n, chosen, claims if log else None)
+    if any(isinstance(r, KeyRule) for r in chosen.values()):
+        parts.append(_broken(claims, chosen))
+    tables = F.create_map(*[F.lit(x) for pair in RULES.items() for x in pair])
+    return union_all(parts).select("rule", tables[F.col("rule")].alias("table"), "key", "detail")
+
+
+def summary(n: Network) -> DataFrame:
+    """rule, n, passed: a row for every rule, also for those without violations."""
+    spark = n.deployments.sparkSession
+    names = spark.createDataFrame([(name,) for name in RULES], "rule string")
+    found = violations(n).groupBy("rule").agg(F.count("*").alias("n"))
+    return names.join(found, "rule", "left").select("rule", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNull().alias("passed"))
 
 
 def rule(n: Network, name: str) -> Rule:
-    table, find = RULES[name]
-    return Rule(name, table, find(n))
+    return Rule(name, RULES[name], violations(n, [name]).select("key", "detail"))
 
 
 def load_errors(errors: dict[str, DataFrame]) -> DataFrame:

@@ -66,7 +66,10 @@ def severity_order(findings: DataFrame) -> DataFrame:
 
 
 def samples(violations: DataFrame, n: int = 10) -> DataFrame:
-    """The first n violations of each rule, by key and detail: a report's examples."""
+    """The first n violations of each rule, by key and detail: a report's examples.
+
+    Each task keeps its own first n before rows move (Spark's window group limit), so a rule's violations never meet.
+    """
     w = Window.partitionBy("rule").orderBy("key", "detail")
     return violations.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n)
 
@@ -74,7 +77,9 @@ def samples(violations: DataFrame, n: int = 10) -> DataFrame:
 def current_port_config(ports: DataFrame) -> DataFrame:
     """Six rows for each device with an open port, by port number; a port without an open configuration is `none`."""
     open_ = ports.filter("valid_to is null")
-    newest = open_.filter(F.col("port").between(1, SLOTS)).groupBy("sn", "port").agg(F.max(F.struct("valid_from", "type", "sensor", "depth_cm")).alias("c"))
+    # the newest; of equal times the last type, then sensor (none comes first), then depth
+    by = F.struct("valid_from", "type", F.coalesce("sensor", F.lit("")).alias("_s"), "depth_cm", "sensor")
+    newest = open_.filter(F.col("port").between(1, SLOTS)).groupBy("sn", "port").agg(F.max(by).alias("c"))
     slots = open_.select("sn").distinct().withColumn("port", F.explode(F.sequence(F.lit(1), F.lit(SLOTS))))
     out = slots.join(newest, ["sn", "port"], "left")
     none = lambda c: F.when(F.col("c").isNull(), "none").otherwise(F.col("c")[c]).alias(c)

@@ -38,7 +38,7 @@ def port_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("device_serial", "port", "type", "sensor", "depth_cm", ntz("starts"), ntz("ends"))
 
 
-@query(_M + f"SELECT number FROM (SELECT *, CASE WHEN status IN {_TERMINAL} THEN least(lead(deploy_datetime) OVER (PARTITION BY device_serial ORDER BY deploy_datetime, unique_id), CAST(last_visit AS TIMESTAMP) + INTERVAL 86399 SECOND) END AS e FROM m) WHERE last_record < deploy_datetime OR last_record > e")
+@query(_M + f"SELECT number FROM (SELECT *, CASE WHEN status IN {_TERMINAL} THEN least(lead(deploy_datetime) OVER (PARTITION BY device_serial ORDER BY deploy_datetime, unique_id), CAST(last_visit AS TIMESTAMP) + INTERVAL 86399 SECOND + INTERVAL 4 HOUR) END AS e FROM m WHERE device_serial IS NOT NULL) WHERE last_record < deploy_datetime OR last_record > e")
 def record_outside_deployment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.outside_deployment(net.deployments(spark, sf_dir)).select("number")
 

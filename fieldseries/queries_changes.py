@@ -40,7 +40,7 @@ _PARTS = {
 FROM dv LEFT JOIN (SELECT device_serial, arg_min(station_id, number) AS station_id FROM m WHERE {_LIVE} AND device_serial IS NOT NULL GROUP BY 1) w ON dv.device_serial = w.device_serial WHERE {_d(_AT, 'last_measurement')} > 1""",
     "unknown_reporters": "SELECT DISTINCT '(none)' AS station_id, device_serial, 'medium' AS severity, 'reports but is in no table' AS issue, 'not established' AS kind FROM dv WHERE device_serial NOT IN (SELECT device_serial FROM m WHERE device_serial IS NOT NULL)",
     "low_battery": f"SELECT station_id, device_serial, CASE WHEN battery < 15 THEN 'high' ELSE 'medium' END AS severity, 'battery at ' || battery || '%' || CASE WHEN {_d(_AT, 'last_download')} >= 1 THEN ', ' || {_n(_d(_AT, 'last_download'))} || ' days old' ELSE '' END AS issue, 'battery' AS kind FROM m WHERE {_LIVE} AND battery < 25",
-    "memory_forecast": f"""SELECT station_id, device_serial, CASE WHEN l <= 14 THEN 'high' ELSE 'medium' END AS severity, CASE WHEN l < 0 THEN 'full, ' || {_n('-l')} || ' days lost' ELSE 'full in ' || {_n('l')} || ' days' END || CASE WHEN abs(seen - interval_min) > 0.001 THEN ', logs at another interval than declared' WHEN last_download IS NULL THEN CASE WHEN seen > 0 THEN ', never offloaded' ELSE ', never offloaded, interval not verified' END ELSE '' END AS issue, 'memory' AS kind
+    "memory_forecast": f"""SELECT station_id, device_serial, CASE WHEN l <= 14 THEN 'high' ELSE 'medium' END AS severity, CASE WHEN l < 0 THEN 'full, ' || {_n('-l')} || ' days lost' ELSE 'full in ' || {_n('l')} || ' days' END || CASE WHEN abs(seen - interval_min) > 0.001 THEN ', logs at another interval than declared' WHEN last_download IS NULL THEN CASE WHEN seen > 0 THEN ', no offload yet' ELSE ', no offload yet, interval not verified' END ELSE '' END AS issue, 'memory' AS kind
 FROM (SELECT m.*, ob.minutes AS seen, {_d('coalesce(last_download, deploy_datetime)', _AT)} + 21600 * coalesce(ob.minutes, interval_min) / 1440 AS l FROM m LEFT JOIN ob ON m.device_serial = ob.device_serial WHERE {_LIVE} AND m.device_serial NOT LIKE 'z%') WHERE l <= 60""",
     "subscriptions": f"SELECT station_id, device_serial, CASE WHEN x < 0 THEN 'high' ELSE 'medium' END AS severity, CASE WHEN x < 0 THEN 'expired ' || {_n('-x')} || ' days ago' ELSE 'expires in ' || {_n('x')} || ' days' END AS issue, 'subscription' AS kind FROM (SELECT *, {_d('CAST(expiry_date AS TIMESTAMP)', _AT)} AS x FROM m WHERE {_LIVE} AND status NOT IN ('defunct', 'nonresponsive')) WHERE x < 60",
     "without_ports": f"SELECT arg_min(station_id, number) AS station_id, device_serial, 'high' AS severity, 'no open port' AS issue, 'ports' AS kind FROM m WHERE {_LIVE} AND device_serial LIKE 'z6%' AND device_serial NOT IN (SELECT sn FROM p WHERE valid_to IS NULL AND sensor <> 'none') GROUP BY device_serial",
@@ -58,7 +58,7 @@ def _all(names: list[str]) -> str:
 
 
 @query(_all([n for n in _PARTS if n != "source_unavailable"]))
-def network_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def network_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.network_findings(net.deployments(spark, sf_dir), net.ports(spark, sf_dir), _devices(spark, sf_dir), findings.newest_observed(event_readings(spark, sf_dir)), NOW, "number")
 
 
@@ -90,7 +90,7 @@ _finding("unsurveyed_pairs", lambda s, d: findings.unsurveyed_pairs(net.deployme
 
 @query(_M + f""", {_DEV}, ct AS (SELECT device_serial, max(last_measurement) AS c FROM dv GROUP BY 1), ar AS (SELECT trim(device_serial) AS s, max(end_date) AS e FROM d WHERE trim(device_serial) <> '' GROUP BY 1)
 SELECT number, c AS last_contact, e AS data_to, status IN ('online', 'nonresponsive') AS reports FROM m LEFT JOIN ct ON m.device_serial = ct.device_serial LEFT JOIN ar ON m.device_serial = ar.s WHERE {_LIVE}""")
-def network_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.network_roster(net.deployments(spark, sf_dir), _devices(spark, sf_dir), net.downloads(spark, sf_dir)).select("number", ntz("last_contact"), ntz("data_to"), "reports")
 
 

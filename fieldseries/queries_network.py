@@ -46,17 +46,18 @@ def newest_file_per_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.newest_file_per_device(net.files(spark, sf_dir)).withColumn("end_date", F.col("end_date").cast("string"))
 
 
-@query(_M + f"SELECT rule, key, detail FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY key, detail) AS k FROM (SELECT 'INVALID_COORDINATES' AS rule, key, CAST(detail AS VARCHAR) AS detail FROM ({VIOLATIONS['INVALID_COORDINATES']}) v(key, detail) UNION ALL SELECT 'REACH_LENGTH_ON_PRIMARY', key, CAST(detail AS VARCHAR) FROM ({VIOLATIONS['REACH_LENGTH_ON_PRIMARY']}) v(key, detail))) WHERE k <= 10")
+_EVERY = " UNION ALL ".join(f"SELECT '{n}' AS rule, CAST(v.key AS VARCHAR) AS key, CAST(v.detail AS VARCHAR) AS detail FROM ({q}) v(key, detail)" for n, q in VIOLATIONS.items())
+
+
+@query(_M + f"SELECT rule, key, detail FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY key NULLS FIRST, detail NULLS FIRST) AS k FROM ({_EVERY})) WHERE k <= 10")
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = net.network(spark, sf_dir)
-    return topk.samples(quality.violations([rules.rule(n, r) for r in ("INVALID_COORDINATES", "REACH_LENGTH_ON_PRIMARY")])).select("rule", "key", "detail")
+    return topk.samples(rules.violations(net.network(spark, sf_dir))).select("rule", "key", "detail")
 
 
 @query(_M + """, o AS (SELECT * FROM p WHERE valid_to IS NULL), c AS (SELECT sn, port, max({'a': valid_from, 'b': type, 'c': coalesce(sensor, ''), 'd': depth_cm}) AS c FROM o WHERE port BETWEEN 1 AND 6 GROUP BY 1, 2)
 SELECT s.sn, CAST(s.port AS INTEGER) AS port, CASE WHEN c.c IS NULL THEN 'none' ELSE c.c.b END AS type, CASE WHEN c.c IS NULL THEN 'none' ELSE nullif(c.c.c, '') END AS sensor, c.c.d AS depth_cm FROM (SELECT sn, unnest(generate_series(1, 6)) AS port FROM (SELECT DISTINCT sn FROM o)) s LEFT JOIN c ON s.sn = c.sn AND s.port = c.port""")
 def current_port_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = net.ports(spark, sf_dir).fillna({"sensor": ""})
-    return topk.current_port_config(p).withColumn("sensor", F.nullif("sensor", F.lit("")))
+    return topk.current_port_config(net.ports(spark, sf_dir))
 
 
 # --- lookups ------------------------------------------------------------------------------------------------

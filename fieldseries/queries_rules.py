@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import network as net
-from .operators import quality, rules
+from .operators import rules
 from .queries import query
 
 _TERMINAL = "('removed', 'replaced', 'relocated', 'decommissioned')"
@@ -43,7 +43,7 @@ VIOLATIONS = {
     "ORPHANED_RAW_FILES": "SELECT filepath, count(*) FROM files WHERE filepath NOT IN (SELECT filepath FROM d) GROUP BY 1",
     "DOWNLOAD_ROW_UNIDENTIFIED": "SELECT filepath, 'no station and no device' FROM d WHERE station IS NULL AND trim(device_serial) = ''",
     "FILENAME_SPAN_MISMATCH": "SELECT filepath, strftime(start_date - INTERVAL 4 HOUR, '%Y%m%d') || '-' || strftime(end_date - INTERVAL 4 HOUR, '%Y%m%d') FROM d WHERE event_id % 17 = 0",
-    "RECORD_DATE_OUTSIDE_DEPLOYMENT": f"SELECT unique_id, last_record FROM (SELECT *, CASE WHEN status IN {_TERMINAL} THEN least(lead(deploy_datetime) OVER (PARTITION BY device_serial ORDER BY deploy_datetime, unique_id), CAST(last_visit AS TIMESTAMP) + INTERVAL 86399 SECOND) END AS e FROM m) WHERE last_record < deploy_datetime OR last_record > e",
+    "RECORD_DATE_OUTSIDE_DEPLOYMENT": f"SELECT unique_id, last_record FROM (SELECT *, CASE WHEN status IN {_TERMINAL} THEN least(lead(deploy_datetime) OVER (PARTITION BY device_serial ORDER BY deploy_datetime, unique_id), CAST(last_visit AS TIMESTAMP) + INTERVAL 86399 SECOND + INTERVAL 4 HOUR) END AS e FROM m WHERE device_serial IS NOT NULL) WHERE last_record < deploy_datetime OR last_record > e",
     "PENDING_UNKNOWN_STATION": "SELECT station_id, count(*) FROM pe WHERE station_id NOT IN (SELECT station_id FROM m) GROUP BY 1",
     "PENDING_UNKNOWN_STAGE": "SELECT stage, count(*) FROM pe WHERE stage IS NULL OR stage NOT LIKE 'awaiting%' GROUP BY 1",
     "UNREADABLE_PRODUCT1_FILE": "SELECT filepath, rows FROM pr WHERE NOT readable OR rows = 0",
@@ -58,7 +58,7 @@ VIOLATIONS = {
 
 
 def _one(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return quality.violations([rules.rule(net.network(spark, sf_dir), name)]).select("rule", "key", "detail")
+    return rules.violations(net.network(spark, sf_dir), [name]).select("rule", "key", "detail")
 
 
 def _sql(name: str) -> str:
@@ -74,8 +74,7 @@ for _name in rules.RULES:
 
 @query(f"WITH {net.SQL}\nSELECT rule, count(key) AS n, count(key) = 0 AS passed FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS rule, CAST(v.key AS VARCHAR) AS key FROM (SELECT 1) LEFT JOIN (SELECT coalesce(key, '') AS key FROM ({VIOLATIONS[n]}) w(key, detail)) v ON true" for n in VIOLATIONS) + ") GROUP BY 1")
 def validate_network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = net.network(spark, sf_dir)
-    return quality.rule_summary([rules.rule(n, name) for name in rules.RULES])
+    return rules.summary(net.network(spark, sf_dir))
 
 
 @query(f"""WITH {net.SQL} SELECT 'LOAD_DEPLOYMENTS' AS rule, 'deploy_text' AS key, deploy_text AS detail FROM m WHERE deploy_text NOT LIKE '____-%'

@@ -165,6 +165,13 @@ def device_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.withColumns({"first": F.col("first").cast("timestamp_ntz"), "last": F.col("last").cast("timestamp_ntz")})
 
 
+@query("""WITH f AS (SELECT user_id, 'f' || event_id % 3 || '/' || day(ts) AS file, min(ts) AS a, max(ts) AS b FROM events GROUP BY ALL), g AS (SELECT *, lag(b) OVER w AS p, lag(file) OVER w AS q FROM f WINDOW w AS (PARTITION BY user_id ORDER BY a, file))
+SELECT CAST(user_id AS VARCHAR) AS device_serial, q AS after_file, p AS ends, file AS before_file, a AS starts, round((epoch_us(a) - epoch_us(p)) / 3600000000.0, 4) AS hours FROM g WHERE a - p > INTERVAL 12 HOUR""")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = event_readings(spark, sf_dir).withColumn("source_file", F.concat("source_file", F.lit("/"), F.day("datetime")))
+    return monitor.coverage_gaps(r).select("device_serial", "after_file", ntz("ends"), "before_file", ntz("starts"), "hours")
+
+
 # --- rules and monitoring ----------------------------------------------------------------------------------
 
 _RULES = """WITH v AS (
@@ -203,12 +210,12 @@ def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(o_custkey AS VARCHAR) AS device_serial, 'silent' AS issue, CASE WHEN TIMESTAMP '2001-08-01' - last > INTERVAL 365 DAY THEN 'high' ELSE 'medium' END AS severity FROM d WHERE NOT gone AND TIMESTAMP '2001-08-01' - last > INTERVAL 120 DAY
 UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'low battery', CASE WHEN battery < 15 THEN 'high' ELSE 'medium' END FROM d WHERE NOT gone AND battery < 25
 UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'unknown reporter', 'medium' FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)""")
-def network_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def device_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     d = o.groupBy(F.col("o_custkey").alias("device_serial")).agg(F.max(instant("o_orderdate")).alias("last_record"), F.bool_and(F.col("o_orderstatus") == "F").alias("gone"), F.min_by(F.col("o_orderkey") % 100, "o_orderkey").alias("battery"))
     live = d.filter("not gone")
     known = table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0").select(F.col("c_custkey").alias("device_serial"))
-    return monitor.network_todo(live, d.select("device_serial"), known, "2001-08-01", medium_hours=120 * 24, high_hours=365 * 24)
+    return monitor.device_findings(live, d.select("device_serial"), known, "2001-08-01", medium_hours=120 * 24, high_hours=365 * 24)
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS device_serial, coalesce(m.held + INTERVAL 1 SECOND, CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '1996-01-01' END, TIMESTAMP '1995-01-01') AS start, least(CASE WHEN c_custkey % 3 = 0 THEN TIMESTAMP '1999-06-01' ELSE TIMESTAMP '2001-01-01' END, TIMESTAMP '2000-06-01') AS end
@@ -231,8 +238,8 @@ def latest_fact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH a AS (SELECT 'st' || o_orderkey % 100 AS station_id, o_custkey, o_orderdate FROM orders WHERE o_orderstatus <> 'F')
 SELECT station_id, count(*) AS live_rows, count(DISTINCT o_custkey) AS devices, max(o_orderdate) AS last_deploy FROM a GROUP BY 1""")
-def station_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.station_roster(order_deployments(spark, sf_dir)).select("station_id", "live_rows", "devices", ntz("last_deploy"))
+def station_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.station_counts(order_deployments(spark, sf_dir)).select("station_id", "live_rows", "devices", ntz("last_deploy"))
 
 
 @query("SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-01-01') AS INTEGER) AS age_days, CASE o_orderkey % 3 WHEN 0 THEN 'on the device' WHEN 1 THEN 'not renamed' ELSE 'unknown stage' END AS label, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-01-01') > 14 AS stale FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'")

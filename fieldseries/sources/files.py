@@ -34,9 +34,12 @@ def _lines(text: Column) -> Column:
 
 
 def cells(line: Column) -> Column:
-    """The fields of a CSV line; commas in quotes part nothing, and quotes around a field go."""
-    marked = F.regexp_replace(line, r'("(?:[^"]|"")*")|(,)', "$1$2")
-    parts = F.split(marked, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    """The fields of a CSV line; commas in quotes part nothing, and quotes around a field go.
+
+    One pass over the line: each field begins with a comma, of which one more stands at the front.  A quote that is never
+    closed is a character like others.
+    """
+    parts = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',((?:[^,"]++|"(?:[^"]++|"")*+"|")*+)'), F.lit(1))
     return F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(F.trim(x), r'^"|"$', ""), '""', '"'))
 
 

@@ -79,9 +79,9 @@ def unpivot_header_coded(wide: DataFrame, ids: list[str], time: str) -> DataFram
         raise ValueError("no time column or no measure column")
     # names with dots or commas are quoted; values are compared as text
     long = wide.select(*ids, F.col(f"`{time}`").alias("time"), F.explode(F.array(*[F.struct(F.lit(c).alias("header"), F.col(f"`{c}`").cast("string").try_cast("double").alias("value")) for c in coded])).alias("m"))
-    real = wide.agg(*[F.count(F.col(f"`{c}`").cast("string").try_cast("double")).alias(str(k)) for k, c in enumerate(coded)]).first()
-    kept = [c for k, c in enumerate(coded) if real[k]]
-    out = long.filter(F.col("m.header").isin(kept)).select(*ids, "time", "m.header", "m.value")
+    # a row a column at most, so it goes to every task; it is found out when the plan runs
+    real = long.filter("m.value is not null").select(F.col("m.header").alias("header")).distinct()
+    out = long.select(*ids, "time", "m.header", "m.value").join(F.broadcast(real), "header", "left_semi")
     part = lambda i: F.nullif(F.regexp_extract("header", HEADER, i), F.lit(""))
     return out.select(*ids, "time", part(1).alias("measurement"), part(2).alias("unit"), part(3).alias("serial"), "value")
 

@@ -96,8 +96,9 @@ def test_device_level_readings_need_an_open_port(spark):
 
 def test_rules_on_missing_columns_and_empty_tables(spark):
     d = spark.createDataFrame([("1", None, " ")], "unique_id string, station_id string, device_serial string")
-    got = {(r.key, r.detail) for r in rules._missing(d, ("station_id", "device_serial", "status"), "unique_id").collect()}
-    assert got == {("1", "station_id"), ("1", "device_serial"), (None, "status")}
+    n = rules.Network(d, *[None] * 6)
+    got = {(r.key, r.detail) for r in rules.violations(n, ["REQUIRED_FIELD_NA"]).collect()}
+    assert got == {("1", "station_id"), ("1", "device_serial"), *((None, f) for f in rules.REQUIRED if f not in d.columns)}
     v = spark.createDataFrame([("R", str(i), "x") for i in range(30)], "rule string, key string, detail string")
     assert topk.samples(v, 10).count() == 10 and topk.samples(v.limit(0)).count() == 0
     assert quality.all_terminal(spark.createDataFrame([("a", "removed"), ("b", "online"), ("b", "removed")], "device_serial string, status string")).count() == 1
