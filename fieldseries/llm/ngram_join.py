@@ -171,12 +171,14 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
         bucket = (token % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         order = np.argsort(bucket, kind="stable")
         token, at, bucket = token[order], at[order], bucket[order]
-        cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+        far = np.diff(at.astype(np.int32)) > 255  # the next document is too far away for one row
+        cut = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | far]) if len(bucket) else []
         for start, end in zip(cut, [*cut[1:], len(token)], strict=True):
             for a in range(start, end, ROW):
                 own = at[a : min(end, a + ROW)]
                 who = named[own[np.flatnonzero(np.r_[True, own[1:] != own[:-1]])]]
-                rows.append((int(bucket[a]), batch, None, *parts(token[a : min(end, a + ROW)], own), who.tobytes(), None))
+                high, low, _ = parts(token[a : min(end, a + ROW)], own)
+                rows.append((int(bucket[a]), batch, None, high, low, _steps(own), who.tobytes(), None))
             if len(rows) >= 256:
                 yield _batch_rows(_BLOBS, rows)
                 rows = []
@@ -199,13 +201,21 @@ def _blobs(docs: DataFrame, size: int, levels: np.ndarray, buckets: int) -> Data
     return docs.select("text").mapInArrow(task, _BLOBS)
 
 
+def _steps(at: np.ndarray) -> bytes:
+    """Rising numbers of documents, each at most 255 above the one before: the first, and a byte for every step."""
+    return at[:1].tobytes() + np.diff(at).astype(np.uint8).tobytes()
+
+
+def _documents(steps: bytes) -> np.ndarray:
+    return np.cumsum(np.r_[np.frombuffer(steps, np.uint16, 1).astype(np.int64), np.frombuffer(steps, np.uint8, offset=2)]).astype(np.uint16)
+
+
 def _tokens(high: bytes, low: bytes) -> np.ndarray:
     return np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16) | np.frombuffer(low, np.uint16)
 
 
-def _classes_of(at: bytes, who: bytes) -> np.ndarray:
+def _classes_of(at: np.ndarray, who: bytes) -> np.ndarray:
     """The class of each shingle of a row; who has one for each run of a document."""
-    at = np.frombuffer(at, np.uint16)
     run = np.cumsum(np.r_[True, at[1:] != at[:-1]]) - 1
     return np.frombuffer(who, np.int64)[run]
 
@@ -236,14 +246,15 @@ def _counted(blobs: DataFrame, parts: int) -> DataFrame:
             held += zip(*(rest.column(c).to_pylist() for c in ("batch", "high", "low", "at", "who")), strict=True)
         if not held:
             return
-        level = levels_of(np.concatenate([_tokens(h[1], h[2]) for h in held]), np.concatenate([_classes_of(h[3], h[4]) for h in held]))
+        level = levels_of(np.concatenate([_tokens(h[1], h[2]) for h in held]), np.concatenate([_classes_of(_documents(h[3]), h[4]) for h in held]))
         end, out = 0, []
-        for batch, high, low, at, _ in held:
-            own = level[end : end + len(at) // 2]
-            end += len(at) // 2
+        for batch, high, low, steps, _ in held:
+            at = _documents(steps)
+            own = level[end : end + len(at)]
+            end += len(at)
             more = np.flatnonzero(own)
             if len(more):
-                out.append((0, batch, None, np.frombuffer(high, np.uint32)[more].tobytes(), np.frombuffer(low, np.uint16)[more].tobytes(), np.frombuffer(at, np.uint16)[more].tobytes(), None, own[more].tobytes()))
+                out.append((0, batch, None, np.frombuffer(high, np.uint32)[more].tobytes(), np.frombuffer(low, np.uint16)[more].tobytes(), at[more].tobytes(), None, own[more].tobytes()))
             if len(out) >= 256:
                 yield _batch_rows(_BLOBS, out)
                 out = []
