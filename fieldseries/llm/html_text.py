@@ -18,6 +18,7 @@ several shards these are counted in all of them: the result is the same for any
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import drop_scratch, map_batches, materialise
+from .common import BATCH_ROWS, drop_scratch, give_back, map_batches, materialise, small_batches
 from .fm_index import suffix_array
 from .textcore import NOT_SPACE, mix, word_hashes_exact
 
@@ -36,6 +37,8 @@ LEAST_TOKENS, LEAST_PAGES = 6, 3
 SHARD_BYTES = 2 << 20
 #: Hosts and windows that are sent to all tasks at most; beyond, rows are joined by shuffles.
 FEW = 200_000
+#: Pages that a task remembers to have sent on.
+SEEN = 500_000
 
 # Elements of HTML by the part they play.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -43,11 +46,16 @@ SKIPPED = frozenset("nav header footer aside form script style noscript template
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 MAIN = frozenset(("article", "main"))
+#: What can stand in a head; anything else ends it, as its end tag may be left out.
+IN_HEAD = frozenset("head title meta link style script base noscript template bgsound basefont".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Headings over what readers have said; it goes on to the next heading of that rank or a higher one.
+COMMENTS = re.compile(r"(?:\d+\s+)?(?:(?:reader|user|visitor)s?['’]?\s+)?(?:comments?|responses|replies)(?:\s*\(\d+\)|\s*:)?|(?:leave|post|add|write) a (?:comment|reply)|join the (?:discussion|conversation)", re.I)
 CLOSED_BY_BLOCK = frozenset(("p",))
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # Words in class, id and role that mark other parts than the main text.
 NOT_MAIN = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline-share|captcha|comments?|commentlist|consent|cookies?|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav\w*|newsletter|notice|notification|outbrain|overlay|pagination|pager|popup|privacy|promo\w*|related|replies|reply|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|taboola|toolbar|widget|alert|complementary|contentinfo|search|form)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline-share|captcha|comments?|commentlist|consent|cookies?|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav\w*|newsletter|notice|notification|outbrain|overlay|pagination|pager|popup|privacy|promo\w*|related|replies|reply|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|taboola|toolbar|widget|alert|complementary|contentinfo|search|form|cc-(?:window|banner|revoke)|onetrust\w*|usercentrics|truste|didomi\w*)(?:$|[\s_-])",
     re.I,
 )
 
@@ -72,6 +80,8 @@ def _named(name: str, key: str, value: str, inside: bool) -> bool:
 
 def _dropped(name: str, attributes: str, inside: bool) -> bool | None:
     """Whether an element goes; None if only by a word in its names, which an article or most of the text outweighs."""
+    if name == "form":
+        return None  # a page can stand in a form as a whole
     if name in SKIPPED:
         return True
     if not attributes or name in ("html", "body"):
@@ -88,18 +98,18 @@ def _dropped(name: str, attributes: str, inside: bool) -> bool | None:
 
 def blocks(html: str) -> list[tuple[bool, str]]:
     """(inside a marked article, text) of every block that is not left out by its place, in page order."""
-    text: list[tuple[str | None, bool, tuple[int, ...]]] = []  # text or a block's end, main, elements around it that names may drop
+    text: list[tuple[str | None, bool, tuple[int, ...], int]] = []  # text or a block's end, main, elements around it that may go, rank of a heading that ends
     stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # name, dropped, main, the same elements
-    dropped = main = False
+    dropped = main = head = False
     doubt: tuple[int, ...] = ()
 
-    def flush() -> None:
-        text.append((None, main, doubt))
+    def flush(rank: int = 0) -> None:
+        text.append((None, main, doubt, rank))
 
     def pop_to(i: int) -> None:
         nonlocal dropped, main, doubt
         if any(s[0] in BLOCKS for s in stack[i:]) and not dropped:
-            flush()
+            flush(HEADINGS.index(stack[i][0]) + 1 if stack[i][0] in HEADINGS else 0)
         del stack[i:]
         dropped, main, doubt = stack[-1][1:] if stack else (False, False, ())
 
@@ -108,7 +118,7 @@ def blocks(html: str) -> list[tuple[bool, str]]:
         if m.start() < at:
             continue
         if m.start() > at and not dropped:
-            text.append((html[at : m.start()], main, doubt))
+            text.append((html[at : m.start()], main, doubt, 0))
         at = m.end()
         if not m[2]:
             continue
@@ -124,9 +134,15 @@ def blocks(html: str) -> list[tuple[bool, str]]:
                 if name == "p" and not dropped:
                     flush()
             continue
+        if head and name not in IN_HEAD:
+            head = False
+            for i, s in enumerate(stack):
+                if s[0] == "head":
+                    pop_to(i)
+                    break
         if name == "br":
             if not dropped:
-                text.append((" ", main, doubt))
+                text.append((" ", main, doubt, 0))
             continue
         if name in BLOCKS:
             if not dropped:
@@ -146,27 +162,34 @@ def blocks(html: str) -> list[tuple[bool, str]]:
             continue
         own = _dropped(name, m[3], main)
         gone = dropped or bool(own)
+        if dropped and name in HEADINGS[:3] and not own:
+            # an article's header goes, but for the title in it
+            first = next(i for i, s in enumerate(stack) if s[1])
+            gone = not (stack[first][0] == "header" and first and stack[first - 1][2])
+            if not gone:
+                flush()
         if gone and not dropped and name in BLOCKS | SKIPPED:
             flush()
         if own is None and not dropped:
             doubt = (*doubt, m.start() * 2 + main)
         dropped, main = gone, main or name in MAIN
+        head |= name == "head"
         stack.append((name, dropped, main, doubt))
     if at < n and not dropped:
-        text.append((html[at:], main, doubt))
+        text.append((html[at:], main, doubt, 0))
     flush()
     return _kept_blocks(text)
 
 
-def _kept_blocks(text: list[tuple[str | None, bool, tuple[int, ...]]]) -> list[tuple[bool, str]]:
-    """The blocks without the elements that their names drop.
+def _kept_blocks(text: list[tuple[str | None, bool, tuple[int, ...], int]]) -> list[tuple[bool, str]]:
+    """The blocks without forms and the elements that their names drop, and without what stands under a heading of comments.
 
     Where no article stands outside such elements, those that hold one or most of the page's text stay.
     """
     held: dict[int, int] = {}
     with_article: set[int] = set()
     total, clear = 0, False
-    for t, main, doubt in text:
+    for t, main, doubt, _ in text:
         if t and (size := len(_SPACE.sub("", t))):
             total += size
             clear |= main and not doubt
@@ -177,16 +200,21 @@ def _kept_blocks(text: list[tuple[str | None, bool, tuple[int, ...]]]) -> list[t
     stay = set() if clear else {d for d, size in held.items() if d % 2 == 0 and (2 * size > total or d in with_article)}
     out: list[tuple[bool, str]] = []
     parts: list[str] = []
-    for t, main, doubt in text:
+    comments = 0  # the rank of the heading of comments that holds
+    for t, main, doubt, rank in text:
         if not stay.issuperset(doubt):
             continue
         if t is not None:
             parts.append(t)
         elif parts:
             joined = _SPACE.sub(" ", unescape("".join(parts))).strip()
-            if joined:
-                out.append((main, joined))
             parts.clear()
+            if not joined:
+                continue
+            if rank and (not comments or rank <= comments):
+                comments = rank if COMMENTS.fullmatch(joined) else 0
+            if not comments:
+                out.append((main, joined))
     return out
 
 
@@ -280,15 +308,35 @@ def boilerplate(pages: DataFrame, least: int = LEAST_TOKENS, least_pages: int =
     sizes = materialise(sizes, "hosts", scratch)
     sizes = F.broadcast(sizes) if sizes.count() <= FEW else sizes
 
-    def streams(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def streams(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        if not batch.num_rows:
+            return None
         found = [page_blocks(x)[1] for x in batch.column(2).to_pylist()]
         stream, of = token_streams(found)
         ends = np.cumsum(np.bincount(of, minlength=len(found)))
         parts = [p.tobytes() for p in np.split(stream, ends[:-1])]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.binary())], ["host", "page", "stream"])
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A page that stands in a task many times leaves it once, so a page crawled a million times fills no shard."""
+        seen: set[tuple[str, int]] = set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                fresh = []
+                for k, key in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
+                    if key not in seen:
+                        fresh.append(k)
+                        seen.add(key)
+                if len(seen) > SEEN:
+                    seen.clear()
+                if (out := streams(part.take(pa.array(fresh, pa.int64())))) is not None:
+                    yield out
+        give_back()
+
     read = pages.select(_host().alias("host"), F.xxhash64("html").alias("page"), F.col("html").cast("string").alias("html")).filter("html is not null")
-    dealt = map_batches(read, streams, "host string, page bigint, stream binary").join(sizes, "host").withColumn("shard", F.pmod("page", "shards").cast("int"))
+    small_batches(pages.sparkSession)
+    dealt = read.mapInArrow(task, "host string, page bigint, stream binary").join(sizes, "host").withColumn("shard", F.pmod("page", "shards").cast("int"))
     dealt = dealt.select("host", "shard", "page", "stream")
 
     def in_shard(table: pa.Table) -> pa.Table:
@@ -345,10 +393,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", least: int = LEAST_TOKE
     """page_id, url, text, article_marked; a row a row of pages."""
     read = pages.select(F.col(id_col).alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     scratch: list[str] = []
-    known = materialise(boilerplate(read, least, least_pages, shard_bytes, scratch), "boilerplate")
+    known = materialise(boilerplate(read, least, least_pages, shard_bytes, scratch), "boilerplate", own := [])
     drop_scratch(pages.sparkSession, scratch)
-    if (known.agg(F.sum(F.size("windows"))).first()[0] or 0) <= FEW:
-        known = F.broadcast(known)
+    if (known.agg(F.sum(F.size("windows"))).first()[0] or 0) <= FEW:  # then the driver holds it, and the table can go
+        known = F.broadcast(pages.sparkSession.createDataFrame(known.toArrow(), known.schema))
+        drop_scratch(pages.sparkSession, own)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         marks, texts = [], []

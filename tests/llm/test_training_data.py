@@ -279,6 +279,45 @@ def test_names_do_not_drop_the_article(spark):
     assert got == dict(enumerate(expected))
 
 
+#: Page shapes, each with its main text, written down without the code under test.  @ stands for a long passage.
+SHAPES = [
+    ("<html><head><meta charset=utf8><title>t</title><body><div><p>@</p></div>", "@"),  # end tag of head left out
+    ("<html><head><title>t</title><link rel=x><p>@<p>two", "@\n\ntwo"),  # and start tag of body
+    ("<!doctype html><title>t</title><p>@", "@"),  # no head, no body
+    ('<body><form action=x method=post><div id=top class=menu>menu</div><div><p>@</p><input value=v><p>two</p></div></form></body>', "@\n\ntwo"),  # a page in a form
+    ("<article><p>@</p><form><p>your name</p><input></form><p>end</p></article>", "@\n\nend"),  # a form in an article goes
+    ("<article><header><h1>Title</h1><p>by line</p></header><p>@</p></article>", "Title\n\n@"),
+    ("<header><h1>Site</h1></header><article><p>@</p></article>", "@"),  # a page's header goes with its heading
+    ("<article><h1>Title</h1><p>@</p><h3>Reader comments</h3><p>first!</p><div>second</div></article>", "Title\n\n@"),
+    ("<article><p>@</p><h2>3 Comments (3)</h2><p>x</p><h4>why</h4><p>y</p><h2>Notes</h2><p>end</p></article>", "@\n\nNotes\n\nend"),
+    ("<article><h2>Comments on style</h2><p>@</p></article>", "Comments on style\n\n@"),
+    ('<div class="cc-window"><p>we use cookies</p></div><div><p>@</p></div>', "@"),
+    ("<article><ul><li>one<li>two @<li>three</ul><table><tr><td>a<td>b<tr><td>c</table></article>", "one\n\ntwo @\n\nthree\n\na\n\nb\n\nc"),  # optional end tags
+    ("<article><p>a < b &amp; c&nbsp;&#x41; &lt;i&gt; @</p><!-- x <p>no</p> --><p>tail", "a < b & c A <i> @\n\ntail"),
+    ("<article><p>@ <b>bold <i>both</b> still</i> end</p></section></article>", "@ bold both still end"),  # crossed and stray tags
+    ("<article><script>if (a < b) { '<p>no</p>' }</script><style>p {}</style><p>@</p><noscript><p>no</p></noscript></article>", "@"),
+    ("<ARTICLE><P>@</P><ASIDE>no</ASIDE></ARTICLE><FOOTER>no</FOOTER>", "@"),
+]
+PASSAGE_OF_PAGE = "the main passage of a page goes on for longer than anything that stands around it does"
+
+
+def test_page_shapes(spark):
+    long = PASSAGE_OF_PAGE
+    rows = [(k, f"http://h{k}.example/", h.replace("@", long)) for k, (h, _) in enumerate(SHAPES)]
+    rows += [(100, "http://long.example/", "<article>" + "<p>words of a very long page &amp; more</p>" * 60_000 + "</article>"), (101, "http://deep.example/", "<div>" * 3_000 + long + "</div>" * 3_000), (102, "http://b.example/", "<p" * 20_000 + "<article><p>x")]
+    got = {r.page_id: r.text for r in html_text.op2(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: got[k] for k in range(len(SHAPES))} == {k: t.replace("@", long) for k, (_, t) in enumerate(SHAPES)}
+    assert got[100] == "\n\n".join(["words of a very long page & more"] * 60_000) and got[101] == long
+
+
+def test_a_page_crawled_very_often_fills_no_shard(spark):
+    note = "this site uses words that every page repeats in full"
+    rows = [(k, "http://h.example/", f"<p>{note}</p><p>own text of page {min(k, 5)} and {min(k, 5) ** 3} more</p>") for k in range(2_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.op2(df).collect()}
+    assert got == {k: f"own text of page {min(k, 5)} and {min(k, 5) ** 3} more" for k in range(2_000)}
+
+
 # --- op3
 
 
