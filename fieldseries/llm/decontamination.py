@@ -205,11 +205,11 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tupl
         yield [(r.item_id, r.text) for r in (b if n == 1 else b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)).collect()]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, used: list[str] | None = None) -> DataFrame:
     """doc_id, n_words, spans (merged, in words and bytes of the text), items: one row a row of docs.
 
     A benchmark of one block takes one pass.  With more, the texts are numbered in a written table, so that a row has
-    the same number in every pass, and each pass is written before the next block is read.
+    the same number in every pass, and each pass is written before the next block is read; `used` gets the table that is then returned.
     """
     read = docs.select(F.lit(0).cast("bigint").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = blocks(benchmark)
@@ -229,7 +229,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     for p in passes[1:]:
         every = every.unionByName(p, allowMissingColumns=True)
     merged = every.groupBy("row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    out = materialise(read.select("row", "doc_id").join(merged, "row").drop("row"), "found")
+    out = materialise(read.select("row", "doc_id").join(merged, "row").drop("row"), "found", used)
     drop_scratch(docs.sparkSession, scratch)
     return out
 
@@ -258,12 +258,12 @@ def op8(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, used: list[str] | None = None) -> DataFrame:
     """Pipeline stage: documents that the rule does not call contaminated, with every column as it was.
 
     The text is judged beside its row, so repeated and null ids do not matter.
     """
     rule = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col("text"))
-    kept = find(numbered, benchmark).withColumn("n_hit", n_hit()).filter(~rule)
+    kept = find(numbered, benchmark, used=used).withColumn("n_hit", n_hit()).filter(~rule)
     return kept.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])

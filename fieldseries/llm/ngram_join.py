@@ -456,11 +456,11 @@ def op5(docs: DataFrame) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, used: list[str] | None = None) -> DataFrame:
     """Pipeline stage: of each group of linked documents the one with the smallest id (of equal rows, one) stays.
 
     Documents without shingles all stay.  Columns stay as they are; near-duplicates share `percent` of their
-    `size`-word shingles or more.
+    `size`-word shingles or more.  `used` gets the table that is returned, for the caller to drop.
     """
     names, spark, scratch = docs.columns, docs.sparkSession, []
     # written once, so that a row's number is the same whenever a task runs again
@@ -468,6 +468,6 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     key = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), F.col("number"))
     found = component_ids(rows.select(key.alias("id"), F.col("row.text").cast("string").alias("text")), size, percent, scratch)
     losers = found.filter("n > 0 and id.number <> component.number").select("id.number")
-    kept = materialise(rows.join(losers, "number", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in names]), "kept")
+    kept = materialise(rows.join(losers, "number", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in names]), "kept", used)
     drop_scratch(spark, scratch)
     return kept

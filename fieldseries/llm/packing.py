@@ -77,8 +77,8 @@ def _byte_letters() -> list[str]:
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers, with id 0 at the end.
 
-    The tokenizer drops white space and never looks across it, so a text's ids are those of its
-    parts between ASCII white space, in order.  Parts, and the words in parts, repeat: each is
+    A tokenizer that drops white space and never looks across it gives a text the ids of its
+    parts between ASCII white space, in order; with any other, texts are encoded whole.  Parts, and the words in parts, repeat: each is
     encoded once while it stays in use.  A part with anything unusual goes to the tokenizer whole.
     """
 
@@ -88,7 +88,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
         self.parts, self.words = _Recent(self._part), _Recent(self._word)
-        self.split = self._splits_alike()
+        self.cut = self._drops_space()
+        self.split = self.cut and self._splits_alike()
 
     def _word(self, word: str) -> bytes:
         if not word.isascii():
@@ -110,11 +111,18 @@ class Encoder:
         mine = b"".join([self._word(w) for part in probe.split() for w in _WORDS.findall(part.lower())])
         return mine == self._whole(probe)
 
+    def _drops_space(self) -> bool:
+        """Whether texts may be cut at white space."""
+        probe = "a  b\tIt's\n c\x0b\x0cd "
+        return b"".join([self._whole(part) for part in probe.split()]) == self._whole(probe)
+
     def forget(self) -> None:
         """Between tasks: the worker keeps no strings while others use its memory."""
         self.parts, self.words = _Recent(self._part), _Recent(self._word)
 
     def __call__(self, text: bytes) -> bytes:
+        if not self.cut:
+            return self._whole(text.decode()) + b"\0\0\0\0"
         parts = self.parts
         return b"".join([parts[p] for p in text.split()]) + b"\0\0\0\0"
 

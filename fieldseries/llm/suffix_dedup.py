@@ -121,10 +121,10 @@ def _contexts(docs: DataFrame, wanted: DataFrame, texts: Bloom, k: int) -> DataF
     def only_needed(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         key = _digests(*string_buffers(batch.column(1)))
         some = np.flatnonzero(texts.may_hold(key[:, 0]))
-        # of a text's rows without an id, one a batch is enough; what is left are copies at one place, no repeats
-        lost = batch.column(0).is_null().to_numpy(zero_copy_only=False)[some]
-        one = np.unique(key[some[lost]], axis=0, return_index=True)[1]
-        some = pa.array(np.sort(np.concatenate([some[~lost], some[lost][one]])))
+        # of rows with one id and text, one a batch is enough; what is left are copies at one place, no repeats
+        named = zip(key[some, 0].tolist(), key[some, 1].tolist(), batch.column(0).take(pa.array(some)).to_pylist(), strict=True)
+        one = {row: k for k, row in zip(some.tolist(), named, strict=True)}
+        some = pa.array(sorted(one.values()), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(key[:, 0]).take(some), pa.array(key[:, 1]).take(some), batch.column(0).take(some), batch.column(1).take(some)], ["d0", "d1", "id", "text"]) if len(some) else None
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -262,6 +262,25 @@ def _partial(contexts: DataFrame, shards: int, length: int, k: int) -> DataFrame
     return contexts.repartition(shards, "ah").mapInArrow(task, "d0 bigint, d1 bigint, a bigint, b bigint")
 
 
+def merged_spans(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(d0, d1, spans) of rows with spans in any order: those that overlap or touch are one.  A sort and a running maximum a row."""
+    column = batch.column(2)
+    ends, inner = column.offsets.to_numpy(), column.values
+    first, last = inner.field("a").to_numpy(), inner.field("b").to_numpy()
+    at, out_a, out_b = [0], [], []
+    for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        a, b = first[lo:hi], last[lo:hi]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], np.maximum.accumulate(b[order])
+        new = np.flatnonzero(np.r_[True, a[1:] > b[:-1]]) if len(a) else np.zeros(0, np.int64)
+        out_a.append(a[new])
+        out_b.append(b[np.append(new[1:], len(b)) - 1] if len(a) else b)
+        at.append(at[-1] + len(new))
+    joined = lambda parts: pa.array(np.concatenate([np.zeros(0, np.int64), *parts]), pa.int64())
+    spans = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([joined(out_a), joined(out_b)], ["a", "b"]))
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], ["d0", "d1", "spans"])
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scratch: list[str] | None = None, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """(d0, d1, spans): for every text (by digest) that has any, its merged spans of repeated bytes.
 
@@ -289,18 +308,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR, scrat
     every = covered.unionByName(_partial(_contexts(docs, wanted.filter("not hot"), texts, k), shards, length, k))
     if not hot.isEmpty():
         every = every.unionByName(_hot_spans(materialise(_contexts(docs, hot, texts, k), "hot", scratch), length))
-    merged = every.groupBy("d0", "d1").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("s"))
-    join = F.aggregate(
-        "s",
-        F.array().cast("array<struct<a:bigint,b:bigint>>"),
-        lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1)["b"] >= x["a"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["a"].alias("a"), F.greatest(F.element_at(done, -1)["b"], x["b"]).alias("b"))))).otherwise(F.concat(done, F.array(x))),
-    )
-    return merged.select("d0", "d1", join.alias("spans"))
+    return map_batches(every.groupBy("d0", "d1").agg(F.collect_set(F.struct("a", "b")).alias("s")), merged_spans, "d0 bigint, d1 bigint, spans array<struct<a: bigint, b: bigint>>")
 
 
 def with_spans(docs: DataFrame, finish: Callable[[bytes, list[tuple[int, int]]], tuple], schema: str, length: int = LENGTH, scratch: list[str] | None = None) -> DataFrame:
     """Rows (row, *finish(text, spans)) for every row of docs (id, text, row); finish gets the whole text and its spans.
 
+    scratch gets the table that the rows are made from, for the caller to drop once they are written.
+
     row goes along with its text and is no key of anything, so it may be of any type.
     """
     kind = docs.schema["row"].dataType
@@ -367,7 +382,7 @@ def whole_characters(text: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = LENGTH, scratch: list[str] | None = None) -> DataFrame:
     """Pipeline stage: every document, with its repeated strings cut out of the text and n_chars to match.
 
     Only whole characters are cut.  A null text stays null, and other columns stay as they are.
@@ -379,7 +394,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     names = docs.columns
     others = F.struct(*[F.col(f"`{c}`") for c in names if c not in ("text", "n_chars")])
     row = F.struct(F.col("text").isNull().alias("none"), others.alias("others"))
-    out = with_spans(docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), row.alias("row")), finish, "left_text string", length)
+    out = with_spans(docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), row.alias("row")), finish, "left_text string", length, scratch)
     there = ~F.col("row.none")
     new = {"text": F.when(there, F.col("left_text")), "n_chars": F.when(there, F.length("left_text").cast(dict(docs.dtypes).get("n_chars", "bigint")))}
     return out.select(*[new[c].alias(c) if c in new else F.col("row.others").getField(c).alias(c) for c in names])

@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon.
 
 Texts are folded (case, accents, homoglyphs, digits and signs that stand for letters, invisible
-characters), terms are found with one Aho-Corasick automaton, hits inside exception phrases do not
+characters; look-alike letters only in words that are not wholly of their own script), terms are found with one Aho-Corasick automaton, hits inside exception phrases do not
 count, and the weighted hits, plain and normalised by length, give a calibrated score.
 
 The lexicon is a stated word list and the words and word stems that a bounded sample of labelled
@@ -53,7 +53,13 @@ HOMOGLYPHS = {p[0]: p[1] for p in PAIRS if p[1].isascii()}
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i"}
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
-_FOLD = {ord(k): v for k, v in HOMOGLYPHS.items()} | dict.fromkeys(map(ord, INVISIBLE))
+_ALIKE = {ord(k): v for k, v in HOMOGLYPHS.items()}
+_SOME_ALIKE = re.compile(f"[{''.join(HOMOGLYPHS)}]")
+_INVISIBLE = dict.fromkeys(map(ord, INVISIBLE))
+#: Letters of scripts that put no space between words (Thai to Khmer, kana, Han): their terms are pairs of letters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
+#: A word of three letters or more in any script, with the vowel signs of Indic ones; or a run of unspaced letters.
+_TERM = re.compile(f"{_UNSPACED.pattern}+|(?:(?!{_UNSPACED.pattern})[^\\W\\d_])(?:(?!{_UNSPACED.pattern})[^\\W\\d_]|[\u0900-\u0dff])" + "{2,}")
 #: A run that mixes letters with digits or signs, from its first letter or digit to its last.
 _MIXED = re.compile(r"(?:[^\W_]|[@$!](?=[^\W_]))+")
 _HAS = re.compile(r"[0-9@$!][a-z]|[a-z][0-9]")
@@ -68,12 +74,22 @@ def _unleet(m: re.Match) -> str:
     return word.translate(_LEET)
 
 
+def _unalike(m: re.Match) -> str:
+    """A word's look-alike letters as Latin ones, unless it holds other letters of a script and no Latin one: then it is a word of that script."""
+    word = m[0]
+    if word.isascii() or not (any("a" <= c <= "z" for c in word) or all(c.isascii() or c in HOMOGLYPHS or not c.isalpha() for c in word)):
+        return word
+    return word.translate(_ALIKE)
+
+
 def folded(text: str) -> str:
     """Lower case without accents; look-alike letters, digits and signs inside words become Latin letters."""
     if text.isascii():
         text = text.lower()
     else:
-        text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower().translate(_FOLD)
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower().translate(_INVISIBLE)
+        if _SOME_ALIKE.search(text):
+            text = _MIXED.sub(_unalike, text)
     return _MIXED.sub(_unleet, text) if _HAS.search(text) else text
 
 
@@ -105,14 +121,15 @@ def _automaton(model: Model):
 def measure(model: Model, text: str) -> tuple[float, int]:
     """(sum of the weights of hits outside exception phrases, number of hits).
 
-    Words match whole, stems match the beginning of a word; a place counts once, by its longest term.
+    Words match whole, stems match the beginning of a word, and pairs of unspaced letters anywhere; a place counts once,
+    by its longest term.
     """
     text = folded(text)
     hits: dict[int, tuple[int, float]] = {}
     covered = []
     for end, (length, weight, stem) in _automaton(model).iter(text):
         start = end - length + 1
-        if (start and text[start - 1].isalpha()) or (not stem and end + 1 < len(text) and text[end + 1].isalpha()):
+        if not _UNSPACED.match(text[start]) and ((start and text[start - 1].isalpha()) or (not stem and end + 1 < len(text) and text[end + 1].isalpha())):
             continue
         if weight is None:
             covered.append((start, end))
@@ -132,7 +149,14 @@ def score(model: Model, total: float, length: int) -> float:
 
 
 def _sequence(text: str) -> list[str]:
-    return re.findall(r"[a-z]{3,}", folded(text))
+    """The words of a text; of scripts without spaces, pairs of letters."""
+    out = []
+    for w in _TERM.findall(folded(text)):
+        if _UNSPACED.match(w):
+            out += [w[i : i + 2] for i in range(len(w) - 1)]
+        else:
+            out.append(w)
+    return out
 
 
 def learn_lexicon(rows: list[tuple[str, int]]) -> dict[str, float]:

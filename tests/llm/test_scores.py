@@ -165,3 +165,68 @@ def test_matches_sql(spark, name):
     ours = queries.QUERIES[name](spark, SF).toPandas()[list(theirs.columns)]
     key = lambda d: Counter(tuple(None if v != v else v for v in r) for r in d.astype(object).itertuples(index=False))
     assert key(ours) == key(theirs)
+
+
+#: Insults and plain words by script; the insults are invented, and only the labels say what they are.
+SCRIPTS = {
+    "cyrillic": ("дрянькин мразловец гнидоух", "дорога погода письмо работа вечер книга город"),
+    "greek": ("ζυμπραξ φλεγμθος ψωρδιλας", "δρομος καιρος γραμμα βραδυ βιβλιο ψωμι δεντρο"),
+    "arabic": ("خسيسون لئيمقط وغدشار", "طريق طقس رسالة مساء كتاب مدينة شجرة"),
+    "han": ("蠢驢 笨豬 垃圾人", "今天 天氣 朋友 城市 書本 晚上 工作"),
+    "devanagari": ("नीचकर दुष्टमल पाजीपन", "रास्ता मौसम चिट्ठी शाम किताब शहर पेड़"),
+}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_lexicon_in_every_script(script):
+    import random
+
+    from fieldseries.llm import toxicity
+
+    rng = random.Random(5)
+    bad, plain = (x.split() for x in SCRIPTS[script])
+    join = "" if script == "han" else " "
+
+    def text(toxic: bool) -> str:
+        words = [rng.choice(plain) for _ in range(40)]
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(bad))
+        return join.join(words)
+
+    rows = [(text(k % 5 == 0), int(k % 5 == 0)) for k in range(400)]
+    model = toxicity.fit(rows[:300])
+    told = [(toxicity.score(model, toxicity.measure(model, t)[0], len(t)) >= 0.3) == bool(y) for t, y in rows[300:]]
+    assert sum(told) >= 0.97 * len(told)
+
+
+def test_folding_knows_scripts():
+    from fieldseries.llm.toxicity import folded
+
+    assert folded("ІDIOT Ідіот idіоt") == "idiot ідіот idiot"  # a look-alike among Latin letters, a word of its own script, mixed
+    assert folded("соре хуур") == "cope xyyp"  # look-alikes only: the same for every text
+    assert folded("дорога εδώ") == "дорога εδω"
+    assert folded("1d10t id\u200biot STUPID") == "idiot idiot stupid"
+
+
+def test_a_tokenizer_that_keeps_space_gets_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, ours = Tokenizer.from_file(path), packing.Encoder(path)
+    for text in ("a  b", " it's\n\n  so\t", "", "été  x"):
+        assert np.frombuffer(ours(text.encode()), "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0]
+    assert not ours.cut and packing.Encoder(packing.default_tokenizer()).cut
+
+
+def test_spans_merge_in_a_sort():
+    import pyarrow as pa
+
+    from fieldseries.llm.suffix_dedup import merged_spans
+
+    many = [{"a": 10 * i, "b": 10 * i + 5} for i in range(200_000)]
+    rows = [[], [{"a": 5, "b": 9}, {"a": 1, "b": 3}, {"a": 3, "b": 4}, {"a": 6, "b": 7}], many[::-1]]
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    out = merged_spans(pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array(rows, kind)], ["d0", "d1", "s"]))
+    assert out.column(2).to_pylist() == [[], [{"a": 1, "b": 4}, {"a": 5, "b": 9}], many]
