@@ -20,8 +20,103 @@ from pyspark.sql.types import StructType
 
 from .common import map_batches
 
+_V = "( v| version)? ?"
+_L = "licen[sc]e"
+# Licences and how a normalised sentence names them, as in "distributed under the terms of the ...".
+NAMED: tuple[tuple[str, str], ...] = (
+    ("MPL-2.0", f"(mozilla public {_L}|mpl){_V}2 0"),
+    ("MPL-1.1", f"(mozilla public {_L}|mpl){_V}1 1"),
+    ("EPL-2.0", f"(eclipse public {_L}|epl){_V}2 0"),
+    ("EPL-1.0", f"(eclipse public {_L}|epl){_V}1 0"),
+    ("CDDL-1.0", f"(common development and distribution {_L}|cddl)( cddl)?{_V}1 0"),
+    ("CDDL-1.1", f"(common development and distribution {_L}|cddl)( cddl)?{_V}1 1"),
+    ("Artistic-2.0", f"artistic {_L}{_V}2 0"),
+    ("Artistic-1.0", f"artistic {_L}{_V}1 0"),
+    ("PSF-2.0", f"(python software foundation|psf) {_L}( agreement)?({_V}2)?"),
+    ("OpenSSL", f"openssl {_L}"),
+    ("WTFPL", f"(do what the fuck you want to public {_L}|wtfpl)({_V}2)?"),
+    ("GFDL-1.3-only", f"gnu free documentation {_L}{_V}1 3"),
+    ("GFDL-1.2-only", f"gnu free documentation {_L}{_V}1 2"),
+    ("MS-PL", f"microsoft public {_L}( ms pl)?"),
+    ("MS-RL", f"microsoft reciprocal {_L}( ms rl)?"),
+    ("EUPL-1.2", f"(european union public {_L}|eupl){_V}1 2"),
+    ("EUPL-1.1", f"(european union public {_L}|eupl){_V}1 1"),
+    ("BUSL-1.1", f"business source {_L}{_V}1 1"),
+    ("SSPL-1.0", f"(server side public {_L}|sspl){_V}1( 0)?"),
+    ("Elastic-2.0", f"elastic {_L}{_V}2 0"),
+    ("PostgreSQL", f"postgresql {_L}"),
+    ("NCSA", f"(university of illinois )?ncsa open source {_L}"),
+    ("UPL-1.0", f"universal permissive {_L}{_V}1 0"),
+    ("AFL-3.0", f"academic free {_L}{_V}3 0"),
+    ("OSL-3.0", f"open software {_L}{_V}3 0"),
+    ("QPL-1.0", f"q public {_L}{_V}1 0"),
+    ("CPL-1.0", f"common public {_L}{_V}1 0"),
+    ("IPL-1.0", f"ibm public {_L}{_V}1 0"),
+    ("APSL-2.0", f"apple public source {_L}{_V}2( 0)?"),
+    ("LPPL-1.3c", f"latex project public {_L}{_V}1 3c"),
+    ("OFL-1.1", f"sil open font {_L}{_V}1 1"),
+    ("ODbL-1.0", f"open (data commons open )?database {_L}({_V}1 0)?"),
+    ("MulanPSL-2.0", f"mulan (psl|permissive software {_L}){_V}2( 0)?"),
+    ("Zlib", f"zlib {_L}"),
+    ("Unlicense", "unlicen[sc]e"),
+    ("0BSD", f"(bsd zero clause|zero clause bsd|0bsd) {_L}"),
+    ("BSD-4-Clause", f"(bsd 4 clause|4 clause bsd|original bsd) {_L}"),
+    ("X11", f"x11 {_L}"),
+    ("MIT-0", f"mit no attribution {_L}"),
+    ("JSON", f"json {_L}"),
+    ("Beerware", f"beer ?ware {_L}"),
+    ("Vim", f"vim {_L}"),
+    ("Ruby", f"ruby {_L}"),
+    ("curl", f"curl {_L}"),
+    ("libpng-2.0", f"(png reference library|libpng) {_L}({_V}2)?"),
+    ("CC-BY-NC-SA-4.0", f"(cc|creative commons) (by nc sa|attribution non ?commercial share ?alike) 4 0( international)?( public)?( {_L})?"),
+    ("CC-BY-NC-ND-4.0", f"(cc|creative commons) (by nc nd|attribution non ?commercial no ?deriv(ative)?s) 4 0( international)?( public)?( {_L})?"),
+    ("CC-BY-NC-4.0", f"creative commons attribution non ?commercial 4 0( international)?( public)?( {_L})?"),
+    ("CC-BY-ND-4.0", f"(cc|creative commons) (by nd|attribution no ?deriv(ative)?s) 4 0( international)?( public)?( {_L})?"),
+    ("CC-BY-SA-4.0", f"creative commons attribution share ?alike 4 0( international)?( public)?( {_L})?"),
+    ("CC-BY-4.0", f"creative commons attribution 4 0( international)?( public)?( {_L})?"),
+    ("CC-BY-SA-3.0", f"(cc|creative commons) (by sa|attribution share ?alike) 3 0( unported)?( {_L})?"),
+    ("CC-BY-3.0", f"(cc|creative commons) (by|attribution) 3 0( unported)?( {_L})?"),
+)
+_UNDER = "^((this|the) (work|text|document|software|program|project|code|file|library|package) is )?(released|licensed|distributed|available|made available|provided) under (a |an |the )?(terms of )?(a |an |the )?"
+# Licences whose whole text is known by a sentence at its beginning, and exceptions by theirs.
+TEXTS: tuple[tuple[str, str], ...] = (
+    ("GPL-3.0-only", "gnu general public license version 3 29 june 2007"),
+    ("GPL-2.0-only", "gnu general public license version 2 june 1991"),
+    ("LGPL-3.0-only", "gnu lesser general public license version 3 29 june 2007"),
+    ("LGPL-2.1-only", "gnu lesser general public license version 2 1 february 1999"),
+    ("AGPL-3.0-only", "gnu affero general public license version 3 19 november 2007"),
+    ("Apache-2.0", "apache license version 2 0 january 2004"),
+    ("MPL-2.0", "mozilla public license version 2 0 1 definitions"),
+    ("EPL-2.0", "eclipse public license v 2 0 the accompanying program is provided"),
+    ("EPL-1.0", "eclipse public license v 1 0 the accompanying program is provided"),
+    ("CC-BY-NC-SA-4.0", "attribution noncommercial sharealike 4 0 international (public license )?by exercising the licensed rights"),
+    ("CC-BY-NC-ND-4.0", "attribution noncommercial noderivatives 4 0 international (public license )?by exercising the licensed rights"),
+    ("CC-BY-NC-4.0", "attribution noncommercial 4 0 international (public license )?by exercising the licensed rights"),
+    ("CC-BY-ND-4.0", "attribution noderivatives 4 0 international (public license )?by exercising the licensed rights"),
+    ("CC-BY-SA-4.0", "attribution sharealike 4 0 international (public license )?by exercising the licensed rights"),
+    ("CC-BY-4.0", "attribution 4 0 international (public license )?by exercising the licensed rights"),
+    ("CC0-1.0", "the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights"),
+    ("Artistic-2.0", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("PSF-2.0", "this license agreement is between the python software foundation"),
+    ("OpenSSL", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("WTFPL", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed"),
+    ("CDDL-1.0", "common development and distribution license cddl version 1 0"),
+    ("GFDL-1.3-or-later", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 3 or any later version"),
+    ("GFDL-1.2-or-later", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 2 or any later version"),
+    ("OFL-1.1", "this font software is licensed under the sil open font license version 1 1"),
+    ("BSL-1.0", "boost software license version 1 0"),
+    ("PostgreSQL", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("JSON", "the software shall be used for good not evil"),
+    ("Classpath-exception-2.0", "as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("GCC-exception-3.1", "this gcc runtime library exception exception is an additional permission"),
+    ("LLVM-exception", "llvm exceptions to the apache 2 0 license"),
+    ("Bison-exception-2.2", "as a special exception you may create a larger work that contains part or all of the bison parser skeleton"),
+    ("Font-exception-2.0", "as a special exception if you create a document which uses this font"),
+)
 # Pattern of a normalised sentence -> its identifier; the first that matches names it.
 SENTENCES: tuple[tuple[str, str], ...] = (
+    *((f"^{text}", f"{name}:text") for name, text in TEXTS),
     (r"^(released|licensed|distributed|available) under the (terms of the )?mit licen[sc]e$", "MITref"),
     (r"^permission is hereby granted free of charge to any person obtaining a copy of this software", "MITgrant"),
     (r"^the above copyright notice and this permission notice shall be included in all copies", "MITcond"),
@@ -69,11 +164,19 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     (r"^(released|licensed|distributed) under the (terms of the )?(bsd 3 clause|3 clause bsd|new bsd|modified bsd) licen[sc]e$", "BSD3ref"),
     (r"^(released|licensed|distributed) under the (terms of the )?(bsd 2 clause|2 clause bsd|simplified bsd) licen[sc]e$", "BSD2ref"),
     (r"^all rights reserved$", "AllRights"),
+    *((f"{_UNDER}{pattern}$", f"{name}:name") for name, pattern in NAMED),
 )
 #: A sentence with one of these that no pattern names becomes UNKNOWN.
 LICENCE_WORDS = r"\b(licen[sc]ed?|copyright(ed)?|redistribut\w+|warrant(y|ies)|spdx)\b"
 # Ordered rules; identifiers in order, other ones may stand between.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
+    # a whole text ends with the notice that programs are to carry: it is the text's own and grants no later version
+    ("GPL-3.0-only", ("GPL-3.0-only:text", "GPLgrant", "GPL3plus", "GPLwarr")),
+    ("GPL-2.0-only", ("GPL-2.0-only:text", "GPLgrant", "GPL2plus", "GPLwarr")),
+    ("LGPL-2.1-only", ("LGPL-2.1-only:text", "LGPLgrant", "GPL21plus", "GPLwarr")),
+    ("AGPL-3.0-only", ("AGPL-3.0-only:text", "AGPLgrant", "GPL3plus", "GPLwarr")),
+    ("CC0-1.0", ("CC0-1.0:text", "CC0waiver")),
+    *((name, (f"{name}:text",)) for name, _ in TEXTS),
     ("GPL-3.0-or-later", ("GPLgrant", "GPL3plus", "GPLwarr")),
     ("GPL-3.0-or-later", ("GPLgrant", "GPL3plus")),
     ("GPL-2.0-or-later", ("GPLgrant", "GPL2plus", "GPLwarr")),
@@ -122,9 +225,10 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("ISC", ("ISCref",)),
     ("BSD-3-Clause", ("BSD3ref",)),
     ("BSD-2-Clause", ("BSD2ref",)),
+    *((name, (f"{name}:name",)) for name, _ in NAMED),
 )
 #: Words of known sentences that hold none of LICENCE_WORDS; what has neither is not looked up.
-OTHER_WORDS = r"\b(permission|rights|version|neither|software|mozilla|origin|altered|notice|anyone|waived|dedicated|cc0|creative|accompanying|boost)\b"
+OTHER_WORDS = r"\b(permission|rights|version|neither|software|mozilla|origin|altered|notice|anyone|waived|dedicated|cc0|creative|accompanying|boost|exception|provided|released|available|distributed|unlicen[sc]e)\b"
 
 #: What is no known sentence ends at a line's end, and at ; : ! ? or a full stop before white space.
 BREAK = r"\n+|(?<=[.;:!?])\s+"

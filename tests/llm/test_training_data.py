@@ -192,6 +192,27 @@ def test_standard_notices(spark):
         assert (r.licenses, r.n_unknown) == e, (text, r.sentences)
 
 
+GPL3_TEXT = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Some Foundation\n Everyone is permitted to copy and distribute verbatim copies.\n\n  How to Apply These Terms\n\n" + GPL
+
+
+def test_licences_by_name_and_by_text(spark):
+    """Every named licence, every text by its first sentence, exceptions beside their licence; 60 licences and more."""
+    shown = {"MPL-2.0": "the Mozilla Public License, version 2.0", "EPL-1.0": "the EPL v1.0", "CDDL-1.0": "the Common Development and Distribution License (CDDL) Version 1.0", "Artistic-2.0": "the Artistic License 2.0", "PSF-2.0": "the PSF License Agreement Version 2", "OpenSSL": "the OpenSSL License", "WTFPL": "the WTFPL", "GFDL-1.3-only": "the GNU Free Documentation License, Version 1.3", "EUPL-1.2": "the EUPL v1.2", "SSPL-1.0": "the Server Side Public License, v 1", "OFL-1.1": "the SIL Open Font License, Version 1.1", "CC-BY-NC-SA-4.0": "a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC-BY-3.0": "CC BY 3.0", "CC-BY-4.0": "a Creative Commons Attribution 4.0 International License", "Zlib": "the zlib license", "Unlicense": "the Unlicense", "X11": "the X11 License", "ODbL-1.0": "the Open Database License", "LPPL-1.3c": "the LaTeX Project Public License, version 1.3c"}
+    rows, want = [], []
+    for name, phrase in shown.items():
+        for form in (f"This software is licensed under {phrase}.", f"# Distributed under the terms of {phrase}\nprint(1)", f"Released under {phrase}. See the manual."):
+            rows.append(form)
+            want.append([name])
+    for name, text in license_scan.TEXTS:
+        rows.append("/* " + text.replace("(public license )?", "").capitalize() + " and so on. */")
+        want.append([name])
+    rows += [GPL3_TEXT, GPL, "Licensed under the Apache License, Version 2.0.\n\nLLVM Exceptions to the Apache 2.0 License\n\nAs an exception, you may.", "Available under the moon.", "The WTFPL is short."]
+    want += [["GPL-3.0-only"], ["GPL-3.0-or-later"], ["Apache-2.0", "LLVM-exception"], [], []]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(t, r.licenses) for t, r in zip(rows, got, strict=True)] == list(zip(rows, want, strict=True))
+    assert len({n for n, _ in license_scan.RULES}) >= 75
+
+
 # --- op2
 
 
