@@ -115,11 +115,16 @@ def unpivot_header_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.unpivot_header_coded(_wide(spark, sf_dir), ["event_id"], "Date Time, GMT-04:00").select("event_id", "measurement", "unit", "serial", "value")
 
 
-@query(f"SELECT '7' AS device_serial, date_trunc('second', t) AS datetime, measurement, unit, value FROM ({_WIDE}) UNION ALL SELECT 'z6-' || user_id, ts, event_type, 'u', value FROM events")
+@query(f"SELECT '7' AS device_serial, date_trunc('second', t) AS datetime, measurement, unit, value FROM ({_WIDE}) UNION ALL SELECT 'z6-' || user_id, ts, event_type, 'u', value FROM events UNION ALL SELECT 'x' || user_id, ts, event_type, 'u', value FROM events UNION ALL SELECT '9', date_trunc('second', ts), 'water_pressure_kpa', NULL, value FROM events UNION ALL SELECT '9', date_trunc('second', ts), 'temp_c', NULL, CASE WHEN event_id % 5 <> 0 THEN value / 2 END FROM events")
 def read_readings_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two of the raw shapes, each known by its columns, in one long form."""
-    e = table(spark, sf_dir, "events").select(F.concat(F.lit("z6-"), "user_id").alias("device_id"), instant("ts").alias("datetime"), F.lit(1).alias("port_num"), F.lit("s").alias("sensor_name"), F.col("event_type").alias("measurement"), F.lit("u").alias("unit"), "value", F.lit(0).alias("error_code"))
-    long = tables.union_readings([tables.read_readings_long(_wide(spark, sf_dir).drop("event_id"), "a.csv"), tables.read_readings_long(e, "b.csv")])
+    """The four raw shapes, each known by its columns, in one long form."""
+    t = table(spark, sf_dir, "events")
+    e = t.select(F.concat(F.lit("z6-"), "user_id").alias("device_id"), instant("ts").alias("datetime"), F.lit(1).alias("port_num"), F.lit("s").alias("sensor_name"), F.col("event_type").alias("measurement"), F.lit("u").alias("unit"), "value", F.lit(0).alias("error_code"))
+    export = t.select(F.concat(F.lit("x"), "user_id").alias("device_sn"), instant("ts").alias("timestamp_utc"), F.lit(2).alias("port"), F.lit("s").alias("sensor"), F.col("event_type").alias("measurement"), F.lit("u").alias("unit"), "value")
+    local = F.date_format(instant("ts") - F.expr("interval 4 hours"), "yyyy-MM-dd HH:mm:ss")
+    link = t.select(local.alias("datetime"), F.col("value").alias("water_pressure_kpa"), F.when(F.col("event_id") % 5 != 0, F.col("value") / 2).alias("temp_c"))
+    read = tables.read_readings_long
+    long = tables.union_readings([read(_wide(spark, sf_dir).drop("event_id"), "a.csv"), read(e, "b.csv"), read(export, "c.csv"), read(link, "d.csv", device_serial="9")])
     return long.select("device_serial", ntz("datetime"), "measurement", "unit", "value")
 
 

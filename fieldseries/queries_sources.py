@@ -80,11 +80,9 @@ def read_measure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("report").cast("bigint").alias("report"), "problem", "unit", F.size("legs").cast("bigint").alias("legs"), r6("total_m")).withColumn("legs", F.when(F.col("problem").isNull(), F.col("legs")))
 
 
-@query(_M + "SELECT filepath, regexp_extract(filepath, 'raw/([0-9]+)_', 1) AS device_serial, regexp_extract(filepath, '_([0-9]{8})_[0-9]{8}_raw', 1) AS start_day, regexp_extract(filepath, '_([0-9]{8})_raw', 1) AS end_day, count(*) AS copies FROM files WHERE filepath NOT LIKE '%extra%' AND regexp_extract(filepath, 'raw/([0-9]+)_', 1) IN ('1', '2', '3') GROUP BY ALL")
+@query(_M + "SELECT filepath, regexp_extract(filepath, 'raw/([0-9]+)_', 1) AS device_serial, regexp_extract(filepath, '_([0-9]{8})_[0-9]{8}_raw', 1) AS start_day, regexp_extract(filepath, '_([0-9]{8})_raw', 1) AS end_day, count(*) AS copies FROM files WHERE filepath NOT LIKE '%extra%' GROUP BY ALL")
 def list_files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = net.files(spark, sf_dir)
-    parts = [files.list_files_by_name(f, device=d) for d in ("1", "2", "3")]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    every = files.list_files_by_name(net.files(spark, sf_dir))
     day = lambda c: F.date_format(c, "yyyyMMdd")
     return every.groupBy("filepath", "device_serial", day("start_date").alias("start_day"), day("end_date").alias("end_day")).agg(F.count("*").alias("copies"))
 
