@@ -1,10 +1,13 @@
-"""External suffix sorting by recursive induction.
-
-Suffix positions wait in queues that are ordered by first symbol and, within a symbol, by arrival:
-the priority in which induction needs them.  A queue keeps a bounded number of positions in memory
-and the rest on disk.  A level sorts the substrings between left-most S positions by induction,
-names them, sorts the shorter string of names (recursively, or in memory once it is short), and
-induces the order of all suffixes from it.  All work on a symbol's positions is done in arrays.
+"""External suffix sorting by recursive induction, with the common prefixes of neighbours.
+
+Suffixes wait in queues that are ordered by first symbol and, within a symbol, by arrival: the priority in
+which induction needs them.  What waits is a tuple: the suffix's symbol (its queue), its position, and what it
+has in common with the one that arrived before it.  A queue keeps a bounded number of tuples in memory and the rest
+on disk.  A level sorts the substrings between left-most S positions by induction, names them, sorts the
+shorter string of names (recursively, or in memory once it is short), and induces the order of all suffixes from
+it.  Two suffixes that are induced from others have one symbol more in common than those, and those the least that any
+neighbours between them have, so common prefixes come down the recursion with the order.  All work on a symbol's tuples is
+done in arrays.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ import numpy as np
 from .fm_index import suffix_array
 from .textcore import mix, powers
 
-#: Positions that a queue holds in memory, and names below which a level is sorted in memory.
+#: Tuples that a queue holds in memory, and names below which a level is sorted in memory.
 IN_MEMORY = 4_000_000
+#: Common prefixes are told up to this length, if nothing else is asked for.
+CAP = 200
 
 
 class BucketQueue:
-    """A queue of positions for each symbol, backed by one file."""
+    """A queue of tuples for each symbol, backed by one file."""
 
     def __init__(self, folder: str, kind: np.dtype, limit: int = IN_MEMORY):
         self.folder, self.kind, self.limit, self.held = folder, np.dtype(kind), limit, 0
@@ -31,7 +36,7 @@ class BucketQueue:
         self.file = None
 
     def append(self, symbols: np.ndarray, positions: np.ndarray) -> None:
-        """Add positions to the queues of their symbols, in order."""
+        """Add tuples to the queues of their symbols, in order."""
         order = np.argsort(symbols, kind="stable")
         symbols, positions = symbols[order], positions[order]
         cut = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
@@ -52,7 +57,7 @@ class BucketQueue:
         self.memory, self.held = {}, 0
 
     def take(self, symbol: int) -> np.ndarray:
-        """All positions waiting for a symbol, which then has none."""
+        """All tuples waiting for a symbol, which then has none."""
         parts = []
         for at, n in self.disk.pop(symbol, []):
             self.file.seek(at)
@@ -81,74 +86,176 @@ def s_types(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str) -> Iterator[np.ndarray]:
-    """Positions symbol by symbol, from the largest symbol down, each in ascending suffix order, given the
-    left-most S positions (seeds) in suffix order."""
-    alphabet = np.unique(text)
-    kind = seeds.dtype
-    starts, larger = BucketQueue(folder, kind), BucketQueue(folder, kind)
-    starts.append(text[seeds], seeds)
-    kept_l = BucketQueue(folder, kind)
+def range_least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The least of values[first..last], both included, for every pair."""
+    out, table = values[last], values
+    level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+    for k in range(1, int(level.max(initial=0)) + 1):
+        table = np.minimum(table[: -(1 << k - 1)], table[1 << k - 1 :])
+        mine = np.flatnonzero(level == k)
+        out[mine] = np.minimum(table[first[mine]], table[last[mine] + 1 - (1 << k)])
+    return out
+
+
+class Neighbours:
+    """What the suffixes of a scan have in common with the one before, for those that they induce.
 
-    def l_before(positions: np.ndarray) -> None:
-        before = positions[positions > 0] - 1
-        before = before[~s_type[before]]
-        if len(before):
-            larger.append(text[before], before)
+    Of the scan behind, only the places are kept whose number no later one reaches: one for each number up to the cap.
+    """
+
+    def __init__(self, symbols: int, cap: int):
+        self.cap, self.scanned = cap, 0
+        self.latest = np.full(symbols, -1, np.int64)  # place of the scan that induced each symbol's latest suffix
+        self.places, self.least = np.zeros(0, np.int64), np.zeros(0, np.int16)
+
+    def induced(self, common: np.ndarray, some: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """For the places `some` of a scanned stretch, which induce suffixes of these symbols: what each of those has in
+        common with the one that its queue got before it (0: the first)."""
+        order = np.argsort(symbols, kind="stable")
+        of, at = symbols[order], some[order]
+        first = np.r_[True, of[1:] != of[:-1]][: len(of)]
+        found = np.empty(len(of), np.int16)
+        later, head = np.flatnonzero(~first), np.flatnonzero(first)
+        found[later] = range_least(common, at[later - 1] + 1, at[later])
+        if len(head):
+            before, least = self.latest[of[head]], np.minimum.accumulate(common)[at[head]]
+            behind = np.searchsorted(self.places, before, "right")
+            there = np.flatnonzero(behind < len(self.places))
+            least[there] = np.minimum(least[there], self.least[behind[there]])
+            found[head] = np.where(before < 0, -1, least)
+            end = np.r_[first[1:], True]
+            self.latest[of[end]] = self.scanned + at[end]
+        self._pass(common)
+        out = np.empty(len(of), np.int16)
+        out[order] = np.minimum(found + 1, self.cap)
+        return out
+
+    def _pass(self, common: np.ndarray) -> None:
+        if not len(common):
+            return
+        least = np.minimum.accumulate(common[::-1])[::-1]
+        own = np.flatnonzero(common < np.append(least[1:], np.iinfo(np.int16).max))
+        still = self.least < least[0]
+        self.places = np.concatenate([self.places[still], self.scanned + own])
+        self.least = np.concatenate([self.least[still], common[own]])
+        self.scanned += len(common)
+
+
+def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str, common: np.ndarray | None = None, cap: int = CAP) -> Iterator[np.ndarray]:
+    """Tuples (at, common) symbol by symbol, from the largest symbol down, each in ascending suffix order, given the
+    left-most S positions (seeds) in suffix order and what each has in common with the seed before it.
+
+    Without that, positions come out alone, and their common prefixes as 0.
+    """
+    alphabet = np.unique(text)
+    kind = np.dtype([("at", seeds.dtype), ("common", np.int16)])
+    carried = common is not None
+
+    def tuples(at: np.ndarray, shared: np.ndarray | int) -> np.ndarray:
+        out = np.empty(len(at), kind)
+        out["at"], out["common"] = at, shared
+        return out
+
+    def run(at: int) -> int:
+        ahead = text[at : at + cap]
+        other = np.flatnonzero(ahead != ahead[0])
+        return int(other[0]) if len(other) else len(ahead)
+
+    def border(low: np.ndarray, high: np.ndarray) -> int:
+        """Common prefix of a symbol's last L and first S suffix: after the shorter of their runs one goes down or the other up."""
+        return min(run(int(low["at"][-1])), run(int(high["at"][0]))) if carried and len(low) and len(high) else 0
+
+    def before(now: np.ndarray, wanted: bool, queue: BucketQueue, scan: Neighbours) -> None:
+        some = np.flatnonzero(now["at"] > 0)
+        at = now["at"][some] - 1
+        mine = s_type[at] == wanted
+        some, at = some[mine], at[mine]
+        symbols = text[at]
+        shared = scan.induced(now["common"], some, symbols) if carried else 0
+        if len(at):
+            queue.append(symbols, tuples(at, shared))
 
+    starts, larger = BucketQueue(folder, kind), BucketQueue(folder, kind)
+    starts.append(text[seeds], tuples(seeds, common if carried else 0))
+    kept_l, scan = BucketQueue(folder, kind), Neighbours(int(alphabet[-1]) + 1, cap)
     for c in alphabet.tolist():
+        low = np.zeros(0, kind)
         while len(now := larger.take(c)):
             kept_l.append(np.full(len(now), c, text.dtype), now)
-            l_before(now)
+            before(now, False, larger, scan)
+            low = now
         if len(seed := starts.take(c)):
-            l_before(seed)
-
-    smaller = BucketQueue(folder, kind)
-
-    def s_before(positions: np.ndarray) -> None:
-        before = positions[positions > 0] - 1
-        before = before[s_type[before]]
-        if len(before):
-            smaller.append(text[before], before)
+            seed = seed.copy()
+            seed["common"][0] = border(low, seed)
+            before(seed, False, larger, scan)
 
+    smaller, scan = BucketQueue(folder, kind), Neighbours(int(alphabet[-1]) + 1, cap)
     last = len(text) - 1
     for c in alphabet[::-1].tolist():
-        down = []
+        down = []  # from the largest, each with what it has in common with the larger one before it
         if c == int(text[last]):
-            down.append(np.array([last], kind))
+            down.append(tuples(np.array([last]), 0))
         while len(now := smaller.take(c)):
             down.append(now)
-            s_before(now)
-        mine = kept_l.take(c)
-        s_before(mine[::-1])
-        yield np.concatenate([mine, *[d[::-1] for d in down[::-1]]]) if down else mine
+            before(now, True, smaller, scan)
+        low, high = kept_l.take(c), np.concatenate([np.zeros(0, kind), *down])[::-1]
+        between = border(low, high)
+        if len(low):
+            before(tuples(low["at"][::-1], np.append(low["common"][1:], between)[::-1]), True, smaller, scan)
+        yield np.concatenate([low, tuples(high["at"], np.r_[between, high["common"][:-1]][: len(high)])])
     for q in (starts, larger, kept_l, smaller):
         q.close()
 
 
-def sort_suffixes(text: np.ndarray, folder: str, in_memory: int = IN_MEMORY) -> Iterator[np.ndarray]:
-    """The suffixes of text in descending runs: arrays of positions, each ascending, later ones smaller.
+def shared(values: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """How many values from the places a and b on are equal, up to cap; a step at a time, for those that still agree."""
+    out, live = np.zeros(len(a), np.int64), np.arange(len(a))
+    for k in range(cap):
+        x, y = a[live] + k, b[live] + k
+        inside = np.maximum(x, y) < len(values)
+        live, x, y = live[inside], x[inside], y[inside]
+        live = live[values[x] == values[y]]
+        if not len(live):
+            break
+        out[live] += 1
+    return out
 
-    The last symbol must be unique and smaller than all others.
+
+def sort_with_prefixes(text: np.ndarray, folder: str, in_memory: int = IN_MEMORY, cap: int = CAP) -> Iterator[np.ndarray]:
+    """The suffixes of text in descending runs: arrays of (at, common), each ascending, later ones smaller.
+
+    `common` is what a suffix shares with the next smaller one, up to cap (below 32,000).  The last symbol must be unique and
+    smaller than all others.
     """
     s_type = s_types(text)
     seeds = np.flatnonzero(s_type & ~np.r_[True, s_type[:-1]]).astype(np.int32 if len(text) < 1 << 31 else np.int64)
+    common = np.zeros(len(seeds), np.int16)
     if len(seeds) > 1:
         # order of the substrings from one seed to the next, by induction from unordered seeds
         is_seed = np.zeros(len(text), bool)
         is_seed[seeds] = True
-        ordered = np.concatenate([part[is_seed[part]] for part in _induce(text, s_type, seeds, folder)][::-1])
+        ordered = np.concatenate([part["at"][is_seed[part["at"]]] for part in _induce(text, s_type, seeds, folder)][::-1])
         ends = np.append(seeds[1:], len(text) - 1)
-        names = _name(text, seeds, ends, np.searchsorted(seeds, ordered))
+        order = np.searchsorted(seeds, ordered)
+        names = _name(text, seeds, ends, order)
+        alike = np.zeros(len(seeds) - 1, np.int64)  # names that neighbours share
         if names.max() + 1 < len(seeds):
             if len(seeds) <= in_memory:
                 order = suffix_array(names)
+                alike = shared(names, order[1:], order[:-1], cap)
             else:
-                order = np.concatenate([*sort_suffixes(np.append(names + 1, 0), folder, in_memory)][::-1])[1:]
-            seeds = seeds[order]
-        else:
-            seeds = ordered
-    return _induce(text, s_type, seeds, folder)
+                whole = np.concatenate([*sort_with_prefixes(np.append(names + 1, 0), folder, in_memory, cap)][::-1])[1:]
+                order, alike = whole["at"].astype(np.int64), whole["common"][1:].astype(np.int64)
+        a, b = seeds[order[1:] + alike].astype(np.int64), seeds[order[:-1] + alike].astype(np.int64)
+        # equal names, then what the first different ones begin with
+        common[1:] = np.minimum(a - seeds[order[1:]] + shared(text, a, b, cap), cap)
+        seeds = seeds[order]
+    return _induce(text, s_type, seeds, folder, common, cap)
+
+
+def sort_suffixes(text: np.ndarray, folder: str, in_memory: int = IN_MEMORY) -> Iterator[np.ndarray]:
+    """The suffixes of text in descending runs: arrays of positions, each ascending, later ones smaller."""
+    return (part["at"] for part in sort_with_prefixes(text, folder, in_memory))
 
 
 def _name(text: np.ndarray, seeds: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np.ndarray:

@@ -6,10 +6,9 @@
    have this anchor.
 2. A context that occurs twice repeats as a whole, and so do all windows in it.
 3. What is left are anchors that stand in different contexts.  One copy of each such context goes to
-   a shard, chosen by the anchor.  A shard is suffix-sorted with queues on disk (`induced_sort`), but its
-   arrays are in memory; the queues carry positions by symbol, and the common prefix of neighbours is compared
-   through the fingerprint of the `length` bytes at each position.  Neighbours that share `length`
-   bytes and are different places are repeats.  Files of a shard are its task's own and are made anew with it.
+   a shard, chosen by the anchor.  A shard is suffix-sorted by recursive induction with queues on disk
+   (`induced_sort`), which carry suffixes with what they have in common with their neighbours.  Neighbours with `length`
+   common bytes that are different places are repeats.  Files of a shard are its task's own and are made anew with it.
 4. An anchor in more contexts than a shard is meant to hold goes to no shard: the windows of its contexts are
    counted by their hashes, which splits it however many texts share it.
 5. Spans meet their documents and are merged and cut out.
@@ -33,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from .common import Bloom, bloom, drop_scratch, map_batches, materialise
-from .induced_sort import sort_suffixes
+from .induced_sort import sort_with_prefixes
 from .textcore import _RINV, mix, powers, prefix_hash, runs, span_hash, string_buffers, byte_buffers
 
 LENGTH, ANCHOR = 200, 100
@@ -172,29 +171,30 @@ def shard_repeats(rows: dict[str, np.ndarray], data: np.ndarray, offsets: np.nda
     text[at] = data[inner].astype(np.int16) + 2
     text[-1] = 0
     del inner, at
-    row = np.repeat(kept.astype(np.int32), size[kept] + 1)
-    start = np.repeat(where.astype(np.int32 if total < 1 << 31 else np.int64), size[kept] + 1)
-    print_of = prefix_hash((text - 2).astype(np.uint8))
     texts = np.unique(np.stack([rows["d0"], rows["d1"]], 1), axis=0, return_inverse=True)[1].reshape(-1)
     covers: list[np.ndarray] = []
-    for part in sort_suffixes(text, folder):
-        part = part[part < total - 1]
-        r = row[part]
-        part, r = part[(whole := part - start[part] + length <= size[r])], r[whole]
-        if len(part) < 2:
+    # the context of a place, and how far into it the place is
+    context = lambda at: np.searchsorted(where, at, "right") - 1
+    for part in sort_with_prefixes(text, folder, cap=length):
+        run = np.cumsum(part["common"] < length)
+        many = np.bincount(run)[run] > 1
+        part, run = part["at"][many], run[many]
+        c = context(part)
+        whole = part - where[c] + length <= size[kept[c]]
+        part, run, c = part[whole], run[whole], c[whole]
+        if not len(part):
             continue
-        h = span_hash(print_of, part, part + length)
-        first = np.r_[True, h[1:] != h[:-1]]
-        run = np.cumsum(first) - 1
-        place = texts[r] * (1 << 40) + rows["place"][r] - rows["before"][r] + part - start[part]
-        at = np.flatnonzero(first)
+        r = kept[c]
+        place = texts[r] * (1 << 40) + rows["place"][r] - rows["before"][r] + part - where[c]
+        at = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         twice = (np.minimum.reduceat(place, at) != np.maximum.reduceat(place, at)) | (np.maximum.reduceat(rows["n"][r], at) > 1)
-        covers.append(part[twice[run]])
+        covers.append(part[np.repeat(twice, np.diff(np.append(at, len(part))))])
     begin = np.sort(np.concatenate([np.zeros(0, np.int64), *covers]))
     if not len(begin):
         return []
-    r = row[begin]
-    begin = begin - start[begin] + rows["place"][r] - rows["before"][r]
+    c = context(begin)
+    r = kept[c]
+    begin = begin - where[c] + rows["place"][r] - rows["before"][r]
     # begins are ordered by row, then place; close begins make one stretch
     fresh = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (begin[1:] > begin[:-1] + length)])
     end = begin[np.append(fresh[1:], len(begin)) - 1] + length

@@ -426,10 +426,36 @@ def test_induced_sorting(tmp_path, limit):
             t = np.append(rng.integers(1, rng.integers(2, 5), rng.integers(1, 60)), 0)
             sa = np.concatenate([*sort_suffixes(t, str(tmp_path), int(rng.choice([1, 3, 100])))][::-1])
             assert sa.tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+            cap = int(rng.choice([1, 2, 5, 200]))
+            both = np.concatenate([*induced_sort.sort_with_prefixes(t, str(tmp_path), int(rng.choice([1, 3, 100])), cap)][::-1])
+            assert both["at"].tolist() == sa.tolist()
+            alike = lambda a, b: next((k for k, (x, y) in enumerate(zip(t[a:], t[b:])) if x != y), 0)  # noqa: B023, B905, E731
+            assert both["common"].tolist() == [0, *[min(alike(a, b), cap) for a, b in zip(sa[:-1].tolist(), sa[1:].tolist(), strict=True)]]
     finally:
         induced_sort.BucketQueue.__init__.__defaults__ = old
 
 
+def test_common_prefixes_of_long_repeats(tmp_path):
+    """Repeats longer than the cap, runs of one symbol and copies next to each other, with most tuples on disk."""
+    from fieldseries.llm import induced_sort
+
+    rng = np.random.default_rng(4)
+    some = rng.integers(1, 6, 700)
+    t = np.concatenate([some, some[:450], np.full(300, 3), some[100:], np.full(280, 3), some[:450], [0]])
+    text = t.astype(np.uint8).tobytes()
+    for limit, in_memory in ((50, 5), (10_000, 1_000_000)):
+        old = induced_sort.BucketQueue.__init__.__defaults__
+        induced_sort.BucketQueue.__init__.__defaults__ = (limit,)
+        try:
+            both = np.concatenate([*induced_sort.sort_with_prefixes(t, str(tmp_path), in_memory, 200)][::-1])
+        finally:
+            induced_sort.BucketQueue.__init__.__defaults__ = old
+        sa = sorted(range(len(t)), key=lambda i: text[i:])
+        assert both["at"].tolist() == sa
+        for a, b, n in zip(sa[:-1], sa[1:], both["common"][1:].tolist(), strict=True):
+            assert text[a : a + n] == text[b : b + n] and (n == 200 or text[a + n : a + n + 1] != text[b + n : b + n + 1])
+
+
 # --- op4, op6, op7
 
 
