@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from .fm_index import suffix_array
 from .textcore import mix, powers
 
 #: Tuples that a queue holds in memory, and names below which a level is sorted in memory.
@@ -38,10 +37,14 @@ class BucketQueue:
     def append(self, symbols: np.ndarray, positions: np.ndarray) -> None:
         """Add tuples to the queues of their symbols, in order."""
         order = np.argsort(symbols, kind="stable")
-        symbols, positions = symbols[order], positions[order]
-        cut = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
-        for s, part in zip(symbols[cut].tolist(), np.split(positions, cut[1:]), strict=True):
-            self.memory.setdefault(s, []).append(part)
+        self.append_grouped(symbols[order], positions[order])
+
+    def append_grouped(self, symbols: np.ndarray, positions: np.ndarray) -> None:
+        """append() for symbols that are in order."""
+        cut = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
+        ends = [0, *cut.tolist(), len(symbols)]
+        for s, lo, hi in zip(symbols[[0, *cut]].tolist(), ends[:-1], ends[1:], strict=True):
+            self.memory.setdefault(s, []).append(positions[lo:hi])
         self.held += len(positions)
         if self.held > self.limit:
             self._spill()
@@ -108,11 +111,9 @@ class Neighbours:
         self.latest = np.full(symbols, -1, np.int64)  # place of the scan that induced each symbol's latest suffix
         self.places, self.least = np.zeros(0, np.int64), np.zeros(0, np.int16)
 
-    def induced(self, common: np.ndarray, some: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """For the places `some` of a scanned stretch, which induce suffixes of these symbols: what each of those has in
-        common with the one that its queue got before it (0: the first)."""
-        order = np.argsort(symbols, kind="stable")
-        of, at = symbols[order], some[order]
+    def induced(self, common: np.ndarray, at: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """For the places `at` of a scanned stretch, which induce suffixes of the symbols `of` and are grouped by them: what
+        each of those has in common with the one that its queue got before it (0: the first)."""
         first = np.r_[True, of[1:] != of[:-1]][: len(of)]
         found = np.empty(len(of), np.int16)
         later, head = np.flatnonzero(~first), np.flatnonzero(first)
@@ -126,9 +127,7 @@ class Neighbours:
             end = np.r_[first[1:], True]
             self.latest[of[end]] = self.scanned + at[end]
         self._pass(common)
-        out = np.empty(len(of), np.int16)
-        out[order] = np.minimum(found + 1, self.cap)
-        return out
+        return np.minimum(found + 1, self.cap)
 
     def _pass(self, common: np.ndarray) -> None:
         if not len(common):
@@ -148,7 +147,7 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str
     Without that, positions come out alone, and their common prefixes as 0.
     """
     alphabet = np.unique(text)
-    kind = np.dtype([("at", seeds.dtype), ("common", np.int16)])
+    kind = np.dtype([("at", seeds.dtype), ("common", np.int16)], align=True)
     carried = common is not None
 
     def tuples(at: np.ndarray, shared: np.ndarray | int) -> np.ndarray:
@@ -166,14 +165,14 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, folder: str
         return min(run(int(low["at"][-1])), run(int(high["at"][0]))) if carried and len(low) and len(high) else 0
 
     def before(now: np.ndarray, wanted: bool, queue: BucketQueue, scan: Neighbours) -> None:
-        some = np.flatnonzero(now["at"] > 0)
-        at = now["at"][some] - 1
-        mine = s_type[at] == wanted
-        some, at = some[mine], at[mine]
-        symbols = text[at]
-        shared = scan.induced(now["common"], some, symbols) if carried else 0
-        if len(at):
-            queue.append(symbols, tuples(at, shared))
+        at = now["at"] - 1
+        some = np.flatnonzero((s_type[at] == wanted) & (at >= 0))
+        symbols = text[at[some]]
+        order = np.argsort(symbols, kind="stable")
+        some, symbols = some[order], symbols[order]
+        common = scan.induced(np.ascontiguousarray(now["common"]), some, symbols) if carried else 0
+        if len(some):
+            queue.append_grouped(symbols, tuples(at[some], common))
 
     starts, larger = BucketQueue(folder, kind), BucketQueue(folder, kind)
     starts.append(text[seeds], tuples(seeds, common if carried else 0))
@@ -221,6 +220,28 @@ def shared(values: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.nda
     return out
 
 
+def names_in_order(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix order of names by rank doubling, and how many names neighbours share, out of the same ranks.
+
+    The last name must be unique.
+    """
+    rank, step, ranks = names.astype(np.int64), 1, []
+    while True:
+        ranks.append(rank)
+        order = np.argsort(key := rank * (len(rank) + 2) + np.append(rank[step:] + 1, np.zeros(min(step, len(rank)), np.int64)))
+        new = np.empty_like(rank)
+        new[order] = np.cumsum(np.r_[0, np.diff(key[order]) != 0])
+        rank, step = new, step * 2
+        if rank[order[-1]] == len(rank) - 1:
+            break
+    a, b = order[1:].copy(), order[:-1].copy()
+    for k in range(len(ranks) - 1, -1, -1):
+        same = ranks[k][a] == ranks[k][b]
+        a[same] += 1 << k
+        b[same] += 1 << k
+    return order, a - order[1:]
+
+
 def sort_with_prefixes(text: np.ndarray, folder: str, in_memory: int = IN_MEMORY, cap: int = CAP) -> Iterator[np.ndarray]:
     """The suffixes of text in descending runs: arrays of (at, common), each ascending, later ones smaller.
 
@@ -241,8 +262,7 @@ def sort_with_prefixes(text: np.ndarray, folder: str, in_memory: int = IN_MEMORY
         alike = np.zeros(len(seeds) - 1, np.int64)  # names that neighbours share
         if names.max() + 1 < len(seeds):
             if len(seeds) <= in_memory:
-                order = suffix_array(names)
-                alike = shared(names, order[1:], order[:-1], cap)
+                order, alike = names_in_order(names)
             else:
                 whole = np.concatenate([*sort_with_prefixes(np.append(names + 1, 0), folder, in_memory, cap)][::-1])[1:]
                 order, alike = whole["at"].astype(np.int64), whole["common"][1:].astype(np.int64)
