@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import attribution
+from . import attribution, spans
 
 # The flags that a value can carry, from a plain measurement to none at all.
 FLAGS = ("observed", "interpolated", "substituted", "estimated", "manual", "suspect", "missing")
@@ -42,23 +42,14 @@ def cut_spans(decisions: DataFrame, keys: list[str]) -> DataFrame:
     """Disjoint spans (keys, starts, ends, decision_id, flag, value): where valid decisions overlap, the one decided later
     holds, and the earlier one goes on after it.  A null end is open.
 
-    Decisions are clipped to slices of time and cut there, so that no key is one task, and spans are put together again
-    where one decision goes on over the edge of a slice.
+    A decision goes on where a piece of it follows another.  See spans.pieces(): decisions never meet each other, however many
+    hold at once.
     """
-    at, edge = attribution.slice_of, lambda n: F.timestamp_micros((n * F.lit(attribution.SLICE * 86_400_000_000)).cast("bigint"))
-    last = decisions.agg(F.max(at(F.greatest("starts", "ends"))).alias("_last")).withColumn("_one", F.lit(1))
-    d = decisions.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one")  # a single row
-    d = d.withColumn("_slice", F.explode(F.sequence(at(F.col("starts")), F.coalesce(at(F.col("ends")), F.col("_last")))))
-    clipped = F.when(F.col("_slice") < F.col("_last"), F.least(F.col("ends"), edge(F.col("_slice") + 1))).otherwise(F.col("ends"))  # the last slice has no end
-    d = d.withColumns({"starts": F.greatest(F.col("starts"), edge(F.col("_slice"))), "ends": clipped}).filter("ends is null or starts < ends")
-    points = d.select(*keys, "_slice", F.explode(F.array("starts", "ends")).alias("t")).filter("t is not null").distinct()
-    ws = attribution.gather(d, keys, ["decided_at", "decision_id"], ["starts", "ends", "flag", "value"])
-    cut = points.withColumn("_to", F.lead("t").over(Window.partitionBy(*keys, "_slice").orderBy("t"))).join(ws, [*keys, "_slice"])
-    cut = cut.withColumn("_w", F.try_element_at(F.filter("_ws", lambda w: attribution.covers(w, F.col("t"))), F.lit(-1))).filter("_w is not null")
-    spans = cut.select(*keys, F.col("t").alias("starts"), F.col("_to").alias("ends"), "_w.decision_id", "_w.flag", "_w.value")
+    cut = spans.pieces(decisions, keys, F.struct("decided_at", "decision_id", F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), "flag", "value"))
+    cut = cut.select(*keys, "starts", "ends", "best.decision_id", "best.flag", "best.value")
     by = Window.partitionBy(*keys, "decision_id").orderBy("starts")
     goes_on = F.coalesce(F.col("starts") == F.lag("ends").over(by), F.lit(False))
-    runs = spans.withColumn("_goes_on", goes_on).withColumn("_run", F.count_if(~F.col("_goes_on")).over(by))
+    runs = cut.withColumn("_goes_on", goes_on).withColumn("_run", F.count_if(~F.col("_goes_on")).over(by))
     ends = F.when(~F.bool_or(F.col("ends").isNull()), F.max("ends"))
     return runs.groupBy(*keys, "decision_id", "_run").agg(F.min("starts").alias("starts"), ends.alias("ends"), F.first("flag").alias("flag"), F.first("value").alias("value")).drop("_run")
 
