@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import attribution, spans
+from . import spans
 
 # The flags that a value can carry, from a plain measurement to none at all.
 FLAGS = ("observed", "interpolated", "substituted", "estimated", "manual", "suspect", "missing")
@@ -60,8 +60,8 @@ def apply_flags(series: DataFrame, decisions: DataFrame, keys: list[str], when:
     A decision's own value replaces the recorded one; `missing` takes the value away; a moment without a value stays
     missing under any decision that brings none.  Decisions are taken as split_decisions() lets them through.
     """
-    named = decisions.select(*keys, "starts", "ends", "decided_at", "decision_id", F.col("flag").alias("_flag"), F.col("value").alias("_value"))
-    j = attribution.interval_join(series, named, keys, when, ["decision_id", "_flag", "_value"], ["decided_at", "decision_id"])
+    cut = spans.pieces(decisions, keys, F.struct("decided_at", "decision_id", F.col("flag").alias("_flag"), F.col("value").alias("_value")))
+    j = spans.at_moments(series, cut, keys, when, "_best").select(*series.columns, "_best.decision_id", "_best._flag", "_best._value")
     value = F.when(F.col("_flag") == "missing", F.lit(None)).otherwise(F.coalesce("_value", "value"))
     flag = F.when(value.isNull(), "missing").otherwise(F.coalesce("_flag", "flag"))
     return j.withColumns({"recorded": F.col("value"), "value": value, "flag": flag}).drop("_flag", "_value")

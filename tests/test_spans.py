@@ -31,3 +31,7 @@ def test_decisions_do_not_meet_each_other(spark):
     cut = decisions.cut_spans(d, ["series"])
     assert "collect_list" not in _plan(cut)
     assert cut.count() == 4000
+    e = spark.sql("select 's' as series, timestamp_seconds(id) as datetime, 1.0d as value, 'observed' as flag from range(10000)")
+    flags = decisions.apply_flags(e, d, ["series"])
+    assert "collect_list" not in _plan(flags)
+    assert flags.groupBy("flag").count().orderBy("flag").collect() == [("observed", 1001), ("suspect", 8999)]
