@@ -24,6 +24,16 @@ def whole_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path")).withColumnRenamed("value", "text")
 
 
+def pack_files(files: DataFrame, path: str) -> None:
+    """Keep (file, text) as rows of a few large files: a store that opens, commits and lists a file for every export takes longer over that than over what they hold."""
+    files.select("file", "text").write.parquet(path)
+
+
+def packed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, text) of every file that pack_files() has put under a path, like whole_files()."""
+    return spark.read.schema("file string, text string").parquet(path)
+
+
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """(filepath, size, modified, md5) of every file under a path."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("filepath"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.md5("content").alias("md5"))
