@@ -83,10 +83,11 @@ def read_preamble_csv(files: DataFrame, zone: str = PROJECT_ZONE) -> tuple[DataF
     f = f.withColumns({"_t": F.coalesce(named, by_content), "serial": serial})
     problem = F.when(F.col("header").isNull(), "no header").when(F.size("body") == 0, "no rows").when(F.col("_t").isNull(), "no time column")
     f = f.withColumn("problem", problem)
-    rows = f.filter("problem is null").select("file", "serial", "header", "_t", F.posexplode("body").alias("line", "row"))
+    # no filter on what was parsed: Spark would push it below the parsing, and parse for the filter, too, once for every field it looks at
+    rows = f.select("file", "serial", "header", "_t", F.posexplode_outer(F.when(F.col("problem").isNull(), F.col("body"))).alias("line", "row")).filter("line is not null")
     padded = F.transform(F.col("header"), lambda h, i: F.get("row", i))
     rows = rows.select("file", "line", "serial", coerce_datetime(F.get("row", F.col("_t")), zone).alias("time"), F.map_from_arrays(F.transform("header", lambda h, i: F.when(F.array_position("header", h) == i + 1, h).otherwise(F.concat(h, F.lit("_"), i.cast("string")))), padded).alias("values"))
-    return rows, f.filter("problem is not null").select("file", "problem")
+    return rows, f.select("file", F.explode_outer(F.array("problem")).alias("problem")).filter("problem is not null")
 
 
 def profile_exports(rows: DataFrame, expected: DataFrame | None = None) -> DataFrame:

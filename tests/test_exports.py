@@ -11,3 +11,12 @@ def test_many_texts_are_few_files(spark, tmp_path):
     files.pack_files(texts, str(tmp_path / "packed"))
     assert len(list((tmp_path / "packed").glob("part-*"))) == 4
     assert sorted(map(tuple, files.packed_files(spark, str(tmp_path / "packed")).collect())) == sorted(map(tuple, texts.collect()))
+
+
+def test_filters_do_not_parse(spark):
+    f = spark.createDataFrame([("a", "title\n#,Date Time\n1,2024-01-01 00:00:00\n\n2,2024-01-02 00:00:00\n"), ("b", "nothing"), ("c", "x,date"), ("d", "u,v\n1,2\n")], "file string, text string")
+    rows, errors = files.read_preamble_csv(f)
+    for d in (rows, errors):
+        assert not [x for x in _plan(d).splitlines() if "Filter" in x and "regexp" in x]
+    assert sorted((r.file, r.line, str(r.time), sorted(r["values"].items())[0]) for r in rows.collect()) == [("a", 0, "2024-01-01 04:00:00", ("#", "1")), ("a", 1, "2024-01-02 04:00:00", ("#", "2"))]
+    assert sorted(map(tuple, errors.collect())) == [("b", "no header"), ("c", "no rows"), ("d", "no time column")]
