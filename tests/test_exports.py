@@ -1,7 +1,13 @@
 """Exports in bulk: few files for many texts, and no text parsed for a filter."""
 
+import pytest
+
+from fieldseries import queries_sources
 from fieldseries.sources import files
 
+SF = "/root/testdata/sf0.001"
+
+
 def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -20,3 +26,17 @@ def test_filters_do_not_parse(spark):
         assert not [x for x in _plan(d).splitlines() if "Filter" in x and "regexp" in x]
     assert sorted((r.file, r.line, str(r.time), sorted(r["values"].items())[0]) for r in rows.collect()) == [("a", 0, "2024-01-01 04:00:00", ("#", "1")), ("a", 1, "2024-01-02 04:00:00", ("#", "2"))]
     assert sorted(map(tuple, errors.collect())) == [("b", "no header"), ("c", "no rows"), ("d", "no time column")]
+
+
+@pytest.mark.parametrize("name", ["_packed", "_written"])
+def test_lines_are_sorted_without_a_lambda(spark, monkeypatch, name):
+    seen = []
+
+    def stop(session, df, *args):
+        seen.append(df)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries_sources, name, stop)
+    with pytest.raises(InterruptedError):
+        (queries_sources.read_preamble_csv if name == "_packed" else queries_sources.read_measure_report)(spark, SF)
+    assert "sort_array(" in _plan(seen[0]) and "array_sort(" not in _plan(seen[0])
