@@ -178,7 +178,13 @@ def list_partitions(product: DataFrame, station: str | None = None, variable: st
 
 
 def candidate_files(files: DataFrame, windows: DataFrame, log: DataFrame, years: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(logged, unlogged) files (station_id, year, filepath) that can hold readings of a station's local year.
+    """(logged, unlogged) files (station_id, year, filepath) that can hold readings of a station's local year; see marked_candidates()."""
+    every = marked_candidates(files, windows, log, years)
+    return every.filter("logged").drop("logged"), every.filter("not logged").drop("logged")
+
+
+def marked_candidates(files: DataFrame, windows: DataFrame, log: DataFrame, years: DataFrame) -> DataFrame:
+    """(station_id, year, filepath, logged) of files that can hold readings of a station's local year, in one pass.
 
     files: filepath, device_serial, start_date, end_date (days in their names).  windows: station_id, device_serial, starts,
     ends.  years: year, y0, y1.  A device counts in years that its windows touch, and a file from a day before the year on.
@@ -188,5 +194,5 @@ def candidate_files(files: DataFrame, windows: DataFrame, log: DataFrame, years:
     d = devices_in_years(windows, years).join(years, "year")
     day = F.expr("interval 1 day")
     met = d.join(files, "device_serial").filter((F.col("start_date").cast("timestamp") <= F.col("y1")) & (F.col("end_date").cast("timestamp") >= F.col("y0") - day)).select("station_id", "year", "filepath").distinct()
-    named = log.select("filepath").distinct()
-    return met.join(named, "filepath", "left_semi").select("station_id", "year", "filepath"), met.join(named, "filepath", "left_anti").select("station_id", "year", "filepath")
+    named = log.select("filepath").distinct().withColumn("_in_log", F.lit(True))
+    return met.join(named, "filepath", "left").select("station_id", "year", "filepath", F.col("_in_log").isNotNull().alias("logged"))

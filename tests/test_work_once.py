@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from fieldseries.functions import parsing
+from fieldseries.sources import files
 
 
 def _optimized(df) -> str:
@@ -14,3 +15,18 @@ def test_a_rod_reading_is_split_once(spark):
     p = d.select(parsing.parse_rod_reading(F.col("t"), F.lit("ft_in_8")).alias("p")).select("p.ok", "p.value_m", "p.message")
     assert _optimized(p).count("split(") == 1
     assert [(r.ok, r.message) for r in p.collect()] == [(True, None), (False, "eighths over 7"), (False, "three numbers needed"), (False, "empty"), (False, "no number, or below zero")]
+
+
+def test_a_file_name_is_taken_apart_once_and_candidates_come_out_of_one_pass(spark):
+    d = spark.createDataFrame([("raw/1_20240101_20240102_raw.csv",), ("raw/st_wx1_20240105_20240103_raw.csv",), ("raw/x\n_20240101_20240102_raw.csv",)], "filepath string")
+    named = d.select("filepath", parsing.parse_raw_filename(F.col("filepath")).alias("n")).select("filepath", "n.*")
+    assert _optimized(named).count("regexp_extract(") == 5
+    assert [r.device_serial for r in d.select(parsing.parse_raw_filename(F.element_at(F.split("filepath", "/"), -1)).alias("n")).select("n.*").collect()] == ["1", None, None]
+    years = spark.sql("select 2024 as year, timestamp'2024-01-01 04:00:00' as y0, timestamp'2025-01-01 04:00:00' as y1")
+    windows = spark.sql("select 'st1' as station_id, '1' as device_serial, timestamp'2024-01-01' as starts, cast(null as timestamp) as ends")
+    log = spark.sql("select 'b' as filepath")
+    f = spark.sql("select x as filepath, '1' as device_serial, date'2024-02-01' as start_date, date'2024-02-02' as end_date from values ('a'), ('b') as t(x)")
+    marked = files.marked_candidates(f, windows, log, years)
+    assert sorted((r.filepath, r.logged) for r in marked.collect()) == [("a", False), ("b", True)]
+    logged, unlogged = files.candidate_files(f, windows, log, years)
+    assert [r.filepath for r in logged.collect()] == ["b"] and [r.filepath for r in unlogged.collect()] == ["a"]
