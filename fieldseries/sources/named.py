@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import PROJECT_ZONE, format_datetime
 from ..operators.diff import content_fingerprint
-from .tables import read_typed_table
+from .tables import conform_whole, read_text_table, read_typed_table
 
 #: Columns and kinds of each table.
 SCHEMAS: dict[str, dict[str, str]] = {
@@ -27,6 +27,11 @@ def load_named_tables(spark: SparkSession, root: str, names: list[str] | None =
     return {n: read_typed_table(spark, f"{root}/{n}", SCHEMAS[n]) for n in names or SCHEMAS}
 
 
+def load_whole_tables(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """load_named_tables() with a row's errors beside it (`_errors`, see tables.conform_whole()), for those who need both of large tables."""
+    return {n: conform_whole(read_text_table(spark, f"{root}/{n}", SCHEMAS[n]), SCHEMAS[n]) for n in names or SCHEMAS}
+
+
 def load_pending(raw: DataFrame) -> DataFrame:
     """Pending work as text: missing values are empty, rows without any value go."""
     text = raw.select(*[F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")).alias(c) for c in raw.columns])

@@ -29,29 +29,48 @@ def _typed(kind: str, raw: Column) -> Column:
     return parse_datetime_flexible(raw, "UTC" if kind == "datetime_utc" else PROJECT_ZONE)
 
 
+def _text(raw: DataFrame, schema: dict[str, str]) -> DataFrame:
+    if raw.columns != list(schema):
+        raise ValueError(f"columns {raw.columns} are not {list(schema)}")
+    return raw.select(*[F.when(~F.trim(c).isin("", "NA"), F.trim(c)).alias(c) for c in schema])
+
+
 def conform(raw: DataFrame, schema: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(typed rows, errors) of an all-text frame; "" and NA are missing.
 
     errors: row (as text), column, value of every value that cannot be its type.  Other columns, or others' order, are refused.
     """
-    if raw.columns != list(schema):
-        raise ValueError(f"columns {raw.columns} are not {list(schema)}")
-    text = raw.select(*[F.when(~F.trim(c).isin("", "NA"), F.trim(c)).alias(c) for c in schema])
+    text = _text(raw, schema)
     typed = text.select(*[_typed(k, F.col(c)).alias(c) for c, k in schema.items()])
-    bad = F.array(*[F.when(F.col(c).isNotNull() & _typed(k, F.col(c)).isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))) for c, k in schema.items()])
-    row = F.to_json(F.struct(*schema)).alias("row")
-    errors = text.select(row, F.explode(F.filter(bad, lambda x: x.isNotNull())).alias("e")).select("row", "e.column", "e.value")
-    return typed, errors
+    return typed, _with_errors(text, schema).select(F.to_json("_text").alias("row"), F.explode("_errors").alias("e")).select("row", "e.column", "e.value")
 
 
-def read_typed_table(spark: SparkSession, path: str, schema: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """conform() of a CSV file with a header; a missing file is an empty table."""
+def _with_errors(text: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """Typed rows with their text and `_errors`; each value is typed once."""
+    both = text.select(F.struct(*schema).alias("_text"), *[_typed(k, F.col(c)).alias(c) for c, k in schema.items()])
+    bad = [F.when(F.col("_text")[c].isNotNull() & F.col(c).isNull(), F.struct(F.lit(c).alias("column"), F.col("_text")[c].alias("value"))) for c, k in schema.items() if k != "text"]
+    none = F.array().cast("array<struct<column:string,value:string>>")
+    return both.withColumn("_errors", F.array_compact(F.array(*bad)) if bad else none)
+
+
+def conform_whole(raw: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """Typed rows with `_errors`, an array of (column, value) of a row's values that cannot be their type: conform() in one pass."""
+    return _with_errors(_text(raw, schema), schema).drop("_text")
+
+
+def read_text_table(spark: SparkSession, path: str, schema: dict[str, str]) -> DataFrame:
+    """A CSV file with a header, as text; a missing file is an empty table."""
     text = T.StructType([T.StructField(c, T.StringType()) for c in schema])
     jvm = spark._jvm.org.apache.hadoop.fs
     where = jvm.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return conform(spark.createDataFrame([], text), schema)
-    return conform(spark.read.option("header", True).csv(path), schema)
+        return spark.createDataFrame([], text)
+    return spark.read.option("header", True).csv(path)
+
+
+def read_typed_table(spark: SparkSession, path: str, schema: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """conform() of a CSV file with a header; a missing file is an empty table."""
+    return conform(read_text_table(spark, path, schema), schema)
 
 
 def append_by_name(target: DataFrame, rows: DataFrame) -> DataFrame:

@@ -30,3 +30,16 @@ def test_a_file_name_is_taken_apart_once_and_candidates_come_out_of_one_pass(spa
     assert sorted((r.filepath, r.logged) for r in marked.collect()) == [("a", False), ("b", True)]
     logged, unlogged = files.candidate_files(f, windows, log, years)
     assert [r.filepath for r in logged.collect()] == ["b"] and [r.filepath for r in unlogged.collect()] == ["a"]
+
+
+def test_values_and_their_errors_come_out_of_one_reading(spark, tmp_path):
+    from fieldseries.sources import named
+
+    rows = [("2024-01-02 03:04:05", "st1", "1", "2024-01-01 00:00:00", "soon", "x", "f"), ("NA", "st1", "", "2024-02-30 10:00:00", "NA", "7", "g")]
+    spark.createDataFrame(rows, list(named.SCHEMAS["downloads"])).write.option("header", True).option("quoteAll", True).csv(f"{tmp_path}/downloads")
+    whole = named.load_whole_tables(spark, str(tmp_path))
+    assert _optimized(whole["downloads"]).count("Relation") == 1 and whole["ports"].count() == 0
+    got = {r.filepath: (r.timestamp_utc is None, r.n_records, [tuple(e) for e in r._errors]) for r in whole["downloads"].collect()}
+    assert got == {"f": (False, None, [("end_date", "soon"), ("n_records", "x")]), "g": (True, 7, [("start_date", "2024-02-30 10:00:00")])}
+    typed, errors = named.load_named_tables(spark, str(tmp_path))["downloads"]
+    assert typed.count() == 2 and sorted((r.column, r.value) for r in errors.collect()) == [("end_date", "soon"), ("n_records", "x"), ("start_date", "2024-02-30 10:00:00")]
