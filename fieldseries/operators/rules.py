@@ -207,32 +207,47 @@ RULES = {
     "NO_MEASUREMENT_COLUMNS": "profiles",
     "SPAN_REVERSED": "profiles",
 }
-_CLAIM = "array<struct<rule: string, id: string, key: string, n: bigint, m: bigint, t: bigint, log: struct<start_date: timestamp, end_date: timestamp, n_records: bigint>>>"
+#: What is logged about a file, with the types in which it is held against the file.
+_LOG = {"start_date": "timestamp", "end_date": "timestamp", "n_records": "bigint"}
 
 
 def _claims(n: Network, chosen: dict[str, RowRule | KeyRule], log: bool) -> DataFrame:
-    """(rule, id, key, n, m, t, log): what each key comes to in each rule, from one pass over each table and one aggregation.
+    """(rule, id, key, n, m, t): what each key comes to in each rule, from one pass over each table and one aggregation.
 
-    With `log`, files have a key of their own, with what was logged about them (the first row wins where a file is logged twice).
+    With `log`, each different log entry of a file is a row too (rule LOG, with the file as its id).
+
+    All that is gathered is a sum, so Spark aggregates by hashes; a greatest key or a struct beside the sums would make it sort
+    every claim, before and after they move.  A key is told apart only where it differs from its id.
     """
     by_table: dict[str, list[Column]] = {}
-    no_log = F.lit(None).cast("struct<start_date: timestamp, end_date: timestamp, n_records: bigint>").alias("log")
+    entry = list(_LOG) if log else []
+    blank_entry = [F.lit(None).cast(_LOG[c]).alias(c) for c in entry]
+    zero, one, same = F.lit(0).cast("bigint"), F.lit(1).cast("bigint"), F.lit(None).cast("string")
     for name, r in chosen.items():
         for s in r.sides if isinstance(r, KeyRule) else ():
             keys = [F.col(k) if isinstance(k, str) else k for k in s.keys]
-            one, marked = F.lit(1).cast("bigint"), F.coalesce(s.marked, F.lit(False)).cast("bigint") if s.marked is not None else F.lit(0).cast("bigint")
-            alone = keys[0].cast("string")
-            key = alone if len(keys) == 1 else F.concat_ws("|", *[k.cast("string") for k in keys])
-            id_ = alone if len(keys) == 1 else F.to_json(F.struct(*[k.cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
-            claim = F.struct(F.lit(name).alias("rule"), id_.alias("id"), key.alias("key"), (one if s.judged else F.lit(0).cast("bigint")).alias("n"), (F.lit(0).cast("bigint") if s.judged else one).alias("m"), marked.alias("t"), no_log)
+            marked = F.coalesce(s.marked, F.lit(False)).cast("bigint") if s.marked is not None else zero
+            several = len(keys) > 1
+            key = F.concat_ws("|", *[k.cast("string") for k in keys]) if several else same
+            id_ = F.to_json(F.struct(*[k.cast("string").alias(f"k{i}") for i, k in enumerate(keys)])) if several else keys[0].cast("string")
+            claim = F.struct(F.lit(name).alias("rule"), id_.alias("id"), key.alias("key"), (one if s.judged else zero).alias("n"), (zero if s.judged else one).alias("m"), marked.alias("t"), *blank_entry)
             when = (F.lit(True) if s.when is None else s.when) & (F.lit(True) if s.nulls else keys[0].isNotNull())
             by_table.setdefault(s.table, []).append(F.when(when, claim))
     if log:
-        row = F.struct(F.col("start_date").cast("timestamp").alias("start_date"), F.col("end_date").cast("timestamp").alias("end_date"), F.col("n_records").cast("bigint").alias("n_records")).alias("log")
-        zero = F.lit(0).cast("bigint")
-        by_table.setdefault("downloads", []).append(F.struct(F.lit(LOG).alias("rule"), F.col("filepath").alias("id"), F.col("filepath").alias("key"), zero.alias("n"), zero.alias("m"), zero.alias("t"), row))
-    parts = [getattr(n, t).select(F.inline(F.array_compact(F.array(*claims)).cast(_CLAIM))) for t, claims in by_table.items()]
-    return union_all(parts).groupBy("rule", "id").agg(F.max("key").alias("key"), F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("t").alias("t"), F.min("log").alias("log"))
+        by_table.setdefault("downloads", []).append(F.struct(F.lit(LOG).alias("rule"), F.col("filepath").alias("id"), same.alias("key"), zero.alias("n"), zero.alias("m"), zero.alias("t"), *[F.col(c).cast(_LOG[c]).alias(c) for c in entry]))
+    parts = [_told(getattr(n, t), claims) for t, claims in by_table.items()]
+    sums = union_all(parts).groupBy("rule", "id", "key", *entry).agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("t").alias("t"))
+    return sums.withColumn("key", F.coalesce("key", "id"))
+
+
+def _told(df: DataFrame, cells: list[Column]) -> DataFrame:
+    """A row for each cell (a struct with a rule) that is not null."""
+    return df.select(F.inline(F.array(*cells))).filter("rule is not null")
+
+
+def _logged(claims: DataFrame) -> DataFrame:
+    """(filepath, what was logged about it); the first entry wins where a file is logged twice."""
+    return claims.filter(F.col("rule") == LOG).groupBy(F.col("id").alias("filepath")).agg(F.min(F.struct(*_LOG)).alias(LOG))
 
 
 def _broken(claims: DataFrame, chosen: dict[str, RowRule | KeyRule]) -> DataFrame:
@@ -256,8 +271,8 @@ def _by_row(n: Network, chosen: dict[str, RowRule | KeyRule], log: DataFrame | N
         if "RECORD_DATE_OUTSIDE_DEPLOYMENT" in chosen and t == "deployments":
             df = with_end(df)
         if t == "profiles" and log is not None:
-            df = df.join(log.filter(F.col("rule") == LOG).select(F.col("id").alias("filepath"), F.col("log").alias(LOG)), "filepath", "left")
-        out.append(df.select(F.inline(F.array_compact(F.array(*cells)))))
+            df = df.join(log, "filepath", "left")
+        out.append(_told(df, cells))
     absent = [f for f in REQUIRED if f not in n.deployments.columns] if "REQUIRED_FIELD_NA" in chosen else []
     if absent:
         out.append(n.deployments.sparkSession.createDataFrame([("REQUIRED_FIELD_NA", None, f) for f in absent], "rule string, key string, detail string"))
@@ -280,7 +295,7 @@ def violations(n: Network, names: list[str] | None = None) -> DataFrame:
     if log or any(isinstance(r, KeyRule) for r in chosen.values()):
         claims = _claims(n, chosen, log)
         claims = scratch.written(claims, "claims") if log else claims
-    parts = _by_row(n, chosen, claims if log else None)
+    parts = _by_row(n, chosen, _logged(claims) if log else None)
     if any(isinstance(r, KeyRule) for r in chosen.values()):
         parts.append(_broken(claims, chosen))
     tables = F.create_map(*[F.lit(x) for pair in RULES.items() for x in pair])

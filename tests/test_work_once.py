@@ -43,3 +43,15 @@ def test_values_and_their_errors_come_out_of_one_reading(spark, tmp_path):
     assert got == {"f": (False, None, [("end_date", "soon"), ("n_records", "x")]), "g": (True, 7, [("start_date", "2024-02-30 10:00:00")])}
     typed, errors = named.load_named_tables(spark, str(tmp_path))["downloads"]
     assert typed.count() == 2 and sorted((r.column, r.value) for r in errors.collect()) == [("end_date", "soon"), ("n_records", "x"), ("start_date", "2024-02-30 10:00:00")]
+
+
+def test_rules_gather_sums_only_and_so_need_no_sorting(spark):
+    from fieldseries import network as net
+    from fieldseries.operators import rules
+
+    n = net.network(spark, "/root/testdata/sf0.001")
+    plan = rules.violations(n, [r for r in rules.RULES if r not in rules._LOGGED])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    logged = rules._claims(n, {}, True)
+    assert "SortAggregate" not in logged._jdf.queryExecution().executedPlan().toString()
+    assert logged.count() == n.downloads.select("filepath", "start_date", "end_date", "n_records").distinct().count()
