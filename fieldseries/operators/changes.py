@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import scratch
+from .diff import spread
 from .windows import is_terminal
 
 
@@ -30,7 +31,7 @@ def scd2_apply_configs(configs: DataFrame, tolerance: float = 0.01) -> DataFrame
 def close_ports(ports: DataFrame, closures: DataFrame, keys: list[str]) -> DataFrame:
     """valid_to of open ports set to closed_at where a closure names them; closures: keys (the device, or device and port) and closed_at."""
     c = closures.groupBy(*keys).agg(F.min("closed_at").alias("_at"))
-    return ports.join(c, keys, "left").withColumn("valid_to", F.coalesce("valid_to", "_at")).drop("_at")
+    return spread(ports, keys).join(c, keys, "left").withColumn("valid_to", F.coalesce("valid_to", "_at")).drop("_at")
 
 
 def update_active_rows(rows: DataFrame, updates: DataFrame, keys: list[str], fields: list[str], status: str = "status") -> DataFrame:

@@ -55,3 +55,13 @@ def test_rules_gather_sums_only_and_so_need_no_sorting(spark):
     logged = rules._claims(n, {}, True)
     assert "SortAggregate" not in logged._jdf.queryExecution().executedPlan().toString()
     assert logged.count() == n.downloads.select("filepath", "start_date", "end_date", "n_records").distinct().count()
+
+
+def test_keyed_tables_keep_all_partitions(spark):
+    """Spark would merge these few rows into one task."""
+    from fieldseries.operators import changes
+
+    ports = spark.range(100).selectExpr("cast(id % 10 as string) as sn", "cast(null as timestamp) as valid_to")
+    closed = changes.close_ports(ports, spark.sql("select '3' as sn, timestamp'2024-01-01' as closed_at"), ["sn"])
+    assert "REPARTITION_BY_NUM" in closed._jdf.queryExecution().executedPlan().toString()
+    assert closed.filter("valid_to is not null").count() == 10
