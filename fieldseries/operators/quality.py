@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parsing import PROJECT_ZONE
-from .diff import union_all
+from .diff import spread, union_all
 from .windows import end_of_day, is_terminal
 
 # The states a deployment can be in.
@@ -29,12 +29,14 @@ def where(name: str, table: str, df: DataFrame, key: Column, bad: Column, detail
 
 
 def duplicates(name: str, table: str, df: DataFrame, keys: list[str]) -> Rule:
-    n = df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    # most keys stand alone, so that counting before rows move would gather nearly all of them in the tasks that read
+    n = spread(df.select(*keys), keys).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
     return Rule(name, table, n.select(F.concat_ws("|", *keys).alias("key"), F.col("n").cast("string").alias("detail")))
 
 
 def orphans(name: str, table: str, df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Rule:
-    gone = df.filter(F.col(key).isNotNull()).join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
+    known = spread(parent.select(F.col(parent_key).alias(key)), [key])
+    gone = spread(df.filter(F.col(key).isNotNull()).select(key), [key]).join(known, key, "left_anti")
     return Rule(name, table, gone.select(F.col(key).cast("string").alias("key"), F.lit("no parent").alias("detail")))
 
 

@@ -59,9 +59,13 @@ def test_rules_gather_sums_only_and_so_need_no_sorting(spark):
 
 def test_keyed_tables_keep_all_partitions(spark):
     """Spark would merge these few rows into one task."""
-    from fieldseries.operators import changes
+    from fieldseries.operators import changes, quality
 
     ports = spark.range(100).selectExpr("cast(id % 10 as string) as sn", "cast(null as timestamp) as valid_to")
     closed = changes.close_ports(ports, spark.sql("select '3' as sn, timestamp'2024-01-01' as closed_at"), ["sn"])
     assert "REPARTITION_BY_NUM" in closed._jdf.queryExecution().executedPlan().toString()
     assert closed.filter("valid_to is not null").count() == 10
+    twice = quality.duplicates("D", "t", ports, ["sn"]).violations
+    lone = quality.orphans("O", "t", ports, "sn", spark.sql("select explode(array('1', '1', null)) as k"), "k").violations
+    assert all("REPARTITION_BY_NUM" in d._jdf.queryExecution().executedPlan().toString() for d in (twice, lone))
+    assert twice.count() == 10 and lone.count() == 90
