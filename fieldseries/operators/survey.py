@@ -40,19 +40,56 @@ def latest_surveys(surveys: DataFrame) -> DataFrame:
     return surveys.filter("value is not null and relative_to is not null").groupBy("unique_id", "quantity").agg(best.alias("_x")).select("unique_id", "quantity", "_x.*")
 
 
+def _shortening():
+    """A function on batches: every node's chain as far as it goes on inside its batch, as node, what it reaches, height and hops;
+    `around` where it goes round there.  Being made here it needs no module of ours where it runs."""
+
+    def shortened(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for b in batches:
+            parent, value = b.column("parent"), b.column("value")
+            to = pc.index_in(parent, value_set=b.column("node"), skip_nulls=True).fill_null(-1).to_numpy(zero_copy_only=False).astype("int64")
+            height, unknown = value.fill_null(0.0).to_numpy(zero_copy_only=False).copy(), value.is_null().to_numpy(zero_copy_only=False).copy()
+            hops, last = np.ones(len(to), "int64"), np.arange(len(to))
+            for _ in range(len(to).bit_length()):
+                on = np.flatnonzero(to >= 0)
+                if not len(on):
+                    break
+                t = to[on]
+                h, u, n, far, further = height[t], unknown[t], hops[t], last[t], to[t]
+                height[on] += h
+                unknown[on] |= u
+                hops[on] += n
+                last[on], to[on] = far, further
+            around = to >= 0
+            reached = pc.if_else(pa.array(around), b.column("node"), parent.take(pa.array(last)))
+            yield pa.RecordBatch.from_arrays([b.column("node"), reached, pa.array(height, mask=unknown), pa.array(hops), pa.array(around)], ["node", "reached", "height", "hops", "around"])
+
+    return shortened
+
+
 def chain_heights(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(heights, cyclic): every node's height above the root that its chain of links ends at.
 
     links: node, parent, value (how far the node is above its parent); one row a node.  heights: node, root, height, hops.
     A parent without a link of its own is a root.  cyclic: node, for nodes whose chain goes round.
 
-    Chains are doubled: each step joins the pairs (node, reached) that are still under way to what their `reached` has
-    reached, so a chain of n links takes about log2(n) joins.  Every step is a written table, so lineage does not grow.
-    Nodes under way become fewer with every step until only cycles are left.
+    Nodes are laid in order and each batch of neighbours shortens its chains by itself.  Only nodes that another batch reaches
+    are still to be chained: few where ids follow the surveys, at worst all of them.  Their chains are doubled: each step joins
+    the pairs (node, reached) that are still under way to what their `reached` has reached, so a chain of n links takes
+    about log2(n) joins.  Every step is a written table, so lineage does not grow.
     """
-    state = links.select("node", F.col("parent").alias("reached"), F.col("value").cast("double").alias("height"), F.lit(1).cast("bigint").alias("hops"))
-    roots = links.select(F.col("parent").alias("reached")).distinct().join(links.select(F.col("node").alias("reached")), "reached", "left_anti").withColumn("_root", F.lit(True))
-    state = scratch.written(state.join(roots, "reached", "left").select("node", "reached", "height", "hops", F.coalesce("_root", F.lit(False)).alias("ends")), "chains")
+    links = links.select("node", "parent", F.col("value").cast("double").alias("value"))
+    kind = links.schema["node"].dataType.simpleString()
+    near = links.repartitionByRange("node").sortWithinPartitions("node")
+    near = scratch.written(near.mapInArrow(_shortening(), f"node {kind}, reached {kind}, height double, hops bigint, around boolean"), "chains")
+    exits = near.filter("not around").select(F.col("reached").alias("node")).distinct()
+    state = near.join(exits, "node", "left_semi")
+    more = state.select(F.col("node").alias("reached"), F.lit(True).alias("_more"))
+    state = scratch.written(state.join(more, "reached", "left").select("node", "reached", "height", "hops", F.col("_more").isNull().alias("ends")), "chains")
     under_way = state.filter("not ends").count()
     while under_way:
         onward = state.select(F.col("node").alias("reached"), F.struct("reached", "height", "hops", "ends").alias("_o"))
@@ -63,7 +100,11 @@ def chain_heights(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         if left == under_way:
             break
         under_way = left
-    return state.filter("ends").select("node", F.col("reached").alias("root"), "height", "hops"), state.filter("not ends").select("node")
+    onward = state.select(F.col("node").alias("reached"), F.struct("reached", "height", "hops", "ends").alias("_o"))
+    whole, lone = near.join(onward, "reached", "left"), F.col("_o").isNull()
+    ends = ~F.col("around") & (lone | F.col("_o.ends"))
+    root, height, hops = F.when(lone, F.col("reached")).otherwise(F.col("_o.reached")), F.when(lone, F.col("height")).otherwise(F.col("height") + F.col("_o.height")), F.col("hops") + F.coalesce("_o.hops", F.lit(0))
+    return whole.filter(ends).select("node", root.alias("root"), height.alias("height"), hops.alias("hops")), whole.filter(~ends).select("node")
 
 
 def relative_heights(surveys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
